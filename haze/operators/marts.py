@@ -165,19 +165,35 @@ def city_features(joined: DataFrame, by: str = "rows", block_rows: int | None =
 
 
 def _hour_range_features(base: DataFrame, rain_hour: Column) -> DataFrame:
-    """Clock-range variant: frames over epoch seconds of the reading hour."""
-    secs = F.unix_seconds(F.col("reading_hour"))
-    w = Window.partitionBy("canonical_city").orderBy(secs)
+    """Clock-range variant: "last n hours" are the readings of the city whose
+    hour lies in [hour - (n-1), hour]; the 3-hour trend compares with the
+    city's highest composite exactly three hours earlier.
+
+    Rows are first reduced to one row per city-hour (sums, counts, maxima,
+    combined map-side), so the window runs over a series whose length is the
+    number of hours, whatever the number of stations or rows; the features
+    are joined back to the station rows on (city, hour).
+    """
+    hourly = base.groupBy("canonical_city", "reading_hour").agg(
+        F.sum("pm25").alias("_s_pm25"), F.count("pm25").alias("_n_pm25"),
+        F.sum("rainfall_1h_mm").alias("_s_rain"),
+        F.sum("wind_speed_mps").alias("_s_wind"), F.count("wind_speed_mps").alias("_n_wind"),
+        F.max("composite_aqi").alias("_max_c"), F.max(rain_hour).alias("_rain_h"))
+    w = Window.partitionBy("canonical_city").orderBy(F.unix_seconds("reading_hour"))
     h = 3600
-    # lag 3 hours = composite of the same station three hours earlier is not
-    # defined by the source; use the max composite of the city at hour - 3.
-    return base.select(
-        "*",
-        F.avg("pm25").over(w.rangeBetween(-2 * h, 0)).alias("avg_pm25_last_3h"),
-        F.avg("pm25").over(w.rangeBetween(-23 * h, 0)).alias("avg_pm25_last_24h"),
-        F.sum("rainfall_1h_mm").over(w.rangeBetween(-5 * h, 0)).alias("rainfall_last_6h"),
-        F.avg("wind_speed_mps").over(w.rangeBetween(-2 * h, 0)).alias("wind_speed_last_3h"),
-        F.max("composite_aqi").over(w.rangeBetween(-3 * h, -3 * h)).alias("_lag3"),
-        F.max("composite_aqi").over(w.rangeBetween(1 * h, 3 * h)).alias("_next3_max"),
-        F.max(rain_hour).over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("_last_rain"),
+
+    def ratio(s: str, n: str, lo: int) -> Column:
+        frame = w.rangeBetween(lo * h, 0)
+        return F.try_divide(F.sum(s).over(frame), F.sum(n).over(frame))
+
+    feats = hourly.select(
+        "canonical_city", "reading_hour",
+        ratio("_s_pm25", "_n_pm25", -2).alias("avg_pm25_last_3h"),
+        ratio("_s_pm25", "_n_pm25", -23).alias("avg_pm25_last_24h"),
+        F.sum("_s_rain").over(w.rangeBetween(-5 * h, 0)).alias("rainfall_last_6h"),
+        ratio("_s_wind", "_n_wind", -2).alias("wind_speed_last_3h"),
+        F.max("_max_c").over(w.rangeBetween(-3 * h, -3 * h)).alias("_lag3"),
+        F.max("_max_c").over(w.rangeBetween(1 * h, 3 * h)).alias("_next3_max"),
+        F.max("_rain_h").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("_last_rain"),
     )
+    return base.join(feats, ["canonical_city", "reading_hour"], "inner")

@@ -125,8 +125,9 @@ def validate_weather(df: DataFrame) -> DataFrame:
     return _with_error(df, rules)
 
 
-def normalize_weather(df: DataFrame, fetched_at: Column) -> DataFrame:
-    """Nested weather object -> flat raw weather row; rain defaults to 0.0."""
+def normalize_weather(df: DataFrame, fetched_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Nested weather object -> flat raw weather row; rain defaults to 0.0;
+    ``keep`` columns are passed through in front."""
     def num(path: str) -> Column:
         try:
             return as_double(*_field(df, path))
@@ -135,6 +136,7 @@ def normalize_weather(df: DataFrame, fetched_at: Column) -> DataFrame:
 
     rain = num("rain.1h") if "rain" in df.columns else F.lit(None).cast("double")
     return df.select(
+        *keep,
         F.col("name").alias("city"),
         F.timestamp_seconds(_dt_seconds(*_field(df, "dt"))).alias("recorded_at"),
         num("main.temp").alias("temp_celsius"),

@@ -224,3 +224,131 @@ def _q_quarantine_counts(m: Models) -> DataFrame:
     from haze.operators import validate
     checked = validate.validate_readings(fixtures.aqi_payloads(m.events))
     return checked.groupBy("error_field", "error_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("pollutant_breakdown_ignore_nulls")
+def _q_poll_ignore(m: Models) -> DataFrame:
+    return marts.pollutant_breakdown(m.cat, ignore_nulls=True)
+
+
+@query("rain_impact_all_context")
+def _q_rain_all(m: Models) -> DataFrame:
+    return marts.rain_impact(m.joined, context="all")
+
+
+@query("city_features_by_hours")
+def _q_feat_hours(m: Models) -> DataFrame:
+    return marts.city_features(m.joined, by="hours")
+
+
+@query("validate_weather")
+def _q_validate_weather(m: Models) -> DataFrame:
+    from haze.operators import validate
+    checked = validate.validate_weather(fixtures.weather_payloads(m.events))
+    return validate.normalize_weather(checked, F.col("landed_at"),
+                                      keep=("record_id", "error_field", "error_reason")).drop("fetched_at")
+
+
+@query("hourly_array_explode")
+def _q_hourly(m: Models) -> DataFrame:
+    from haze.sources import landing
+    return landing.hourly_rows(fixtures.archive_payloads(m.events),
+                               F.lit(fixtures.RUN_TS).cast("timestamp"), keep=("record_id",))
+
+
+def _ledger(m: Models) -> DataFrame:
+    """Days already done: the event days with an even day of month."""
+    days = m.events.select(F.to_date(F.col("ts").cast("timestamp")).alias("day"))
+    return days.where(F.dayofmonth("day") % 2 == 0).distinct()
+
+
+@query("backfill_pending")
+def _q_pending(m: Models) -> DataFrame:
+    from haze.operators import backfill
+    spine = backfill.day_spine(m.spark, fixtures.BACKFILL_START, fixtures.BACKFILL_END)
+    return backfill.pending_days(spine, _ledger(m))
+
+
+@query("backfill_days")
+def _q_backfill_days(m: Models) -> DataFrame:
+    from haze.operators import backfill, validate
+    spine = backfill.day_spine(m.spark, fixtures.BACKFILL_START, fixtures.BACKFILL_END)
+    pending = backfill.pending_days(spine, _ledger(m))
+    checked = validate.validate_readings(fixtures.aqi_payloads(m.events))
+    good = validate.normalize_readings(checked.where(F.col("error_field").isNull()),
+                                       F.col("landed_at"), keep=("record_id",))
+    rows = backfill.rows_on_days(good, "reading_timestamp", pending)
+    return rows.select("record_id", "reading_date", "station_name", "city",
+                       "pollutant_avg", "reading_timestamp")
+
+
+def _land_pages(m: Models, path: str, files: int = 1) -> None:
+    """Write the AQI payloads as landed pages of at most 100 records (JSON Lines)."""
+    p = fixtures.aqi_payloads(m.events)
+    rec = F.struct(F.col("record_id").cast("string").alias("id"), "city", "state", "station",
+                   "pollutant_id", "avg_value", "min_value", "max_value", "last_update")
+    pages = (p.groupBy(F.call_function("div", F.col("record_id"), F.lit(100)).alias("page"))
+             .agg(F.collect_list(rec).alias("records")))
+    pages.repartition(files).write.mode("overwrite").json(path)
+
+
+@query("json_landing")
+def _q_json_landing(m: Models) -> DataFrame:
+    from haze.operators import validate
+    from haze.session import scratch_path
+    from haze.sources import landing
+    path = scratch_path(m.spark, "landing-aqi")
+    _land_pages(m, path)
+    records = landing.aqi_records(landing.read_aqi_pages(m.spark, path, multiline=False))
+    checked = validate.validate_readings(records)
+    return checked.select(F.col("id").cast("long").alias("record_id"), "error_field", "error_reason")
+
+
+@query("stream_ingest")
+def _q_stream_ingest(m: Models) -> DataFrame:
+    from haze.session import scratch_path
+    from haze.streaming import ingest
+    root = scratch_path(m.spark, "stream-ingest")
+    _land_pages(m, f"{root}/landing", files=4)
+    q = ingest.start_ingest(m.spark, f"{root}/landing", f"{root}/aqi_readings",
+                            f"{root}/invalid_records", f"{root}/_checkpoint",
+                            multiline=False, max_files_per_trigger=1)
+    q.awaitTermination()
+    good = m.spark.read.parquet(f"{root}/aqi_readings").select(
+        F.col("station_id").cast("long").alias("record_id"),
+        F.lit(None).cast("string").alias("error_field"),
+        F.lit(None).cast("string").alias("error_reason"))
+    bad = m.spark.read.parquet(f"{root}/invalid_records").select(
+        F.get_json_object("raw_payload", "$.id").cast("long").alias("record_id"),
+        "error_field", "error_reason")
+    return good.unionByName(bad)
+
+
+@query("stream_pivot")
+def _q_stream_pivot(m: Models) -> DataFrame:
+    from haze.session import scratch_path
+    from haze.streaming import ingest
+    from haze.functions.exprs import epoch_to_timestamp
+    root = scratch_path(m.spark, "stream-pivot")
+    raw = m.raw_aqi.select(
+        "station_id", "station_name", "city", "state", "pollutant_id", "pollutant_avg",
+        F.lit(None).cast("double").alias("pollutant_min"), F.lit(None).cast("double").alias("pollutant_max"),
+        F.lit(None).cast("string").alias("pollutant_unit"),
+        epoch_to_timestamp("reading_timestamp").alias("reading_timestamp"),
+        epoch_to_timestamp("fetched_at").alias("fetched_at"))
+    raw.repartition(4).write.parquet(f"{root}/aqi_readings")
+    q = ingest.start_hourly_pivot(m.spark, f"{root}/aqi_readings", m.city_map,
+                                  f"{root}/stg", f"{root}/_checkpoint")
+    q.awaitTermination()
+    return m.spark.read.parquet(f"{root}/stg")
+
+
+@query("sink_roundtrip")
+def _q_sink(m: Models) -> DataFrame:
+    from haze import sinks
+    from haze.session import scratch_path
+    path = scratch_path(m.spark, "mart-city-trends")
+    trends = marts.city_trends(m.joined)
+    sinks.write_table(trends, path, "overwrite", partition_by=["reading_date"],
+                      cluster_by=["canonical_city"])
+    return m.spark.read.parquet(path)
