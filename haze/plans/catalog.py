@@ -283,13 +283,7 @@ def _q_backfill_days(m: Models) -> DataFrame:
 
 
 def _land_pages(m: Models, path: str, files: int = 1) -> None:
-    """Write the AQI payloads as landed pages of at most 100 records (JSON Lines)."""
-    p = fixtures.aqi_payloads(m.events)
-    rec = F.struct(F.col("record_id").cast("string").alias("id"), "city", "state", "station",
-                   "pollutant_id", "avg_value", "min_value", "max_value", "last_update")
-    pages = (p.groupBy(F.call_function("div", F.col("record_id"), F.lit(100)).alias("page"))
-             .agg(F.collect_list(rec).alias("records")))
-    pages.repartition(files).write.mode("overwrite").json(path)
+    fixtures.land_aqi_pages(m.events, path, files)
 
 
 @query("json_landing")

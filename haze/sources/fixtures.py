@@ -191,3 +191,20 @@ def archive_payloads(events: DataFrame) -> DataFrame:
             arr((e % 3).cast("int"), lambda i: ((e + i) % 5) / 10.0).alias("precipitation"),
         ).alias("hourly"),
     )
+
+
+def land_aqi_pages(events: DataFrame, path: str, files: int = 1) -> None:
+    """Write the AQI payloads as landed pages of at most 100 records (JSON
+    Lines, one page per line; NULL fields are left out, i.e. keys absent)."""
+    p = aqi_payloads(events)
+    rec = F.struct(F.col("record_id").cast("string").alias("id"), "city", "state", "station",
+                   "pollutant_id", "avg_value", "min_value", "max_value", "last_update")
+    pages = (p.groupBy(int_div("record_id", 100).alias("page"))
+             .agg(F.collect_list(rec).alias("records")))
+    pages.repartition(files).write.mode("overwrite").json(path)
+
+
+def land_weather_objects(events: DataFrame, path: str, files: int = 1) -> None:
+    """Write the weather payloads as landed objects (JSON Lines)."""
+    weather_payloads(events).drop("record_id", "landed_at").repartition(files) \
+        .write.mode("overwrite").json(path)
