@@ -306,7 +306,7 @@ def _q_stream_ingest(m: Models) -> DataFrame:
     _land_pages(m, f"{root}/landing", files=4)
     q = ingest.start_ingest(m.spark, f"{root}/landing", f"{root}/aqi_readings",
                             f"{root}/invalid_records", f"{root}/_checkpoint",
-                            multiline=False, max_files_per_trigger=1)
+                            multiline=False, max_files_per_trigger=2)
     q.awaitTermination()
     good = m.spark.read.parquet(f"{root}/aqi_readings").select(
         F.col("station_id").cast("long").alias("record_id"),
