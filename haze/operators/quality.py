@@ -161,25 +161,46 @@ def all_checks(stg: DataFrame, wx: DataFrame, cat: DataFrame, joined: DataFrame,
             .unionByName(category_checks(cat, as_of)).unionByName(joined_checks(joined)))
 
 
-def source_freshness(sources: Mapping[str, tuple[DataFrame, str]],
+def check(name: str, failing_rows: DataFrame) -> DataFrame:
+    """A singular test: ``failing_rows`` is the query of rows that violate it.
+    One row (test_name, failures, status)."""
+    return failing_rows.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(name).alias("test_name"), "failures",
+        F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
+
+
+def source_freshness(sources: Mapping[str, tuple],
                      as_of: str | Column | None = None,
-                     warn_hours: int = FRESHNESS_WARN_HOURS,
-                     error_hours: int = FRESHNESS_ERROR_HOURS) -> DataFrame:
-    """Rows (source_name, max_loaded_at, age_minutes, status) with status
-    error / warn / pass by the age of the newest loaded-at value."""
+                     warn_hours: int | None = FRESHNESS_WARN_HOURS,
+                     error_hours: int | None = FRESHNESS_ERROR_HOURS) -> DataFrame:
+    """Rows (source_name, max_loaded_at, age_minutes, status).
+
+    ``sources`` maps a name to ``(df, loaded_at_col)`` or
+    ``(df, loaded_at_col, warn_hours, error_hours)``; status is error / warn /
+    pass by the age of the newest value, or ``not checked`` for a source whose
+    thresholds are both None (a load field without a freshness rule).
+    """
     now = _as_of(as_of)
-    parts = [df.select(F.lit(name).alias("source_name"), F.col(col).cast("timestamp").alias("_l"))
-             for name, (df, col) in sources.items()]
+    parts = []
+    for name, spec in sources.items():
+        df, col = spec[0], spec[1]
+        warn, err = (spec[2], spec[3]) if len(spec) == 4 else (warn_hours, error_hours)
+        parts.append(df.select(
+            F.lit(name).alias("source_name"), F.col(col).cast("timestamp").alias("_l"),
+            F.lit(warn).cast("int").alias("_warn"), F.lit(err).cast("int").alias("_err")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    latest = u.groupBy("source_name").agg(F.max("_l").alias("max_loaded_at"))
+    latest = u.groupBy("source_name").agg(
+        F.max("_l").alias("max_loaded_at"), F.max("_warn").alias("_warn"), F.max("_err").alias("_err"))
     age = whole_units_between("MINUTE", F.col("max_loaded_at"), now)
+    older = lambda h: F.col("max_loaded_at") < now - F.make_interval(hours=h)
     return latest.select(
         "source_name", "max_loaded_at", age.cast("long").alias("age_minutes"),
-        F.when(F.col("max_loaded_at").isNull(), "error")
-        .when(F.col("max_loaded_at") < _hours_before(now, error_hours), "error")
-        .when(F.col("max_loaded_at") < _hours_before(now, warn_hours), "warn")
+        F.when(F.col("_warn").isNull() & F.col("_err").isNull(), "not checked")
+        .when(F.col("max_loaded_at").isNull(), "error")
+        .when(F.col("_err").isNotNull() & older(F.col("_err")), "error")
+        .when(F.col("_warn").isNotNull() & older(F.col("_warn")), "warn")
         .otherwise("pass").alias("status"))
 
 

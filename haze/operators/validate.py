@@ -60,7 +60,10 @@ def validate_readings(df: DataFrame) -> DataFrame:
     failing rule: missing field, non-numeric or out-of-range average, bad
     datetime, blank city or station. Valid rows have NULL error columns."""
     avg = safe_double("avg_value")
-    rules = [_rule(F.col(f).isNull(), f, MISSING) for f in AQI_REQUIRED]
+    rules = []
+    if "_unknown" in df.columns:  # unreadable record (see sources.landing.aqi_records)
+        rules.append(_rule(F.col("_unknown").isNotNull(), UNKNOWN, F.col("_unknown")))
+    rules += [_rule(F.col(f).isNull(), f, MISSING) for f in AQI_REQUIRED]
     rules += [
         _rule(avg.isNull(), "avg_value", NOT_NUMERIC),
         _rule(_outside(avg, *AVG_RANGE), "avg_value", OUT_OF_RANGE),
@@ -114,7 +117,10 @@ def _dt_seconds(c: Column, dtype: T.DataType) -> Column:
 def validate_weather(df: DataFrame) -> DataFrame:
     """Tag nested weather objects: required paths, temperature -10..60 and
     humidity 0..100 (non-numeric counts as out of range), integral ``dt``."""
-    rules = [_rule(_field(df, p)[0].isNull(), p, MISSING) for p in WEATHER_REQUIRED]
+    rules = []
+    if "_corrupt_record" in df.columns:  # a document that is not valid JSON
+        rules.append(_rule(F.col("_corrupt_record").isNotNull(), UNKNOWN, "malformed JSON"))
+    rules += [_rule(_field(df, p)[0].isNull(), p, MISSING) for p in WEATHER_REQUIRED]
     temp = as_double(*_field(df, "main.temp"))
     hum = as_double(*_field(df, "main.humidity"))
     rules += [
@@ -167,7 +173,8 @@ def quarantine_rows(checked: DataFrame, source: str, quarantined_at: Column,
             payload = F.col("raw_payload")
         else:
             fields = [c for c in checked.columns
-                      if c not in ("error_field", "error_reason", "record_id", "landed_at", "_keys")]
+                      if c not in ("error_field", "error_reason", "record_id", "landed_at")
+                      and not c.startswith("_")]
             payload = payload_json(checked, fields)
     return checked.where(F.col("error_field").isNotNull()).select(
         F.lit(source).alias("source"), "error_reason", "error_field",

@@ -24,7 +24,7 @@ AQI_RECORD = _struct(
 
 # A landed page: {"records": [ ... ]}. Records stay raw JSON text so the
 # quarantine keeps the untouched payload; they are parsed with AQI_RECORD.
-AQI_PAGE = _struct(("records", T.ArrayType(S)))
+AQI_PAGE = _struct(("records", T.ArrayType(S)), ("_corrupt_record", S))
 
 # One current-weather API object (nested), leaves as text for the same reason.
 WEATHER_RECORD = _struct(
@@ -33,6 +33,7 @@ WEATHER_RECORD = _struct(
     ("wind", _struct(("speed", S), ("deg", S))),
     ("rain", _struct(("1h", S))),
     ("weather", T.ArrayType(_struct(("main", S)))),
+    ("_corrupt_record", S),
 )
 
 # Historical weather archive payload: parallel hourly arrays.

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,3 +70,24 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 def write_quarantine(bad: DataFrame, path: str) -> int:
     """Append quarantine envelopes partitioned by source; empty -> 0, no write."""
     return write_table(bad, path, "append", partition_by=["source"], skip_empty=True)
+
+
+def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add the columns of ``schema`` that ``df`` lacks as typed NULLs and put
+    them in schema order (extra columns of ``df`` are kept at the end)."""
+    have = set(df.columns)
+    cols = [F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+    extra = [c for c in df.columns if c not in {f.name for f in schema.fields}]
+    return df.select(*cols, *extra)
+
+
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """Create a catalog database if it does not exist yet."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
+def register_views(models: dict[str, DataFrame]) -> None:
+    """Expose lazily evaluated models to SQL as temporary views."""
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)

@@ -31,18 +31,25 @@ def aqi_records(pages: DataFrame) -> DataFrame:
 
     ``raw_payload`` is the record's own JSON text (kept for the quarantine),
     ``_keys`` its key list (a fallback field applies only to absent keys),
-    and each API field is parsed as text. A record that is not a JSON object
-    gets ``_parsed = false``.
+    and each API field is parsed as text. ``_unknown`` names a record that
+    cannot be read at all: a malformed page (kept whole as one row, so it is
+    quarantined rather than lost) or an array element that is not an object.
     """
+    corrupt = F.col("_corrupt_record") if "_corrupt_record" in pages.columns else F.lit(None).cast("string")
+    items = F.when(corrupt.isNull(), F.col("records")).otherwise(F.array(corrupt))
     rec = pages.select(
         F.col("_metadata.file_path").alias("source_file"),
-        F.posexplode("records").alias("record_pos", "raw_payload"),
+        corrupt.isNotNull().alias("_bad_page"),
+        F.posexplode(items).alias("record_pos", "raw_payload"),
     )
     parsed = F.from_json("raw_payload", schemas.AQI_RECORD)
+    is_object = F.ltrim(F.col("raw_payload")).startswith("{")
+    unknown = (F.when(F.col("_bad_page"), F.lit("malformed page"))
+               .when(~is_object, F.lit("record is not a JSON object")))
     return rec.select(
         "source_file", "record_pos", "raw_payload",
-        F.json_object_keys("raw_payload").alias("_keys"),
-        parsed.isNotNull().alias("_parsed"),
+        F.when(is_object & ~F.col("_bad_page"), F.json_object_keys("raw_payload")).alias("_keys"),
+        unknown.alias("_unknown"),
         *[parsed[f.name].alias(f.name) for f in schemas.AQI_RECORD.fields],
     )
 

@@ -147,3 +147,32 @@ def test_write_table_counts_and_clusters(spark):  # K1 K5 K6 K7
     assert "reading_hour_date" in back.columns
     assert sinks.write_quarantine(spark.createDataFrame([], "source string, x int"), f"{root}/q") == 0
     assert not os.path.exists(f"{root}/q")
+
+
+def test_unreadable_pages_and_records_are_quarantined_as_unknown(spark):  # V9
+    tmp = tempfile.mkdtemp(prefix="haze-bad-")
+    with open(os.path.join(tmp, "p.json"), "w") as fh:
+        fh.write('{"records": [{"city": "Delhi"}, 7, "x"]}\n{"records": [{"city": \n{"records": []}\n')
+    recs = landing.aqi_records(landing.read_aqi_pages(spark, tmp, multiline=False))
+    checked = validate.validate_readings(recs)
+    got = sorted((r.raw_payload, r.error_field, r.error_reason) for r in checked.collect())
+    assert got == [('7', 'unknown', 'record is not a JSON object'),
+                   ('x', 'unknown', 'record is not a JSON object'),
+                   ('{"city": "Delhi"}', 'state', 'missing'),
+                   ('{"records": [{"city": ', 'unknown', 'malformed page')]
+
+
+def test_ensure_columns_and_source_freshness_rules(spark):  # N7, Q6
+    from haze import schemas
+    from haze.operators import quality
+    df = spark.createDataFrame([("Pune", 1.5)], "city string, temp_celsius double")
+    full = sinks.ensure_columns(df, schemas.WEATHER_READINGS)
+    assert full.columns == [f.name for f in schemas.WEATHER_READINGS.fields]
+    t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 9),)], "t timestamp")
+    old = spark.createDataFrame([(dt.datetime(2024, 1, 1, 1),)], "t timestamp")
+    rep = {r.source_name: r.status for r in quality.source_freshness(
+        {"fresh": (t, "t"), "stale": (old, "t"), "warned": (t, "t", 0, None),
+         "unchecked": (old, "t", None, None)}, "2024-01-01 10:00:00").collect()}
+    assert rep == {"fresh": "pass", "stale": "error", "warned": "warn", "unchecked": "not checked"}
+    one = quality.check("no_negatives", df.where("temp_celsius < 0")).first()
+    assert (one.failures, one.status) == (0, "pass")
