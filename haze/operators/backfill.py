@@ -34,7 +34,7 @@ def pending_days(spine: DataFrame, ledger: DataFrame) -> DataFrame:
 def rows_on_days(rows: DataFrame, ts_col: str, days: DataFrame) -> DataFrame:
     """Rows whose UTC date of ``ts_col`` is one of ``days``; adds ``<ts_col>``'s
     date as ``reading_date``. ``days`` is bounded by the requested range."""
-    d = F.broadcast(days.select(F.col("day").alias("_day")))
+    d = maybe_broadcast(days.select(F.col("day").alias("_day")))
     return rows.join(d, F.to_date(F.col(ts_col)) == F.col("_day"), "inner") \
         .withColumnRenamed("_day", "reading_date")
 

@@ -330,13 +330,39 @@ def _q_stream_pivot(m: Models) -> DataFrame:
         F.lit(None).cast("string").alias("pollutant_unit"),
         epoch_to_timestamp("reading_timestamp").alias("reading_timestamp"),
         epoch_to_timestamp("fetched_at").alias("fetched_at"))
-    raw.repartition(4).write.parquet(f"{root}/aqi_readings")
+    raw.repartition(4).write.parquet(f"{root}/aqi_readings")  # one micro-batch reads all files
     q = ingest.start_hourly_pivot(m.spark, f"{root}/aqi_readings", m.city_map,
                                   f"{root}/stg", f"{root}/_checkpoint")
     q.awaitTermination()
     return m.spark.read.parquet(f"{root}/stg")
 
 
+@query("backfill_weather_range")
+def _q_backfill_weather(m: Models) -> DataFrame:
+    from haze.operators import backfill
+    from haze.session import scratch_path
+    root = scratch_path(m.spark, "backfill-weather")
+    fixtures.archive_payloads(m.events).drop("record_id").write.json(f"{root}/archive")
+    cities = m.city_map.select(F.col("raw_city_name").alias("city"))
+    backfill.backfill_weather(m.spark, f"{root}/archive", "2024-01-10", "2024-01-20",
+                              f"{root}/weather_readings", F.lit(fixtures.RUN_TS).cast("timestamp"),
+                              cities=cities, multiline=False)
+    return m.spark.read.parquet(f"{root}/weather_readings")
+
+
+@query("pipeline_run")
+def _q_pipeline(m: Models) -> DataFrame:
+    """The whole run over payloads landed from the events; returns the test report."""
+    from haze.plans import pipeline
+    from haze.session import scratch_path
+    root = scratch_path(m.spark, "pipeline")
+    fixtures.land_aqi_pages(m.events, f"{root}/landing/aqi", files=4)
+    fixtures.land_weather_objects(m.events, f"{root}/landing/weather", files=4)
+    pipeline.run(m.spark, f"{root}/landing/aqi", f"{root}/landing/weather", f"{root}/wh",
+                 run_ts=fixtures.RUN_TS, as_of=AS_OF, city_map=m.city_map, multiline=False)
+    return m.spark.read.parquet(f"{root}/wh/quality/tests")
+
+
 @query("sink_roundtrip")
 def _q_sink(m: Models) -> DataFrame:
     from haze import sinks

@@ -83,12 +83,16 @@ def aqi_readings(events: DataFrame) -> DataFrame:
 
 
 def weather_readings(events: DataFrame) -> DataFrame:
-    """Raw weather: every event but those with id % 4 = 3; fetched_at ties per hour."""
+    """Raw weather, one row per event; fetched_at ties within an hour.
+
+    Events with id % 4 = 3 carry no recorded_at, so staging's not-null filter
+    drops them and some station-hours end up without weather.
+    """
     e, u = F.col("event_id"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
-    return events.where(e % 4 != 3).select(
+    return events.select(
         _city(e, u).alias("city"),
-        ts.alias("recorded_at"),
+        F.when(e % 4 != 3, ts).alias("recorded_at"),
         (F.lit(10.0) + (e * 7 % 300) / 10.0).alias("temp_celsius"),
         F.lit(None).cast("double").alias("feels_like_celsius"),
         (e * 13 % 101).cast("double").alias("humidity_pct"),

@@ -7,7 +7,7 @@ import sys
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"stream_pivot"}
+ROWS_ONLY = {"pipeline_run"}
 
 
 def test_entry_flagship(spark):
