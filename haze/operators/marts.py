@@ -110,8 +110,8 @@ def city_leaderboard(trends: DataFrame) -> DataFrame:
     """Per city: overall/worst/best daily average, good and severe day counts,
     and the rank of the overall average (1 = cleanest, ties share a rank).
 
-    The rank is a global order over one row per city, so its input is bounded
-    by the number of cities, not by the data volume.
+    The rank is computed without a single-task global window
+    (``rows_window.global_rank``).
     """
     per_city = trends.groupBy("canonical_city").agg(
         F.avg("avg_aqi").alias("overall_avg_aqi"),
@@ -120,8 +120,9 @@ def city_leaderboard(trends: DataFrame) -> DataFrame:
         F.count_if(F.col("dominant_category") == "Good").alias("days_good"),
         F.count_if(F.col("dominant_category") == "Severe").alias("days_severe"),
     )
-    return per_city.withColumn(
-        "aqi_rank", F.rank().over(Window.orderBy(F.col("overall_avg_aqi").asc_nulls_first())))
+    ranked = rows_window.global_rank(per_city, "overall_avg_aqi", ["canonical_city"], "aqi_rank")
+    return ranked.select("canonical_city", "overall_avg_aqi", "worst_day_aqi", "best_day_aqi",
+                         "days_good", "days_severe", F.col("aqi_rank").cast("int").alias("aqi_rank"))
 
 
 def city_features(joined: DataFrame, by: str = "rows", block_rows: int | None = None) -> DataFrame:

@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +71,13 @@ def row_index(df: DataFrame, key: str, order: Sequence[str], num_tasks: int | No
     # Materialized once (reliable checkpoint in the shared folder): the counts
     # and the rows below must see the same numbering, and a recomputed range
     # shuffle may sample different bounds after a lost executor.
-    pos = ranged.select("*", F.shiftright(mid, 33).alias("_task"),
-                        mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos")).checkpoint()
+    # (Persisted first so the checkpoint write reads the computed blocks instead
+    # of running the range shuffle a second time.)
+    numbered = ranged.select("*", F.shiftright(mid, 33).alias("_task"),
+                             mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
+    numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
+    pos = numbered.checkpoint()
+    numbered.unpersist()
     seg = pos.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(key, "_task", "_first",
@@ -140,3 +146,18 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Fr
                 merged = _CARRY[f.func](F.col(name), F.col(f"_c_{name}"))
             framed = framed.withColumn(name, merged).drop(f"_c_{name}")
     return framed.drop("_idx", "_blk", "_home")
+
+
+def global_rank(df: DataFrame, value: str, tiebreak: Sequence[str], name: str = "rank") -> DataFrame:
+    """``RANK() OVER (ORDER BY value ASC NULLS FIRST)`` without a single-task window.
+
+    Rows are numbered in (value, tiebreak) order with ``row_index`` (range
+    partitioned, so no task holds everything); the rank of a value is one plus
+    the smallest position among rows with that value, found by an aggregation
+    (combined map-side) and joined back.
+    """
+    idx = row_index(df.withColumn("_all", F.lit(0)), "_all", [value, *tiebreak])
+    first = idx.groupBy(value).agg((F.min("_idx") + 1).alias(name))
+    first = maybe_broadcast(first.withColumnRenamed(value, "_v"))
+    out = idx.join(first, idx[value].eqNullSafe(first["_v"]), "inner")
+    return out.drop("_v", "_idx", "_all")
