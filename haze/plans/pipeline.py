@@ -1,16 +1,18 @@
 """One pipeline run: landed payloads -> raw tables -> models -> marts -> checks.
 
-The stage order is plain Python; every stage is a distributed Spark job. The
-wide intermediate table (readings x weather) feeds four marts, so it is
-written once (date-partitioned, clustered by city) and read back, which also
-cuts the lineage: a lost executor recomputes from that table, not from the
-landing files.
+The stage order is plain Python; every stage is a distributed Spark job.
+Tables read by more than one later stage (the two staging tables and the wide
+readings x weather table, which feeds four marts) are written once
+(date-partitioned, clustered by city) and read back. That also cuts the
+lineage: a lost executor recomputes from those tables, not from the landing
+files.
 
 Layout under ``warehouse``::
 
     raw/aqi_readings        append, partitioned by fetched date
     raw/weather_readings    append, partitioned by fetched date
     raw/invalid_records     append, partitioned by source
+    stg/readings, stg/weather  overwrite, partitioned by date, clustered by city
     int/aqi_weather_joined  overwrite, partitioned by reading_date
     marts/<name>            overwrite (full refresh)
     quality/metrics, quality/health, quality/tests   append
@@ -83,8 +85,17 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
                  breakpoints: DataFrame, as_of: str | None = None) -> RunResult:
     """Staging -> intermediate (materialized) -> marts -> quality tables."""
     out = RunResult()
-    stg = staging.stg_readings(read_raw(spark, warehouse, "aqi_readings"), city_map)
-    wx = staging.stg_weather(read_raw(spark, warehouse, "weather_readings"), city_map)
+    # Staging is read by the intermediate table, a mart, the checks and both
+    # health tables: build each staging table once and read it back.
+    stg_path, wx_path = f"{warehouse}/stg/readings", f"{warehouse}/stg/weather"
+    out.loaded["stg_readings"] = sinks.write_table(
+        staging.stg_readings(read_raw(spark, warehouse, "aqi_readings"), city_map), stg_path,
+        "overwrite", partition_by=["reading_date"], cluster_by=["canonical_city"])
+    out.loaded["stg_weather"] = sinks.write_table(
+        staging.stg_weather(read_raw(spark, warehouse, "weather_readings"), city_map), wx_path,
+        "overwrite", partition_by=["weather_hour"], cluster_by=["canonical_city"])
+    stg = spark.read.parquet(stg_path)
+    wx = spark.read.parquet(wx_path).drop("weather_hour_date")
     cat = enrich.with_category(stg, breakpoints)
 
     joined_path = f"{warehouse}/int/aqi_weather_joined"
