@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haze import schemas
-from haze.functions.exprs import composite_index, to_instant, wind_category  # noqa: F401
+from haze.functions.exprs import to_instant, wind_category
 from haze.functions.joins import maybe_broadcast
 
 READING_KEYS = ["station_name", "canonical_city", "state", "reading_hour", "reading_date"]
@@ -80,7 +80,7 @@ def stg_weather(raw: DataFrame, city_map: DataFrame) -> DataFrame:
         rec.alias("_recorded_at"),
         *[c for c in WEATHER_MEASURES if c != "rainfall_1h_mm"],
         F.coalesce(F.col("rainfall_1h_mm"), F.lit(0.0)).alias("rainfall_1h_mm"),
-        F.col("fetched_at").cast("timestamp").alias("fetched_at"),
+        to_instant("fetched_at", raw.schema["fetched_at"].dataType).alias("fetched_at"),
     )
     order = [F.col("fetched_at").desc_nulls_last(), F.col("_recorded_at").desc_nulls_last()]
     order += [F.col(c).asc_nulls_first() for c in WEATHER_MEASURES]

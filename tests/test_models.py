@@ -230,3 +230,18 @@ def test_checks_report_failures(spark):  # Q2 Q3 Q4
     assert rep["aqi_positive"] == (1, "fail")
     assert rep["no_future_timestamps"] == (1, "fail")
     assert rep["not_null_composite_aqi"] == (0, "pass")
+
+
+def test_weather_epoch_columns_decode_like_readings(spark):  # Z2 for weather
+    us = int(H.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    raw = spark.createDataFrame(
+        [("Pune", us * 1000, 20.0, us // 1000 + 3_600_000)],
+        "city string, recorded_at long, temp_celsius double, fetched_at long")
+    for c, t in [("feels_like_celsius", "double"), ("humidity_pct", "double"), ("wind_speed_mps", "double"),
+                 ("wind_direction_degrees", "double"), ("weather_condition", "string"),
+                 ("rainfall_1h_mm", "double"), ("visibility_meters", "double"), ("pressure_hpa", "double")]:
+        raw = raw.withColumn(c, F.lit(None).cast(t))
+    r = staging.stg_weather(raw, seeds.default_city_map(spark)).select(
+        F.col("weather_hour").cast("timestamp_ntz").alias("h"),
+        F.col("fetched_at").cast("timestamp_ntz").alias("f")).first()
+    assert r.h == H and r.f == H + dt.timedelta(hours=1)
