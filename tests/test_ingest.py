@@ -176,3 +176,20 @@ def test_ensure_columns_and_source_freshness_rules(spark):  # N7, Q6
     assert rep == {"fresh": "pass", "stale": "error", "warned": "warn", "unchecked": "not checked"}
     one = quality.check("no_negatives", df.where("temp_celsius < 0")).first()
     assert (one.failures, one.status) == (0, "pass")
+
+
+def test_cli_backfill_weather(spark, capsys):  # B4 via the command line
+    from haze import cli
+    root = tempfile.mkdtemp(prefix="haze-cli-")
+    _write_pages(f"{root}/archive", [{"city": c, "hourly": {
+        "time": ["2024-01-01T23:00", "2024-01-02T00:00", "2024-01-03T00:00"],
+        "temperature_2m": [1.0, 2.0, 3.0], "relativehumidity_2m": [1.0, 2.0, 3.0],
+        "windspeed_10m": [1.0, 2.0, 3.0], "precipitation": [0.0, 0.1, 0.2]}} for c in ("Pune", "Delhi")])
+    with open(f"{root}/cities.json", "w") as fh:
+        json.dump([{"city": "Pune", "lat": 18.5, "lon": 73.8}], fh)
+    rc = cli.main(["backfill-weather", "--archive", f"{root}/archive", "--start", "2024-01-02",
+                   "--end", "2024-01-03", "--out", f"{root}/out", "--cities", f"{root}/cities.json"],
+                  spark=spark)
+    assert rc == 0 and "rows=2" in capsys.readouterr().out
+    out = spark.read.parquet(f"{root}/out")
+    assert {r.city for r in out.collect()} == {"Pune"} and out.count() == 2
