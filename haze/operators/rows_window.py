@@ -108,7 +108,7 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Fr
     copies = F.filter(F.array(
         F.struct(blk.alias("_blk"), F.lit(True).alias("_home")),
         F.when(off >= b - back, F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_home"))),
-        F.when(off < ahead, F.struct((blk - 1).alias("_blk"), F.lit(False).alias("_home"))),
+        F.when((off < ahead) & (blk > 0), F.struct((blk - 1).alias("_blk"), F.lit(False).alias("_home"))),
     ), lambda x: x.isNotNull())
     spread = idx.select("*", F.inline(copies))
 
