@@ -23,9 +23,9 @@ LOCAL_DATETIME_PATTERNS = ["d/M/yyyy H:m:s", "d-M-yyyy H:m:s", "yyyy-M-d H:m:s"]
 LOCAL_UTC_OFFSET = "+05:30"
 
 # A decimal or scientific literal (what Python's float() accepts, minus digit
-# group underscores), or a nan/inf/infinity spelling with an optional sign.
+# group underscores); nan/inf/infinity spellings (any case, optional sign) are
+# mapped separately because a cast accepts only some of them.
 _NUMERIC_RE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-_SPECIAL_RE = r"^(?i)[+-]?(nan|inf|infinity)$"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -72,8 +72,11 @@ def safe_double(c: ColumnOrName) -> Column:
     digit-group underscores are rejected instead of silently accepted.
     """
     s = strip_ws(c)
-    ok = s.rlike(_NUMERIC_RE) | s.rlike(_SPECIAL_RE)
-    return F.when(ok, s.try_cast("double"))
+    low = F.lower(s)
+    return (F.when(s.rlike(_NUMERIC_RE), s.try_cast("double"))
+            .when(low.rlike(r"^[+-]?nan$"), F.lit(float("nan")))
+            .when(low.rlike(r"^-inf(inity)?$"), F.lit(float("-inf")))
+            .when(low.rlike(r"^[+]?inf(inity)?$"), F.lit(float("inf"))))
 
 
 def as_double(c: ColumnOrName, dtype: T.DataType) -> Column:
