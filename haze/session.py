@@ -64,3 +64,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for ``input_bytes`` of input.
+
+    Initial shuffle partitions are sized so that one partition holds about
+    ``partition_bytes`` of input (AQE then merges small ones and splits skewed
+    join partitions); file splits use the same size. For 100 TB this gives
+    ~400k partitions, capped at 200k; at least 200.
+    """
+    parts = max(200, min(200_000, input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20) -> None:
+    for key, value in scale_settings(input_bytes, partition_bytes).items():
+        spark.conf.set(key, value)

@@ -97,3 +97,10 @@ def test_whole_hours_truncate(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0), dt.datetime(2024, 1, 1, 2, 59))],
                                "a timestamp, b timestamp")
     assert df.select(exprs.whole_units_between("HOUR", F.col("a"), F.col("b"))).first()[0] == 2
+
+
+def test_scale_settings_bounds():
+    from haze.session import scale_settings
+    assert scale_settings(0)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_settings(100 * 2**40)["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_settings(1000 * 2**30)["spark.sql.shuffle.partitions"] == "4000"
