@@ -49,7 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--start", required=True)
     w.add_argument("--end", required=True)
     w.add_argument("--out", required=True)
-    w.add_argument("--cities", help="JSON array of {city, lat, lon} (default: all cities)")
+    w.add_argument("--cities", help="JSON array of {city, lat, lon} (default: packaged list)")
+    w.add_argument("--all-cities", action="store_true", help="keep every city of the archive")
     w.add_argument("--wind-unit", default="as_is", choices=["as_is", "ms", "kmh"])
     w.add_argument("--run-ts")
     w.add_argument("--json-lines", action="store_true")
@@ -92,7 +93,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.cmd == "backfill-weather":
         from haze.operators import backfill
         from haze.sources import seeds
-        cities = seeds.read_cities(spark, args.cities) if args.cities else None
+        cities = (None if args.all_cities else
+                  seeds.read_cities(spark, args.cities) if args.cities else seeds.default_cities(spark))
         n = backfill.backfill_weather(spark, args.archive, args.start, args.end, args.out,
                                       _stamp(args.run_ts), cities, args.wind_unit, multiline)
         print(f"rows={n}")
