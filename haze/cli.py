@@ -66,7 +66,9 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _stamp(run_ts: str | None):
-    return F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()
+    """One run stamp for the whole command (fixed on the driver)."""
+    from haze.plans.pipeline import _stamp as stamp
+    return stamp(run_ts)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

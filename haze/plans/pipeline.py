@@ -20,6 +20,7 @@ Layout under ``warehouse``::
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,8 +38,13 @@ class RunResult:
     failed_tests: int = 0
 
 
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
 def _stamp(run_ts: str | None) -> Column:
-    return F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()
+    """One run stamp for every row and table of a run (fixed on the driver)."""
+    return F.lit(run_ts or _now()).cast("timestamp")
 
 
 def ingest_readings(spark: SparkSession, landing_path: str, warehouse: str,
@@ -127,7 +133,7 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
         sinks.write_table(metrics, f"{warehouse}/quality/metrics", "append", partition_by=["run_timestamp"])
         sinks.write_table(quality.pipeline_health(stg, wx, as_of), f"{warehouse}/quality/health",
                           "append", partition_by=["run_timestamp"])
-        run_at = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+        run_at = F.lit(as_of or _now()).cast("timestamp")
         sinks.write_table(report.withColumn("run_timestamp", run_at), f"{warehouse}/quality/tests", "append")
         out.failed_tests = report.where(F.col("status") == "fail").count()
     finally:
@@ -141,6 +147,8 @@ def run(spark: SparkSession, aqi_landing: str, weather_landing: str, warehouse:
         multiline: bool = True) -> RunResult:
     """The whole hourly run."""
     ensure_utc(spark)
+    run_ts = run_ts or _now()
+    as_of = as_of or run_ts
     stamp = _stamp(run_ts)
     city_map = city_map if city_map is not None else seeds.default_city_map(spark)
     breakpoints = breakpoints if breakpoints is not None else seeds.default_breakpoints(spark)
