@@ -15,7 +15,6 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from haze.session import ensure_utc
 
