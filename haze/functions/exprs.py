@@ -61,8 +61,9 @@ def to_instant(c: ColumnOrName, dtype: T.DataType) -> Column:
 
 
 def strip_ws(c: ColumnOrName) -> Column:
-    """Remove leading/trailing whitespace (tabs and newlines too, not only spaces)."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace: any Unicode white space (tabs,
+    newlines, no-break spaces...), not only the spaces Spark's ``trim`` drops."""
+    return F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", "")
 
 
 def safe_double(c: ColumnOrName) -> Column:
@@ -94,7 +95,7 @@ def parse_local_datetime(c: ColumnOrName,
     The text is stripped and inner whitespace runs collapse to one space; the
     one-letter fields accept one or two digits.
     """
-    s = F.regexp_replace(strip_ws(c), r"\s+", " ")
+    s = F.regexp_replace(strip_ws(c), r"(?U)\s+", " ")
     parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in patterns])
     return F.to_utc_timestamp(parsed, utc_offset)
 

@@ -245,3 +245,9 @@ def test_weather_epoch_columns_decode_like_readings(spark):  # Z2 for weather
         F.col("weather_hour").cast("timestamp_ntz").alias("h"),
         F.col("fetched_at").cast("timestamp_ntz").alias("f")).first()
     assert r.h == H and r.f == H + dt.timedelta(hours=1)
+
+
+def test_city_alias_trim_removes_any_white_space(spark):  # J1
+    rows = [("S1", "\tBombay\n", "MH", "CO", 1.0, US), ("S2", " Pune　", "MH", "CO", 1.0, US)]
+    stg = staging.stg_readings(raw_aqi(spark, rows), seeds.default_city_map(spark))
+    assert {r.station_name: r.canonical_city for r in stg.collect()} == {"S1": "Mumbai", "S2": "Pune"}
