@@ -4,10 +4,10 @@
   (counted by an ``Observation`` during the write, no second job)
 * partitioned tables    ``partition_by`` a date column (timestamps get a derived
   ``<col>_date`` partition column: day granularity)
-* clustered tables      rows are range-partitioned on (partition, cluster) keys
-  and sorted within each file, so Parquet min/max statistics skip by city; a
-  range split also spreads one very large date over many tasks (a plain
-  ``repartition(date)`` would put it in one)
+* clustered tables      rows are rebalanced on the (partition, cluster) keys
+  (hash, with AQE splitting skewed keys over several tasks, in one pass) and
+  sorted within each file, so Parquet row-group min/max statistics skip by
+  city; a plain ``repartition(date)`` would put a very large date in one task
 * ``overwrite_partitions``  dynamic partition overwrite: replaying a day
   replaces exactly that day's files (idempotent backfill)
 """
@@ -32,7 +32,10 @@ def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str
             parts.append(c)
     keys = [*parts, *cluster_by]
     if keys and cluster_by:
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        # One pass: hash by (partition, cluster) keys; AQE splits a skewed key
+        # over several tasks and merges small ones. Sorting each file by the
+        # keys gives row groups tight min/max statistics on the cluster column.
+        df = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
     return df, parts
 
 
