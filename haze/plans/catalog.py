@@ -372,3 +372,8 @@ def _q_sink(m: Models) -> DataFrame:
     sinks.write_table(trends, path, "overwrite", partition_by=["reading_date"],
                       cluster_by=["canonical_city"])
     return m.spark.read.parquet(path)
+
+
+@query("quarantine_envelope")
+def _q_quarantine(m: Models) -> DataFrame:
+    return m.invalid
