@@ -7,7 +7,7 @@ import sys
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"pipeline_run"}
+ROWS_ONLY: set = set()
 
 
 def test_entry_flagship(spark):
