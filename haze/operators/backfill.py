@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from haze import sinks
 from haze.functions.joins import maybe_broadcast
 from haze.operators import validate
+from haze.session import checkpoint_root
 from haze.sources import landing
 
 
@@ -57,6 +58,7 @@ def backfill_readings(spark: SparkSession, landing_path: str, start: str, end: s
     """
     pending = pending_days(day_spine(spark, start, end), _read_ledger(spark, ledger_path))
     # tiny, and read again after the ledger grows: pin it
+    checkpoint_root(spark)
     pending = pending.checkpoint()
     records = landing.aqi_records(landing.read_aqi_pages(spark, landing_path, multiline))
     checked = validate.validate_readings(records)

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haze.functions.joins import maybe_broadcast
+from haze.session import checkpoint_root
 
 DEFAULT_BLOCK_ROWS = 200_000
 _AGGS = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
@@ -77,6 +78,7 @@ def row_index(df: DataFrame, key: str, order: Sequence[str], num_tasks: int | No
     numbered = ranged.select("*", F.shiftright(mid, 33).alias("_task"),
                              mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
     numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_root(spark)  # the cluster's spark.checkpoint.dir (set only if unset)
     pos = numbered.checkpoint()
     numbered.unpersist()
     seg = pos.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
