@@ -193,3 +193,39 @@ def test_cli_backfill_weather(spark, capsys):  # B4 via the command line
     assert rc == 0 and "rows=2" in capsys.readouterr().out
     out = spark.read.parquet(f"{root}/out")
     assert {r.city for r in out.collect()} == {"Pune"} and out.count() == 2
+
+
+def _readings(spark, rows):
+    from haze import schemas
+    data = [(None, "S1", "Pune", "MH", p, v, None, None, None, ts, ts) for p, v, ts in rows]
+    return spark.createDataFrame(data, schemas.AQI_READINGS)
+
+
+def test_stream_pivot_watermark_across_runs(spark):  # T2
+    from haze.sources import seeds
+    root = tempfile.mkdtemp(prefix="haze-t2-")
+    t0 = dt.datetime(2024, 1, 1, 0, 10)
+    run = lambda: ingest.start_hourly_pivot(
+        spark, f"{root}/raw", seeds.default_city_map(spark), f"{root}/out", f"{root}/ckpt").awaitTermination()
+    _readings(spark, [("CO", 1.0, t0), ("NO2", 2.0, t0 + dt.timedelta(minutes=5)),
+                      ("CO", 3.0, t0 + dt.timedelta(hours=8))]).write.mode("append").parquet(f"{root}/raw")
+    run()
+    first = spark.read.parquet(f"{root}/out").collect()
+    assert len(first) == 1 and first[0].co == 1.0 and first[0].no2 == 2.0  # hour 00 emitted, 08 still open
+    # a late reading for hour 00 (behind the watermark) and one 8 hours later
+    _readings(spark, [("CO", 9.0, t0 + dt.timedelta(minutes=20)),
+                      ("CO", 4.0, t0 + dt.timedelta(hours=16))]).write.mode("append").parquet(f"{root}/raw")
+    run()
+    out = {r.reading_hour.hour: r.co for r in spark.read.parquet(f"{root}/out").collect()}
+    assert out == {0: 1.0, 8: 3.0}  # late row dropped, hour 08 closed, hour 16 still open
+
+
+def test_stream_ingest_quarantines_a_malformed_page(spark):  # T1 + V9
+    root = tempfile.mkdtemp(prefix="haze-t1bad-")
+    os.makedirs(f"{root}/landing")
+    with open(f"{root}/landing/bad.json", "w") as fh:
+        fh.write('{"records": [{"city": "Delhi", "state"\n')
+    ingest.start_ingest(spark, f"{root}/landing", f"{root}/good", f"{root}/bad", f"{root}/ckpt",
+                        multiline=False).awaitTermination()
+    bad = spark.read.parquet(f"{root}/bad").collect()
+    assert [(r.error_field, r.error_reason) for r in bad] == [("unknown", "malformed page")]
