@@ -197,4 +197,6 @@ def _hour_range_features(base: DataFrame, rain_hour: Column) -> DataFrame:
         F.max("_max_c").over(w.rangeBetween(1 * h, 3 * h)).alias("_next3_max"),
         F.max("_rain_h").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("_last_rain"),
     )
-    return base.join(feats, ["canonical_city", "reading_hour"], "inner")
+    feats = feats.withColumnRenamed("canonical_city", "_k").withColumnRenamed("reading_hour", "_h")
+    cond = base["canonical_city"].eqNullSafe(feats["_k"]) & (base["reading_hour"] == feats["_h"])
+    return base.join(feats, cond, "inner").drop("_k", "_h")

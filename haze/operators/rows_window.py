@@ -83,13 +83,21 @@ def row_index(df: DataFrame, key: str, order: Sequence[str], num_tasks: int | No
     numbered.unpersist()
     seg = pos.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.select(key, "_task", "_first",
+    seg = seg.select(F.col(key).alias("_k"), F.col("_task").alias("_t"), "_first",
                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = pos.join(maybe_broadcast(seg), [key, "_task"], "inner")
+    out = _join_on_key(pos, maybe_broadcast(seg), key, "_task", "_t", "inner")
     return out.withColumn("_idx", F.col("_offset") + F.col("_pos") - F.col("_first")) \
         .drop("_task", "_pos", "_first", "_offset")
 
 
+def _join_on_key(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col: str,
+                 how: str) -> DataFrame:
+    """Join ``right`` (key renamed ``_k``) on the key, NULL-safe (a NULL key is a
+    partition of its own, as in a window), and on one more column."""
+    cond = left[key].eqNullSafe(right["_k"]) & (left[left_col] == right[right_col])
+    return left.join(right, cond, how).drop("_k", right_col)
+
+
 def largest_key_rows(df: DataFrame, key: str) -> int:
     """Rows of the most frequent key (one aggregation over the key column only)."""
     top = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
@@ -154,9 +162,9 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Fr
         per_block = idx.select("*", blk.alias("_blk")).groupBy(key, "_blk").agg(
             *[_AGGS[f.func](f.col).alias(f"_b_{name}") for name, f in carried])
         prev = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_block.select(key, "_blk", *[
+        carry = per_block.select(F.col(key).alias("_k"), F.col("_blk").alias("_cb"), *[
             _AGGS[f.func](f"_b_{name}").over(prev).alias(f"_c_{name}") for name, f in carried])
-        framed = framed.join(maybe_broadcast(carry), [key, "_blk"], "left")
+        framed = _join_on_key(framed, maybe_broadcast(carry), key, "_blk", "_cb", "left")
         for name, f in carried:
             if f.func == "sum":
                 merged = F.when(F.col(name).isNull() & F.col(f"_c_{name}").isNull(), None) \

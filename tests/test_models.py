@@ -157,7 +157,7 @@ def _random_frame(spark, n, seed):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        city = "HOT" if rnd.random() < 0.7 else rnd.choice(["A", "B", "C"])
+        city = "HOT" if rnd.random() < 0.7 else rnd.choice(["A", "B", "C", None])
         rows.append((city, f"st{rnd.randrange(40)}", rnd.randrange(300),
                      rnd.uniform(0, 400), rnd.choice([0.0, 0.0, rnd.uniform(0, 3)]),
                      rnd.choice([None, rnd.uniform(0, 200)]), "Good"))
@@ -187,8 +187,9 @@ def test_blocked_rows_window_equals_plain_window(spark, block):
     key = ["canonical_city", "reading_hour", "station_name", "state"]
 
     def rows(df_):
-        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
-                      for r in df_.select(*key, *specs).collect())
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                       for r in df_.select(*key, *specs).collect()),
+                      key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
 
     plain = rows(rows_window.over_rows(base, "canonical_city", order, specs, block_rows=0))
     blocked = rows(rows_window.over_rows(base, "canonical_city", order, specs, block_rows=block))
