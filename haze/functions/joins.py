@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,13 +12,20 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     The probe reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the frame turns out to be large.
+    the frame turns out to be large. The answer is remembered for this
+    DataFrame object (whose input files are fixed when it is created).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    seen = _checked.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -25,7 +34,7 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 
 def range_lookup(left: DataFrame, value: Column, ranges: DataFrame, lo: str, hi: str,
                  how: str = "left", max_rows: int = BROADCAST_MAX_ROWS,
-                 bucket_width: float | None = None) -> DataFrame:
+                 bucket_width: float | None = None, small: bool | None = None) -> DataFrame:
     """``left JOIN ranges ON value BETWEEN ranges.lo AND ranges.hi``.
 
     Small range tables are broadcast (a nested-loop join whose build side is
@@ -33,8 +42,11 @@ def range_lookup(left: DataFrame, value: Column, ranges: DataFrame, lo: str, hi:
     bucket key instead: each range is exploded into the fixed-width buckets it
     covers and the fact row probes its own bucket, then the exact BETWEEN is
     applied, so the join is a shuffle equi-join with no cross product.
+    ``small`` passes a size decision already made for the range table.
     """
-    if fits_broadcast(ranges, max_rows):
+    if small is None:
+        small = fits_broadcast(ranges, max_rows)
+    if small:
         return left.join(F.broadcast(ranges), value.between(F.col(lo), F.col(hi)), how)
     if bucket_width is None:
         raise ValueError("range table too large to broadcast: pass bucket_width")

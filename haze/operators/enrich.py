@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from haze import schemas
 from haze.functions.exprs import composite_index
-from haze.functions.joins import range_lookup
+from haze.functions.joins import fits_broadcast, range_lookup
 from haze.operators.staging import READING_KEYS
 
 CATEGORY_COLUMNS = READING_KEYS + schemas.POLLUTANT_COLUMNS + [
@@ -36,7 +36,7 @@ def with_category(stg: DataFrame, breakpoints: DataFrame,
     bp = breakpoints.select("min_aqi", "max_aqi", F.col("category").alias("aqi_category"),
                             "health_message")
     out = range_lookup(calc, calc["composite_aqi"], bp, "min_aqi", "max_aqi", "left",
-                       bucket_width=bucket_width)
+                       bucket_width=bucket_width, small=fits_broadcast(breakpoints))
     return out.select(*CATEGORY_COLUMNS)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from haze import schemas
 from haze.functions.exprs import strip_ws, to_instant, wind_category
-from haze.functions.joins import maybe_broadcast
+from haze.functions.joins import fits_broadcast
 
 READING_KEYS = ["station_name", "canonical_city", "state", "reading_hour", "reading_date"]
 
@@ -28,8 +28,10 @@ def canonicalize_city(df: DataFrame, city_map: DataFrame, city_col: str = "city"
     Trimming removes any leading/trailing white space; the match is exact
     (case-sensitive) and the kept name is the untrimmed original. The alias table is broadcast only after its size is checked.
     """
-    cm = maybe_broadcast(city_map.select(
-        F.col("raw_city_name").alias("_raw_city"), F.col("canonical_city").alias("_canon_city")))
+    cm = city_map.select(
+        F.col("raw_city_name").alias("_raw_city"), F.col("canonical_city").alias("_canon_city"))
+    if fits_broadcast(city_map):
+        cm = F.broadcast(cm)
     joined = df.join(cm, strip_ws(df[city_col]) == cm["_raw_city"], "left")
     return joined.withColumn("canonical_city", F.coalesce(F.col("_canon_city"), df[city_col])) \
         .drop("_raw_city", "_canon_city")
