@@ -107,11 +107,14 @@ def normalize_readings(df: DataFrame, fetched_at: Column, keep: tuple[str, ...]
 
 
 def _dt_seconds(c: Column, dtype: T.DataType) -> Column:
-    """``int(dt)``: integral text or any number (truncated); else NULL."""
+    """``int(dt)``: an integral value, or any finite number truncated (a JSON
+    number such as 1.7E9 arrives as text); else NULL."""
     if isinstance(dtype, T.NumericType):
         return c.cast("double").cast("long")
     s = strip_ws(c)
-    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("long"))
+    d = safe_double(s)
+    return (F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("long"))
+            .when(~F.isnan(d) & (F.abs(d) < 9.2e18), d.cast("long")))
 
 
 def validate_weather(df: DataFrame) -> DataFrame:

@@ -229,3 +229,26 @@ def test_stream_ingest_quarantines_a_malformed_page(spark):  # T1 + V9
                         multiline=False).awaitTermination()
     bad = spark.read.parquet(f"{root}/bad").collect()
     assert [(r.error_field, r.error_reason) for r in bad] == [("unknown", "malformed page")]
+
+
+def test_weather_dt_to_utc_instant(spark):  # N6
+    from haze import schemas
+    rows = [{"name": "Pune", "dt": dt_, "main": {"temp": 20, "humidity": 50},
+             "wind": {"speed": 1}, "weather": [{"main": "Clear"}]}
+            for dt_ in (1704067200, "1704067200", 1.7040672e9, "12.5x")]
+    tmp = tempfile.mkdtemp(prefix="haze-dt-")
+    _write_pages(tmp, rows)
+    checked = validate.validate_weather(landing.read_weather_objects(spark, tmp))
+    out = validate.normalize_weather(checked, F.current_timestamp(), keep=("error_field",)).select(
+        "error_field", F.col("recorded_at").cast("timestamp_ntz").alias("t")).collect()
+    good = [r.t for r in out if r.error_field is None]
+    assert good == [dt.datetime(2024, 1, 1)] * 3
+    assert [r.error_field for r in out if r.error_field] == ["unknown"]
+    assert schemas.WEATHER_RECORD["dt"].dataType.simpleString() == "string"
+
+
+def test_views_and_database_helpers(spark):  # K3, K4
+    sinks.ensure_database(spark, "haze_test_db")
+    assert any(d.name == "haze_test_db" for d in spark.catalog.listDatabases())
+    sinks.register_views({"haze_numbers": spark.range(5)})
+    assert spark.sql("SELECT count(*) AS n FROM haze_numbers").first().n == 5
