@@ -47,16 +47,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the submitter sets it to shared storage and we only read it.
-    When it is unset (local tests) a fresh private folder is created and set,
-    so ``DataFrame.checkpoint()`` and scratch tables work the same way.
+    On a cluster the submitter sets it to shared storage and we only read it
+    (unset on a cluster is an error: a machine-local folder would not be seen
+    by the other executors). When it is unset in local mode (tests) a fresh
+    private folder is created and set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            current = tempfile.mkdtemp(prefix="haze-ckpt-")
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+            current = tempfile.mkdtemp(prefix="haze-ckpt-")  # local mode only
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
     return current.rstrip("/")
