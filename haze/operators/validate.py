@@ -187,4 +187,5 @@ def quarantine_rows(checked: DataFrame, source: str, quarantined_at: Column,
 def weather_quarantine_payload() -> Column:
     """Weather quarantine keeps only the city and the error text."""
     return F.to_json(F.struct(F.col("name").alias("city"),
-                              F.concat_ws(": ", "error_field", "error_reason").alias("error")))
+                              F.concat_ws(": ", "error_field", "error_reason").alias("error")),
+                     {"ignoreNullFields": "false"})

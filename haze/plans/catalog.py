@@ -377,3 +377,11 @@ def _q_sink(m: Models) -> DataFrame:
 @query("quarantine_envelope")
 def _q_quarantine(m: Models) -> DataFrame:
     return m.invalid
+
+
+@query("weather_quarantine")
+def _q_weather_quarantine(m: Models) -> DataFrame:
+    from haze.operators import validate
+    checked = validate.validate_weather(fixtures.weather_payloads(m.events))
+    return validate.quarantine_rows(checked, "weather", F.col("landed_at"),
+                                    payload=validate.weather_quarantine_payload())
