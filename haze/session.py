@@ -35,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("HAZE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("HAZE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="haze-warehouse-"))
     )
     spark = builder.getOrCreate()
