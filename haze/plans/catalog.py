@@ -17,9 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haze.operators import enrich, marts, quality, staging
-from haze.session import ensure_utc
-from haze.sources import fixtures
+from haze import sinks
+from haze.functions.exprs import epoch_to_timestamp
+from haze.operators import backfill, enrich, marts, quality, staging, validate
+from haze.plans import pipeline
+from haze.session import ensure_utc, scratch_path
+from haze.sources import fixtures, landing
+from haze.streaming import ingest
 
 ROUND_DIGITS = 6
 
@@ -86,7 +90,6 @@ class Models:
 
     @cached_property
     def invalid(self) -> DataFrame:
-        from haze.operators import validate
         checked = validate.validate_readings(fixtures.aqi_payloads(self.events))
         return validate.quarantine_rows(checked, "aqi", F.col("landed_at"))
 
@@ -171,7 +174,6 @@ def _q_health(m: Models) -> DataFrame:
 
 @query("epoch_detect")
 def _q_epoch(m: Models) -> DataFrame:
-    from haze.functions.exprs import epoch_to_timestamp
     return m.raw_aqi.select("station_id", "reading_timestamp",
                             epoch_to_timestamp("reading_timestamp").alias("reading_ts"))
 
@@ -197,7 +199,6 @@ def _q_fresh(m: Models) -> DataFrame:
 
 @query("dq_source_freshness")
 def _q_src_fresh(m: Models) -> DataFrame:
-    from haze.functions.exprs import epoch_to_timestamp
     aqi = m.raw_aqi.select(epoch_to_timestamp("fetched_at").alias("fetched_at"))
     return quality.source_freshness({
         "aqi_readings": (aqi, "fetched_at"),
@@ -212,7 +213,6 @@ def _q_coverage(m: Models) -> DataFrame:
 
 @query("validate_readings")
 def _q_validate(m: Models) -> DataFrame:
-    from haze.operators import validate
     checked = validate.validate_readings(fixtures.aqi_payloads(m.events))
     return validate.normalize_readings(
         checked, F.col("landed_at"), keep=("record_id", "error_field", "error_reason")
@@ -221,7 +221,6 @@ def _q_validate(m: Models) -> DataFrame:
 
 @query("quarantine_counts")
 def _q_quarantine_counts(m: Models) -> DataFrame:
-    from haze.operators import validate
     checked = validate.validate_readings(fixtures.aqi_payloads(m.events))
     return checked.groupBy("error_field", "error_reason").agg(F.count(F.lit(1)).alias("records"))
 
@@ -243,7 +242,6 @@ def _q_feat_hours(m: Models) -> DataFrame:
 
 @query("validate_weather")
 def _q_validate_weather(m: Models) -> DataFrame:
-    from haze.operators import validate
     checked = validate.validate_weather(fixtures.weather_payloads(m.events))
     return validate.normalize_weather(checked, F.col("landed_at"),
                                       keep=("record_id", "error_field", "error_reason")).drop("fetched_at")
@@ -251,7 +249,6 @@ def _q_validate_weather(m: Models) -> DataFrame:
 
 @query("hourly_array_explode")
 def _q_hourly(m: Models) -> DataFrame:
-    from haze.sources import landing
     return landing.hourly_rows(fixtures.archive_payloads(m.events),
                                F.lit(fixtures.RUN_TS).cast("timestamp"), keep=("record_id",))
 
@@ -264,14 +261,12 @@ def _ledger(m: Models) -> DataFrame:
 
 @query("backfill_pending")
 def _q_pending(m: Models) -> DataFrame:
-    from haze.operators import backfill
     spine = backfill.day_spine(m.spark, fixtures.BACKFILL_START, fixtures.BACKFILL_END)
     return backfill.pending_days(spine, _ledger(m))
 
 
 @query("backfill_days")
 def _q_backfill_days(m: Models) -> DataFrame:
-    from haze.operators import backfill, validate
     spine = backfill.day_spine(m.spark, fixtures.BACKFILL_START, fixtures.BACKFILL_END)
     pending = backfill.pending_days(spine, _ledger(m))
     checked = validate.validate_readings(fixtures.aqi_payloads(m.events))
@@ -282,17 +277,10 @@ def _q_backfill_days(m: Models) -> DataFrame:
                        "pollutant_avg", "reading_timestamp")
 
 
-def _land_pages(m: Models, path: str, files: int = 1) -> None:
-    fixtures.land_aqi_pages(m.events, path, files)
-
-
 @query("json_landing")
 def _q_json_landing(m: Models) -> DataFrame:
-    from haze.operators import validate
-    from haze.session import scratch_path
-    from haze.sources import landing
     path = scratch_path(m.spark, "landing-aqi")
-    _land_pages(m, path)
+    fixtures.land_aqi_pages(m.events, path)
     records = landing.aqi_records(landing.read_aqi_pages(m.spark, path, multiline=False))
     checked = validate.validate_readings(records)
     return checked.select(F.col("id").cast("long").alias("record_id"), "error_field", "error_reason")
@@ -300,10 +288,8 @@ def _q_json_landing(m: Models) -> DataFrame:
 
 @query("stream_ingest")
 def _q_stream_ingest(m: Models) -> DataFrame:
-    from haze.session import scratch_path
-    from haze.streaming import ingest
     root = scratch_path(m.spark, "stream-ingest")
-    _land_pages(m, f"{root}/landing", files=4)
+    fixtures.land_aqi_pages(m.events, f"{root}/landing", files=4)
     q = ingest.start_ingest(m.spark, f"{root}/landing", f"{root}/aqi_readings",
                             f"{root}/invalid_records", f"{root}/_checkpoint",
                             multiline=False, max_files_per_trigger=2)
@@ -320,9 +306,6 @@ def _q_stream_ingest(m: Models) -> DataFrame:
 
 @query("stream_pivot")
 def _q_stream_pivot(m: Models) -> DataFrame:
-    from haze.session import scratch_path
-    from haze.streaming import ingest
-    from haze.functions.exprs import epoch_to_timestamp
     root = scratch_path(m.spark, "stream-pivot")
     raw = m.raw_aqi.select(
         "station_id", "station_name", "city", "state", "pollutant_id", "pollutant_avg",
@@ -339,8 +322,6 @@ def _q_stream_pivot(m: Models) -> DataFrame:
 
 @query("backfill_weather_range")
 def _q_backfill_weather(m: Models) -> DataFrame:
-    from haze.operators import backfill
-    from haze.session import scratch_path
     root = scratch_path(m.spark, "backfill-weather")
     fixtures.archive_payloads(m.events).drop("record_id").write.json(f"{root}/archive")
     cities = m.city_map.select(F.col("raw_city_name").alias("city"))
@@ -353,8 +334,6 @@ def _q_backfill_weather(m: Models) -> DataFrame:
 @query("pipeline_run")
 def _q_pipeline(m: Models) -> DataFrame:
     """The whole run over payloads landed from the events; returns the test report."""
-    from haze.plans import pipeline
-    from haze.session import scratch_path
     root = scratch_path(m.spark, "pipeline")
     fixtures.land_aqi_pages(m.events, f"{root}/landing/aqi", files=4)
     fixtures.land_weather_objects(m.events, f"{root}/landing/weather", files=4)
@@ -365,8 +344,6 @@ def _q_pipeline(m: Models) -> DataFrame:
 
 @query("sink_roundtrip")
 def _q_sink(m: Models) -> DataFrame:
-    from haze import sinks
-    from haze.session import scratch_path
     path = scratch_path(m.spark, "mart-city-trends")
     trends = marts.city_trends(m.joined)
     sinks.write_table(trends, path, "overwrite", partition_by=["reading_date"],
@@ -381,7 +358,6 @@ def _q_quarantine(m: Models) -> DataFrame:
 
 @query("weather_quarantine")
 def _q_weather_quarantine(m: Models) -> DataFrame:
-    from haze.operators import validate
     checked = validate.validate_weather(fixtures.weather_payloads(m.events))
     return validate.quarantine_rows(checked, "weather", F.col("landed_at"),
                                     payload=validate.weather_quarantine_payload())
