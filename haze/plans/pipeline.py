@@ -21,6 +21,8 @@ Layout under ``warehouse``::
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +34,17 @@ from haze.session import ensure_utc
 from haze.sources import landing, seeds
 
 
+def _concurrently(tasks: dict[str, Callable[[], int]], workers: int) -> dict[str, int]:
+    """Run independent Spark jobs from a few driver threads (as the source runs
+    its two ingestions side by side and builds models with several threads);
+    Spark schedules their tasks on the same executors."""
+    if workers <= 1:
+        return {name: task() for name, task in tasks.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class RunResult:
     loaded: dict[str, int] = field(default_factory=dict)
@@ -88,18 +101,20 @@ def read_raw(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
 
 
 def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
-                 breakpoints: DataFrame, as_of: str | None = None) -> RunResult:
+                 breakpoints: DataFrame, as_of: str | None = None, workers: int = 4) -> RunResult:
     """Staging -> intermediate (materialized) -> marts -> quality tables."""
     out = RunResult()
     # Staging is read by the intermediate table, a mart, the checks and both
     # health tables: build each staging table once and read it back.
     stg_path, wx_path = f"{warehouse}/stg/readings", f"{warehouse}/stg/weather"
-    out.loaded["stg_readings"] = sinks.write_table(
-        staging.stg_readings(read_raw(spark, warehouse, "aqi_readings"), city_map), stg_path,
-        "overwrite", partition_by=["reading_date"], cluster_by=["canonical_city"])
-    out.loaded["stg_weather"] = sinks.write_table(
-        staging.stg_weather(read_raw(spark, warehouse, "weather_readings"), city_map), wx_path,
-        "overwrite", partition_by=["weather_hour"], cluster_by=["canonical_city"])
+    out.loaded.update(_concurrently({
+        "stg_readings": lambda: sinks.write_table(
+            staging.stg_readings(read_raw(spark, warehouse, "aqi_readings"), city_map), stg_path,
+            "overwrite", partition_by=["reading_date"], cluster_by=["canonical_city"]),
+        "stg_weather": lambda: sinks.write_table(
+            staging.stg_weather(read_raw(spark, warehouse, "weather_readings"), city_map), wx_path,
+            "overwrite", partition_by=["weather_hour"], cluster_by=["canonical_city"]),
+    }, workers))
     stg = spark.read.parquet(stg_path)
     wx = spark.read.parquet(wx_path).drop("weather_hour_date")
     cat = enrich.with_category(stg, breakpoints)
@@ -118,9 +133,13 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
         "rain_impact": (lambda: marts.rain_impact(joined), ["rain_event_date"]),
         "features_city_air_quality": (lambda: marts.city_features(joined), ["reading_hour"]),
     }
-    for name, (build, parts) in layouts.items():
-        out.loaded[name] = sinks.write_table(build(), f"{warehouse}/marts/{name}", "overwrite",
-                                             partition_by=parts, cluster_by=["canonical_city"])
+
+    def mart(name: str, build: Callable[[], DataFrame], parts: list[str]) -> Callable[[], int]:
+        return lambda: sinks.write_table(build(), f"{warehouse}/marts/{name}", "overwrite",
+                                         partition_by=parts, cluster_by=["canonical_city"])
+
+    out.loaded.update(_concurrently(
+        {name: mart(name, build, parts) for name, (build, parts) in layouts.items()}, workers))
     out.loaded["worst_best_cities"] = sinks.write_table(
         marts.city_leaderboard(spark.read.parquet(trends_path)),
         f"{warehouse}/marts/worst_best_cities", "overwrite", cluster_by=["canonical_city"])
@@ -130,11 +149,16 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
         failures = report.agg(F.coalesce(F.sum("failures"), F.lit(0))).first()[0]
         metrics = quality.quality_metrics(stg, wx, read_raw(spark, warehouse, "invalid_records"),
                                           as_of, test_failures=int(failures))
-        sinks.write_table(metrics, f"{warehouse}/quality/metrics", "append", partition_by=["run_timestamp"])
-        sinks.write_table(quality.pipeline_health(stg, wx, as_of), f"{warehouse}/quality/health",
-                          "append", partition_by=["run_timestamp"])
         run_at = F.lit(as_of or _now()).cast("timestamp")
-        sinks.write_table(report.withColumn("run_timestamp", run_at), f"{warehouse}/quality/tests", "append")
+        _concurrently({
+            "metrics": lambda: sinks.write_table(metrics, f"{warehouse}/quality/metrics", "append",
+                                                 partition_by=["run_timestamp"]),
+            "health": lambda: sinks.write_table(quality.pipeline_health(stg, wx, as_of),
+                                                f"{warehouse}/quality/health", "append",
+                                                partition_by=["run_timestamp"]),
+            "tests": lambda: sinks.write_table(report.withColumn("run_timestamp", run_at),
+                                               f"{warehouse}/quality/tests", "append"),
+        }, workers)
         out.failed_tests = report.where(F.col("status") == "fail").count()
     finally:
         report.unpersist()
@@ -144,17 +168,21 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
 def run(spark: SparkSession, aqi_landing: str, weather_landing: str, warehouse: str,
         run_ts: str | None = None, as_of: str | None = None,
         city_map: DataFrame | None = None, breakpoints: DataFrame | None = None,
-        multiline: bool = True) -> RunResult:
-    """The whole hourly run."""
+        multiline: bool = True, workers: int = 4) -> RunResult:
+    """The whole hourly run. ``workers`` independent jobs run side by side
+    (1 = strictly one after the other)."""
     ensure_utc(spark)
     run_ts = run_ts or _now()
     as_of = as_of or run_ts
     stamp = _stamp(run_ts)
     city_map = city_map if city_map is not None else seeds.default_city_map(spark)
     breakpoints = breakpoints if breakpoints is not None else seeds.default_breakpoints(spark)
-    a_good, a_bad = ingest_readings(spark, aqi_landing, warehouse, stamp, multiline)
-    w_good, w_bad = ingest_weather(spark, weather_landing, warehouse, stamp, multiline)
-    result = build_models(spark, warehouse, city_map, breakpoints, as_of)
+    loads = _concurrently({
+        "aqi": lambda: ingest_readings(spark, aqi_landing, warehouse, stamp, multiline),
+        "weather": lambda: ingest_weather(spark, weather_landing, warehouse, stamp, multiline),
+    }, workers)
+    (a_good, a_bad), (w_good, w_bad) = loads["aqi"], loads["weather"]
+    result = build_models(spark, warehouse, city_map, breakpoints, as_of, workers)
     result.loaded.update({"aqi_readings": a_good, "weather_readings": w_good,
                           "invalid_records": a_bad + w_bad})
     return result
