@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--city-map", help="CSV raw_city_name,canonical_city (default: packaged)")
     r.add_argument("--breakpoints", help="CSV min_aqi,max_aqi,category,health_message")
     r.add_argument("--json-lines", action="store_true", help="landed files are JSON Lines")
+    r.add_argument("--workers", type=int, default=4, help="independent jobs run side by side")
 
     b = sub.add_parser("backfill-readings", help="replay landed AQI pages by day")
     b.add_argument("--landing", required=True)
@@ -82,7 +83,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             run_ts=args.run_ts, as_of=args.as_of,
             city_map=seeds.read_city_map(spark, args.city_map) if args.city_map else None,
             breakpoints=seeds.read_breakpoints(spark, args.breakpoints) if args.breakpoints else None,
-            multiline=multiline)
+            multiline=multiline, workers=args.workers)
         print(f"loaded={res.loaded} failed_tests={res.failed_tests}")
         return 1 if res.failed_tests else 0
     if args.cmd == "backfill-readings":
