@@ -37,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("HAZE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="haze-warehouse-"))
+        # delete checkpoint files once their DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
