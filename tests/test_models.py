@@ -252,3 +252,24 @@ def test_city_alias_trim_removes_any_white_space(spark):  # J1
     rows = [("S1", "\tBombay\n", "MH", "CO", 1.0, US), ("S2", " Pune　", "MH", "CO", 1.0, US)]
     stg = staging.stg_readings(raw_aqi(spark, rows), seeds.default_city_map(spark))
     assert {r.station_name: r.canonical_city for r in stg.collect()} == {"S1": "Mumbai", "S2": "Pune"}
+
+
+def test_row_index_is_dense_and_blocks_are_bounded(spark):
+    df = _random_frame(spark, 1200, seed=11).select("canonical_city", "reading_hour", "station_name", "state")
+    idx = rows_window.row_index(df, "canonical_city", marts.CITY_ROW_ORDER)
+    per_key = idx.groupBy("canonical_city").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_idx").alias("lo"), F.max("_idx").alias("hi"),
+        F.countDistinct("_idx").alias("d")).collect()
+    assert all(r.lo == 0 and r.hi == r.n - 1 and r.d == r.n for r in per_key)
+    hot = max(r.n for r in per_key)
+    assert hot > 500  # one city holds most rows
+    # the window partitions of the blocked evaluation: home rows + boundary copies
+    b, back, ahead = 50, 23, 6
+    blk = F.call_function("div", F.col("_idx"), F.lit(b))
+    off = F.col("_idx") % b
+    sizes = idx.select("canonical_city", F.inline(F.filter(F.array(
+        F.struct(blk.alias("_blk")),
+        F.when(off >= b - back, F.struct((blk + 1).alias("_blk"))),
+        F.when((off < ahead) & (blk > 0), F.struct((blk - 1).alias("_blk")))), lambda x: x.isNotNull()))
+    ).groupBy("canonical_city", "_blk").count().agg(F.max("count")).first()[0]
+    assert sizes <= b + back + ahead
