@@ -104,6 +104,21 @@ def largest_key_rows(df: DataFrame, key: str) -> int:
     return int(top or 0)
 
 
+def spread_blocks(idx: DataFrame, block_rows: int, back: int, ahead: int) -> DataFrame:
+    """Rows with ``_idx`` -> rows tagged with their block ``_blk`` (``_home``),
+    plus copies of the last ``back`` rows of each block into the next block
+    and of the first ``ahead`` rows into the previous one (``_home`` false)."""
+    b = block_rows
+    blk = F.call_function("div", F.col("_idx"), F.lit(b))
+    off = F.col("_idx") % b
+    copies = F.filter(F.array(
+        F.struct(blk.alias("_blk"), F.lit(True).alias("_home")),
+        F.when(off >= b - back, F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_home"))),
+        F.when((off < ahead) & (blk > 0), F.struct((blk - 1).alias("_blk"), F.lit(False).alias("_home"))),
+    ), lambda x: x.isNotNull())
+    return idx.select("*", F.inline(copies))
+
+
 def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Frame],
               block_rows: int | None = None) -> DataFrame:
     """``df`` plus one column per spec, as ``func OVER (PARTITION BY key ORDER
@@ -131,13 +146,7 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Fr
 
     idx = row_index(df, key, order)
     blk = F.call_function("div", F.col("_idx"), F.lit(b))
-    off = F.col("_idx") % b
-    copies = F.filter(F.array(
-        F.struct(blk.alias("_blk"), F.lit(True).alias("_home")),
-        F.when(off >= b - back, F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_home"))),
-        F.when((off < ahead) & (blk > 0), F.struct((blk - 1).alias("_blk"), F.lit(False).alias("_home"))),
-    ), lambda x: x.isNotNull())
-    spread = idx.select("*", F.inline(copies))
+    spread = spread_blocks(idx, b, back, ahead)
 
     w = Window.partitionBy(key, "_blk").orderBy("_idx")
     cols, carried = [], []

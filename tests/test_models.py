@@ -265,11 +265,7 @@ def test_row_index_is_dense_and_blocks_are_bounded(spark):
     assert hot > 500  # one city holds most rows
     # the window partitions of the blocked evaluation: home rows + boundary copies
     b, back, ahead = 50, 23, 6
-    blk = F.call_function("div", F.col("_idx"), F.lit(b))
-    off = F.col("_idx") % b
-    sizes = idx.select("canonical_city", F.inline(F.filter(F.array(
-        F.struct(blk.alias("_blk")),
-        F.when(off >= b - back, F.struct((blk + 1).alias("_blk"))),
-        F.when((off < ahead) & (blk > 0), F.struct((blk - 1).alias("_blk")))), lambda x: x.isNotNull()))
-    ).groupBy("canonical_city", "_blk").count().agg(F.max("count")).first()[0]
+    spread = rows_window.spread_blocks(idx, b, back, ahead)
+    sizes = spread.groupBy("canonical_city", "_blk").count().agg(F.max("count")).first()[0]
     assert sizes <= b + back + ahead
+    assert spread.where("_home").count() == idx.count()
