@@ -361,3 +361,18 @@ def _q_weather_quarantine(m: Models) -> DataFrame:
     checked = validate.validate_weather(fixtures.weather_payloads(m.events))
     return validate.quarantine_rows(checked, "weather", F.col("landed_at"),
                                     payload=validate.weather_quarantine_payload())
+
+
+# The skew-proof block evaluation of the ROWS windows, forced with small blocks
+# so that every city spans many blocks; results must equal the plain windows.
+SMALL_BLOCK_ROWS = 64
+
+
+@query("city_features_blocked")
+def _q_feat_blocked(m: Models) -> DataFrame:
+    return marts.city_features(m.joined, block_rows=SMALL_BLOCK_ROWS)
+
+
+@query("rain_impact_blocked")
+def _q_rain_blocked(m: Models) -> DataFrame:
+    return marts.rain_impact(m.joined, block_rows=SMALL_BLOCK_ROWS)
