@@ -65,10 +65,11 @@ def _plain(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Frame
 def row_index(df: DataFrame, key: str, order: Sequence[str], num_tasks: int | None = None) -> DataFrame:
     """Adds ``_idx``: 0-based position of each row within its key in ``order``."""
     spark = df.sparkSession
-    n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # An explicit task count keeps the task layout fixed (AQE does not merge a
-    # user-sized repartition), so positions are reproducible on retry.
-    ranged = df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+    # Range partitions are contiguous slices of the (key, order) order; AQE may
+    # merge adjacent ones to its advisory size, which keeps them contiguous.
+    cols = [key, *order]
+    ranged = (df.repartitionByRange(num_tasks, *cols) if num_tasks else df.repartitionByRange(*cols))
+    ranged = ranged.sortWithinPartitions(*cols)
     mid = F.monotonically_increasing_id()
     # Materialized once (reliable checkpoint in the shared folder): the counts
     # and the rows below must see the same numbering, and a recomputed range
