@@ -121,8 +121,12 @@ def validate_weather(df: DataFrame) -> DataFrame:
     """Tag nested weather objects: required paths, temperature -10..60 and
     humidity 0..100 (non-numeric counts as out of range), integral ``dt``."""
     rules = []
-    if "_corrupt_record" in df.columns:  # a document that is not valid JSON
-        rules.append(_rule(F.col("_corrupt_record").isNotNull(), UNKNOWN, "malformed JSON"))
+    if "_corrupt_record" in df.columns:
+        # Only a document that is not a JSON object at all is unreadable; on a
+        # type mismatch (e.g. "main" not an object) the reader keeps the other
+        # fields and the path rules report the first unusable path.
+        bad = F.col("_corrupt_record")
+        rules.append(_rule(bad.isNotNull() & F.json_object_keys(bad).isNull(), UNKNOWN, "malformed JSON"))
     rules += [_rule(_field(df, p)[0].isNull(), p, MISSING) for p in WEATHER_REQUIRED]
     temp = as_double(*_field(df, "main.temp"))
     hum = as_double(*_field(df, "main.humidity"))

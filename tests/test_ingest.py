@@ -252,3 +252,15 @@ def test_views_and_database_helpers(spark):  # K3, K4
     assert any(d.name == "haze_test_db" for d in spark.catalog.listDatabases())
     sinks.register_views({"haze_numbers": spark.range(5)})
     assert spark.sql("SELECT count(*) AS n FROM haze_numbers").first().n == 5
+
+
+def test_weather_type_mismatch_reports_the_path(spark):  # V8, V9
+    tmp = tempfile.mkdtemp(prefix="haze-wxbad-")
+    with open(os.path.join(tmp, "w.json"), "w") as fh:
+        fh.write('{"name": "Pune", "dt": 1704067200, "main": "x", "wind": {"speed": 1}, "weather": [{"main": "C"}]}\n'
+                 '{"name": "Pune", "dt": 1704067200, "main": {"temp": 20, "humidity": 50}, "wind": 5, '
+                 '"weather": [{"main": "C"}]}\n{"name": "Pune", "dt": \n{}\n')
+    checked = validate.validate_weather(landing.read_weather_objects(spark, tmp, multiline=False))
+    got = sorted((r.error_field, r.error_reason) for r in checked.collect())
+    assert got == [("main.temp", "missing"), ("name", "missing"), ("unknown", "malformed JSON"),
+                   ("wind.speed", "missing")]
