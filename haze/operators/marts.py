@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from haze import schemas
 from haze.functions.exprs import first_max_label, safe_corr, whole_units_between
 from haze.operators import rows_window
+from haze.session import ensure_utc
 
 # Stand-in for a NULL category inside MODE (which skips NULLs). It sorts
 # below every printable label, so in a tie the NULL group wins, as NULL
@@ -78,6 +79,7 @@ def rain_impact(joined: DataFrame, context: str = "rain", block_rows: int | None
     """
     if context not in ("rain", "all"):
         raise ValueError("context must be 'rain' or 'all'")
+    ensure_utc(joined.sparkSession)
     base = joined.where(F.col("has_weather_data")).select(
         "canonical_city", "station_name", "state", "reading_hour",
         F.to_date("reading_hour").alias("rain_event_date"),

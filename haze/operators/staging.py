@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from haze import schemas
 from haze.functions.exprs import strip_ws, to_instant, wind_category
 from haze.functions.joins import fits_broadcast
+from haze.session import ensure_utc
 
 READING_KEYS = ["station_name", "canonical_city", "state", "reading_hour", "reading_date"]
 
@@ -45,6 +46,7 @@ def stg_readings(raw: DataFrame, city_map: DataFrame) -> DataFrame:
     reading with an unknown id still yields its (all-NULL) wide row. One
     aggregation: partial max per map task, one shuffle on the five keys.
     """
+    ensure_utc(raw.sparkSession)
     ts_type = raw.schema["reading_timestamp"].dataType
     fetched_type = raw.schema["fetched_at"].dataType
     avg = F.col("pollutant_avg")
@@ -74,6 +76,7 @@ def stg_weather(raw: DataFrame, city_map: DataFrame) -> DataFrame:
     planned as a partial per-task group limit before the shuffle, so even a
     city-hour holding a large share of the rows shuffles one row per task.
     """
+    ensure_utc(raw.sparkSession)
     rec_type = raw.schema["recorded_at"].dataType
     rec = to_instant("recorded_at", rec_type)
     norm = canonicalize_city(raw.where(F.col("recorded_at").isNotNull()), city_map).select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haze.functions.exprs import as_double, parse_local_datetime, safe_double, strip_ws
+from haze.session import ensure_utc
 
 # Required AQI record fields, in the order they are checked.
 AQI_REQUIRED = ["city", "state", "station", "pollutant_id", "avg_value",
@@ -59,6 +60,7 @@ def validate_readings(df: DataFrame) -> DataFrame:
     """Tag AQI records (text columns named as the API fields) with the first
     failing rule: missing field, non-numeric or out-of-range average, bad
     datetime, blank city or station. Valid rows have NULL error columns."""
+    ensure_utc(df.sparkSession)
     avg = safe_double("avg_value")
     rules = []
     if "_unknown" in df.columns:  # unreadable record (see sources.landing.aqi_records)
@@ -92,6 +94,7 @@ def _opt(df: DataFrame, name: str) -> Column:
 def normalize_readings(df: DataFrame, fetched_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """AQI record -> raw reading row (``avg_value`` else ``pollutant_avg``, etc.);
     ``keep`` columns are passed through in front."""
+    ensure_utc(df.sparkSession)
     return df.select(
         *keep,
         _opt(df, "id").alias("station_id"),

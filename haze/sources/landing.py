@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haze import schemas
+from haze.session import ensure_utc
 
 # Archive wind speed units and their factor to m/s. The archive
 # rows were historically stored without conversion ("as_is").
@@ -72,6 +73,7 @@ def hourly_rows(archive: DataFrame, fetched_at: Column, wind_unit: str = "as_is"
     end, except precipitation, which gives 0.0 (an explicit JSON null stays
     NULL). Columns the archive does not carry are NULL.
     """
+    ensure_utc(archive.sparkSession)
     factor = WIND_UNITS[wind_unit]
     h = F.col("hourly")
     rows = archive.select(*keep, "city", "hourly", F.posexplode(h["time"]).alias("_i", "_t"))

@@ -269,3 +269,15 @@ def test_row_index_is_dense_and_blocks_are_bounded(spark):
     sizes = spread.groupBy("canonical_city", "_blk").count().agg(F.max("count")).first()[0]
     assert sizes <= b + back + ahead
     assert spread.where("_home").count() == idx.count()
+
+
+def test_operators_pin_the_session_time_zone(spark):  # Z1
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        ist_0600 = dt.datetime(2024, 1, 2, 0, 30, tzinfo=dt.timezone.utc)
+        rows = [("S1", "Pune", "MH", "CO", 1.0, int(ist_0600.timestamp()))]
+        r = staging.stg_readings(raw_aqi(spark, rows), seeds.default_city_map(spark)).select(
+            F.col("reading_hour").cast("timestamp_ntz").alias("h"), "reading_date").first()
+        assert r.h == dt.datetime(2024, 1, 2, 0, 0) and r.reading_date == dt.date(2024, 1, 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
