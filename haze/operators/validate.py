@@ -56,11 +56,25 @@ def _with_error(df: DataFrame, rules: list[Column]) -> DataFrame:
         F.col("_error.reason").alias("error_reason")).drop("_error")
 
 
-def validate_readings(df: DataFrame) -> DataFrame:
+# Value fields and the alternative names the API may use instead.
+FALLBACK_FIELDS = {"avg_value": "pollutant_avg", "min_value": "pollutant_min",
+                   "max_value": "pollutant_max"}
+
+
+def validate_readings(df: DataFrame, fallback_first: bool = False) -> DataFrame:
     """Tag AQI records (text columns named as the API fields) with the first
     failing rule: missing field, non-numeric or out-of-range average, bad
-    datetime, blank city or station. Valid rows have NULL error columns."""
+    datetime, blank city or station. Valid rows have NULL error columns.
+
+    By default the value fields are checked under their primary names only, so
+    a record carrying only ``pollutant_*`` names fails as missing (as the
+    source does). ``fallback_first=True`` resolves each value field to its
+    alternative name first (when the primary key is absent) and validates that.
+    """
     ensure_utc(df.sparkSession)
+    if fallback_first:
+        df = df.withColumns({name: _present_or_fallback(df, name, alt)
+                             for name, alt in FALLBACK_FIELDS.items()})
     avg = safe_double("avg_value")
     rules = []
     if "_unknown" in df.columns:  # unreadable record (see sources.landing.aqi_records)

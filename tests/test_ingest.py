@@ -264,3 +264,18 @@ def test_weather_type_mismatch_reports_the_path(spark):  # V8, V9
     got = sorted((r.error_field, r.error_reason) for r in checked.collect())
     assert got == [("main.temp", "missing"), ("name", "missing"), ("unknown", "malformed JSON"),
                    ("wind.speed", "missing")]
+
+
+def test_fallback_first_validates_alternative_names(spark):  # E1 option
+    tmp = tempfile.mkdtemp(prefix="haze-fb-")
+    only_fallback = {"id": "2", "city": "Delhi", "state": "DL", "station": "ITO", "pollutant_id": "NO2",
+                     "pollutant_avg": "20", "pollutant_min": "1", "pollutant_max": "30",
+                     "last_update": "01/01/2024 06:00:00"}
+    both = dict(only_fallback, id="3", avg_value="2000", pollutant_avg="20")
+    _write_pages(tmp, [{"records": [only_fallback, both]}])
+    recs = landing.aqi_records(landing.read_aqi_pages(spark, tmp))
+    strict = {r.id: r.error_field for r in validate.validate_readings(recs).collect()}
+    loose = {r.id: (r.error_field, r.error_reason) for r in
+             validate.validate_readings(recs, fallback_first=True).collect()}
+    assert strict == {"2": "avg_value", "3": "min_value"}
+    assert loose == {"2": (None, None), "3": ("avg_value", "out of range")}  # primary name wins
