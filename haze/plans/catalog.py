@@ -331,7 +331,7 @@ def _q_backfill_weather(m: Models) -> DataFrame:
     return m.spark.read.parquet(f"{root}/weather_readings")
 
 
-@query("pipeline_run")
+@query("hourly_run")
 def _q_pipeline(m: Models) -> DataFrame:
     """The whole run over payloads landed from the events; returns the test report."""
     root = scratch_path(m.spark, "pipeline")

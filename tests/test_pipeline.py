@@ -8,7 +8,7 @@ from haze.session import scratch_path
 from haze.sources import fixtures
 
 
-def test_pipeline_run_builds_every_table(spark):
+def test_hourly_run_builds_every_table(spark):
     root = scratch_path(spark, "pipeline-test")
     events = fixtures.read_table(spark, SF_SMALL, "events")
     fixtures.land_aqi_pages(events, f"{root}/landing/aqi", files=2)
