@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from haze import sinks
 from haze.functions.joins import maybe_broadcast
 from haze.operators import validate
-from haze.session import checkpoint_root
+from haze.session import checkpoint_root, ensure_utc
 from haze.sources import landing
 
 
@@ -35,6 +35,7 @@ def pending_days(spine: DataFrame, ledger: DataFrame) -> DataFrame:
 def rows_on_days(rows: DataFrame, ts_col: str, days: DataFrame) -> DataFrame:
     """Rows whose UTC date of ``ts_col`` is one of ``days``; adds ``<ts_col>``'s
     date as ``reading_date``. ``days`` is bounded by the requested range."""
+    ensure_utc(rows.sparkSession)
     d = maybe_broadcast(days.select(F.col("day").alias("_day")))
     return rows.join(d, F.to_date(F.col(ts_col)) == F.col("_day"), "inner") \
         .withColumnRenamed("_day", "reading_date")
@@ -76,6 +77,7 @@ def backfill_weather(spark: SparkSession, archive_path: str, start: str, end: st
                      wind_unit: str = "as_is", multiline: bool = True) -> int:
     """Explode landed archive payloads for [start, end] (and the given cities)
     into raw weather rows, written by date with dynamic overwrite."""
+    ensure_utc(spark)
     rows = landing.hourly_rows(landing.read_archive(spark, archive_path, multiline), run_ts, wind_unit)
     rows = rows.where(F.to_date("recorded_at").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
     if cities is not None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from haze import schemas
 from haze.functions.exprs import whole_units_between
+from haze.session import ensure_utc
 
 # Metric thresholds.
 LOW_VOLUME_ROWS = 50
@@ -50,6 +51,7 @@ def quality_metrics(stg: DataFrame, wx: DataFrame, invalid: DataFrame,
     The three sources are narrowed, unioned and reduced by one global
     aggregation (no join of one-row frames).
     """
+    ensure_utc(stg.sparkSession)
     now = _as_of(as_of)
     since = _hours_before(now, 1)
     null_flags = {"_pm25_null": F.col("pm25").isNull(), "_pm10_null": F.col("pm10").isNull()}
@@ -85,6 +87,7 @@ def quality_metrics(stg: DataFrame, wx: DataFrame, invalid: DataFrame,
 
 def pipeline_health(stg: DataFrame, wx: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """One row: rows of the last 24 h per source and the latest fetch times."""
+    ensure_utc(stg.sparkSession)
     now = _as_of(as_of)
     since = _hours_before(now, 24)
     u = (_tagged("aqi", stg, "reading_hour", "latest_fetched_at", {})
@@ -132,6 +135,7 @@ def weather_checks(wx: DataFrame) -> DataFrame:
 
 def category_checks(cat: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """not_null + accepted category + non-negative composite + no future hours."""
+    ensure_utc(cat.sparkSession)
     now = _as_of(as_of)
     return run_checks("with_category", cat, {
         "not_null_reading_hour": not_null("reading_hour"),
@@ -149,6 +153,7 @@ def joined_checks(joined: DataFrame) -> DataFrame:
 
 
 def metrics_fresh_check(metrics: DataFrame, as_of: str | Column | None = None) -> DataFrame:
+    ensure_utc(metrics.sparkSession)
     now = _as_of(as_of)
     return run_checks("quality_metrics", metrics, {
         "quality_metrics_fresh": F.col("run_timestamp") < _hours_before(now, METRICS_MAX_AGE_HOURS)})
@@ -180,6 +185,7 @@ def source_freshness(sources: Mapping[str, tuple],
     pass by the age of the newest value, or ``not checked`` for a source whose
     thresholds are both None (a load field without a freshness rule).
     """
+    ensure_utc(next(iter(sources.values()))[0].sparkSession)
     now = _as_of(as_of)
     parts = []
     for name, spec in sources.items():
