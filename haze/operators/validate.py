@@ -95,7 +95,8 @@ def _present_or_fallback(df: DataFrame, name: str, fallback: str) -> Column:
     the key is absent (per-row key list ``_keys`` when read from JSON)."""
     has_name, has_fb = name in df.columns, fallback in df.columns
     if "_keys" in df.columns and has_name and has_fb:
-        return F.when(F.array_contains("_keys", name), F.col(name)).otherwise(F.col(fallback))
+        present = F.col(name).isNotNull() | F.coalesce(F.array_contains("_keys", name), F.lit(False))
+        return F.when(present, F.col(name)).otherwise(F.col(fallback))
     if has_name:
         return F.col(name)
     return F.col(fallback) if has_fb else F.lit(None).cast("string")

@@ -31,7 +31,8 @@ def aqi_records(pages: DataFrame) -> DataFrame:
     """Explode pages into records (works on batch and streaming frames).
 
     ``raw_payload`` is the record's own JSON text (kept for the quarantine),
-    ``_keys`` its key list (a fallback field applies only to absent keys),
+    ``_keys`` its key list when a value field is NULL (a fallback field
+    applies only to absent keys),
     and each API field is parsed as text. ``_unknown`` names a record that
     cannot be read at all: a malformed page (kept whole as one row, so it is
     quarantined rather than lost) or an array element that is not an object.
@@ -47,9 +48,14 @@ def aqi_records(pages: DataFrame) -> DataFrame:
     is_object = F.ltrim(F.col("raw_payload")).startswith("{")
     unknown = (F.when(F.col("_bad_page"), F.lit("malformed page"))
                .when(~is_object, F.lit("record is not a JSON object")))
+    # The key list tells an absent key from a null one; it is only needed when
+    # a value field is NULL, so the second parse is skipped for other records.
+    some_value_null = (parsed["avg_value"].isNull() | parsed["min_value"].isNull()
+                       | parsed["max_value"].isNull())
+    keys = F.when(is_object & ~F.col("_bad_page") & some_value_null, F.json_object_keys("raw_payload"))
     return rec.select(
         "source_file", "record_pos", "raw_payload",
-        F.when(is_object & ~F.col("_bad_page"), F.json_object_keys("raw_payload")).alias("_keys"),
+        keys.alias("_keys"),
         unknown.alias("_unknown"),
         *[parsed[f.name].alias(f.name) for f in schemas.AQI_RECORD.fields],
     )

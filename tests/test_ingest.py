@@ -279,3 +279,15 @@ def test_fallback_first_validates_alternative_names(spark):  # E1 option
              validate.validate_readings(recs, fallback_first=True).collect()}
     assert strict == {"2": "avg_value", "3": "min_value"}
     assert loose == {"2": (None, None), "3": ("avg_value", "out of range")}  # primary name wins
+
+
+def test_fallback_applies_to_absent_keys_not_null_values(spark):  # N1
+    tmp = tempfile.mkdtemp(prefix="haze-nul-")
+    base = {"city": "Delhi", "state": "DL", "station": "ITO", "pollutant_id": "NO2",
+            "min_value": "1", "max_value": "3", "last_update": "01/01/2024 06:00:00"}
+    _write_pages(tmp, [{"records": [dict(base, id="a", avg_value=None, pollutant_avg="7"),
+                                    dict(base, id="b", pollutant_avg="8"),
+                                    dict(base, id="c", avg_value="9", pollutant_avg="1")]}])
+    recs = landing.aqi_records(landing.read_aqi_pages(spark, tmp))
+    got = {r.station_id: r.pollutant_avg for r in validate.normalize_readings(recs, F.current_timestamp()).collect()}
+    assert got == {"a": None, "b": 8.0, "c": 9.0}  # null avg_value is kept, absent falls back
