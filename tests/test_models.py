@@ -281,3 +281,15 @@ def test_operators_pin_the_session_time_zone(spark):  # Z1
         assert r.h == dt.datetime(2024, 1, 2, 0, 0) and r.reading_date == dt.date(2024, 1, 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_global_rank_equals_rank_window_with_ties_and_nulls(spark):  # W3
+    from pyspark.sql import Window
+    rnd = random.Random(5)
+    rows = [(f"c{i}", rnd.choice([None, 1.0, 2.0, 2.0, 3.5, float(rnd.randrange(50))])) for i in range(300)]
+    df = spark.createDataFrame(rows, "canonical_city string, v double")
+    want = {r.canonical_city: r.rk for r in df.select(
+        "canonical_city", F.rank().over(Window.orderBy(F.col("v").asc_nulls_first())).alias("rk")).collect()}
+    got = {r.canonical_city: r.rk for r in
+           rows_window.global_rank(df, "v", ["canonical_city"], "rk").collect()}
+    assert got == want
