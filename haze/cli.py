@@ -3,6 +3,8 @@
     run               one hourly run: ingest landed payloads, build models, marts, checks
     backfill-readings replay landed AQI pages for the pending days of a date range
     backfill-weather  explode landed archive payloads for a date range (and cities)
+    freshness         warn / error by the age of the newest load of each raw table
+    test              the checks report on a built warehouse (exit 1 on a failure)
     stream-ingest     incremental ingest of newly landed AQI pages (available-now)
 
 The session comes from ``SparkSession.builder.getOrCreate()``, i.e. from the
@@ -55,6 +57,14 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--run-ts")
     w.add_argument("--json-lines", action="store_true")
 
+    f = sub.add_parser("freshness", help="source freshness of the raw tables")
+    f.add_argument("--warehouse", required=True)
+    f.add_argument("--as-of", help="instant to measure against (default: now)")
+
+    t = sub.add_parser("test", help="run the checks on a built warehouse")
+    t.add_argument("--warehouse", required=True)
+    t.add_argument("--as-of")
+
     s = sub.add_parser("stream-ingest", help="ingest newly landed AQI pages")
     s.add_argument("--landing", required=True)
     s.add_argument("--readings", required=True)
@@ -74,7 +84,7 @@ def _stamp(run_ts: str | None):
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = ensure_utc(spark or SparkSession.builder.getOrCreate())
-    multiline = not args.json_lines
+    multiline = not getattr(args, "json_lines", False)
     if args.cmd == "run":
         from haze.plans import pipeline
         from haze.sources import seeds
@@ -101,6 +111,30 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                                       _stamp(args.run_ts), cities, args.wind_unit, multiline)
         print(f"rows={n}")
         return 0
+    if args.cmd in ("freshness", "test"):
+        from haze.operators import enrich, quality
+        from haze.plans import pipeline
+        from haze.sources import seeds
+        wh = args.warehouse
+        if args.cmd == "freshness":
+            report = quality.source_freshness({
+                "aqi_readings": (pipeline.read_raw(spark, wh, "aqi_readings"), "fetched_at"),
+                "weather_readings": (pipeline.read_raw(spark, wh, "weather_readings"), "fetched_at"),
+                "invalid_records": (pipeline.read_raw(spark, wh, "invalid_records"), "quarantined_at",
+                                    None, None),
+            }, args.as_of)
+            bad = "error"
+        else:
+            stg = spark.read.parquet(f"{wh}/stg/readings")
+            wx = spark.read.parquet(f"{wh}/stg/weather")
+            cat = enrich.with_category(stg, seeds.default_breakpoints(spark))
+            joined = spark.read.parquet(f"{wh}/int/aqi_weather_joined")
+            report = quality.all_checks(stg, wx, cat, joined, args.as_of)
+            bad = "fail"
+        rows = report.collect()  # one row per source or test
+        for r in rows:
+            print(" ".join(str(v) for v in r))
+        return 1 if any(r.status == bad for r in rows) else 0
     from haze.streaming import ingest
     q = ingest.start_ingest(spark, args.landing, args.readings, args.quarantine, args.checkpoint,
                             multiline, args.max_files_per_trigger)

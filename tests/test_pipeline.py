@@ -33,3 +33,22 @@ def test_hourly_run_builds_every_table(spark):
     assert metrics.test_failures == tests.agg(F.sum("failures")).first()[0] > 0
     trends = spark.read.parquet(f"{root}/wh/marts/city_aqi_trends")
     assert trends.count() == res.loaded["city_aqi_trends"]
+
+
+def test_cli_freshness_and_test_on_a_built_warehouse(spark, capsys):
+    from haze import cli
+    root = scratch_path(spark, "cli-wh")
+    events = fixtures.read_table(spark, SF_SMALL, "events")
+    fixtures.land_aqi_pages(events, f"{root}/landing/aqi")
+    fixtures.land_weather_objects(events, f"{root}/landing/weather")
+    assert cli.main(["run", "--aqi-landing", f"{root}/landing/aqi", "--weather-landing",
+                     f"{root}/landing/weather", "--warehouse", f"{root}/wh", "--json-lines",
+                     "--as-of", "2024-03-31 00:00:00", "--run-ts", "2024-01-31 00:00:00"], spark=spark) == 0
+    capsys.readouterr()
+    assert cli.main(["test", "--warehouse", f"{root}/wh", "--as-of", "2024-03-31 00:00:00"], spark=spark) == 0
+    assert cli.main(["freshness", "--warehouse", f"{root}/wh", "--as-of", "2024-01-31 01:00:00"],
+                    spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "aqi_readings" in out and "not checked" in out
+    assert cli.main(["freshness", "--warehouse", f"{root}/wh", "--as-of", "2024-02-01 00:00:00"],
+                    spark=spark) == 1  # a day old: error
