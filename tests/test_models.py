@@ -293,3 +293,13 @@ def test_global_rank_equals_rank_window_with_ties_and_nulls(spark):  # W3
     got = {r.canonical_city: r.rk for r in
            rows_window.global_rank(df, "v", ["canonical_city"], "rk").collect()}
     assert got == want
+
+
+def test_blocked_window_and_rank_on_empty_input(spark):
+    empty = spark.createDataFrame([], "canonical_city string, reading_hour timestamp, station_name string, "
+                                      "state string, composite_aqi double")
+    specs = {"lag3": rows_window.Frame("lag", F.col("composite_aqi"), -3, -3),
+             "run": rows_window.Frame("max", F.col("composite_aqi"), None, 0)}
+    assert rows_window.over_rows(empty, "canonical_city", marts.CITY_ROW_ORDER, specs, block_rows=30).count() == 0
+    assert rows_window.over_rows(empty, "canonical_city", marts.CITY_ROW_ORDER, specs).count() == 0
+    assert rows_window.global_rank(empty, "composite_aqi", ["canonical_city"], "rk").count() == 0
