@@ -71,7 +71,7 @@ def ingest_readings(spark: SparkSession, landing_path: str, warehouse: str,
         n_good = sinks.write_table(good, f"{warehouse}/raw/aqi_readings", "append",
                                    partition_by=["fetched_date"])
         n_bad = sinks.write_quarantine(validate.quarantine_rows(checked, "aqi", run_ts),
-                                       f"{warehouse}/raw/invalid_records")
+                                       f"{warehouse}/raw/invalid_records", source="aqi")
     finally:
         checked.unpersist()
     return n_good, n_bad
@@ -88,12 +88,18 @@ def ingest_weather(spark: SparkSession, landing_path: str, warehouse: str,
                                    partition_by=["fetched_date"])
         bad = validate.quarantine_rows(checked, "weather", run_ts,
                                        payload=validate.weather_quarantine_payload())
-        n_bad = sinks.write_quarantine(bad, f"{warehouse}/raw/invalid_records")
+        n_bad = sinks.write_quarantine(bad, f"{warehouse}/raw/invalid_records", source="weather")
     finally:
         checked.unpersist()
     return n_good, n_bad
 
 
+def _read_back(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
+    """Read a table this run wrote, with the schema it was written with (an
+    empty table has no data files to infer a schema from)."""
+    return spark.read.schema(written.schema).parquet(path)
+
+
 def read_raw(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     schema = {"aqi_readings": schemas.AQI_READINGS, "weather_readings": schemas.WEATHER_READINGS,
               "invalid_records": schemas.INVALID_RECORDS}[name]
@@ -107,23 +113,23 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
     # Staging is read by the intermediate table, a mart, the checks and both
     # health tables: build each staging table once and read it back.
     stg_path, wx_path = f"{warehouse}/stg/readings", f"{warehouse}/stg/weather"
+    stg_df = staging.stg_readings(read_raw(spark, warehouse, "aqi_readings"), city_map)
+    wx_df = staging.stg_weather(read_raw(spark, warehouse, "weather_readings"), city_map)
     out.loaded.update(_concurrently({
         "stg_readings": lambda: sinks.write_table(
-            staging.stg_readings(read_raw(spark, warehouse, "aqi_readings"), city_map), stg_path,
-            "overwrite", partition_by=["reading_date"], cluster_by=["canonical_city"]),
+            stg_df, stg_path, "overwrite", partition_by=["reading_date"], cluster_by=["canonical_city"]),
         "stg_weather": lambda: sinks.write_table(
-            staging.stg_weather(read_raw(spark, warehouse, "weather_readings"), city_map), wx_path,
-            "overwrite", partition_by=["weather_hour"], cluster_by=["canonical_city"]),
+            wx_df, wx_path, "overwrite", partition_by=["weather_hour"], cluster_by=["canonical_city"]),
     }, workers))
-    stg = spark.read.parquet(stg_path)
-    wx = spark.read.parquet(wx_path).drop("weather_hour_date")
+    stg = _read_back(spark, stg_path, stg_df)
+    wx = _read_back(spark, wx_path, wx_df).drop("weather_hour_date")
     cat = enrich.with_category(stg, breakpoints)
 
     joined_path = f"{warehouse}/int/aqi_weather_joined"
+    joined_df = enrich.join_weather(cat, wx)
     out.loaded["aqi_weather_joined"] = sinks.write_table(
-        enrich.join_weather(cat, wx), joined_path, "overwrite",
-        partition_by=["reading_date"], cluster_by=["canonical_city"])
-    joined = spark.read.parquet(joined_path)
+        joined_df, joined_path, "overwrite", partition_by=["reading_date"], cluster_by=["canonical_city"])
+    joined = _read_back(spark, joined_path, joined_df)
 
     trends_path = f"{warehouse}/marts/city_aqi_trends"
     layouts = {
@@ -141,7 +147,7 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
     out.loaded.update(_concurrently(
         {name: mart(name, build, parts) for name, (build, parts) in layouts.items()}, workers))
     out.loaded["worst_best_cities"] = sinks.write_table(
-        marts.city_leaderboard(spark.read.parquet(trends_path)),
+        marts.city_leaderboard(_read_back(spark, trends_path, marts.city_trends(joined))),
         f"{warehouse}/marts/worst_best_cities", "overwrite", cluster_by=["canonical_city"])
 
     report = quality.all_checks(stg, wx, cat, joined, as_of).persist()

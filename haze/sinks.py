@@ -70,9 +70,16 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     return int(obs.get["rows"])
 
 
-def write_quarantine(bad: DataFrame, path: str) -> int:
-    """Append quarantine envelopes partitioned by source; empty -> 0, no write."""
-    return write_table(bad, path, "append", partition_by=["source"], skip_empty=True)
+def write_quarantine(bad: DataFrame, path: str, source: str | None = None) -> int:
+    """Append quarantine envelopes partitioned by source; empty -> 0, no write.
+
+    With ``source`` the rows go straight into that partition's folder
+    (``<path>/source=<source>``): the layout is the same, and writers of
+    different sources running at the same time never share a commit folder.
+    """
+    if source is None:
+        return write_table(bad, path, "append", partition_by=["source"], skip_empty=True)
+    return write_table(bad.drop("source"), f"{path}/source={source}", "append", skip_empty=True)
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -52,3 +52,22 @@ def test_cli_freshness_and_test_on_a_built_warehouse(spark, capsys):
     assert "aqi_readings" in out and "not checked" in out
     assert cli.main(["freshness", "--warehouse", f"{root}/wh", "--as-of", "2024-02-01 00:00:00"],
                     spark=spark) == 1  # a day old: error
+
+
+def test_run_with_no_valid_readings(spark):
+    import json
+    import os
+    root = scratch_path(spark, "empty-run")
+    local = root.removeprefix("file:")  # a local folder in tests
+    os.makedirs(f"{local}/aqi", exist_ok=True)
+    os.makedirs(f"{local}/weather", exist_ok=True)
+    with open(f"{local}/aqi/p.json", "w") as fh:
+        json.dump({"records": [{"city": "Delhi"}]}, fh)          # fails validation
+    with open(f"{local}/weather/w.json", "w") as fh:
+        json.dump({"name": "Pune"}, fh)                           # fails validation
+    res = pipeline.run(spark, f"{root}/aqi", f"{root}/weather", f"{root}/wh",
+                       run_ts="2024-01-31 00:00:00", as_of="2024-01-31 00:00:00")
+    assert res.loaded["aqi_readings"] == 0 and res.loaded["invalid_records"] == 2
+    assert res.loaded["city_aqi_trends"] == 0 and res.failed_tests == 0
+    m = spark.read.parquet(f"{root}/wh/quality/metrics").first()
+    assert m.aqi_rows_last_hour == 0 and m.freshness_minutes == 0 and m.quarantine_rows_last_hour == 2
