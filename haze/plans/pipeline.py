@@ -24,6 +24,7 @@ import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,10 @@ from haze.session import ensure_utc
 from haze.sources import landing, seeds
 
 
-def _concurrently(tasks: dict[str, Callable[[], int]], workers: int) -> dict[str, int]:
+T = TypeVar("T")
+
+
+def _concurrently(tasks: dict[str, Callable[[], T]], workers: int) -> dict[str, T]:
     """Run independent Spark jobs from a few driver threads (as the source runs
     its two ingestions side by side and builds models with several threads);
     Spark schedules their tasks on the same executors."""
