@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haze import sinks
+from haze import schemas, sinks
 from haze.functions.exprs import epoch_to_timestamp
 from haze.operators import backfill, enrich, marts, quality, staging, validate
 from haze.plans import pipeline
@@ -376,3 +376,21 @@ def _q_feat_blocked(m: Models) -> DataFrame:
 @query("rain_impact_blocked")
 def _q_rain_blocked(m: Models) -> DataFrame:
     return marts.rain_impact(m.joined, block_rows=SMALL_BLOCK_ROWS)
+
+
+@query("dq_accepted")
+def _q_dq_accepted(m: Models) -> DataFrame:
+    """Accepted category labels (a NULL category passes)."""
+    return quality.run_checks("with_category", m.cat, {
+        "valid_aqi_category": quality.accepted_values("aqi_category", schemas.CATEGORIES)})
+
+
+@query("dq_future")
+def _q_dq_future(m: Models) -> DataFrame:
+    """No reading hour beyond as_of + 6 h."""
+    return quality.category_checks(m.cat, AS_OF).where(F.col("test_name") == "no_future_timestamps")
+
+
+@query("dq_positive")
+def _q_dq_positive(m: Models) -> DataFrame:
+    return quality.category_checks(m.cat, AS_OF).where(F.col("test_name") == "aqi_positive")
