@@ -291,3 +291,13 @@ def test_fallback_applies_to_absent_keys_not_null_values(spark):  # N1
     recs = landing.aqi_records(landing.read_aqi_pages(spark, tmp))
     got = {r.station_id: r.pollutant_avg for r in validate.normalize_readings(recs, F.current_timestamp()).collect()}
     assert got == {"a": None, "b": 8.0, "c": 9.0}  # null avg_value is kept, absent falls back
+
+
+def test_overwrite_partitions_replaces_only_present_days(spark):  # B3 building block
+    root = tempfile.mkdtemp(prefix="haze-dyn-")
+    first = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 2))], "v string, d date")
+    assert sinks.overwrite_partitions(first, root, ["d"]) == 2
+    again = spark.createDataFrame([("c", dt.date(2024, 1, 2)), ("d", dt.date(2024, 1, 2))], "v string, d date")
+    assert sinks.overwrite_partitions(again, root, ["d"]) == 2
+    got = sorted((r.v, r.d.day) for r in spark.read.parquet(root).collect())
+    assert got == [("a", 1), ("c", 2), ("d", 2)]
