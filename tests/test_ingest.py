@@ -301,3 +301,18 @@ def test_overwrite_partitions_replaces_only_present_days(spark):  # B3 building
     assert sinks.overwrite_partitions(again, root, ["d"]) == 2
     got = sorted((r.v, r.d.day) for r in spark.read.parquet(root).collect())
     assert got == [("a", 1), ("c", 2), ("d", 2)]
+
+
+def test_cli_backfill_readings_resumes(spark, capsys):  # B1-B3 via the command line
+    from haze import cli
+    root = tempfile.mkdtemp(prefix="haze-clibf-")
+    recs = [{"id": str(i), "city": "Delhi", "state": "DL", "station": "S", "pollutant_id": "CO",
+             "avg_value": str(i + 1), "min_value": "1", "max_value": "2",
+             "last_update": f"0{1 + i % 3}/01/2024 12:00:00"} for i in range(9)]
+    _write_pages(f"{root}/landing", [{"records": recs}])
+    args = ["backfill-readings", "--landing", f"{root}/landing", "--start", "2024-01-01",
+            "--end", "2024-01-02", "--ledger", f"{root}/ledger", "--out", f"{root}/out"]
+    assert cli.main(args, spark=spark) == 0 and "rows=6" in capsys.readouterr().out
+    assert cli.main(args[:6] + ["2024-01-03"] + args[7:], spark=spark) == 0  # only the new day
+    assert "rows=3" in capsys.readouterr().out
+    assert spark.read.parquet(f"{root}/out").count() == 9
