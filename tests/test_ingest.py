@@ -316,3 +316,17 @@ def test_cli_backfill_readings_resumes(spark, capsys):  # B1-B3 via the command
     assert cli.main(args[:6] + ["2024-01-03"] + args[7:], spark=spark) == 0  # only the new day
     assert "rows=3" in capsys.readouterr().out
     assert spark.read.parquet(f"{root}/out").count() == 9
+
+
+def test_cli_stream_ingest(spark):  # T1 via the command line
+    from haze import cli
+    root = tempfile.mkdtemp(prefix="haze-clist-")
+    recs = [{"id": str(i), "city": "Delhi" if i % 4 else None, "state": "DL", "station": "S",
+             "pollutant_id": "CO", "avg_value": "5", "min_value": "1", "max_value": "2",
+             "last_update": "01/01/2024 12:00:00"} for i in range(8)]
+    _write_pages(f"{root}/landing", [{"records": recs}])
+    args = ["stream-ingest", "--landing", f"{root}/landing", "--readings", f"{root}/good",
+            "--quarantine", f"{root}/bad", "--checkpoint", f"{root}/ckpt"]
+    assert cli.main(args, spark=spark) == 0
+    assert spark.read.parquet(f"{root}/good").count() == 6
+    assert spark.read.parquet(f"{root}/bad").count() == 2
