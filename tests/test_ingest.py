@@ -330,3 +330,17 @@ def test_cli_stream_ingest(spark):  # T1 via the command line
     assert cli.main(args, spark=spark) == 0
     assert spark.read.parquet(f"{root}/good").count() == 6
     assert spark.read.parquet(f"{root}/bad").count() == 2
+
+
+def test_seed_csv_files_match_packaged_seeds(spark):  # S5, K8
+    from haze.sources import seeds
+    root = tempfile.mkdtemp(prefix="haze-seeds-")
+    with open(f"{root}/city_map.csv", "w") as fh:
+        fh.write("raw_city_name,canonical_city\n" + "".join(f"{a},{b}\n" for a, b in seeds.CITY_MAP_ROWS))
+    with open(f"{root}/breakpoints.csv", "w") as fh:
+        fh.write("min_aqi,max_aqi,category,health_message\n"
+                 + "".join(f"{a},{b},{c},{d}\n" for a, b, c, d in seeds.BREAKPOINT_ROWS))
+    assert sorted(seeds.read_city_map(spark, f"{root}/city_map.csv").collect()) == \
+        sorted(seeds.default_city_map(spark).collect())
+    assert sorted(seeds.read_breakpoints(spark, f"{root}/breakpoints.csv").collect()) == \
+        sorted(seeds.default_breakpoints(spark).collect())
