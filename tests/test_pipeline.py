@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from haze.plans import pipeline
+from haze.plans.catalog import finalize
 from haze.session import scratch_path
 from haze.sources import fixtures
 
@@ -71,3 +72,19 @@ def test_run_with_no_valid_readings(spark):
     assert res.loaded["city_aqi_trends"] == 0 and res.failed_tests == 0
     m = spark.read.parquet(f"{root}/wh/quality/metrics").first()
     assert m.aqi_rows_last_hour == 0 and m.freshness_minutes == 0 and m.quarantine_rows_last_hour == 2
+
+
+def test_run_results_do_not_depend_on_concurrency(spark):
+    root = scratch_path(spark, "conc")
+    events = fixtures.read_table(spark, SF_SMALL, "events")
+    fixtures.land_aqi_pages(events, f"{root}/aqi", files=2)
+    fixtures.land_weather_objects(events, f"{root}/weather", files=2)
+    cm = fixtures.city_map(fixtures.read_table(spark, SF_SMALL, "nation"))
+    tables = {}
+    for workers in (1, 4):
+        wh = f"{root}/wh{workers}"
+        pipeline.run(spark, f"{root}/aqi", f"{root}/weather", wh, run_ts="2024-01-31 00:00:00",
+                     as_of="2024-01-30 23:30:00", city_map=cm, multiline=False, workers=workers)
+        tables[workers] = {name: sorted(map(repr, finalize(spark.read.parquet(f"{wh}/marts/{name}")).collect()))
+                           for name in ("city_aqi_trends", "rain_impact", "worst_best_cities")}
+    assert tables[1] == tables[4]
