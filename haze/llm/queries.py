@@ -9,15 +9,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haze.llm import exact_dedup
+from haze.llm import exact_dedup, ngram_join
 from haze.llm.common import table
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_report(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
