@@ -1,4 +1,11 @@
 """Training-data operators: one module per operator, queries in ``queries``.
 
-Nothing else in the library imports this package.
+Nothing else in the library imports this package. Its functions travel to the
+executors with each job, so they need no copy of the library installed.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import string
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcasts a value (of a bounded size) together with its classes; the
+    returned function gives it inside tasks."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    loaded: list = []
+
+    def get():
+        if not loaded:
+            loaded.append(pickle.loads(data.value))
+        return loaded[0]
+    return get
+
+
 def fresh(name: str, *frames: Iterable[str]) -> str:
     """A column name like ``name`` that none of the column lists has."""
     taken = {c.lower() for cols in frames for c in cols}

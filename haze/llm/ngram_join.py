@@ -66,6 +66,9 @@ class _WordHashes(dict):
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
 
+    def __reduce__(self):  # travels empty
+        return _WordHashes, ()
+
 
 _HASHES = _WordHashes()
 
