@@ -26,7 +26,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         moved = (down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))))
-    return moved.filter("u <> v").distinct()
+    return moved.filter("u <> v") if large else moved.filter("u <> v").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -19,11 +19,11 @@ the cheaper one by a cost model fed by counts over all documents; the choice
 changes cost only, both are complete. Candidates are verified on the words.
 
 Equal word sequences are one class before anything is indexed. Buckets are not
-expanded into pairs: each class first checks one partner, verified links make
-components, and only buckets that still span several components are checked
-further, against more and more of their members, until every remaining pair of
-different components in a bucket has been verified. Component ids are
-therefore exact without listing the pairs within a group of copies.
+expanded into pairs: each class first checks one partner, and links found so far
+settle most buckets. Classes of buckets that still span several labels are
+clustered by shared buckets, and each cluster is compared in tasks of two blocks
+of classes by size and hash, which return spanning links only. So every candidate
+pair is either connected already or compared, and none is listed.
 
 Defined results: null and empty texts and texts without words have no shingles,
 link with nothing and are their own component; rows with a null id have a null
@@ -41,16 +41,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from haze.llm.common import words, written
+from haze.llm.common import fresh, words, written
 from haze.llm.components import components
 
 _BAND_RATIO = 1.4
 _SAMPLED = 1 << 10  # one shingle hash in so many is counted over all documents, for the cost model
 _PART_KEYS = 1_000_000  # signatures that one reduce partition gets
 _HOT = 64  # a signature that so many sets of one batch share skips the shuffle
-_CHUNK = 1000  # partners that one task compares with a copy of a bucket's centre
+_CHUNKS = 256  # chunks over which the partners of one class are dealt
+_BLOCK = 256  # classes of a block; two blocks meet in a task
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -295,72 +295,155 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -- verification ------------------------------------------------------------
 
+def _linked(a: set, b: set, percent: int) -> bool:
+    small, large = sorted((len(a), len(b)))
+    if 100 * small < percent * large:
+        return False
+    both = len(a & b)
+    return 100 * both >= percent * (small + large - both)
+
+
 def _compare(n: int, percent: int):
     """Streams rows sorted by (centre, chunk), the centre's texts first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, sets = None, []
         for batch in batches:
-            got_a, got_b = [], []
+            got = []
             for c, chunk, member, i, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if (c, chunk) != centre:
                     centre, sets = (c, chunk), []
                 mine = shingle_set(words(text), n)
                 if not member:
                     sets.append(mine)
-                    continue
-                for other in sets:
-                    small, large = sorted((len(mine), len(other)))
-                    if 100 * small >= percent * large:
-                        both = len(mine & other)
-                        if 100 * both >= percent * (small + large - both):
-                            got_a.append(i)
-                            got_b.append(c)
-                            break
-            yield pa.RecordBatch.from_arrays([pa.array(got_a, pa.int64()), pa.array(got_b, pa.int64())], names=["a", "b"])
+                elif any(_linked(mine, other, percent) for other in sets):
+                    got.append((i, c))
+            yield _pairs(got)
     return run
 
 
+def _pairs(got: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.int64()), pa.array([b for _, b in got], pa.int64())],
+                                      names=["a", "b"])
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b): every a goes to a chunk of b's, which has b's text once."""
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _CHUNK).alias("chunks"))
-    dealt = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("chunks")).alias("chunk"))
+    """The linked ones of ``pairs`` (a, b): the partners of a centre b are dealt over
+    ``_CHUNKS`` chunks, each of which gets b's text once."""
+    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(_CHUNKS)).alias("chunk"))
     members = dealt.join(texts, F.col("a") == F.col("id")).select(F.col("b").alias("centre"), "chunk", F.lit(1).alias("member"), "id", "text")
     centres = (dealt.select("b", "chunk").distinct().join(texts, F.col("b") == F.col("id"))
                .select(F.col("b").alias("centre"), "chunk", F.lit(0).alias("member"), "id", "text"))
     rows = members.union(centres).repartition("centre", "chunk").sortWithinPartitions("centre", "chunk", "member")
-    return rows.mapInArrow(_compare(n, percent), "a long, b long").distinct()
+    return rows.mapInArrow(_compare(n, percent), "a long, b long")
+
+
+def block_links(members: list[tuple[int, str]], n: int, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is connected among (id, text) members: intersections by
+    products of 0/1 matrices over slices of the shingles, links verified on the words."""
+    with np.errstate(over="ignore"):
+        hashes = [shingle_hashes(words(t), n) for _, t in members]
+    sizes = np.array([len(h) for h in hashes], np.float64)
+    _, column, seen = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(members)), sizes.astype(np.int64))
+    shared = seen[column] > 1  # other shingles add to no intersection
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(members), len(members)), np.float32)
+    width = 8192
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (lo, lo + width))
+        m = np.zeros((len(members), width), np.float32)
+        m[row[a:b], column[a:b] - lo] = 1
+        both += m @ m.T
+    near = np.triu(100.0 * both >= percent * (sizes[:, None] + sizes[None, :] - both), 1)
+    parent = list(range(len(members)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+    out, sets = [], {}
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+        x, y = find(i), find(j)
+        if x != y:
+            for k in (i, j):
+                if k not in sets:
+                    sets[k] = shingle_set(words(members[k][1]), n)
+            if _linked(sets[i], sets[j], percent):
+                parent[max(x, y)] = min(x, y)
+                out.append((max(members[i][0], members[j][0]), min(members[i][0], members[j][0])))
+    return out
+
+
+def _blocks(n: int, percent: int):
+    """Streams rows sorted by task; a task has about two blocks of members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, members = None, []
+        for batch in batches:
+            for key, i, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if key != task:
+                    if len(members) > 1:
+                        yield _pairs(block_links(members, n, percent))
+                    task, members = key, []
+                members.append((i, text))
+        if len(members) > 1:
+            yield _pairs(block_links(members, n, percent))
+    return run
+
+
+def _cluster_links(clusters: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links that connect what is connected within each cluster (node, component).
+
+    A cluster of more than ``_BLOCK`` members is cut by size class (linked sets are in
+    the same or adjacent classes) and hash into blocks; every two blocks that can hold
+    a linked pair meet in one task. Tasks return spanning links, not pairs."""
+    member = (clusters.join(texts, F.col("node") == F.col("id"))
+              .select(F.col("component").alias("cluster"), "id", F.floor(F.log(F.col("n_shingles")) / math.log(100 / percent) + 1e-9
+                                                                         if percent < 100 else F.col("n_shingles")).alias("k")).distinct())
+    per_class = member.groupBy("cluster", "k").agg(F.count(F.lit(1)).alias("n"))
+    shape = per_class.groupBy("cluster").agg(  # a set's size has few classes
+        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("k", F.ceil(F.col("n") / _BLOCK)))).alias("blocks"))
+    count = lambda k: F.coalesce(F.element_at("blocks", k), F.lit(0).cast("long"))
+    place = lambda k: F.pmod(F.xxhash64("id"), F.greatest(count(k), F.lit(1)))
+    others = lambda k: F.when(count(k) > 0, F.sequence(F.lit(0).cast("long"), count(k) - 1)).otherwise(F.array().cast("array<bigint>"))
+    k = F.col("k")
+    name = lambda *parts: F.concat_ws("/", F.col("cluster").cast("string"), *(p.cast("string") for p in parts))
+    tasks = F.when(F.col("total") <= _BLOCK, F.array(name())).otherwise(F.concat(
+        F.transform(others(k), lambda o: name(k, F.least(o, place(k)), k, F.greatest(o, place(k)))),
+        F.transform(others(k - 1), lambda o: name(k - 1, o, k, place(k))),
+        F.transform(others(k + 1), lambda o: name(k, place(k), k + 1, o))))
+    dealt = member.join(shape, "cluster").select("id", F.explode(tasks).alias("task"))
+    rows = (dealt.join(texts.select("id", "text").distinct(), "id").select("task", "id", "text")
+            .repartition("task").sortWithinPartitions("task", "id"))
+    return rows.mapInArrow(_blocks(n, percent), "a long, b long")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label): each node's smallest partner, followed four steps. Equal labels are connected."""
+    step = links.filter("a <> b").groupBy(F.greatest("a", "b").alias("node")).agg(F.min(F.least("a", "b")).alias("label"))
+    for _ in range(2):
+        on = step.select(F.col("node").alias("next"), F.col("label").alias("further"))
+        step = step.join(on, F.col("label") == F.col("next"), "left").select("node", F.coalesce("further", "label").alias("label"))
+    return written(step, "join-labels")
 
 
 def _links(live: DataFrame, texts: DataFrame, given: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links (a, b) that connect all that is connected. given: links known beforehand."""
-    bucket = Window.partitionBy("key")
     first = (live.groupBy("key").agg(F.min(F.when(~F.col("deleted"), F.col("rep"))).alias("c"))
-             .join(live, "key").filter("rep <> c").groupBy("rep").agg(F.min("c").alias("b"))
-             .select(F.col("rep").alias("a"), "b"))
-    tested = written(first, "join-tested")
-    links = written(_verified(tested, texts, n, percent).union(given), "join-links")
-    centres = 2
-    while True:
-        found = components(links)
-        state = (live.join(found, live.rep == found.node, "left")
-                 .select("key", "deleted", "rep", F.coalesce("component", "rep").alias("comp")))
-        spread = (state.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.sum(F.when(F.col("deleted"), 0).otherwise(1)).alias("whole")).filter("lo <> hi").select("key", "whole"))
-        rest = written(state.join(spread, "key"), "join-rest")
-        chosen = (rest.filter(~F.col("deleted")).withColumn("rank", F.row_number().over(bucket.orderBy("rep")))
-                  .filter(F.col("rank") <= centres).select("key", F.col("rep").alias("c"), F.col("comp").alias("c_comp")))
-        pairs = (rest.join(chosen, "key").filter("comp <> c_comp")
-                 .select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct())
-        known = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "join-tested")
-        if not pairs.isEmpty():
-            links = written(links.union(_verified(pairs, texts, n, percent)), "join-links")
-            tested = tested.union(pairs)
-        if rest.filter(F.col("whole") > centres).isEmpty():
-            return links
-        centres *= 8
+             .join(live, "key").filter("rep <> c").groupBy("rep").agg(F.min("c").alias("c"))
+             .select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct())
+    links = written(_verified(first, texts, n, percent).union(given), "join-links")
+    known = _labels(links)
+    state = (live.join(known, live.rep == known.node, "left")
+             .select("key", "deleted", "rep", F.coalesce("label", "rep").alias("label")))
+    spread = (state.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("least"))
+              .filter("lo <> hi").select("key", "least"))
+    edges = written(state.join(spread, "key").filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct(),
+                    "join-rest")
+    return links.union(written(_cluster_links(components(edges), texts, n, percent), "join-links"))
 
 
 # -- the operator ------------------------------------------------------------
@@ -371,7 +454,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = written(plain.mapInArrow(_classes(shingle), _SETS), "join-sets")
     whole = sets.filter("n_shingles > 0 and id is not null")
-    classes = whole.groupBy("class", "node").agg(F.min("id").alias("rep"))
+    classes = whole.groupBy("class", "node").agg(F.min("id").alias("rep"), F.max("n_shingles").alias("n_shingles"))
 
     largest = whole.agg(F.max("n_shingles")).first()[0]
     if largest is None:
@@ -382,7 +465,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     packed = plain.mapInArrow(_signatures(shingle, percent, edges, plan, parts), _PACKED)
     live = packed.repartition(max(parts, 2), "part").mapInArrow(_shared, _LIVE)
     live = written(live.join(classes.select("node", "rep"), "node").select("key", "deleted", "rep").distinct(), "join-live")
-    texts = written(plain.filter("id is not null").join(live.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "join-texts")
+    involved = live.select("rep").distinct().join(classes, "rep").select(F.col("rep").alias("id"), "n_shingles").distinct()
+    texts = written(plain.filter("id is not null").join(involved, "id"), "join-texts")
 
     ids = whole.join(classes.select("class", "rep"), "class").select("id", "rep")
     same = ids.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter("a <> b")  # ids with several texts
@@ -414,3 +498,12 @@ def _plan(sets: DataFrame, edges: list[int], percent: int) -> tuple[list[Allocat
 def join_report(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
     return jaccard_components(docs, shingle, percent).select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component, the smallest doc_id; same columns.
+    Rows without a doc_id or without words stay; rows that share a doc_id stay together."""
+    found = jaccard_components(docs, shingle, percent)
+    lost = fresh("lost_id", docs.columns)
+    gone = found.filter("id <> component").select(F.col("id").alias(lost)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(lost), "left_anti").select(docs.columns)

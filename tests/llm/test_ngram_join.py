@@ -111,6 +111,21 @@ def test_large_group_of_near_copies_and_hot_signatures(spark, monkeypatch):
     assert got == brute(rows, 3, 90)
 
 
+def test_clusters_cut_into_blocks(spark, monkeypatch):
+    """Copies at all distances around the threshold, compared block by block."""
+    monkeypatch.setattr(J, "_BLOCK", 16)
+    r = random.Random(9)
+    rows = []
+    for i in range(150):
+        ws = [f"b{k}" for k in range(150)]
+        for _ in range(r.randrange(9)):
+            ws[r.randrange(150)] = f"n{r.randrange(10**6)}"
+        rows.append((i, " ".join(ws[:150 - r.randrange(30)])))
+    got = {r.doc_id: r.component_id for r in J.join_report(documents(spark, rows)).collect()}
+    want = brute(rows, 3, 90)
+    assert got == want and len(set(want.values())) > 20
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 3)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
