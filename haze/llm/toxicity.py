@@ -25,7 +25,6 @@ extra columns are not read; empty tables give an empty result.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -52,36 +51,36 @@ LEXICON = (
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _gram(kind: str, s: str) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{kind}{s}".encode(), digest_size=8).digest(), "little", signed=True)
-
-
 class _Grams(dict):
-    """Raw word -> ids of its features: the word and its first 4, 5 and 6 letters.
-    Emptied at ``size`` words."""
+    """Raw word -> its features: ``=word`` and its first 4, 5 and 6 letters as ``^lett``.
+    keep: the features to look for and what stands for them. Emptied when full."""
 
-    def __init__(self, size: int, keep: dict[int, int] | None = None):
+    SIZE = 300_000
+
+    def __init__(self, keep: dict[str, int] | None = None):
         super().__init__()
-        self.size, self.keep = size, keep
+        self.keep = keep
 
-    def __missing__(self, raw: str) -> tuple[int, ...]:
-        if len(self) >= self.size:
+    def __missing__(self, raw: str) -> tuple:
+        if len(self) >= self.SIZE:
             self.clear()
-        ids = []
+        found = []
         for w in _LETTERS.findall(raw.lower()):
-            if len(w) <= 40:
-                ids.append(_gram("=", w))
-            ids += [_gram("^", w[:k]) for k in (4, 5, 6) if len(w) >= k]
+            n = len(w)
+            if n <= 40:
+                found.append("=" + w)
+            if n >= 4:
+                found += ["^" + w[:k] for k in range(4, min(n, 6) + 1)]
         if self.keep is not None:
-            ids = [self.keep[i] for i in ids if i in self.keep]
-        out = self[raw] = tuple(dict.fromkeys(ids))
+            found = [self.keep[f] for f in found if f in self.keep]
+        out = self[raw] = tuple(found)
         return out
 
     def __reduce__(self):  # travels empty
-        return _Grams, (self.size, self.keep)
+        return _Grams, (self.keep,)
 
 
-def _features(grams: _Grams, text: str | None) -> set[int]:
+def _features(grams: _Grams, text: str | None) -> set:
     return set().union(*map(grams.__getitem__, set(text.split()))) if text else set()
 
 
@@ -89,48 +88,56 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-# -- voters ------------------------------------------------------------------
+# -- features and voters -----------------------------------------------------
 
-def _g_test(a: np.ndarray, b: np.ndarray, pos: float, neg: float) -> np.ndarray:
-    """G statistic of documents with a feature (a of pos toxic, b of neg other)."""
-    share = (a + b) / max(pos + neg, 1e-9)
+def _g_test(a: Column, b: Column, pos: float, neg: float) -> Column:
+    """G statistic of a feature that a of pos toxic and b of neg other documents have."""
+    share = (a + b) / F.lit(pos + neg)
 
-    def part(seen, expected):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(seen > 0, seen * np.log(seen / expected), 0.0)
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     return 2 * (part(a, pos * share) + part(b, neg * share)
-                + part(pos - a, pos * (1 - share)) + part(neg - b, neg * (1 - share)))
+                + part(F.lit(pos) - a, pos * (1 - share)) + part(F.lit(neg) - b, neg * (1 - share)))
 
 
-def _induced(docs: DataFrame, sample: DataFrame, max_voters: int) -> tuple[list[int], float, float]:
-    """Ids of the strongest toxic features of the labelled rows, and the rows' counts."""
+def _induced(docs: DataFrame, sample: DataFrame, max_voters: int, max_features: int) -> tuple[list[str], list[str]]:
+    """(voters, features): the features that tell the labelled rows apart best, and
+    of those the ones that speak for toxic strongly."""
     rows = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")  # the sample is bounded
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = _Grams(300_000)
+        grams = _Grams()
         for batch in batches:
             sides = (Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sides[toxic][None] += 1
                 sides[toxic].update(_features(grams, text))
-            ids = list(sides[0].keys() | sides[1].keys())
+            names = list(sides[0].keys() | sides[1].keys())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([sides[1][i] for i in ids], pa.int64()),
-                 pa.array([sides[0][i] for i in ids], pa.int64())], names=["gram", "pos", "neg"])
-    counts = written(rows.mapInArrow(count, "gram long, pos long, neg long").groupBy("gram").agg(
+                [pa.array(names, pa.string()), pa.array([sides[1][i] for i in names], pa.int64()),
+                 pa.array([sides[0][i] for i in names], pa.int64())], names=["gram", "pos", "neg"])
+    counts = written(rows.mapInArrow(count, "gram string, pos long, neg long").groupBy("gram").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "tox-grams")
     total = counts.filter("gram is null").first()
     if total is None or not total.pos or not total.neg:
-        return [], 0.0, 0.0
+        return [], []
     p, n = float(total.pos), float(total.neg)
-    strong = counts.filter("gram is not null").filter((F.col("pos") >= 3) & (
-        (F.col("pos") + 0.5) / F.lit(p + 1) > 8 * (F.col("neg") + 0.5) / F.lit(n + 1)))
-    value = F.col("pos") * F.log((F.col("pos") + 0.5) * F.lit((n + 1) / (p + 1)) / (F.col("neg") + 0.5))
-    top = strong.orderBy(value.desc(), "gram").limit(4 * max_voters).collect()  # a top-k report
-    if not top:
-        return [], p, n
-    g = _g_test(np.array([r.pos for r in top], float), np.array([r.neg for r in top], float), p, n)
-    return [r.gram for r, x in zip(top, g) if x > 18][:max_voters], p, n
+    top = (counts.filter("gram is not null and pos + neg >= 3").withColumn("g", _g_test(F.col("pos"), F.col("neg"), p, n))
+           .filter("g > 15").orderBy(F.col("g").desc(), "gram").limit(max_features).collect())  # a top-k report
+    strong = [r for r in top if r.g > 18 and r.pos >= 3 and (r.pos + 0.5) / (p + 1) > 8 * (r.neg + 0.5) / (n + 1)]
+    return [r.gram for r in strong[:max_voters]], [r.gram for r in top]
+
+
+def _featured(docs: DataFrame, features: list[str]) -> DataFrame:
+    """(doc_id, features): the indices of each whole text's features, 2 bytes each."""
+    shared = share(docs.sparkSession, {f: i for i, f in enumerate(features)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = _Grams(shared())
+        for batch in batches:
+            found = [np.array(sorted(_features(grams, t)), np.uint16).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "features"])
+    return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, features binary"), "tox-features")
 
 
 # -- label model -------------------------------------------------------------
@@ -155,11 +162,12 @@ class LabelModel:
         self.a = (a_sum + 1.0) / (toxic + 20.0)
         self.b = (b_sum + 0.5) / (other + 5000.0)
         self.b = np.minimum(self.b, self.a / 2)  # a voter never speaks for the other class
-        cov = (pairs + np.outer(self.a, self.a)) / (toxic + 1.0) - np.outer(self.a, self.a)
-        sd = np.sqrt(self.a * (1 - self.a))
-        rho = np.clip(cov / np.outer(sd, sd), 0, 1)
+        rate = np.clip(a_sum / max(toxic, 1e-9), 0, 1)
+        sd = np.sqrt(np.maximum(rate * (1 - rate), 1e-6))
+        rho = np.clip((pairs / max(toxic, 1e-9) - np.outer(rate, rate)) / np.outer(sd, sd), 0, 1)
         np.fill_diagonal(rho, 0)
-        self.weight = 1 / (1 + np.where(rho > 0.1, rho, 0).sum(axis=1))
+        sure = max(0.3, 3 / np.sqrt(toxic + 1.0))  # weaker ones may be chance
+        self.weight = 1 / (1 + np.where(rho > sure, rho, 0).sum(axis=1))
 
 
 def _matrix(patterns: list[bytes], voters: int) -> np.ndarray:
@@ -169,25 +177,24 @@ def _matrix(patterns: list[bytes], voters: int) -> np.ndarray:
     return m
 
 
-def _vote_patterns(docs: DataFrame, voters: list[int], labelled: dict[int, int]) -> DataFrame:
-    """(pattern, n, pos, neg): the sets of voters that documents show, over all
-    documents, counted in each batch first. labelled is bounded."""
-    shared = share(docs.sparkSession, (dict(zip(voters, range(len(voters)))), labelled))
+def _vote_patterns(featured: DataFrame, voters: int, labelled: dict[int, int]) -> DataFrame:
+    """(pattern, n, pos, neg): the sets of voters (the first features) that documents
+    show, over all documents, counted in each batch first. labelled is bounded."""
+    shared = share(featured.sparkSession, labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, known = shared()
-        grams = _Grams(300_000, at)
+        known = shared()
         for batch in batches:
             n, pos, neg = Counter(), Counter(), Counter()
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                p = np.array(sorted(_features(grams, text)), np.uint16).tobytes()
+            for i, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.frombuffer(found, np.uint16)
                 label = known.get(i)
-                (n if label is None else pos if label else neg)[p] += 1
+                (n if label is None else pos if label else neg)[ids[ids < voters].tobytes()] += 1
             keys = list(n.keys() | pos.keys() | neg.keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.binary()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (n, pos, neg))],
                 names=["pattern", "n", "pos", "neg"])
-    rows = docs.select("doc_id", "text").mapInArrow(run, "pattern binary, n long, pos long, neg long")
+    rows = featured.mapInArrow(run, "pattern binary, n long, pos long, neg long")
     return written(rows.groupBy("pattern").agg(*(F.sum(c).alias(c) for c in ("n", "pos", "neg"))), "tox-patterns")
 
 
@@ -219,7 +226,8 @@ def _expectations(patterns: DataFrame, model: LabelModel, unlabelled: float) ->
 def fit_label_model(patterns: DataFrame, voters: int, given: int, rounds: int = 4) -> LabelModel:
     """given: the first so many voters are the fixed lexicon. The first round uses
     labelled rows only, the others all documents."""
-    model = LabelModel(0.1, np.full(voters, 0.2), np.full(voters, 0.002))
+    prior = 0.1
+    model = LabelModel(prior, np.full(voters, 0.2), np.full(voters, 0.002))
     for step in range(rounds):
         got = _expectations(patterns, model, 0.0 if step == 0 else 1.0)
         if step == 0 and not got.get((-1, -1)):
@@ -231,7 +239,10 @@ def fit_label_model(patterns: DataFrame, voters: int, given: int, rounds: int =
         col = lambda k: np.array([got.get((j, k), 0.0) for j in range(voters)])
         seen = col(-1) + col(-2)
         model.refit(got[-1, -1], got[-2, -2], col(-1), col(-2), pairs)
-        if step == 0:  # a fixed voter that no labelled row shows keeps its prior rate
+        if step:
+            model.prior = prior  # as the labelled rows have it
+        else:  # a fixed voter that no labelled row shows keeps its prior rate
+            prior = model.prior
             unseen = (np.arange(voters) < given) & (seen == 0)
             model.a[unseen], model.b[unseen] = 0.05, 0.0005
     return model
@@ -239,121 +250,108 @@ def fit_label_model(patterns: DataFrame, voters: int, given: int, rounds: int =
 
 # -- classifier --------------------------------------------------------------
 
-def _train(rows: list[tuple[float, float, set[int]]], max_features: int) -> tuple[dict[int, float], float]:
-    """Sparse logistic regression on (posterior, row weight, features): features with
-    a G statistic over 15, weights by gradient steps of decreasing size per weight."""
-    pos, neg = Counter(), Counter()
-    for p, w, feats in rows:
-        for f in feats:
-            pos[f] += p * w
-            neg[f] += (1 - p) * w
-    p_all, n_all = sum(p * w for p, w, _ in rows), sum((1 - p) * w for p, w, _ in rows)
-    ids = np.array(list(pos.keys()), np.int64)
-    bias = float(np.log((p_all + 0.1) / (n_all + 1)))
-    if not len(ids):
-        return {}, bias
-    a, b = np.array([pos[i] for i in ids.tolist()]), np.array([neg[i] for i in ids.tolist()])
-    g = _g_test(a, b, p_all, n_all)
-    keep = np.argsort(-g, kind="stable")[:max_features]
-    keep = keep[g[keep] > 15]
-    at = {int(f): i for i, f in enumerate(ids[keep])}
-    if not at:
-        return {}, bias
-    cols = [np.array([at[f] for f in feats if f in at], np.int64) for _, _, feats in rows]
-    idx, lens = np.concatenate(cols), np.array([len(c) for c in cols])
-    row = np.repeat(np.arange(len(rows)), lens)
+def _train(rows: list[tuple[float, float, np.ndarray]], features: int, penalty: float = 1e-4, steps: int = 1500) -> tuple[np.ndarray, float]:
+    """Logistic regression on (posterior, row weight, feature indices), by gradient
+    steps that shrink per weight; returns the weights and the bias."""
     y, weight = np.array([p for p, _, _ in rows]), np.array([w for _, w, _ in rows])
+    w, acc, acc0 = np.zeros(features), np.full(features, 1e-8), 1e-8
+    if not len(rows):
+        return w, -3.0
     weight = weight / weight.sum()
-    w, acc, acc0 = np.zeros(len(at)), np.full(len(at), 1e-8), 1e-8
-    for _ in range(400):
+    share = float(y @ weight)
+    bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
+    lens = np.array([len(f) for _, _, f in rows])
+    idx = np.concatenate([f for _, _, f in rows]).astype(np.int64)
+    row = np.repeat(np.arange(len(rows)), lens)
+    for _ in range(steps):
         z = bias + np.bincount(row, w[idx], minlength=len(rows))
         d = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * weight
-        grad = np.bincount(idx, d[row], minlength=len(at)) + 2e-6 * w
+        grad = np.bincount(idx, d[row], minlength=features) + penalty * w
         acc, acc0 = acc + grad ** 2, acc0 + d.sum() ** 2
         w -= 0.5 * grad / np.sqrt(acc)
         bias -= 0.1 * d.sum() / np.sqrt(acc0)
-    return {int(ids[keep][i]): float(v) for i, v in enumerate(w)}, float(bias)
+    return w, float(bias)
 
 
 class ToxicityModel:
-    def __init__(self, weights: dict[int, float], bias: float):
-        self.ids = {f: i for i, f in enumerate(weights)}
-        self.weights, self.bias = np.array(list(weights.values())), bias
-        self._grams = None
+    """A weight for each feature and a bias."""
 
-    def score(self, text: str | None) -> float:
-        if self._grams is None:
-            self._grams = _Grams(300_000, self.ids)
-        at = _features(self._grams, text)
-        z = self.bias + (float(self.weights[list(at)].sum()) if at else 0.0)
+    def __init__(self, features: list[str], weights: np.ndarray, bias: float):
+        self.features, self.weights, self.bias = features, weights, bias
+        self._grams: _Grams | None = None
+
+    def score_features(self, found) -> float:
+        z = self.bias + float(self.weights[found].sum())
         return float(1 / (1 + np.exp(-min(max(z, -40.0), 40.0))))
 
-    def __getstate__(self):
-        return self.__dict__ | {"_grams": None}
+    def score(self, text: str | None) -> float:
+        if self._grams is None:
+            self._grams = _Grams({f: i for i, f in enumerate(self.features)})
+        return self.score_features(sorted(_features(self._grams, text)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_rows: int = MAX_ROWS,
-        max_voters: int = MAX_VOTERS, max_features: int = MAX_FEATURES) -> ToxicityModel:
+def _fitted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_rows: int = MAX_ROWS,
+            max_voters: int = MAX_VOTERS, max_features: int = MAX_FEATURES) -> tuple[ToxicityModel, DataFrame]:
+    """The model, and (doc_id, features) of all documents."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")))
     sample = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "tox-labels")
     labelled = {r.doc_id: r.toxic for r in sample.collect()}  # at most max_labelled
-    fixed = [_gram("=", w) for w in dict.fromkeys(LEXICON)]
-    induced, _, _ = _induced(docs, sample, max_voters)
-    voters = list(dict.fromkeys(fixed + induced))
-    patterns = _vote_patterns(docs, voters, labelled)
+    fixed = ["=" + w for w in dict.fromkeys(LEXICON)]
+    strong, others = _induced(docs, sample, max_voters, max_features)
+    voters = list(dict.fromkeys(fixed + strong))
+    features = list(dict.fromkeys(voters + others))
+    featured = _featured(docs, features)
+    patterns = _vote_patterns(featured, len(voters), labelled)
     model = fit_label_model(patterns, len(voters), len(fixed))
 
     # classifier rows: half of the bound for likely toxic, half for other documents, by a hash of the id
     total = _expectations(patterns, model, 1.0)
     rates = [min(1.0, max_rows / 2 / max(total.get(k, 0.0), 1.0)) for k in ((-1, -1), (-2, -2))]
-    shared = share(docs.sparkSession, (dict(zip(voters, range(len(voters)))), labelled, model))
+    shared = share(docs.sparkSession, (len(voters), labelled, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, known, label_model = shared()
-        grams, votes = _Grams(300_000), _Grams(300_000, at)
+        voters, known, label_model = shared()
         for batch in batches:
-            out = []
-            for i, text, u in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if u >= max(rates):
-                    continue
-                v = np.zeros((1, len(at)), np.float32)
-                v[0, list(_features(votes, text))] = 1
-                p = float(known[i]) if i in known else float(label_model.posterior(v)[0])
-                rate = rates[0] if p >= 0.5 else rates[1]
-                if u < rate:
-                    out.append((p, 1 / rate, u, np.array(sorted(_features(grams, text)), np.int64).tobytes()))
-            cols = list(zip(*out)) if out else [[]] * 4
+            ids, found, place = (batch.column(k).to_pylist() for k in range(3))
+            votes = np.zeros((len(ids), voters), np.float32)
+            for row, f in enumerate(found):
+                f = np.frombuffer(f, np.uint16)
+                votes[row, f[f < voters]] = 1
+            p = label_model.posterior(votes)
+            given = [known.get(i) for i in ids]
+            p = np.array([v if g is None else float(g) for v, g in zip(p.tolist(), given)])
+            rate = np.where(p >= 0.5, rates[0], rates[1])
+            take = np.flatnonzero(np.array(place) < rate)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.float64(), pa.float64(), pa.binary()))],
-                names=["p", "w", "u", "features"])
+                [pa.array(p[take]), pa.array(1 / rate[take]), pa.array([place[k] for k in take], pa.float64()),
+                 pa.array([found[k] for k in take], pa.binary())], names=["p", "w", "u", "features"])
     place = (F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id"), 11) / F.lit(float(1 << 53))).alias("u")
-    taken = (docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", place)
+    taken = (featured.filter(~held_out(F.col("doc_id"))).select("doc_id", "features", place)
              .mapInArrow(run, "p double, w double, u double, features binary").limit(2 * max_rows).collect())
-    rows = [(r.p, r.w, set(np.frombuffer(r.features, np.int64).tolist())) for r in sorted(taken, key=lambda r: (r.u, r.features))]
-    weights, bias = _train(rows, max_features)
-    return ToxicityModel(weights, bias)
+    rows = [(r.p, r.w, np.frombuffer(r.features, np.uint16)) for r in sorted(taken, key=lambda r: (r.u, r.features))]
+    return ToxicityModel(features, *_train(rows, len(features))), featured
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    model = share(docs.sparkSession, fit(docs, labels, **bounds))  # at most max_features weights
+    fitted, featured = _fitted(docs, labels, **bounds)
+    model = share(docs.sparkSession, fitted)  # at most max_features weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = [model().score(t) for t in batch.column(1).to_pylist()]
+            s = [model().score_features(np.frombuffer(f, np.uint16)) for f in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return (plain.mapInArrow(run, "doc_id long, score double")
+    return (featured.mapInArrow(run, "doc_id long, score double")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """``docs`` without the rows that score ``THRESHOLD`` or more; same columns, no shuffle."""
-    model = share(docs.sparkSession, fit(docs, labels, **bounds))
+    model = share(docs.sparkSession, _fitted(docs, labels, **bounds)[0])
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
