@@ -41,8 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--start", required=True)
     b.add_argument("--end", required=True)
     b.add_argument("--ledger", required=True, help="table of completed days")
-    b.add_argument("--out", required=True)
-    b.add_argument("--quarantine")
+    b.add_argument("--out", required=True, help="raw readings table")
+    b.add_argument("--quarantine", help="default: invalid_records beside the raw table")
     b.add_argument("--run-ts")
     b.add_argument("--json-lines", action="store_true")
 
@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--archive", required=True)
     w.add_argument("--start", required=True)
     w.add_argument("--end", required=True)
-    w.add_argument("--out", required=True)
+    w.add_argument("--out", required=True, help="raw weather table; the range's dates of the given cities are replaced")
     w.add_argument("--cities", help="JSON array of {city, lat, lon} (default: packaged list)")
     w.add_argument("--all-cities", action="store_true", help="keep every city of the archive")
     w.add_argument("--wind-unit", default="as_is", choices=["as_is", "ms", "kmh"])
@@ -70,6 +70,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--readings", required=True)
     s.add_argument("--quarantine", required=True)
     s.add_argument("--checkpoint", required=True)
+    s.add_argument("--source", default="aqi", choices=["aqi", "weather"])
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--json-lines", action="store_true")
     return p
@@ -112,9 +113,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"rows={n}")
         return 0
     if args.cmd in ("freshness", "test"):
-        from haze.operators import enrich, quality
+        from haze import sinks
+        from haze.operators import quality
         from haze.plans import pipeline
-        from haze.sources import seeds
         wh = args.warehouse
         if args.cmd == "freshness":
             report = quality.source_freshness({
@@ -127,9 +128,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             stg = spark.read.parquet(f"{wh}/stg/readings")
             wx = spark.read.parquet(f"{wh}/stg/weather")
-            cat = enrich.with_category(stg, seeds.default_breakpoints(spark))
-            joined = spark.read.parquet(f"{wh}/int/aqi_weather_joined")
-            report = quality.all_checks(stg, wx, cat, joined, args.as_of)
+            joined = spark.read.parquet(f"{wh}/int/aqi_weather_joined")  # with the categories that the run gave
+            metrics = sinks.read_table(spark, f"{wh}/quality/metrics", "run_timestamp timestamp")
+            report = quality.all_checks(stg, wx, joined, joined, args.as_of).unionByName(
+                quality.metrics_fresh_check(metrics, args.as_of))
             bad = "fail"
         rows = report.collect()  # one row per source or test
         for r in rows:
@@ -137,7 +139,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 1 if any(r.status == bad for r in rows) else 0
     from haze.streaming import ingest
     q = ingest.start_ingest(spark, args.landing, args.readings, args.quarantine, args.checkpoint,
-                            multiline, args.max_files_per_trigger)
+                            multiline, args.max_files_per_trigger, source=args.source)
     q.awaitTermination()
     return 0
 

@@ -41,11 +41,11 @@ def epoch_to_timestamp(c: ColumnOrName) -> Column:
     """Integer epoch of unknown unit -> TIMESTAMP (s, ms, µs or ns by magnitude).
 
     Nanoseconds are rounded half away from zero to microseconds, like a cast of
-    the quotient to an integer.
+    the quotient to an integer. Values beyond any instant are NULL.
     """
     x = _col(c).cast("long")
     return (
-        F.when(x.isNull(), F.lit(None).cast("timestamp"))
+        F.when(x.isNull() | (x < -MILLIS_FROM) | (x > 2**63 - 501), F.lit(None).cast("timestamp"))
         .when(x >= NANOS_FROM, F.timestamp_micros(int_div(x + 500, 1000)))
         .when(x >= MICROS_FROM, F.timestamp_micros(x))
         .when(x >= MILLIS_FROM, F.timestamp_millis(x))

@@ -2,18 +2,18 @@
 
 All pending days run in one job: the readings are joined to the pending-day
 spine (its size is fixed by the requested date range, so broadcasting it is
-safe) and written with dynamic partition overwrite by date, so a replayed day
-replaces its own files and nothing else. The ledger (a small table of done
-days) is appended after the data write succeeds.
+safe) and written into the raw tables' own layout (``load_id=...``) with dynamic
+partition overwrite, so a replayed day replaces its own files and nothing else.
+The ledger (a small table of done days) is appended after the data write succeeds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from haze import sinks
+from haze.functions.exprs import parse_local_datetime
 from haze.functions.joins import maybe_broadcast
 from haze.operators import validate
 from haze.session import checkpoint_root, ensure_utc
@@ -41,34 +41,44 @@ def rows_on_days(rows: DataFrame, ts_col: str, days: DataFrame) -> DataFrame:
         .withColumnRenamed("_day", "reading_date")
 
 
-def _read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema("day date").parquet(path)
-    except AnalysisException:  # no ledger yet
-        return spark.createDataFrame([], "day date")
-
-
 def backfill_readings(spark: SparkSession, landing_path: str, start: str, end: str,
                       ledger_path: str, out_path: str, run_ts: Column,
-                      quarantine_path: str | None = None, multiline: bool = True) -> int:
+                      quarantine_path: str | None = None, multiline: bool = True,
+                      fallback_first: bool = True) -> int:
     """Replay landed AQI pages for the pending days of [start, end].
 
-    Records are validated (failures go to the quarantine when a path is given),
-    normalized, kept when their UTC reading date is pending, and written by
-    ``reading_date`` with dynamic overwrite. Returns rows written.
+    Records are validated (``fallback_first``: archived records may carry
+    ``pollutant_*`` names only), normalized, kept when their UTC reading date is
+    pending, and written to the raw table as load ``backfill-<day>``, which a
+    replay replaces. Failures dated on a pending day or not at all go to the
+    quarantine (default: ``invalid_records`` beside the raw table), replacing
+    those of an earlier try. Only days that got rows are
+    closed in the ledger. Returns rows written.
     """
-    pending = pending_days(day_spine(spark, start, end), _read_ledger(spark, ledger_path))
-    # tiny, and read again after the ledger grows: pin it
+    pending = pending_days(day_spine(spark, start, end), sinks.read_table(spark, ledger_path, "day date"))
     checkpoint_root(spark)
-    pending = pending.checkpoint()
+    pending = pending.checkpoint()  # tiny, and read again after the ledger grows: pin it
+    if pending.isEmpty():
+        return 0
+    quarantine_path = quarantine_path or f"{out_path.rstrip('/').rpartition('/')[0]}/invalid_records"
     records = landing.aqi_records(landing.read_aqi_pages(spark, landing_path, multiline))
-    checked = validate.validate_readings(records)
-    if quarantine_path:
-        sinks.write_quarantine(validate.quarantine_rows(checked, "aqi", run_ts), quarantine_path)
-    good = validate.normalize_readings(checked.where(F.col("error_field").isNull()), run_ts)
-    rows = rows_on_days(good, "reading_timestamp", pending)
-    n = sinks.overwrite_partitions(rows, out_path, ["reading_date"])
-    sinks.write_table(pending, ledger_path, "append")
+    checked = validate.validate_readings(records, fallback_first).persist()
+    try:
+        day = F.to_date(parse_local_datetime("last_update"))
+        days = maybe_broadcast(pending.select(F.col("day").alias("_day")))
+        failed = checked.where(F.col("error_field").isNotNull())
+        for part, load in ((failed.where(day.isNull()), F.lit(f"backfill-undated-{start}-{end}")),
+                           (failed.join(days, day == F.col("_day"), "left_semi"), F.concat(F.lit("backfill-"), day.cast("string")))):
+            bad = validate.quarantine_rows(part.withColumn("_load", load), "aqi", run_ts, keep=("_load",))
+            sinks.overwrite_partitions(bad.drop("source").withColumnRenamed("_load", "load_id"), f"{quarantine_path}/source=aqi", ["load_id"])
+        good = validate.normalize_readings(checked.where(F.col("error_field").isNull()), run_ts)
+        rows = rows_on_days(good, "reading_timestamp", pending)
+        rows = rows.withColumn("load_id", F.concat(F.lit("backfill-"), F.col("reading_date").cast("string"))).drop("reading_date")
+        n = sinks.overwrite_partitions(rows, out_path, ["load_id"])
+        done = rows_on_days(good, "reading_timestamp", pending).select(F.col("reading_date").alias("day")).distinct()
+        sinks.write_table(done, ledger_path, "append")
+    finally:
+        checked.unpersist()
     return n
 
 
@@ -76,11 +86,13 @@ def backfill_weather(spark: SparkSession, archive_path: str, start: str, end: st
                      out_path: str, run_ts: Column, cities: DataFrame | None = None,
                      wind_unit: str = "as_is", multiline: bool = True) -> int:
     """Explode landed archive payloads for [start, end] (and the given cities)
-    into raw weather rows, written by date with dynamic overwrite."""
+    into raw weather rows, written as load ``archive-<date>-<city>``: a replay
+    replaces the same dates of the same cities and nothing else."""
     ensure_utc(spark)
     rows = landing.hourly_rows(landing.read_archive(spark, archive_path, multiline), run_ts, wind_unit)
-    rows = rows.where(F.to_date("recorded_at").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    day = F.to_date("recorded_at")
+    rows = rows.where(day.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
     if cities is not None:
         rows = rows.join(maybe_broadcast(cities.select("city")), "city", "left_semi")
-    rows = rows.withColumn("recorded_date", F.to_date("recorded_at"))
-    return sinks.overwrite_partitions(rows, out_path, ["recorded_date"])
+    rows = rows.withColumn("load_id", F.concat(F.lit("archive-"), day.cast("string"), F.lit("-"), F.coalesce("city", F.lit(""))))
+    return sinks.overwrite_partitions(rows, out_path, ["load_id"])

@@ -36,11 +36,20 @@ def _hours_before(ts: Column, n: int) -> Column:
     return ts - F.make_interval(hours=F.lit(n))
 
 
-def _tagged(src: str, df: DataFrame, t: str, fetched: str | None, extra: dict[str, Column]) -> DataFrame:
-    cols = [F.lit(src).alias("_src"), F.col(t).cast("timestamp").alias("_t"),
-            (F.col(fetched).cast("timestamp") if fetched else F.lit(None).cast("timestamp")).alias("_fetched")]
-    cols += [v.alias(k) for k, v in extra.items()]
-    return df.select(*cols)
+def _since(df: DataFrame, t: str, since: Column) -> DataFrame:
+    """Rows from ``since`` on; a date partition column of the table prunes files first."""
+    for part in (f"{t}_date", t.replace("_hour", "_date")):
+        if part in df.columns and part != t:
+            df = df.where(F.col(part) >= F.to_date(since))
+    return df.where(F.col(t).cast("timestamp") >= since)
+
+
+def _one_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
+    """One row from one-row aggregates that each know some of the columns."""
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    return u.agg(*(F.max(n).alias(n) for n in names))
 
 
 def quality_metrics(stg: DataFrame, wx: DataFrame, invalid: DataFrame,
@@ -48,29 +57,24 @@ def quality_metrics(stg: DataFrame, wx: DataFrame, invalid: DataFrame,
     """One row: recent row counts per source, pm25/pm10 NULL rates of the last
     hour, minutes since the latest AQI fetch, and alarm flags.
 
-    The three sources are narrowed, unioned and reduced by one global
-    aggregation (no join of one-row frames).
+    Each source is filtered to the last hour before it is aggregated, so the
+    filter reaches the scan (and its date partitions); only the newest fetch
+    reads one column of all rows.
     """
     ensure_utc(stg.sparkSession)
     now = _as_of(as_of)
     since = _hours_before(now, 1)
-    null_flags = {"_pm25_null": F.col("pm25").isNull(), "_pm10_null": F.col("pm10").isNull()}
-    none = {k: F.lit(None).cast("boolean") for k in null_flags}
-    u = (_tagged("aqi", stg, "reading_hour", "latest_fetched_at", null_flags)
-         .unionByName(_tagged("weather", wx, "weather_hour", None, none))
-         .unionByName(_tagged("quarantine", invalid, "quarantined_at", None, none)))
-    src, recent = F.col("_src"), F.col("_t") >= since
-    aqi_recent = (src == "aqi") & recent
-    m = u.agg(
-        F.max(F.when(src == "aqi", F.col("_fetched"))).alias("_last_fetch"),
-        F.count_if(aqi_recent).alias("aqi_rows_last_hour"),
-        F.count_if((src == "weather") & recent).alias("weather_rows_last_hour"),
-        F.count_if((src == "quarantine") & recent).alias("quarantine_rows_last_hour"),
-        F.try_divide(F.count_if(aqi_recent & F.col("_pm25_null")),
-                     F.count_if(aqi_recent)).alias("null_pm25_rate"),
-        F.try_divide(F.count_if(aqi_recent & F.col("_pm10_null")),
-                     F.count_if(aqi_recent)).alias("null_pm10_rate"),
-    )
+    n = F.count(F.lit(1))
+    m = _one_row([
+        _since(stg, "reading_hour", since).agg(
+            n.alias("aqi_rows_last_hour"), F.count_if(F.col("pm25").isNull()).alias("_no25"),
+            F.count_if(F.col("pm10").isNull()).alias("_no10")),
+        _since(wx, "weather_hour", since).agg(n.alias("weather_rows_last_hour")),
+        _since(invalid, "quarantined_at", since).agg(n.alias("quarantine_rows_last_hour")),
+        stg.agg(F.max(F.col("latest_fetched_at").cast("timestamp")).alias("_last_fetch")),
+    ], ["aqi_rows_last_hour", "weather_rows_last_hour", "quarantine_rows_last_hour", "_no25", "_no10", "_last_fetch"])
+    m = m.withColumns({"null_pm25_rate": F.try_divide("_no25", "aqi_rows_last_hour"),
+                       "null_pm10_rate": F.try_divide("_no10", "aqi_rows_last_hour")})
     failures = test_failures if isinstance(test_failures, Column) else F.lit(test_failures)
     return m.select(
         now.alias("run_timestamp"),
@@ -90,16 +94,14 @@ def pipeline_health(stg: DataFrame, wx: DataFrame, as_of: str | Column | None =
     ensure_utc(stg.sparkSession)
     now = _as_of(as_of)
     since = _hours_before(now, 24)
-    u = (_tagged("aqi", stg, "reading_hour", "latest_fetched_at", {})
-         .unionByName(_tagged("weather", wx, "weather_hour", "fetched_at", {})))
-    src, recent = F.col("_src"), F.col("_t") >= since
-    return u.agg(
-        F.count_if((src == "aqi") & recent).alias("aqi_rows_last_24h"),
-        F.count_if((src == "weather") & recent).alias("weather_rows_last_24h"),
-        F.max(F.when(src == "aqi", F.col("_fetched"))).alias("last_aqi_fetch"),
-        F.max(F.when(src == "weather", F.col("_fetched"))).alias("last_weather_fetch"),
-    ).select(now.alias("run_timestamp"), "aqi_rows_last_24h", "weather_rows_last_24h",
-             "last_aqi_fetch", "last_weather_fetch")
+    n = F.count(F.lit(1))
+    return _one_row([
+        _since(stg, "reading_hour", since).agg(n.alias("aqi_rows_last_24h")),
+        _since(wx, "weather_hour", since).agg(n.alias("weather_rows_last_24h")),
+        stg.agg(F.max(F.col("latest_fetched_at").cast("timestamp")).alias("last_aqi_fetch")),
+        wx.agg(F.max(F.col("fetched_at").cast("timestamp")).alias("last_weather_fetch")),
+    ], ["aqi_rows_last_24h", "weather_rows_last_24h", "last_aqi_fetch", "last_weather_fetch"]).select(
+        now.alias("run_timestamp"), "aqi_rows_last_24h", "weather_rows_last_24h", "last_aqi_fetch", "last_weather_fetch")
 
 
 # ---------------------------------------------------------------- checks
@@ -153,10 +155,12 @@ def joined_checks(joined: DataFrame) -> DataFrame:
 
 
 def metrics_fresh_check(metrics: DataFrame, as_of: str | Column | None = None) -> DataFrame:
+    """Fails when the newest metrics row is too old, or there is none."""
     ensure_utc(metrics.sparkSession)
     now = _as_of(as_of)
-    return run_checks("quality_metrics", metrics, {
-        "quality_metrics_fresh": F.col("run_timestamp") < _hours_before(now, METRICS_MAX_AGE_HOURS)})
+    newest = metrics.agg(F.max("run_timestamp").alias("newest"))
+    return run_checks("quality_metrics", newest, {
+        "quality_metrics_fresh": F.coalesce(F.col("newest") < _hours_before(now, METRICS_MAX_AGE_HOURS), F.lit(True))})
 
 
 def all_checks(stg: DataFrame, wx: DataFrame, cat: DataFrame, joined: DataFrame,

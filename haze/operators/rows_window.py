@@ -4,7 +4,6 @@
 city holding a third of the data would be sorted and scanned by one core.
 ``over_rows`` gives the same answers with bounded tasks:
 
-0. Measure the largest key; if it fits in one block, a plain window is used.
 1. Number the rows of each key in order (``_idx``) without a per-key task: a
    range repartition on (key, order) splits even a hot key over many tasks;
    each row's position inside its sorted task plus the row counts of the
@@ -125,16 +124,12 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Fr
     """``df`` plus one column per spec, as ``func OVER (PARTITION BY key ORDER
     BY order ROWS ...)``.
 
-    ``block_rows=None`` (default) measures the largest key first: when every
-    key fits in one block, the plain per-key window is already bounded and is
-    used; otherwise the blocked evaluation. ``block_rows=0`` forces the plain
-    window, a positive value forces blocks of that many rows.
+    Blocks have ``block_rows`` rows whatever the data's size; ``block_rows=0``
+    asks for the plain window (the reference for tests).
     """
     if block_rows == 0:
         return _plain(df, key, order, specs)
     if block_rows is None:
-        if largest_key_rows(df, key) <= DEFAULT_BLOCK_ROWS:
-            return _plain(df, key, order, specs)
         block_rows = DEFAULT_BLOCK_ROWS
     b = block_rows
     back = max([-f.lo for f in specs.values() if f.lo is not None and f.lo < 0] + [0])

@@ -189,7 +189,7 @@ def payload_json(df: DataFrame, fields: list[str]) -> Column:
 
 
 def quarantine_rows(checked: DataFrame, source: str, quarantined_at: Column,
-                    payload: Column | None = None) -> DataFrame:
+                    payload: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Envelope of the failing rows: (source, error_reason, error_field,
     raw_payload, quarantined_at). ``raw_payload`` defaults to the landed text
     when present, else the record re-encoded as JSON."""
@@ -202,7 +202,7 @@ def quarantine_rows(checked: DataFrame, source: str, quarantined_at: Column,
                       and not c.startswith("_")]
             payload = payload_json(checked, fields)
     return checked.where(F.col("error_field").isNotNull()).select(
-        F.lit(source).alias("source"), "error_reason", "error_field",
+        *keep, F.lit(source).alias("source"), "error_reason", "error_field",
         payload.alias("raw_payload"), quarantined_at.cast("timestamp").alias("quarantined_at"))
 
 

@@ -22,7 +22,7 @@ from haze.functions.exprs import epoch_to_timestamp
 from haze.operators import backfill, enrich, marts, quality, staging, validate
 from haze.plans import pipeline
 from haze.session import ensure_utc, scratch_path
-from haze.sources import fixtures, landing
+from haze.sources import fixtures, landing, seeds
 from haze.streaming import ingest
 
 ROUND_DIGITS = 6
@@ -194,7 +194,12 @@ def _q_cat_tests(m: Models) -> DataFrame:
 
 @query("dq_fresh")
 def _q_fresh(m: Models) -> DataFrame:
-    return quality.metrics_fresh_check(quality.quality_metrics(m.stg, m.wx, m.invalid, AS_OF), AS_OF)
+    """Metrics runs at every hour that has events: the newest is fresh, of the runs
+    before the stale date it is not."""
+    runs = m.events.select(F.date_trunc("HOUR", F.col("ts").cast("timestamp")).alias("run_timestamp")).distinct()
+    stale = runs.where(F.col("run_timestamp") < F.lit(fixtures.STALE_BEFORE).cast("timestamp"))
+    return quality.metrics_fresh_check(runs, AS_OF).unionByName(
+        quality.metrics_fresh_check(stale, AS_OF).withColumn("model", F.lit("stale_quality_metrics")))
 
 
 @query("dq_source_freshness")
@@ -267,13 +272,18 @@ def _q_pending(m: Models) -> DataFrame:
 
 @query("backfill_days")
 def _q_backfill_days(m: Models) -> DataFrame:
-    spine = backfill.day_spine(m.spark, fixtures.BACKFILL_START, fixtures.BACKFILL_END)
-    pending = backfill.pending_days(spine, _ledger(m))
-    checked = validate.validate_readings(fixtures.aqi_payloads(m.events))
-    good = validate.normalize_readings(checked.where(F.col("error_field").isNull()),
-                                       F.col("landed_at"), keep=("record_id",))
-    rows = backfill.rows_on_days(good, "reading_timestamp", pending)
-    return rows.select("record_id", "reading_date", "station_name", "city",
+    """Two backfills of the same range over archived pages; the second finds no
+    pending day with rows and changes nothing."""
+    root = scratch_path(m.spark, "backfill")
+    fixtures.land_aqi_pages(m.events, f"{root}/landing", archived=True)
+    _ledger(m).write.parquet(f"{root}/ledger")
+    for _ in range(2):
+        backfill.backfill_readings(m.spark, f"{root}/landing", fixtures.BACKFILL_START, fixtures.BACKFILL_END,
+                                   f"{root}/ledger", f"{root}/raw/aqi_readings",
+                                   F.lit(fixtures.RUN_TS).cast("timestamp"), multiline=False)
+    rows = sinks.read_table(m.spark, f"{root}/raw/aqi_readings", schemas.AQI_READINGS)
+    return rows.select(F.col("station_id").cast("long").alias("record_id"),
+                       F.to_date("reading_timestamp").alias("reading_date"), "station_name", "city",
                        "pollutant_avg", "reading_timestamp")
 
 
@@ -289,7 +299,7 @@ def _q_json_landing(m: Models) -> DataFrame:
 @query("stream_ingest")
 def _q_stream_ingest(m: Models) -> DataFrame:
     root = scratch_path(m.spark, "stream-ingest")
-    fixtures.land_aqi_pages(m.events, f"{root}/landing", files=4)
+    fixtures.land_aqi_pages(m.events, f"{root}/landing")
     q = ingest.start_ingest(m.spark, f"{root}/landing", f"{root}/aqi_readings",
                             f"{root}/invalid_records", f"{root}/_checkpoint",
                             multiline=False, max_files_per_trigger=2)
@@ -313,33 +323,91 @@ def _q_stream_pivot(m: Models) -> DataFrame:
         F.lit(None).cast("string").alias("pollutant_unit"),
         epoch_to_timestamp("reading_timestamp").alias("reading_timestamp"),
         epoch_to_timestamp("fetched_at").alias("fetched_at"))
-    raw.repartition(4).write.parquet(f"{root}/aqi_readings")  # one micro-batch reads all files
+    raw.repartition("station_name").write.parquet(f"{root}/aqi_readings")  # hours spread over all files
     q = ingest.start_hourly_pivot(m.spark, f"{root}/aqi_readings", m.city_map,
-                                  f"{root}/stg", f"{root}/_checkpoint")
+                                  f"{root}/stg", f"{root}/_checkpoint", max_files_per_trigger=4)
     q.awaitTermination()
-    return m.spark.read.parquet(f"{root}/stg")
+    return sinks.read_table(m.spark, f"{root}/stg", m.stg.schema).select(m.stg.columns)
 
 
-@query("backfill_weather_range")
-def _q_backfill_weather(m: Models) -> DataFrame:
+def _weather_backfill(m: Models, lists: list) -> DataFrame:
+    """One backfill per city list (None: all cities), each twice, into one table."""
     root = scratch_path(m.spark, "backfill-weather")
     fixtures.archive_payloads(m.events).drop("record_id").write.json(f"{root}/archive")
+    for cities in lists * 2:
+        backfill.backfill_weather(m.spark, f"{root}/archive", "2024-01-10", "2024-01-20",
+                                  f"{root}/weather_readings", F.lit(fixtures.RUN_TS).cast("timestamp"),
+                                  cities=cities, multiline=False)
+    rows = sinks.read_table(m.spark, f"{root}/weather_readings", schemas.WEATHER_READINGS)
+    return rows.select(*schemas.WEATHER_READINGS.fieldNames(), F.to_date("recorded_at").alias("recorded_date"))
+
+
+@query("backfill_weather_range")
+def _q_backfill_weather(m: Models) -> DataFrame:
+    return _weather_backfill(m, [m.city_map.select(F.col("raw_city_name").alias("city"))])
+
+
+@query("backfill_weather_two_lists")
+def _q_backfill_weather_lists(m: Models) -> DataFrame:
+    """The second list must not erase the first one's rows of the same dates."""
     cities = m.city_map.select(F.col("raw_city_name").alias("city"))
-    backfill.backfill_weather(m.spark, f"{root}/archive", "2024-01-10", "2024-01-20",
-                              f"{root}/weather_readings", F.lit(fixtures.RUN_TS).cast("timestamp"),
-                              cities=cities, multiline=False)
-    return m.spark.read.parquet(f"{root}/weather_readings")
+    return _weather_backfill(m, [cities.where(F.col("city") < "N2"), cities.where(F.col("city") >= "N2")])
+
+
+@query("run_raw_readings")
+def _q_run_raw(m: Models) -> DataFrame:
+    """Raw rows of a run that is tried twice and of a later run over the same landing."""
+    root = scratch_path(m.spark, "run-raw")
+    fixtures.land_aqi_pages(m.events, f"{root}/landing")
+    stamp = F.lit(fixtures.RUN_TS).cast("timestamp")
+    for load in ("run-1", "run-1", "run-2"):
+        pipeline.ingest_readings(m.spark, f"{root}/landing", f"{root}/wh", stamp, load, multiline=False)
+    return pipeline.read_raw(m.spark, f"{root}/wh", "aqi_readings")
+
+
+def _weather_runs(m: Models) -> str:
+    root = scratch_path(m.spark, "run-weather")
+    fixtures.land_weather_objects(m.events, f"{root}/landing")
+    stamp = F.lit(fixtures.RUN_TS).cast("timestamp")
+    for load in ("run-1", "run-1", "run-2"):
+        pipeline.ingest_weather(m.spark, f"{root}/landing", f"{root}/wh", stamp, load, multiline=False)
+    return f"{root}/wh"
+
+
+@query("run_raw_weather")
+def _q_run_raw_weather(m: Models) -> DataFrame:
+    return pipeline.read_raw(m.spark, _weather_runs(m), "weather_readings")
+
+
+@query("run_quarantine")
+def _q_run_quarantine(m: Models) -> DataFrame:
+    """Quarantined records of repeated runs by source, field and reason."""
+    warehouse = _weather_runs(m)
+    landed = scratch_path(m.spark, "run-quarantine")
+    fixtures.land_aqi_pages(m.events, landed)
+    for load in ("run-1", "run-1", "run-2"):
+        pipeline.ingest_readings(m.spark, landed, warehouse, F.lit(fixtures.RUN_TS).cast("timestamp"), load, multiline=False)
+    return (pipeline.read_raw(m.spark, warehouse, "invalid_records")
+            .groupBy("source", "error_field", "error_reason").agg(F.count(F.lit(1)).alias("records")))
+
+
+@query("seed_city_map")
+def _q_seed_city_map(m: Models) -> DataFrame:
+    """City aliases written as a seed CSV and loaded from it."""
+    path = scratch_path(m.spark, "seed-city-map")
+    m.city_map.write.option("header", True).csv(path)
+    return seeds.read_city_map(m.spark, path)
 
 
 @query("hourly_run")
 def _q_pipeline(m: Models) -> DataFrame:
     """The whole run over payloads landed from the events; returns the test report."""
     root = scratch_path(m.spark, "pipeline")
-    fixtures.land_aqi_pages(m.events, f"{root}/landing/aqi", files=4)
-    fixtures.land_weather_objects(m.events, f"{root}/landing/weather", files=4)
+    fixtures.land_aqi_pages(m.events, f"{root}/landing/aqi")
+    fixtures.land_weather_objects(m.events, f"{root}/landing/weather")
     pipeline.run(m.spark, f"{root}/landing/aqi", f"{root}/landing/weather", f"{root}/wh",
                  run_ts=fixtures.RUN_TS, as_of=AS_OF, city_map=m.city_map, multiline=False)
-    return m.spark.read.parquet(f"{root}/wh/quality/tests")
+    return m.spark.read.parquet(f"{root}/wh/quality/tests").drop("load_id")
 
 
 @query("sink_roundtrip")

@@ -9,13 +9,16 @@ files.
 
 Layout under ``warehouse``::
 
-    raw/aqi_readings        append, partitioned by fetched date
-    raw/weather_readings    append, partitioned by fetched date
-    raw/invalid_records     append, partitioned by source
+    raw/aqi_readings        a folder per load (load_id=...): runs, backfilled days, stream batches
+    raw/weather_readings    the same
+    raw/invalid_records     the same, under source=...
+    raw/loaded_files        landed files that a load has taken, under source=...
     stg/readings, stg/weather  overwrite, partitioned by date, clustered by city
     int/aqi_weather_joined  overwrite, partitioned by reading_date
     marts/<name>            overwrite (full refresh)
-    quality/metrics, quality/health, quality/tests   append
+    quality/metrics, quality/health, quality/tests   a folder per run
+
+A run that is repeated with the same stamp replaces what it wrote before.
 """
 
 from __future__ import annotations
@@ -64,37 +67,47 @@ def _stamp(run_ts: str | None) -> Column:
     return F.lit(run_ts or _now()).cast("timestamp")
 
 
+def load_name(run_ts: str) -> str:
+    """Load id of a run: its stamp, digits only."""
+    return "run-" + "".join(c for c in run_ts if c.isdigit())
+
+
 def ingest_readings(spark: SparkSession, landing_path: str, warehouse: str,
-                    run_ts: Column, multiline: bool = True) -> tuple[int, int]:
-    """Landed AQI pages -> raw readings (append) + quarantine (append)."""
-    records = landing.aqi_records(landing.read_aqi_pages(spark, landing_path, multiline))
-    checked = validate.validate_readings(records).persist()
+                    run_ts: Column, load_id: str, multiline: bool = True) -> tuple[int, int]:
+    """Landed AQI pages that no other run has loaded -> raw readings + quarantine of this load."""
+    ledger = f"{warehouse}/raw/loaded_files/source=aqi"
+    files = landing.unloaded_files(spark, landing_path, ledger, load_id)
+    if not files:
+        return 0, 0
+    checked = validate.validate_readings(landing.aqi_records(landing.read_aqi_pages(spark, files, multiline))).persist()
     try:
         good = validate.normalize_readings(checked.where(F.col("error_field").isNull()), run_ts)
-        good = good.withColumn("fetched_date", F.to_date("fetched_at"))
-        n_good = sinks.write_table(good, f"{warehouse}/raw/aqi_readings", "append",
-                                   partition_by=["fetched_date"])
+        n_good = sinks.write_load(good, f"{warehouse}/raw/aqi_readings", load_id)
         n_bad = sinks.write_quarantine(validate.quarantine_rows(checked, "aqi", run_ts),
-                                       f"{warehouse}/raw/invalid_records", source="aqi")
+                                       f"{warehouse}/raw/invalid_records", "aqi", load_id)
     finally:
         checked.unpersist()
+    landing.mark_loaded(spark, files, ledger, load_id)
     return n_good, n_bad
 
 
 def ingest_weather(spark: SparkSession, landing_path: str, warehouse: str,
-                   run_ts: Column, multiline: bool = True) -> tuple[int, int]:
-    """Landed weather objects -> raw weather (append) + quarantine (append)."""
-    checked = validate.validate_weather(landing.read_weather_objects(spark, landing_path, multiline)).persist()
+                   run_ts: Column, load_id: str, multiline: bool = True) -> tuple[int, int]:
+    """Landed weather objects that no other run has loaded -> raw weather + quarantine of this load."""
+    ledger = f"{warehouse}/raw/loaded_files/source=weather"
+    files = landing.unloaded_files(spark, landing_path, ledger, load_id)
+    if not files:
+        return 0, 0
+    checked = validate.validate_weather(landing.read_weather_objects(spark, files, multiline)).persist()
     try:
         good = validate.normalize_weather(checked.where(F.col("error_field").isNull()), run_ts)
-        good = good.withColumn("fetched_date", F.to_date("fetched_at"))
-        n_good = sinks.write_table(good, f"{warehouse}/raw/weather_readings", "append",
-                                   partition_by=["fetched_date"])
+        n_good = sinks.write_load(good, f"{warehouse}/raw/weather_readings", load_id)
         bad = validate.quarantine_rows(checked, "weather", run_ts,
                                        payload=validate.weather_quarantine_payload())
-        n_bad = sinks.write_quarantine(bad, f"{warehouse}/raw/invalid_records", source="weather")
+        n_bad = sinks.write_quarantine(bad, f"{warehouse}/raw/invalid_records", "weather", load_id)
     finally:
         checked.unpersist()
+    landing.mark_loaded(spark, files, ledger, load_id)
     return n_good, n_bad
 
 
@@ -107,11 +120,12 @@ def _read_back(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
 def read_raw(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     schema = {"aqi_readings": schemas.AQI_READINGS, "weather_readings": schemas.WEATHER_READINGS,
               "invalid_records": schemas.INVALID_RECORDS}[name]
-    return spark.read.schema(schema).parquet(f"{warehouse}/raw/{name}")
+    return sinks.read_table(spark, f"{warehouse}/raw/{name}", schema).select(schema.fieldNames())
 
 
 def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
-                 breakpoints: DataFrame, as_of: str | None = None, workers: int = 4) -> RunResult:
+                 breakpoints: DataFrame, as_of: str | None = None, workers: int = 4,
+                 load_id: str | None = None) -> RunResult:
     """Staging -> intermediate (materialized) -> marts -> quality tables."""
     out = RunResult()
     # Staging is read by the intermediate table, a mart, the checks and both
@@ -126,7 +140,8 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
             wx_df, wx_path, "overwrite", partition_by=["weather_hour"], cluster_by=["canonical_city"]),
     }, workers))
     stg = _read_back(spark, stg_path, stg_df)
-    wx = _read_back(spark, wx_path, wx_df).drop("weather_hour_date")
+    wx_dated = spark.read.schema(wx_df.schema).parquet(wx_path)  # with its partition column, for pruning
+    wx = wx_dated.select(wx_df.columns)
     cat = enrich.with_category(stg, breakpoints)
 
     joined_path = f"{warehouse}/int/aqi_weather_joined"
@@ -154,21 +169,22 @@ def build_models(spark: SparkSession, warehouse: str, city_map: DataFrame,
         marts.city_leaderboard(_read_back(spark, trends_path, marts.city_trends(joined))),
         f"{warehouse}/marts/worst_best_cities", "overwrite", cluster_by=["canonical_city"])
 
+    as_of = as_of or _now()
+    load_id = load_id or load_name(as_of)
     report = quality.all_checks(stg, wx, cat, joined, as_of).persist()
     try:
         failures = report.agg(F.coalesce(F.sum("failures"), F.lit(0))).first()[0]
-        metrics = quality.quality_metrics(stg, wx, read_raw(spark, warehouse, "invalid_records"),
+        metrics = quality.quality_metrics(stg, wx_dated, read_raw(spark, warehouse, "invalid_records"),
                                           as_of, test_failures=int(failures))
-        run_at = F.lit(as_of or _now()).cast("timestamp")
         _concurrently({
-            "metrics": lambda: sinks.write_table(metrics, f"{warehouse}/quality/metrics", "append",
-                                                 partition_by=["run_timestamp"]),
-            "health": lambda: sinks.write_table(quality.pipeline_health(stg, wx, as_of),
-                                                f"{warehouse}/quality/health", "append",
-                                                partition_by=["run_timestamp"]),
-            "tests": lambda: sinks.write_table(report.withColumn("run_timestamp", run_at),
-                                               f"{warehouse}/quality/tests", "append"),
+            "metrics": lambda: sinks.write_load(metrics, f"{warehouse}/quality/metrics", load_id),
+            "health": lambda: sinks.write_load(quality.pipeline_health(stg, wx_dated, as_of),
+                                               f"{warehouse}/quality/health", load_id),
         }, workers)
+        written = _read_back(spark, f"{warehouse}/quality/metrics", metrics)
+        report = report.unionByName(quality.metrics_fresh_check(written, as_of))
+        run_at = F.lit(as_of).cast("timestamp")
+        sinks.write_load(report.withColumn("run_timestamp", run_at), f"{warehouse}/quality/tests", load_id)
         out.failed_tests = report.where(F.col("status") == "fail").count()
     finally:
         report.unpersist()
@@ -184,15 +200,15 @@ def run(spark: SparkSession, aqi_landing: str, weather_landing: str, warehouse:
     ensure_utc(spark)
     run_ts = run_ts or _now()
     as_of = as_of or run_ts
-    stamp = _stamp(run_ts)
+    stamp, load_id = _stamp(run_ts), load_name(run_ts)
     city_map = city_map if city_map is not None else seeds.default_city_map(spark)
     breakpoints = breakpoints if breakpoints is not None else seeds.default_breakpoints(spark)
     loads = _concurrently({
-        "aqi": lambda: ingest_readings(spark, aqi_landing, warehouse, stamp, multiline),
-        "weather": lambda: ingest_weather(spark, weather_landing, warehouse, stamp, multiline),
+        "aqi": lambda: ingest_readings(spark, aqi_landing, warehouse, stamp, load_id, multiline),
+        "weather": lambda: ingest_weather(spark, weather_landing, warehouse, stamp, load_id, multiline),
     }, workers)
     (a_good, a_bad), (w_good, w_bad) = loads["aqi"], loads["weather"]
-    result = build_models(spark, warehouse, city_map, breakpoints, as_of, workers)
+    result = build_models(spark, warehouse, city_map, breakpoints, as_of, workers, load_id)
     result.loaded.update({"aqi_readings": a_good, "weather_readings": w_good,
                           "invalid_records": a_bad + w_bad})
     return result

@@ -35,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("HAZE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("HAZE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="haze-warehouse-"))
         # delete checkpoint files once their DataFrame is garbage collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -78,9 +78,9 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[s
     Initial shuffle partitions are sized so that one partition holds about
     ``partition_bytes`` of input (AQE then merges small ones and splits skewed
     join partitions); file splits use the same size. For 100 TB this gives
-    ~400k partitions, capped at 200k; at least 200.
+    ~400k partitions; at least 200.
     """
-    parts = max(200, min(200_000, input_bytes // partition_bytes))
+    parts = max(200, input_bytes // partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

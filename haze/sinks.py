@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,16 +71,34 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     return int(obs.get["rows"])
 
 
-def write_quarantine(bad: DataFrame, path: str, source: str | None = None) -> int:
-    """Append quarantine envelopes partitioned by source; empty -> 0, no write.
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The table at ``path``; empty, with the schema, when it was never written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-    With ``source`` the rows go straight into that partition's folder
-    (``<path>/source=<source>``): the layout is the same, and writers of
-    different sources running at the same time never share a commit folder.
+
+def write_load(df: DataFrame, path: str, load_id: str) -> int:
+    """Write the rows of one load (a run, a stream batch) under
+    ``<path>/load_id=<load_id>``, in place of what an earlier try of the same
+    load wrote, also when it has no rows now."""
+    return write_table(df, f"{path}/load_id={load_id}", "overwrite")
+
+
+def write_quarantine(bad: DataFrame, path: str, source: str | None = None, load_id: str | None = None) -> int:
+    """Quarantine envelopes, partitioned by source; a load's rows replace those of
+    an earlier try (``<path>/source=<source>/load_id=<load_id>``). Writers of
+    different sources never share a commit folder. Without a load the rows are
+    appended (empty -> 0, no write).
     """
     if source is None:
         return write_table(bad, path, "append", partition_by=["source"], skip_empty=True)
-    return write_table(bad.drop("source"), f"{path}/source={source}", "append", skip_empty=True)
+    if load_id is None:
+        return write_table(bad.drop("source"), f"{path}/source={source}", "append", skip_empty=True)
+    return write_load(bad.drop("source"), f"{path}/source={source}", load_id)
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

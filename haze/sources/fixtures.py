@@ -18,9 +18,15 @@ from haze.functions.exprs import int_div
 AS_OF = "2024-01-30 23:30:00"
 # The run stamp given to archive rows and the backfill window.
 RUN_TS = "2024-01-31 00:00:00"
+# Fixed value: metrics runs before it are stale at AS_OF.
+STALE_BEFORE = "2024-01-20 00:00:00"
 BACKFILL_START, BACKFILL_END = "2024-01-01", "2024-01-30"
 
 
+# Fixed value: cities are N0..N27 by user; the three that are no nation key have no alias.
+CITY_CODES = 28
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -36,7 +42,7 @@ def _pick(key: Column, values: list, default) -> Column:
 
 
 def _city(events_id: Column, user_id: Column) -> Column:
-    c = F.concat(F.lit("N"), (user_id % 12).cast("string"))
+    c = F.concat(F.lit("N"), (user_id % CITY_CODES).cast("string"))
     return F.when(events_id % 10 == 0, F.concat(F.lit(" "), c, F.lit(" "))).otherwise(c)
 
 
@@ -45,9 +51,9 @@ def _micros(ts: Column) -> Column:
 
 
 def city_map(nation: DataFrame) -> DataFrame:
-    """Nine aliases N0..N8; N0 and N1 collide on one canonical name."""
+    """An alias N<key> for every nation; N0 and N1 collide on one canonical name."""
     k = F.col("n_nationkey")
-    return nation.where(k < 9).select(
+    return nation.select(
         F.concat(F.lit("N"), k.cast("string")).alias("raw_city_name"),
         F.when(k == 1, F.lit("NATION_0")).otherwise(F.col("n_name")).alias("canonical_city"),
     )
@@ -116,7 +122,7 @@ def aqi_payloads(events: DataFrame) -> DataFrame:
     """AQI API records as text fields, one per event, with every kind of defect."""
     e, u = F.col("event_id"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
-    c = F.concat(F.lit("N"), (u % 12).cast("string"))
+    c = F.concat(F.lit("N"), (u % CITY_CODES).cast("string"))
     last_update = _pick(
         e % 7,
         [F.date_format(ts, "dd-MM-yyyy HH:mm:ss"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
@@ -144,7 +150,7 @@ def aqi_payloads(events: DataFrame) -> DataFrame:
 def weather_payloads(events: DataFrame) -> DataFrame:
     """Nested current-weather objects, one per event, typed like parsed JSON."""
     e, u = F.col("event_id"), F.col("user_id")
-    c = F.concat(F.lit("N"), (u % 12).cast("string"))
+    c = F.concat(F.lit("N"), (u % CITY_CODES).cast("string"))
     null_d = F.lit(None).cast("double")
     return events.select(
         e.alias("record_id"),
@@ -185,7 +191,7 @@ def archive_payloads(events: DataFrame) -> DataFrame:
 
     return events.select(
         e.alias("record_id"),
-        F.concat(F.lit("N"), (F.col("user_id") % 12).cast("string")).alias("city"),
+        F.concat(F.lit("N"), (F.col("user_id") % CITY_CODES).cast("string")).alias("city"),
         F.struct(
             arr(n, hour).alias("time"),
             arr(n, lambda i: F.col("value") + i).alias("temperature_2m"),
@@ -197,18 +203,27 @@ def archive_payloads(events: DataFrame) -> DataFrame:
     )
 
 
-def land_aqi_pages(events: DataFrame, path: str, files: int = 1) -> None:
+# The value fields of archived records and the names they have there.
+ARCHIVED_NAMES = {"avg_value": "pollutant_avg", "min_value": "pollutant_min", "max_value": "pollutant_max"}
+
+
+def land_aqi_pages(events: DataFrame, path: str, files: int | None = None, archived: bool = False) -> None:
     """Write the AQI payloads as landed pages of at most 100 records (JSON
-    Lines, one page per line; NULL fields are left out, i.e. keys absent)."""
+    Lines, one page per line; NULL fields are left out, i.e. keys absent).
+    ``archived``: two of five records carry the value fields under their other
+    names only. ``files`` asks for a number of files (tests)."""
     p = aqi_payloads(events)
+    other = (F.col("record_id") % 5 < 2) & F.lit(archived)
+    values = [F.when(~other, F.col(c)).alias(c) for c in ARCHIVED_NAMES]
+    values += [F.when(other, F.col(c)).alias(n) for c, n in ARCHIVED_NAMES.items()]
     rec = F.struct(F.col("record_id").cast("string").alias("id"), "city", "state", "station",
-                   "pollutant_id", "avg_value", "min_value", "max_value", "last_update")
+                   "pollutant_id", *values, "last_update")
     pages = (p.groupBy(int_div("record_id", 100).alias("page"))
              .agg(F.collect_list(rec).alias("records")))
-    pages.repartition(files).write.mode("overwrite").json(path)
+    (pages.repartition(files) if files else pages).write.mode("overwrite").json(path)
 
 
-def land_weather_objects(events: DataFrame, path: str, files: int = 1) -> None:
+def land_weather_objects(events: DataFrame, path: str, files: int | None = None) -> None:
     """Write the weather payloads as landed objects (JSON Lines)."""
-    weather_payloads(events).drop("record_id", "landed_at").repartition(files) \
-        .write.mode("overwrite").json(path)
+    objects = weather_payloads(events).drop("record_id", "landed_at")
+    (objects.repartition(files) if files else objects).write.mode("overwrite").json(path)

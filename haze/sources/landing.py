@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haze import schemas
+from haze import schemas, sinks
 from haze.session import ensure_utc
 
 # Archive wind speed units and their factor to m/s. The archive
@@ -22,7 +22,7 @@ from haze.session import ensure_utc
 WIND_UNITS = {"as_is": 1.0, "ms": 1.0, "kmh": 1.0 / 3.6}
 
 
-def read_aqi_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_aqi_pages(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """Landed AQI pages (``multiline=True``: one page document per file)."""
     return spark.read.schema(schemas.AQI_PAGE).option("multiLine", multiline).json(path)
 
@@ -61,12 +61,24 @@ def aqi_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_weather_objects(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_weather_objects(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """Landed current-weather objects (leaves as text; see ``schemas``)."""
     return (spark.read.schema(schemas.WEATHER_RECORD).option("multiLine", multiline).json(path)
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
+def unloaded_files(spark: SparkSession, landing_path: str, ledger_path: str, load_id: str) -> list[str]:
+    """Files of the landing folder that no other load has taken (a repeated load
+    gets its own files again). Only names are read, no contents."""
+    files = spark.read.format("binaryFile").load(landing_path).select("path")
+    taken = sinks.read_table(spark, ledger_path, "path string, load_id string").filter(F.col("load_id") != load_id)
+    return sorted(r.path for r in files.join(taken.select("path"), "path", "left_anti").collect())
+
+
+def mark_loaded(spark: SparkSession, files: list[str], ledger_path: str, load_id: str) -> None:
+    sinks.write_load(spark.createDataFrame([(f,) for f in files], "path string"), ledger_path, load_id)
+
+
 def read_archive(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     return spark.read.schema(schemas.WEATHER_ARCHIVE).option("multiLine", multiline).json(path)
 

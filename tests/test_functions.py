@@ -102,5 +102,5 @@ def test_whole_hours_truncate(spark):
 def test_scale_settings_bounds():
     from haze.session import scale_settings
     assert scale_settings(0)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_settings(100 * 2**40)["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_settings(100 * 2**40)["spark.sql.shuffle.partitions"] == "409600"
     assert scale_settings(1000 * 2**30)["spark.sql.shuffle.partitions"] == "4000"

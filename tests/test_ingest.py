@@ -132,7 +132,7 @@ def test_streaming_ingest_second_run_adds_nothing(spark):  # T1
     good = spark.read.parquet(f"{root}/good")
     bad = spark.read.parquet(f"{root}/bad")
     assert good.count() == 24 and bad.count() == 6
-    assert good.select("batch_id").distinct().count() == 2
+    assert good.select("load_id").distinct().count() == 2
 
 
 def test_write_table_counts_and_clusters(spark):  # K1 K5 K6 K7
@@ -201,7 +201,7 @@ def _readings(spark, rows):
     return spark.createDataFrame(data, schemas.AQI_READINGS)
 
 
-def test_stream_pivot_watermark_across_runs(spark):  # T2
+def test_stream_pivot_keeps_late_and_open_hours(spark):  # T2
     from haze.sources import seeds
     root = tempfile.mkdtemp(prefix="haze-t2-")
     t0 = dt.datetime(2024, 1, 1, 0, 10)
@@ -210,14 +210,14 @@ def test_stream_pivot_watermark_across_runs(spark):  # T2
     _readings(spark, [("CO", 1.0, t0), ("NO2", 2.0, t0 + dt.timedelta(minutes=5)),
                       ("CO", 3.0, t0 + dt.timedelta(hours=8))]).write.mode("append").parquet(f"{root}/raw")
     run()
-    first = spark.read.parquet(f"{root}/out").collect()
-    assert len(first) == 1 and first[0].co == 1.0 and first[0].no2 == 2.0  # hour 00 emitted, 08 still open
-    # a late reading for hour 00 (behind the watermark) and one 8 hours later
+    first = {r.reading_hour.hour: (r.co, r.no2) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert first == {0: (1.0, 2.0), 8: (3.0, None)}
+    # a late reading for hour 00 and one 8 hours later
     _readings(spark, [("CO", 9.0, t0 + dt.timedelta(minutes=20)),
                       ("CO", 4.0, t0 + dt.timedelta(hours=16))]).write.mode("append").parquet(f"{root}/raw")
     run()
-    out = {r.reading_hour.hour: r.co for r in spark.read.parquet(f"{root}/out").collect()}
-    assert out == {0: 1.0, 8: 3.0}  # late row dropped, hour 08 closed, hour 16 still open
+    out = {r.reading_hour.hour: (r.co, r.no2) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert out == {0: (9.0, 2.0), 8: (3.0, None), 16: (4.0, None)}
 
 
 def test_stream_ingest_quarantines_a_malformed_page(spark):  # T1 + V9

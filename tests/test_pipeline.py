@@ -29,7 +29,7 @@ def test_hourly_run_builds_every_table(spark):
     assert res.failed_tests == 1
     tests = spark.read.parquet(f"{root}/wh/quality/tests")
     failing = [r.test_name for r in tests.where(F.col("status") != "pass").collect()]
-    assert tests.count() == 12 and failing == ["no_future_timestamps"]
+    assert tests.count() == 13 and failing == ["no_future_timestamps"]
     metrics = spark.read.parquet(f"{root}/wh/quality/metrics").first()
     assert metrics.test_failures == tests.agg(F.sum("failures")).first()[0] > 0
     trends = spark.read.parquet(f"{root}/wh/marts/city_aqi_trends")
