@@ -6,16 +6,17 @@ differs in at most H = floor(2u (100 - percent) / (100 + percent)) shingles.
 Shingles are hashed into m segments (m from the size band's H):
 
 * exact allocation: m = H + 1 + x. At most H segments differ, so a linked pair
-  agrees on at least x + 1 segments; each set indexes its non-empty segments,
-  and a set with more than x empty ones (which could agree with another on
-  empty segments only) indexes the deletion allocation as well;
+  agrees on at least x + 1 segments; each set indexes its segments of at least c
+  shingles (smaller ones select little), and a set with more than x smaller ones
+  (which could agree with another on such segments only) indexes the deletion
+  allocation as well;
 * deletion allocation: m = ceil((H + 1) / 2). One segment differs by one shingle
   at most; each set indexes every segment and its one-deletion neighbourhood,
   and a pair matches when at least one side matches undeleted.
 
 A set indexes itself under its own size band and under the next ones that a
-linked larger set can fall into. Which allocation and which x a band takes is
-the cheaper one by a cost model fed by counts over all documents; the choice
+linked larger set can fall into. Which allocation, x and c a band takes is
+the cheapest by a cost model fed by counts over all documents; the choice
 changes cost only, both are complete. Candidates are verified on the words.
 
 Equal word sequences are one class before anything is indexed. Buckets are not
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +52,8 @@ _SAMPLED = 1 << 10  # one shingle hash in so many is counted over all documents,
 _PART_KEYS = 1_000_000  # signatures that one reduce partition gets
 _HOT = 64  # a signature that so many sets of one batch share skips the shuffle
 _CHUNKS = 256  # chunks over which the partners of one class are dealt
-_BLOCK = 256  # classes of a block; two blocks meet in a task
+_BLOCK = 1024  # classes of a block, and
+_BLOCK_SHINGLES = 500_000  # their shingles; two blocks meet in a task
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -118,10 +121,12 @@ def band_edges(largest: int, percent: int) -> list[int]:
 class Allocation:
     """Segments of one size band. deletions: one-deletion neighbourhoods are the
     main index; else ``segments`` exact segments, of which ``spare`` (x) are
-    beyond H + 1. coarse: segments of the deletion allocation."""
+    beyond H + 1, indexed if they have ``least`` (c) shingles. coarse: segments of
+    the deletion allocation."""
 
-    def __init__(self, h: int, deletions: bool, spare: int):
-        self.deletions, self.spare, self.segments, self.coarse = deletions, spare, h + 1 + spare, (h + 2) // 2
+    def __init__(self, h: int, deletions: bool, spare: int, least: int = 1):
+        self.deletions, self.spare, self.least = deletions, spare, least
+        self.segments, self.coarse = h + 1 + spare, (h + 2) // 2
 
 
 def allocate(u: int, percent: int, sets: float, mean_size: float, overlap: float) -> Allocation:
@@ -131,21 +136,27 @@ def allocate(u: int, percent: int, sets: float, mean_size: float, overlap: float
     h = max_difference(u, percent)
     size = max(mean_size, 1.0)
 
-    def chance(tokens: float) -> float:
-        return 50 * sets * min(1.0, overlap) ** tokens
+    def poisson(mean: float, upto: int) -> list[float]:
+        terms = [math.exp(-mean)]
+        for i in range(1, upto + 1):
+            terms.append(terms[-1] * mean / i)
+        return terms
 
+    q, compared = min(1.0, overlap), 50 * sets
     coarse = (h + 2) // 2
-    best = (size + coarse + coarse * chance(max(size / coarse - 1, 0)), True, 0)
-    for spare in range(0, 41):
-        m = h + 1 + spare
-        mean_empty = m * math.exp(-size / m)
-        below = term = math.exp(-mean_empty)  # Poisson: at most `spare` empty segments
-        for i in range(1, spare + 1):
-            term *= mean_empty / i
-            below += term
-        rows = m + max(0.0, 1 - below) * (size + coarse) + m * chance(size / m)
-        best = min(best, (rows, False, spare))
-    return Allocation(h, best[1], best[2])
+    best = (size + coarse + coarse * compared * q ** max(size / coarse - 1, 0), True, 0, 1)
+    for least in (1, 2, 3):
+        for spare in [0, 1, 2, 3, 4, 6, 8] + [int(10 * 1.3 ** k) for k in range(20)]:
+            m = h + 1 + spare
+            if spare > 4 * h + 8:
+                break
+            sizes = poisson(size / m, 60)  # shingles of a segment
+            small = m * sum(sizes[:least])
+            deep = 1.0 if small > spare + 1 else max(0.0, 1 - sum(poisson(small, spare)))  # more than `spare` small segments
+            agree = sum(p * q ** k for k, p in enumerate(sizes) if k >= least)
+            rows = m - small + deep * (size + coarse) + m * compared * agree
+            best = min(best, (rows, False, spare, least))
+    return Allocation(h, *best[1:])
 
 
 def set_signatures(shingles: np.ndarray, edges: list[int], plan: list[Allocation], percent: int) -> np.ndarray:
@@ -159,7 +170,7 @@ def set_signatures(shingles: np.ndarray, edges: list[int], plan: list[Allocation
         deep = a.deletions
         if not deep:
             sums, counts = _segment_sums(shingles, a.segments)
-            full = np.flatnonzero(counts)
+            full = np.flatnonzero(counts >= a.least)
             out.append(_keys(sums[full], full, band, 0))
             deep = a.segments - len(full) > a.spare
         if deep:
@@ -210,21 +221,36 @@ def _classes(n: int):
     return run
 
 
-_PACKED = "part int, keys binary, nodes binary, hot boolean"
+_PACKED = "deal int, part int, keys binary, nodes binary, runs binary, hot boolean"
+_KEY_BYTES = 6  # of a signature travel; with the partition's number they tell a partition's million apart
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    return keys.view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // _KEY_BYTES, 8), np.uint8)
+    out[:, :_KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _KEY_BYTES)
+    return out.reshape(-1).view(np.int64)
 
 
 def _signatures(n: int, percent: int, edges: list[int], plan: list[Allocation], parts: int):
-    """Packed signatures of each batch, one row per reduce partition; a class is
-    indexed once per batch. Signatures that many sets of the batch share go past
-    the reduce partition (a row of their own, dealt at random) but for a few."""
+    """Packed signatures of each batch, one row per reduce partition: 6 bytes a key,
+    sorted by class, and the classes with their numbers of keys. A class is indexed
+    once per batch. Signatures that many sets of the batch share go past the reduce
+    partition (a row of their own, dealt at random) but for a few."""
 
     def pack(keys, nodes, hot):
         part = (keys.view(_U) >> _U(1)) % _U(parts)
-        order = np.argsort(part, kind="stable")
+        order = np.lexsort((nodes, part))
         part, keys, nodes = part[order], keys[order], nodes[order]
         cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            yield int(part[a]), keys[a:b].tobytes(), nodes[a:b].tobytes(), hot
+            starts = np.flatnonzero(np.concatenate(([True], nodes[a + 1:b] != nodes[a:b - 1])))
+            runs = np.diff(np.concatenate((starts, [b - a]))).astype(np.uint16 if b - a < 1 << 16 else np.uint32)
+            own = int(part[a])
+            yield zlib.crc32(nodes[a:b].tobytes()) % parts if hot else own, own, _packed(keys[a:b]), nodes[a:b][starts].tobytes(), runs.tobytes(), hot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,11 +277,11 @@ def _signatures(n: int, percent: int, edges: list[int], plan: list[Allocation],
             extra = np.arange(len(keys)) - np.repeat(starts, counts) >= _HOT
             rows = list(pack(keys[~extra], nodes[~extra], False))
             if extra.any():
-                rows += [((hash(k) & 0x7FFFFFFF) % parts, k, v, True) for _, k, v, _ in pack(keys[extra], nodes[extra], True)]
+                rows += list(pack(keys[extra], nodes[extra], True))
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.bool_()))],
-                names=["part", "keys", "nodes", "hot"])
+                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()))],
+                names=["deal", "part", "keys", "nodes", "runs", "hot"])
     return run
 
 
@@ -265,32 +291,36 @@ _LIVE = "key long, deleted boolean, node long"
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Signature rows whose bucket has two classes and an undeleted row at least."""
 
-    def out(keys, nodes):
+    def out(part, keys, nodes):
+        with np.errstate(over="ignore"):
+            bucket = (mix((keys >> 1).view(_U) + part.view(_U) * _C1) >> _U(1)).view(np.int64)
         for i in range(0, len(keys), 100_000):
-            k = keys[i:i + 100_000]
+            k = slice(i, i + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k >> 1), pa.array((k & 1) == 1), pa.array(nodes[i:i + 100_000])], names=["key", "deleted", "node"])
+                [pa.array(bucket[k]), pa.array((keys[k] & 1) == 1), pa.array(nodes[k])], names=["key", "deleted", "node"])
 
-    all_keys, all_nodes = [], []
+    found = []
     for batch in batches:
-        for k, v, hot in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3))):
-            keys, nodes = np.frombuffer(k, np.int64), np.frombuffer(v, np.int64)
+        for part, k, v, runs, hot in zip(*(batch.column(c).to_pylist() for c in range(1, 6))):
+            keys, nodes = _unpacked(k), np.frombuffer(v, np.int64)
+            runs = np.frombuffer(runs, np.uint16 if len(runs) == 2 * len(nodes) else np.uint32)
+            row = np.full(len(keys), part, np.int64), keys, np.repeat(nodes, runs)
             if hot:
-                yield from out(keys, nodes)
+                yield from out(*row)
             else:
-                all_keys.append(keys)
-                all_nodes.append(nodes)
-    if not all_keys:
+                found.append(row)
+    if not found:
         return
-    keys, nodes = np.concatenate(all_keys), np.concatenate(all_nodes)
-    del all_keys, all_nodes
-    order = np.lexsort((nodes, keys >> 1))
-    keys, nodes = keys[order], nodes[order]
+    part, keys, nodes = (np.concatenate(c) for c in zip(*found))
+    del found
+    order = np.lexsort((nodes, keys >> 1, part))
+    part, keys, nodes = part[order], keys[order], nodes[order]
     bare = keys >> 1
-    starts = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
+    starts = np.flatnonzero(np.concatenate(([True], (bare[1:] != bare[:-1]) | (part[1:] != part[:-1]))))
     ends = np.concatenate((starts[1:], [len(keys)])) - 1
     live = (nodes[starts] != nodes[ends]) & (np.add.reduceat((keys & 1) == 0, starts, dtype=np.int64) > 0)
-    yield from out(keys[m := np.repeat(live, ends - starts + 1)], nodes[m])
+    m = np.repeat(live, ends - starts + 1)
+    yield from out(part[m], keys[m], nodes[m])
 
 
 # -- verification ------------------------------------------------------------
@@ -397,21 +427,22 @@ def _blocks(n: int, percent: int):
 def _cluster_links(clusters: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Links that connect what is connected within each cluster (node, component).
 
-    A cluster of more than ``_BLOCK`` members is cut by size class (linked sets are in
+    A cluster of more than a block is cut by size class (linked sets are in
     the same or adjacent classes) and hash into blocks; every two blocks that can hold
     a linked pair meet in one task. Tasks return spanning links, not pairs."""
     member = (clusters.join(texts, F.col("node") == F.col("id"))
-              .select(F.col("component").alias("cluster"), "id", F.floor(F.log(F.col("n_shingles")) / math.log(100 / percent) + 1e-9
+              .select(F.col("component").alias("cluster"), "id", "n_shingles", F.floor(F.log(F.col("n_shingles")) / math.log(100 / percent) + 1e-9
                                                                          if percent < 100 else F.col("n_shingles")).alias("k")).distinct())
-    per_class = member.groupBy("cluster", "k").agg(F.count(F.lit(1)).alias("n"))
+    fill = F.count(F.lit(1)) / _BLOCK + F.sum("n_shingles") / _BLOCK_SHINGLES
+    per_class = member.groupBy("cluster", "k").agg(fill.alias("fill"))
     shape = per_class.groupBy("cluster").agg(  # a set's size has few classes
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("k", F.ceil(F.col("n") / _BLOCK)))).alias("blocks"))
+        F.sum("fill").alias("total"), F.map_from_entries(F.collect_list(F.struct("k", F.ceil("fill")))).alias("blocks"))
     count = lambda k: F.coalesce(F.element_at("blocks", k), F.lit(0).cast("long"))
     place = lambda k: F.pmod(F.xxhash64("id"), F.greatest(count(k), F.lit(1)))
     others = lambda k: F.when(count(k) > 0, F.sequence(F.lit(0).cast("long"), count(k) - 1)).otherwise(F.array().cast("array<bigint>"))
     k = F.col("k")
     name = lambda *parts: F.concat_ws("/", F.col("cluster").cast("string"), *(p.cast("string") for p in parts))
-    tasks = F.when(F.col("total") <= _BLOCK, F.array(name())).otherwise(F.concat(
+    tasks = F.when(F.col("total") <= 1, F.array(name())).otherwise(F.concat(
         F.transform(others(k), lambda o: name(k, F.least(o, place(k)), k, F.greatest(o, place(k)))),
         F.transform(others(k - 1), lambda o: name(k - 1, o, k, place(k))),
         F.transform(others(k + 1), lambda o: name(k, place(k), k + 1, o))))
@@ -463,7 +494,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     plan, expected = _plan(whole, edges, percent)
     parts = max(1, math.ceil(expected / _PART_KEYS))
     packed = plain.mapInArrow(_signatures(shingle, percent, edges, plan, parts), _PACKED)
-    live = packed.repartition(max(parts, 2), "part").mapInArrow(_shared, _LIVE)
+    live = packed.repartition(max(parts, 2), "deal").mapInArrow(_shared, _LIVE)
     live = written(live.join(classes.select("node", "rep"), "node").select("key", "deleted", "rep").distinct(), "join-live")
     involved = live.select("rep").distinct().join(classes, "rep").select(F.col("rep").alias("id"), "n_shingles").distinct()
     texts = written(plain.filter("id is not null").join(involved, "id"), "join-texts")

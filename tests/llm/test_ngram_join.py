@@ -61,13 +61,13 @@ def test_components_match_brute_force(spark, n, percent, seed):
     assert {i: s for i, (s, _) in got.items()} == {i: len(_set(t, n)) for i, t in rows}
 
 
-@pytest.mark.parametrize("deletions,spare", [(True, 0), (False, 0), (False, 3)])
+@pytest.mark.parametrize("deletions,spare,least", [(True, 0, 1), (False, 0, 1), (False, 3, 1), (False, 4, 2), (False, 9, 3)])
 @pytest.mark.parametrize("percent", [60, 80, 90])
-def test_every_linked_pair_shares_a_signature(deletions, spare, percent):
+def test_every_linked_pair_shares_a_signature(deletions, spare, least, percent):
     """Completeness of both allocations, whatever the cost model picks."""
     r = random.Random(percent + spare)
     edges = J.band_edges(400, percent)
-    plan = [J.Allocation(J.max_difference(edges[k + 1] - 1, percent), deletions, spare) for k in range(len(edges) - 1)]
+    plan = [J.Allocation(J.max_difference(edges[k + 1] - 1, percent), deletions, spare, least) for k in range(len(edges) - 1)]
     linked = 0
     for _ in range(1500):
         size = r.choice([1, 2, 5, 9, 10, 12, 19, 30, 60, 200])
