@@ -143,25 +143,24 @@ def _featured(docs: DataFrame, features: list[str]) -> DataFrame:
 # -- label model -------------------------------------------------------------
 
 class LabelModel:
-    """prior, per-voter rates among toxic (a) and other (b) documents, and weights
-    from the voters' correlations."""
+    """prior, the voters' rates among toxic (a) and other (b) documents, and weights
+    from their correlations. A voter that does not vote abstains and says nothing;
+    the last column stands for a document on which all abstain."""
 
     def __init__(self, prior: float, a: np.ndarray, b: np.ndarray):
         self.prior, self.a, self.b, self.weight = prior, a, b, np.ones(len(a))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """P(toxic) of each row of the 0/1 vote matrix."""
-        yes = self.weight * np.log(self.a / self.b)
-        no = self.weight * np.log((1 - self.a) / (1 - self.b))
-        z = np.log(self.prior / (1 - self.prior)) + no.sum() + votes @ (yes - no)
+        z = np.log(self.prior / (1 - self.prior)) + votes @ (self.weight * np.log(self.a / self.b))
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     def refit(self, toxic: float, other: float, a_sum, b_sum, pairs) -> None:
         """From expected counts: documents, votes and vote pairs of toxic ones."""
         self.prior = min(max((toxic + 1) / (toxic + other + 10), 1e-6), 0.9)
         self.a = (a_sum + 1.0) / (toxic + 20.0)
-        self.b = (b_sum + 0.5) / (other + 5000.0)
-        self.b = np.minimum(self.b, self.a / 2)  # a voter never speaks for the other class
+        self.b = np.minimum((b_sum + 0.5) / (other + 5000.0), self.a / 2)  # a voter never speaks for the other class
+        self.a[-1], self.b[-1] = (a_sum[-1] + 1) / (toxic + 20), (b_sum[-1] + 20) / (other + 20)
         rate = np.clip(a_sum / max(toxic, 1e-9), 0, 1)
         sd = np.sqrt(np.maximum(rate * (1 - rate), 1e-6))
         rho = np.clip((pairs / max(toxic, 1e-9) - np.outer(rate, rate)) / np.outer(sd, sd), 0, 1)
@@ -170,10 +169,13 @@ class LabelModel:
         self.weight = 1 / (1 + np.where(rho > sure, rho, 0).sum(axis=1))
 
 
-def _matrix(patterns: list[bytes], voters: int) -> np.ndarray:
-    m = np.zeros((len(patterns), voters), np.float32)
-    for i, p in enumerate(patterns):
-        m[i, np.frombuffer(p, np.uint16).astype(np.int64)] = 1
+def _votes(found: list[bytes], voters: int) -> np.ndarray:
+    """Vote matrix of documents' feature lists, the last column where nobody votes."""
+    m = np.zeros((len(found), voters + 1), np.float32)
+    for i, p in enumerate(found):
+        ids = np.frombuffer(p, np.uint16)
+        m[i, ids[ids < voters]] = 1
+    m[:, -1] = m[:, :-1].sum(axis=1) == 0
     return m
 
 
@@ -207,7 +209,7 @@ def _expectations(patterns: DataFrame, model: LabelModel, unlabelled: float) ->
         toxic = other = 0.0
         a, b, pairs = np.zeros(voters), np.zeros(voters), np.zeros((voters, voters))
         for batch in batches:
-            v = _matrix(batch.column(0).to_pylist(), voters)
+            v = _votes(batch.column(0).to_pylist(), voters - 1)
             n, pos, neg = (np.array(batch.column(k).to_pylist(), float) for k in (1, 2, 3))
             p = model.posterior(v)
             t, o = unlabelled * n * p + pos, unlabelled * n * (1 - p) + neg
@@ -227,7 +229,9 @@ def fit_label_model(patterns: DataFrame, voters: int, given: int, rounds: int =
     """given: the first so many voters are the fixed lexicon. The first round uses
     labelled rows only, the others all documents."""
     prior = 0.1
+    voters += 1  # and the column of those on which all abstain
     model = LabelModel(prior, np.full(voters, 0.2), np.full(voters, 0.002))
+    model.a[-1], model.b[-1] = 0.1, 0.95
     for step in range(rounds):
         got = _expectations(patterns, model, 0.0 if step == 0 else 1.0)
         if step == 0 and not got.get((-1, -1)):
@@ -273,6 +277,22 @@ def _train(rows: list[tuple[float, float, np.ndarray]], features: int, penalty:
     return w, float(bias)
 
 
+def _calibrated(rows: list[tuple[float, float, np.ndarray]], w: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+    """Scale and shift of the scores that fit the labelled ones of the rows best
+    (their posterior is their label), by Newton steps of a ridged logistic fit."""
+    known = [(p, bias + float(w[f].sum()), k) for p, k, f in rows if p in (0.0, 1.0)]
+    y, z, k = (np.array(c) for c in zip(*known)) if known else (np.zeros(0),) * 3
+    if not 0 < y.sum() < len(y):
+        return w, bias
+    x, at = np.stack([z, np.ones_like(z)], 1), np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -40, 40)))
+        ridge = np.diag([0.1, 0.1])
+        step = np.linalg.solve((x * (k * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (k * (p - y)) + ridge @ (at - [1.0, 0.0]))
+        at = at - np.clip(step, -1, 1)
+    return (w * at[0], bias * at[0] + float(at[1])) if at[0] > 0 else (w, bias)
+
+
 class ToxicityModel:
     """A weight for each feature and a bias."""
 
@@ -316,11 +336,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
         voters, known, label_model = shared()
         for batch in batches:
             ids, found, place = (batch.column(k).to_pylist() for k in range(3))
-            votes = np.zeros((len(ids), voters), np.float32)
-            for row, f in enumerate(found):
-                f = np.frombuffer(f, np.uint16)
-                votes[row, f[f < voters]] = 1
-            p = label_model.posterior(votes)
+            p = label_model.posterior(_votes(found, voters))
             given = [known.get(i) for i in ids]
             p = np.array([v if g is None else float(g) for v, g in zip(p.tolist(), given)])
             rate = np.where(p >= 0.5, rates[0], rates[1])
@@ -332,7 +348,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
     taken = (featured.filter(~held_out(F.col("doc_id"))).select("doc_id", "features", place)
              .mapInArrow(run, "p double, w double, u double, features binary").limit(2 * max_rows).collect())
     rows = [(r.p, r.w, np.frombuffer(r.features, np.uint16)) for r in sorted(taken, key=lambda r: (r.u, r.features))]
-    return ToxicityModel(features, *_train(rows, len(features))), featured
+    return ToxicityModel(features, *_calibrated(rows, *_train(rows, len(features)))), featured
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
