@@ -10,8 +10,8 @@ multi-index over its 16 bytes: fingerprints within 48 bits agree to 3 bits in on
 byte at least, so looking up each byte's 3-bit neighbourhood finds every
 fingerprint in the radius (a similarity of 0.8 has an expected distance of 19
 bits, standard deviation 4). Candidates within the radius are verified exactly.
-A window is fingerprinted only if enough of its shingles occur in the items:
-the others cannot reach the threshold.
+A window is fingerprinted only if enough of its shingles occur in items of its
+length: the others cannot reach the threshold.
 
 The items are a stated query set, read in blocks of about ``block_bytes``; each
 block is one pass over the documents without a shuffle.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haze.llm.common import share, words
-from haze.llm.ngram_join import _C1, _C2, _HASHES, _U, mix
+from haze.llm.ngram_join import _C1, _C2, _U, mix, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BITS, RADIUS = 128, 48  # 16 bytes, so 48 // 16 = 3 bits in some byte
@@ -77,14 +77,17 @@ class Matcher:
         self.threshold = threshold
         groups = defaultdict(list)
         grams = defaultdict(list)  # shingle width -> hashes
+        self.lengths: dict = defaultdict(dict)  # shingle width -> hash -> lengths of the items that have it
         with np.errstate(over="ignore"):
             for item_id, text in items:
                 ws = words(text)
                 if ws:
                     n = min(SHINGLE, len(ws))
-                    g = rolling(np.fromiter(map(_HASHES.__getitem__, ws), _U, len(ws)), n)
+                    g = rolling(word_hashes(ws), n)
                     groups[len(ws)].append((item_id, _bag(ws, n), simhash(g)))
                     grams[n].append(g)
+                    for x in set(g.tolist()):
+                        self.lengths[n].setdefault(x, set()).add(len(ws))
         self.grams = {n: np.unique(np.concatenate(g)) for n, g in grams.items()}
         self.filters = {}
         for n, g in self.grams.items():  # a bitmap of at least 64 places a shingle comes before the exact lookup
@@ -114,33 +117,42 @@ class Matcher:
         if not ws or not self.groups:
             return found
         with np.errstate(over="ignore"):
-            h = np.fromiter(map(_HASHES.__getitem__, ws), _U, len(ws))
-            per_width = {}
+            h = word_hashes(ws)
             for n in self.grams:
-                if len(ws) >= n:
-                    g = rolling(h, n)
-                    known = self._known(g, n)
-                    if known.any():
-                        per_width[n] = (g, np.concatenate(([0], np.cumsum(known))))
-            for length, (ids, bags, prints, near) in self.groups.items():
-                n = min(SHINGLE, length)
-                if n not in per_width or len(ws) < length:
+                if len(ws) < n:
                     continue
-                g, before = per_width[n]
-                size = length - n + 1
-                hits = before[size:] - before[:-size]  # of each window's shingles, those that any item has
-                for start in np.flatnonzero(hits >= self.threshold * size - 1e-9).tolist():
-                    fp = simhash(g[start:start + size])
-                    cand = np.flatnonzero(near[np.arange(16), fp].any(axis=0))
-                    cand = cand[_POPCOUNT[prints[cand] ^ fp].sum(axis=1) <= RADIUS]
-                    if len(cand):
-                        bag = _bag(ws[start:start + length], n)
-                        for k in cand.tolist():
-                            sim = similarity(bag, bags[k])
-                            if sim >= self.threshold - 1e-12 and sim > found.get((length, k), (0.0,))[0]:
-                                found[length, k] = (sim, start, length)
+                g = rolling(h, n)
+                known = np.flatnonzero(self._known(g, n))
+                places = defaultdict(list)  # item length -> places of its items' shingles
+                for at, x in zip(known.tolist(), g[known].tolist()):
+                    for length in self.lengths[n][x]:
+                        places[length].append(at)
+                for length, at in places.items():
+                    if len(ws) < length:
+                        continue
+                    size = length - n + 1
+                    before = np.zeros(len(g) + 1, np.int64)
+                    before[np.array(at) + 1] = 1
+                    before = np.cumsum(before)
+                    hits = before[size:] - before[:-size]  # of each window's shingles, those that items of its length have
+                    for start in np.flatnonzero(hits >= self.threshold * size - 1e-9).tolist():
+                        self._verify(g, ws, start, length, n, found)
         return {(self.groups[length][0][k], length, k): v for (length, k), v in found.items()}
 
+    def _verify(self, g, ws, start, length, n, found) -> None:
+        """Candidates of one window by the multi-index, then exactly."""
+        _, bags, prints, near = self.groups[length]
+        fp = simhash(g[start:start + length - n + 1])
+        cand = np.flatnonzero(near[np.arange(16), fp].any(axis=0))
+        cand = cand[_POPCOUNT[prints[cand] ^ fp].sum(axis=1) <= RADIUS]
+        if not len(cand):
+            return
+        bag = _bag(ws[start:start + length], n)
+        for k in cand.tolist():
+            sim = similarity(bag, bags[k])
+            if sim >= self.threshold - 1e-12 and sim > found.get((length, k), (0.0,))[0]:
+                found[length, k] = (sim, start, length)
+
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter("t is not null")

@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,20 +61,9 @@ _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133
 
 # -- shingles ----------------------------------------------------------------
 
-class _WordHashes(dict):
-    """64-bit hash of a word; the table is emptied when it has a million words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-    def __reduce__(self):  # travels empty
-        return _WordHashes, ()
-
-
-_HASHES = _WordHashes()
+def word_hashes(ws: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, ws), _U, len(ws))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -87,7 +77,7 @@ def shingle_hashes(ws: list[bytes], n: int) -> np.ndarray:
     shingle, the whole sequence; no words: none)."""
     if not ws:
         return np.empty(0, _U)
-    h = np.fromiter(map(_HASHES.__getitem__, ws), _U, len(ws))
+    h = word_hashes(ws)
     k = min(n, len(ws))
     acc = np.full(len(ws) - k + 1, k, _U)
     for j in range(k):
