@@ -11,10 +11,6 @@ from haze.functions.exprs import first_max_label, safe_corr, whole_units_between
 from haze.operators import rows_window
 from haze.session import ensure_utc
 
-# Stand-in for a NULL category inside MODE (which skips NULLs). It sorts
-# below every printable label, so in a tie the NULL group wins, as NULL
-# sorts first in the ascending tiebreak.
-_NULL_CATEGORY = "\u0000"
 
 # Deterministic order of the station rows of one city (several stations share
 # an hour; ROWS frames need a total order).
@@ -25,21 +21,22 @@ def city_trends(joined: DataFrame) -> DataFrame:
     """Per city and day: avg/max/min composite, avg pm25/pm10 and the dominant
     category (most rows; ties -> smallest label, NULL first).
 
-    A single hash aggregation: MODE keeps a small per-group map of category
-    counts, so the dominant category needs no second aggregation, window or
-    self-join, and each map task combines its rows before the one shuffle.
+    Two hash aggregations of fixed-width state: per city, day and category, then
+    per city and day. Map tasks combine their rows before either shuffle, and
+    the second one sees a few rows per city and day.
     """
-    cat = F.coalesce(F.col("aqi_category"), F.lit(_NULL_CATEGORY))
-    out = joined.groupBy("canonical_city", "reading_date").agg(
-        F.avg("composite_aqi").alias("avg_aqi"),
-        F.max("composite_aqi").alias("max_aqi"),
-        F.min("composite_aqi").alias("min_aqi"),
-        F.avg("pm25").alias("avg_pm25"),
-        F.avg("pm10").alias("avg_pm10"),
-        F.mode(cat, deterministic=True).alias("_dominant"),
-    )
-    dominant = F.when(F.col("_dominant") != _NULL_CATEGORY, F.col("_dominant"))
-    return out.withColumn("dominant_category", dominant).drop("_dominant")
+    measures = {"aqi": "composite_aqi", "pm25": "pm25", "pm10": "pm10"}
+    by_category = joined.groupBy("canonical_city", "reading_date", "aqi_category").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max("composite_aqi").alias("_max"), F.min("composite_aqi").alias("_min"),
+        *(F.sum(c).alias(f"_sum_{k}") for k, c in measures.items()),
+        *(F.count(c).alias(f"_count_{k}") for k, c in measures.items()))
+    average = lambda k: F.try_divide(F.sum(f"_sum_{k}"), F.sum(f"_count_{k}")).alias(f"avg_{k}")
+    label = F.col("aqi_category")
+    return by_category.groupBy("canonical_city", "reading_date").agg(
+        average("aqi"), F.max("_max").alias("max_aqi"), F.min("_min").alias("min_aqi"),
+        average("pm25"), average("pm10"),
+        F.min(F.struct(-F.col("_n"), label.isNotNull(), label.alias("label"))).getField("label").alias("dominant_category"))
 
 
 def pollutant_breakdown(cat: DataFrame, ignore_nulls: bool = False) -> DataFrame:
