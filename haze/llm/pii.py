@@ -97,7 +97,7 @@ def luhn(digits: Column) -> Column:
 
 def _valid(kind: str, m: Column) -> Column:
     if kind == "ip":
-        return m.rlike(r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$")
+        return m.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$")
     if kind == "card":
         d = _digits(m)
         return F.length(d).between(14, 19) & luhn(d)

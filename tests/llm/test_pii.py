@@ -100,3 +100,14 @@ def test_native_plan_and_empty_table(spark):
     assert P.pii_report(docs).count() == 0
     plan = P.pii_report(documents(spark, [(1, "a@b.co")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_addresses_with_zero_parts(spark):
+    parts = ["0", "00", "000", "1", "010", "0255", "255", "0256", "256"]
+    cases = ["0.0.0.0", "10.0.0.1", "000.1.02.3", "192.168.0.1 and 127.0.0.1", "00.1.1.1", "0.0.0", "0" * 4000 + ".0.0.1", "0" * 4000 + "999.0.0.1"]
+    cases += [f"x {a}.{b}.{c}.{d} y" for a in parts for b in parts for c in parts[:3] for d in parts[2:]]
+    rows = P.pii_report(documents(spark, list(enumerate(cases)))).collect()
+    got = {r.doc_id: r.n_ip for r in rows}
+    assert [got[i] for i in range(7)] == [1, 1, 1, 2, 1, 0, 1]
+    for r in rows:
+        _check(r, cases[r.doc_id])
