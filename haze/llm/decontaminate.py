@@ -3,7 +3,9 @@
 Every benchmark item of L words is compared with the document's windows of L
 words. Items and windows are bags of 5-word shingles (items of fewer words: one
 shingle, the whole item); their similarity is sum(min counts) / sum(max counts),
-and a document and an item match when some window reaches ``threshold``.
+and a document and an item match when some window reaches ``threshold``. A
+document of fewer than L words is one window as a whole (of fewer words than a
+shingle has, it shares none with the item).
 
 A 128-bit SimHash stands for each window and item. Candidate items come from a
 multi-index over its 16 bytes: fingerprints within 48 bits agree to 3 bits in one
@@ -128,9 +130,11 @@ class Matcher:
                     for length in self.lengths[n][x]:
                         places[length].append(at)
                 for length, at in places.items():
-                    if len(ws) < length:
-                        continue
                     size = length - n + 1
+                    if len(ws) < length:  # the whole document is the window; the similarity is at most hits / size
+                        if len(at) >= self.threshold * size - 1e-9:
+                            self._verify(g, ws, 0, length, n, found)
+                        continue
                     before = np.zeros(len(g) + 1, np.int64)
                     before[np.array(at) + 1] = 1
                     before = np.cumsum(before)
@@ -151,7 +155,7 @@ class Matcher:
         for k in cand.tolist():
             sim = similarity(bag, bags[k])
             if sim >= self.threshold - 1e-12 and sim > found.get((length, k), (0.0,))[0]:
-                found[length, k] = (sim, start, length)
+                found[length, k] = (sim, start, min(length, len(ws)))
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:

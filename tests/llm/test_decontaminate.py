@@ -95,3 +95,39 @@ def test_planted_items_of_the_test_tables_are_found(spark):
     plain = {r.doc_id: " ".join(r.text.lower().split()) for r in docs.collect()}
     whole = {(i, r.item_id) for r in items.collect() for i, t in plain.items() if " ".join(r.text.lower().split()) in t}
     assert whole and whole <= got
+
+
+def brute_whole(rows, items):
+    """brute(), where a document with fewer words than the item is one window."""
+    out = brute(rows, items)
+    for i, t in rows:
+        ws = (t or "").encode().lower().split()
+        for j, u in items:
+            vs = (u or "").encode().lower().split()
+            n = min(5, len(vs))
+            if len(ws) < len(vs):
+                win, bag = (Counter(tuple(x[k:k + n]) for k in range(len(x) - n + 1)) for x in (ws, vs))
+                both = sum((win & bag).values())
+                sim = both / (sum(win.values()) + sum(bag.values()) - both)
+                if sim >= 0.8:
+                    out[i, j] = (sim, 0, len(ws))
+    return out
+
+
+def test_documents_shorter_than_the_item(spark):
+    item = [f"w{k}" for k in range(20)]
+    parts = {1: item[:18], 2: item[1:], 3: item[1:19], 4: item[:16], 5: item[:9] + ["x"] + item[10:19], 6: item[:3], 7: item[2:] + ["x"], 8: item[:19]}
+    r = random.Random(5)
+    items = [(100, " ".join(item))] + [(j, " ".join(f"v{r.randrange(40)}" for _ in range(r.choice([3, 5, 6, 9, 13, 30, 60])))) for j in range(40)]
+    rows = [(i, " ".join(p)) for i, p in parts.items()]
+    for i in range(400):
+        part = r.choice(items)[1].split()
+        a, b = r.randrange(4), r.randrange(4)
+        rows.append((1000 + i, " ".join(part[a:len(part) - b])))
+    want = brute_whole(rows, items)
+    assert {i for i, j in want if j == 100 and i < 1000} == {1, 2, 3, 7, 8} and len(want) > len(brute(rows, items)) + 100
+    got = _got(D.find_contamination(documents(spark, rows), _items(spark, items), block_bytes=900))
+    assert {k: v[1:] for k, v in got.items()} == {k: v[1:] for k, v in want.items()}
+    assert all(abs(got[k][0] - want[k][0]) < 1e-12 for k in want)
+    left = D.drop_contaminated(documents(spark, rows), _items(spark, items)).collect()
+    assert sorted(x.doc_id for x in left) == sorted(i for i, _ in rows if i not in {k[0] for k in want})
