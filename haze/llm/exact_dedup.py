@@ -8,8 +8,9 @@ the group's row count. Digests of incoming rows are combined per digest first,
 then looked up in their shard: the slot's digest is compared byte by byte, a
 match joins the historical group, the rest form groups of their own.
 
-A shard holds about ``shard_keys`` distinct digests whatever the copies' number,
-so a text that a third of all rows repeat is one key.
+A shard holds about ``shard_keys`` distinct digests at most of the history and of
+the incoming rows, whatever the copies' number (a text that a third of all rows
+repeat is one key) and however unevenly the ids split the two.
 
 Defined results: a null text counts as empty (so nulls and empty texts are one
 group); rows with a null id take part, lose against any id, and a group of only
@@ -161,7 +162,8 @@ def digest_groups(history: DataFrame, incoming: DataFrame, shard_keys: int = SHA
     """Groups of equal digests over both keyed frames ``(id, digest)``."""
     spark = history.sparkSession
     old = written(_grouped(history), "dedup-history")
-    shards = max(1, -(-old.count() // shard_keys))
+    new_keys = incoming.agg(F.approx_count_distinct("digest")).first()[0]
+    shards = max(1, -(-max(old.count(), new_keys) // shard_keys))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).alias("shard")
     index = (old.select(shard, "digest", "keep_id", "n", "n_win")
              .groupBy("shard").applyInPandas(_index_shard, _INDEX))

@@ -71,3 +71,19 @@ def test_many_shards(spark):
     groups = X.digest_groups(keyed.filter("id < 90"), keyed.filter("id >= 90"), shard_keys=7)
     got = {bytes(r.digest): (r.keep_id, r.n) for r in groups.collect()}
     assert got == {hashlib.sha256(f"t{k}".encode()).digest(): (160 + k, 5) for k in range(40)}
+
+
+@pytest.mark.parametrize("low", [[0], [-1, 0], [None]])
+def test_shards_are_sized_by_the_incoming_digests_too(spark, low, monkeypatch):
+    """One low id, or none at all, leaves next to no history: every digest comes in."""
+    lookup = X._lookup
+
+    def bounded(incoming, index):
+        assert len(incoming) <= 120, len(incoming)
+        return lookup(incoming, index)
+    monkeypatch.setattr(X, "_lookup", bounded)
+    ids = [None] * 2000 if low == [None] else [10**12 + i for i in range(2000)]
+    rows = [(i, f"t{k % 1500}") for k, i in enumerate(ids)] + [(i, "t3") for i in low]
+    keyed, groups = X.exact_groups(documents(spark, rows), shard_keys=50)
+    got = {bytes(r.digest).hex(): (r.keep_id, r.n) for r in groups.collect()}
+    assert got == {d: (keep, n) for _, keep, n, _, d in _brute(rows)} and len(got) == 1500
