@@ -9,8 +9,11 @@
    text; a page without any of them uses its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments and raw text
-elements are left out wherever they stand. Blocks are the texts between
-block-level tags; white space inside one becomes a single space.
+elements are left out wherever they stand, boxes by whole class names made of the
+words for them. An element that is or holds main stays, and so do one that is or
+holds an article and a form or a named box with more than half of the page's text
+outside links, unless an article or main elsewhere has the text. Blocks are the
+texts between block-level tags; white space inside one becomes a single space.
 
 Defined results: a null or empty page has the empty text and no votes; a null or
 hostless url belongs to the host ""; broken and cut-off markup is closed as far
@@ -33,9 +36,12 @@ from haze.llm.common import written
 
 PATHS = 5  # paths of a host that a page may use, by votes
 _DEPTH = 1.08
+_BESIDE_ARTICLE = 0.1  # a box that holds an article stays unless an article elsewhere has this share of its text
+_LEVELS = 32  # of such boxes inside each other
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>?|<[!?/][^>]*+>?""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_IFRAME = re.compile(r"<(/?)iframe\b", re.I)
 # HTML elements by their role.
 _RAW = frozenset("script style noscript textarea title template iframe svg math object select canvas audio video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,11 +51,18 @@ _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blo
 _LEFT_OUT = frozenset("nav footer aside form head menu dialog button input label fieldset".split()) | _RAW
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}}
-_NOISE = re.compile(
-    r"(?:^|[-_\s])(?:nav(?:bar|igation)?|menus?|topbar|breadcrumbs?|footer|sidebar|aside|rail|ads?|advert\w*|adbox|adslot|banner|promo\w*|"
-    r"sponsor\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|subscribe|newsletter|signup|login|search|share|sharing|social|"
-    r"comments?|disqus|replies|respond|related|recommend\w*|pagination|pager|toolbar|widget|copyright|masthead|skip)(?=$|[-_\s])", re.I)
-_SITE_HEADER = re.compile(r"(?:^|[-_\s])(?:header|site-header|page-header)(?=$|[-_\s])", re.I)
+_NOISE_WORD = (
+    r"(?:nav(?:bar|igation)?|menus?|topbar|breadcrumbs?|footer|sidebar|aside|rail|ads?|advert[a-z\d]*|adbox|adslot|banner|promo[a-z\d]*|"
+    r"sponsor[a-z\d]*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|subscribe|newsletter|signup|login|search|share|sharing|social|"
+    r"comments?|disqus|replies|respond|related|recommend[a-z\d]*|pagination|pager|toolbar|widgets?|copyright|masthead|skip)")
+# Words that stand beside them in names of boxes; a name with any other word (has, no, content, category, ...) tells nothing.
+_BESIDE = (
+    r"(?:site|page|main|primary|secondary|global|top|bottom|left|right|side|upper|lower|sticky|fixed|mobile|desktop|inner|outer|area|block|bar|box|"
+    r"boxes|container|wrapper|wrap|holder|section|zone|slot|unit|panel|list|lists|item|items|group|row|col|column|links?|buttons?|btn|icons?|form|"
+    r"field|input|media|post|posts|article|articles|entry|entries|story|stories|news|blog|recent|latest|popular|more|thread|reply|policy|message|"
+    r"text|image|google|header|head|title|to|by|up|bottombar|js|c|l|\d+)")
+_NOISE = re.compile(rf"(?<!\S)[-_]*+(?:{_BESIDE}[-_]+)*{_NOISE_WORD}\d*(?:[-_]+(?:{_BESIDE}|{_NOISE_WORD}))*[-_]*+(?!\S)", re.I)
+_SITE_HEADER = re.compile(r"(?<!\S)(?:(?:site|page|main|global|top|sticky|fixed|mobile|desktop)[-_]+)*header(?!\S)", re.I)
 
 
 class Page:
@@ -58,42 +71,94 @@ class Page:
     def __init__(self, source: str | None):
         self.paths: list[str] = []
         self.depths: list[int] = []
-        self.points: list[float] = []
-        self.blocks: list[tuple[str, tuple[int, ...]]] = []
+        self.tags: list[str] = []
+        self.parsed: list[tuple[list, tuple[int, ...]]] = []  # block: pieces (text, marked elements, linked), containers
+        self.marked: list[tuple[tuple[int, ...], tuple[int, ...], bool]] = []  # marked elements and containers around it, kept if most text
+        self.with_main: set[int] = set()  # marked elements that are or hold a main
+        self.with_article: set[int] = set()
         self._parse(source or "")
+        kept = self._kept()
+        self.points = [0.0] * len(self.paths)
+        self.blocks: list[tuple[str, tuple[int, ...]]] = []
+        for pieces, chain in self.parsed:
+            pieces = [p for p in pieces if kept.issuperset(p[1])]
+            text = " ".join("".join(p[0] for p in pieces).split())
+            if text:
+                self.blocks.append((text, chain))
+                points = max(len(text) - sum(p[2] for p in pieces), 0) + 0.1
+                for c in chain:
+                    self.points[c] += points
         whole = max(self.points, default=0.0)
         self.scores = [(p / whole) * _DEPTH ** d if whole else 0.0 for p, d in zip(self.points, self.depths)]
 
+    def _kept(self) -> set[int]:
+        """Marked elements that stay: they hold the article or most of the text."""
+        kept: set[int] = set()
+        if not self.marked:
+            return kept
+        held = [0] * len(self.marked)
+        pieces = [(max(len(text.strip()) - linked, 0), marks, chain) for block, chain in self.parsed for text, marks, linked in block]
+        for n, marks, _ in pieces:
+            for m in marks:
+                held[m] += n
+        half = sum(p[0] for p in pieces) / 2
+        may = {m for m, n in enumerate(held) if n and (m in self.with_main or m in self.with_article or n > half and self.marked[m][2])}
+        for _ in range(_LEVELS):  # outer elements first: what stands inside one that is left out is left out
+            level = [m for m in may - kept if kept.issuperset(self.marked[m][0])]
+            if not level:
+                break
+            texts: dict[int, int] = {}  # article or main -> its text outside marked elements
+            for n, marks, chain in pieces:
+                if kept.issuperset(marks):
+                    for c in chain:
+                        if self.tags[c] in ("article", "main"):
+                            texts[c] = texts.get(c, 0) + n
+            largest = sorted(texts.items(), key=lambda t: -t[1])
+            for m in level:
+                around = set(self.marked[m][1])
+                beside = next((n for c, n in largest if c not in around), 0)
+                outside = max((texts.get(c, 0) for c in around), default=0)
+                if m in self.with_main or beside < _BESIDE_ARTICLE * held[m] and outside <= held[m]:
+                    kept.add(m)
+                may.discard(m)
+        return kept
+
     def _parse(self, source: str) -> None:
-        stack: list[tuple[str, int, bool, bool]] = []  # tag, container or -1, left out, inside the article
+        stack: list[tuple[str, int, int, bool]] = []  # tag, container or -1, mark or -1, inside the article
         chain: list[int] = []
-        words: list[str] = []
-        linked = 0
+        marks: list[int] = []
+        now: tuple[int, ...] = ()
+        pieces: list[list] = []
         at = 0
 
+        def add(text: str, linked: int = 0):
+            if pieces and pieces[-1][1] is now:
+                pieces[-1][0].append(text)
+                pieces[-1][2] += linked
+            else:
+                pieces.append([[text], now, linked])
+
         def flush():
-            nonlocal linked
-            if words:
-                text = " ".join("".join(words).split())
-                if text:
-                    self.blocks.append((text, tuple(chain)))
-                    for c in chain:
-                        self.points[c] += max(len(text) - linked, 0) + 0.1
-                words.clear()
-            linked = 0
+            if pieces:
+                block = [("".join(p[0]), p[1], p[2]) for p in pieces]
+                if any(not p[0].isspace() for p in block):
+                    self.parsed.append((block, tuple(chain)))
+                pieces.clear()
 
         def pop_to(depth: int):
+            nonlocal now
             while len(stack) > depth:
-                if stack.pop()[1] >= 0:
+                _, container, mark, _ = stack.pop()
+                if container >= 0:
                     chain.pop()
+                if mark >= 0:
+                    marks.pop()
+                    now = self.marked[mark][0]
 
         def text_until(end: int):
-            nonlocal linked
-            if end > at and not (stack and stack[-1][2]):
+            if end > at:
                 text = _html.unescape(source[at:end])
-                words.append(text)
-                if any(t[0] == "a" for t in reversed(stack[-3:])):
-                    linked += len(text.strip())
+                add(text, len(text.strip()) if any(t[0] == "a" for t in reversed(stack[-3:])) else 0)
 
         while m := _TAG.search(source, at):
             text_until(m.start())
@@ -109,7 +174,9 @@ class Page:
                     pop_to(k)
                 continue
             if tag == "br":
-                words.append(" ")
+                add(" ")
+                continue
+            if m[3].endswith("/") and (tag in ("svg", "math") or tag == "iframe" and not ((e := _IFRAME.search(source, at)) and e[1])):
                 continue
             if tag in _RAW:  # its content is no markup
                 end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
@@ -125,22 +192,28 @@ class Page:
                         break
             if tag in _VOID or m[3].endswith("/") and tag not in _BLOCKS:
                 continue
-            out, inside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+            inside = bool(stack) and stack[-1][3]
             names = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTR.finditer(m[3])} if m[3] else {}
-            marks = " ".join(names[k] for k in ("class", "id", "role") if k in names)
-            out = (out or tag in _LEFT_OUT or "hidden" in names or names.get("aria-hidden") == "true"
-                   or tag == "header" and not inside or bool(marks) and tag not in ("html", "body")
-                   and bool(_NOISE.search(marks) or not inside and _SITE_HEADER.search(marks)))
-            container = -1
-            if tag in _CONTAINERS and not out:
+            named = " ".join(names[k] for k in ("class", "id", "role") if k in names)
+            boxed = tag in ("form", "fieldset", "head") or bool(named) and tag not in ("html", "body") and bool(
+                _NOISE.search(named) or not inside and _SITE_HEADER.search(named))
+            container = mark = -1
+            if len(marks) < _LEVELS and (boxed or tag in _LEFT_OUT or "hidden" in names or names.get("aria-hidden") == "true"
+                                         or tag == "header" and not inside):
+                mark = len(self.marked)
+                self.marked.append((now, tuple(chain), boxed))
+                marks.append(mark)
+                now = tuple(marks)
+            if tag in _CONTAINERS and len(marks) < _LEVELS:
                 container = len(self.paths)
                 classes = sorted({re.sub(r"\d+", "", c) for c in names.get("class", "").split()} - {""})
-                above = self.paths[chain[-1]] if chain else ""
-                self.paths.append(f"{above}>{'.'.join([tag, *classes])}")
+                self.paths.append(f"{self.paths[chain[-1]] if chain else ''}>{'.'.join([tag, *classes])}")
                 self.depths.append(len(chain))
-                self.points.append(0.0)
+                self.tags.append(tag)
                 chain.append(container)
-            stack.append((tag, container, out, inside or tag in ("article", "main")))
+            if tag in ("article", "main"):
+                (self.with_main if tag == "main" else self.with_article).update(marks)
+            stack.append((tag, container, mark, inside or tag in ("article", "main")))
         text_until(len(source))
         flush()
 

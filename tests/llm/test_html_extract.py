@@ -53,3 +53,38 @@ def test_hosts_vote_for_the_container(spark):
 
 def test_empty_table(spark):
     assert H.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+LONG = "a long sentence of the story " * 40
+
+
+def _text(page):
+    return H.Page(page).text().replace(LONG.strip(), "LONG")
+
+
+def test_boxes_around_the_article_are_not_left_out():
+    for box in ("div class='content has-sidebar'", "main class='site-main no-comments'", "div class='elementor-widget-text-editor'",
+                "div class='post category-search'", "div class='sidebar'", "form id='aspnetForm'", "div role='search'"):
+        end = box.split()[0]
+        assert _text(f"<body><{box}><article><p>{LONG}</p></article></{end}><div class='ad'>Buy</div></body>") == "LONG", box
+        assert _text(f"<body><{box}><p>{LONG}</p></{end}><div class='ad'>Buy</div></body>") == "LONG", box
+    parts = "".join(f"<div class='elementor-widget-text-editor'><p>part {i}</p></div>" for i in range(3))
+    assert _text(f"<body><div>{parts}</div></body>") == "part 0\npart 1\npart 2"
+    assert _text(f"<body><article class='widget'><p>{LONG}</p></article></body>") == "LONG"
+    assert _text("<p>a <span class='ad'>x</span>b") == "a b"
+
+
+def test_boxes_beside_the_article_are_left_out():
+    for name in ("cookie-notice", "ad", "site-footer", "comments-area", "sidebar-left", "share-buttons", "related-posts", "main-menu", "widget_text"):
+        assert _text(f"<body><article><p>{LONG}</p><div class='x {name}'><p>no</p></div></article></body>") == "LONG", name
+    comments = "<article class='comment'>I agree</article>" * 9
+    assert _text(f"<body><main><p>{LONG}</p><section id='comments'>{comments}</section></main></body>") == "LONG"
+
+
+def test_self_closing_elements_end_at_their_own_tag():
+    assert _text("<body><p>one</p><svg width='1'/><p>two</p><math/><iframe src='x' /><p>three</p></body>") == "one\ntwo\nthree"
+    assert _text("<p>one</p><svg/><p>two</p><svg><text>no</text></svg><iframe src='x' />no</iframe><p>three</p>") == "one\ntwo\nthree"
+
+
+def test_marked_elements_nested_deeply():
+    assert _text("<div class='ad'>" * 20_000 + "x") == "x"
