@@ -2,7 +2,8 @@
 
 1. Each page is parsed and its containers are scored: a container's share of the
    page's text outside links, raised by its depth, so that the deepest container
-   that still holds nearly all of the text scores best.
+   that still holds nearly all of the text scores best. From there it is climbed
+   to the article or main around it, or else over headings and texts beside it.
 2. Each page votes with its containers' scores for their generalised paths (tags
    with classes, digits removed); Spark sums the votes by host and path.
 3. Pages are extracted again: the host's best path that the page has gives the
@@ -72,22 +73,31 @@ class Page:
         self.paths: list[str] = []
         self.depths: list[int] = []
         self.tags: list[str] = []
-        self.parsed: list[tuple[list, tuple[int, ...]]] = []  # block: pieces (text, marked elements, linked), containers
+        self.above: list[int] = []  # the container around it, or -1
+        self.parsed: list[tuple[list, tuple[int, ...], bool]] = []  # block: pieces (text, marked elements, linked), containers, in an h1
         self.marked: list[tuple[tuple[int, ...], tuple[int, ...], bool]] = []  # marked elements and containers around it, kept if most text
         self.with_main: set[int] = set()  # marked elements that are or hold a main
         self.with_article: set[int] = set()
         self._parse(source or "")
         kept = self._kept()
+        self.all_kept = all(kept.issuperset(p[1]) for block, _, _ in self.parsed for p in block)
         self.points = [0.0] * len(self.paths)
         self.blocks: list[tuple[str, tuple[int, ...]]] = []
-        for pieces, chain in self.parsed:
+        self.unlinked: list[int] = []  # a block's characters outside links
+        self.headed: set[int] = set()  # containers that hold an h1
+        self.headings: set[int] = set()  # blocks that are one
+        for pieces, chain, heading in self.parsed:
             pieces = [p for p in pieces if kept.issuperset(p[1])]
             text = " ".join("".join(p[0] for p in pieces).split())
             if text:
                 self.blocks.append((text, chain))
-                points = max(len(text) - sum(p[2] for p in pieces), 0) + 0.1
+                self.unlinked.append(max(len(text) - sum(p[2] for p in pieces), 0))
+                points = self.unlinked[-1] + 0.1
                 for c in chain:
                     self.points[c] += points
+                if heading:
+                    self.headed.update(chain)
+                    self.headings.add(len(self.blocks) - 1)
         whole = max(self.points, default=0.0)
         self.scores = [(p / whole) * _DEPTH ** d if whole else 0.0 for p, d in zip(self.points, self.depths)]
 
@@ -97,7 +107,7 @@ class Page:
         if not self.marked:
             return kept
         held = [0] * len(self.marked)
-        pieces = [(max(len(text.strip()) - linked, 0), marks, chain) for block, chain in self.parsed for text, marks, linked in block]
+        pieces = [(max(len(text.strip()) - linked, 0), marks, chain) for block, chain, _ in self.parsed for text, marks, linked in block]
         for n, marks, _ in pieces:
             for m in marks:
                 held[m] += n
@@ -142,7 +152,7 @@ class Page:
             if pieces:
                 block = [("".join(p[0]), p[1], p[2]) for p in pieces]
                 if any(not p[0].isspace() for p in block):
-                    self.parsed.append((block, tuple(chain)))
+                    self.parsed.append((block, tuple(chain), any(t[0] == "h1" for t in stack[-3:])))
                 pieces.clear()
 
         def pop_to(depth: int):
@@ -207,6 +217,7 @@ class Page:
             if tag in _CONTAINERS and len(marks) < _LEVELS:
                 container = len(self.paths)
                 classes = sorted({re.sub(r"\d+", "", c) for c in names.get("class", "").split()} - {""})
+                self.above.append(chain[-1] if chain else -1)
                 self.paths.append(f"{self.paths[chain[-1]] if chain else ''}>{'.'.join([tag, *classes])}")
                 self.depths.append(len(chain))
                 self.tags.append(tag)
@@ -218,16 +229,67 @@ class Page:
         flush()
 
     def best(self) -> int | None:
-        return max(range(len(self.scores)), key=lambda c: (self.scores[c], c), default=None)
+        c = max(range(len(self.scores)), key=lambda c: (self.scores[c], c), default=None)
+        return None if c is None else self._climbed(c)
+
+    def _article(self, c: int) -> int | None:
+        while c >= 0 and self.tags[c] not in ("article", "main"):
+            c = self.above[c]
+        return None if c < 0 else c
+
+    def _climbed(self, c: int) -> int:
+        """The article or main around a container; without one, the outermost container that only adds its own texts or the h1's box."""
+        article = self._article(c)
+        if article is not None:
+            return article
+        top, up = c, self.above[c]
+        while up >= 0:
+            rest, others = self._around(up, top)
+            if others:
+                break
+            if rest:
+                if self.tags[up] in ("html", "body") and not (up in self.headed or self.tags[top] == "table" or self.all_kept):
+                    break
+                top = up
+            up = self.above[up]
+        return top
+
+    def _around(self, up: int, c: int) -> tuple[list[int], bool]:
+        """Blocks that stand in ``up`` itself or in its box with the h1 (no link lists), outside c; whether it has others."""
+        d, rest, n, chars = self.depths[up], [], 0, 0
+        inner = c
+        while self.above[inner] != up:
+            inner = self.above[inner]
+        for i, (text, chain) in enumerate(self.blocks):
+            if len(chain) > d and chain[d] == up and inner not in chain[d + 1:d + 2]:
+                n += 1
+                if len(chain) == d + 1 or chain[d + 1] in self.headed:
+                    rest.append(i)
+                    chars += len(text)
+        if 2 * sum(self.unlinked[i] for i in rest) < chars:
+            return [], True
+        return rest, n > len(rest)
+
+    def _taken(self, own: set[int]) -> str:
+        """Text of the containers; of a single one outside article and main, with the h1 beside it and what stands around that."""
+        more: set[int] = set()
+        if len(own) == 1 and self._article(c := next(iter(own))) is None:
+            up = self.above[c]
+            while up >= 0:
+                rest, _ = self._around(up, c)
+                if not self.headings.isdisjoint(rest):
+                    more.update(rest)
+                up = self.above[up]
+        return "\n".join(t for i, (t, chain) in enumerate(self.blocks) if i in more or not own.isdisjoint(chain))
 
     def text(self, paths: list[str] | None = None) -> str:
         """Text of the first path that holds any here, else of the best container (no containers: all)."""
         for path in paths or []:
-            own = {c for c, p in enumerate(self.paths) if p == path and self.points[c] > 0}
+            own = [c for c, p in enumerate(self.paths) if p == path and self.points[c] > 0]
             if own:
-                return "\n".join(t for t, chain in self.blocks if not own.isdisjoint(chain))
+                return self._taken({self._climbed(own[0])} if len(own) == 1 else {c if (a := self._article(c)) is None else a for c in own})
         best = self.best()
-        return "\n".join(t for t, chain in self.blocks if best is None or best in chain)
+        return "\n".join(t for t, _ in self.blocks) if best is None else self._taken({best})
 
 
 def host_of(url: Column) -> Column:

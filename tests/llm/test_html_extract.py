@@ -62,6 +62,22 @@ def _text(page):
     return H.Page(page).text().replace(LONG.strip(), "LONG")
 
 
+def test_heading_and_lead_outside_the_inner_container(spark):
+    """On every page of a host, also where the part outside is the larger one."""
+    page = "<body><nav>n</nav><article><h1>Head</h1><p class='lead'>{lead}</p><div class='content'><p>{body}</p></div></article><div>promo</div></body>"
+    rows = [(i, f"http://a.b/{i}", page.format(lead="Lead", body=LONG)) for i in range(40)] + [(99, "http://a.b/99", page.format(lead=LONG, body="short"))]
+    got = _texts(spark, rows)
+    assert got[0] == f"Head\nLead\n{LONG.strip()}" and got[99] == f"Head\n{LONG.strip()}\nshort"
+
+
+def test_climbing_to_the_whole_article():
+    assert _text(f"<body><article><p>intro</p><table><tr><td>{LONG}</table></article><div>promo</div></body>") == "intro\nLONG"
+    assert _text(f"<body><main><div><h1>Head</h1></div><div><div>{LONG}</div></div></main></body>") == "Head\nLONG"
+    assert _text(f"<body><nav>n</nav><div><h1>Head</h1><p>Lead</p><div>{LONG}</div></div><div>promo</div></body>") == "Head\nLead\nLONG"
+    assert _text(f"<body><div><h1>Head</h1><p>Lead</p><div>{LONG}</div><div>promo</div></div></body>") == "Head\nLead\nLONG"
+    assert _text(f"<body><p>intro</p><div>{LONG}</div></body>") == "intro\nLONG"
+
+
 def test_boxes_around_the_article_are_not_left_out():
     for box in ("div class='content has-sidebar'", "main class='site-main no-comments'", "div class='elementor-widget-text-editor'",
                 "div class='post category-search'", "div class='sidebar'", "form id='aspnetForm'", "div role='search'"):
