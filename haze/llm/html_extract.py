@@ -4,10 +4,12 @@
    page's text outside links, raised by its depth, so that the deepest container
    that still holds nearly all of the text scores best. From there it is climbed
    to the article or main around it, or else over headings and texts beside it.
-2. Each page votes with its containers' scores for their generalised paths (tags
-   with classes, digits removed); Spark sums the votes by host and path.
-3. Pages are extracted again: the host's best path that the page has gives the
-   text; a page without any of them uses its own best container.
+2. Each page votes for its best container's generalised path (tags with classes,
+   digits removed); Spark counts votes and pages by host and path. A path wins if
+   at least half of the host's pages that have it vote for it.
+3. Pages are extracted again: the winning path with most votes that the page has,
+   or a winning path inside it, gives the text; a page without any of them uses
+   its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments and raw text
 elements are left out wherever they stand, boxes by whole class names made of the
@@ -283,11 +285,18 @@ class Page:
         return "\n".join(t for i, (t, chain) in enumerate(self.blocks) if i in more or not own.isdisjoint(chain))
 
     def text(self, paths: list[str] | None = None) -> str:
-        """Text of the first path that holds any here, else of the best container (no containers: all)."""
-        for path in paths or []:
-            own = [c for c, p in enumerate(self.paths) if p == path and self.points[c] > 0]
-            if own:
-                return self._taken({self._climbed(own[0])} if len(own) == 1 else {c if (a := self._article(c)) is None else a for c in own})
+        """Text of the first path that holds any here, a path inside it before itself, else of the best container (no containers: all)."""
+        here: dict[str, list[int]] = {p: [] for p in paths or []}
+        for c, p in enumerate(self.paths):
+            if p in here and self.points[c] > 0:
+                here[p].append(c)
+        found = None
+        for path, at in here.items():
+            if at and (found is None or path.startswith(f"{found}>")):
+                found = path
+        if found is not None:
+            at = here[found]
+            return self._taken({self._climbed(at[0])} if len(at) == 1 else {c if (a := self._article(c)) is None else a for c in at})
         best = self.best()
         return "\n".join(t for t, _ in self.blocks) if best is None else self._taken({best})
 
@@ -298,26 +307,26 @@ def host_of(url: Column) -> Column:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums: dict[tuple[str, str], list[float]] = {}
+        sums: dict[tuple[str, str], list[int]] = {}
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source)
-            seen: dict[str, float] = {}
-            for path, score, points in zip(page.paths, page.scores, page.points):
-                if points > 0:
-                    seen[path] = max(seen.get(path, 0.0), score)
-            for path, score in seen.items():
-                sums.setdefault((host, path), [0.0])[0] += score
+            best = page.best()
+            for path in {path for path, points in zip(page.paths, page.points) if points > 0}:
+                sums.setdefault((host, path), [0, 0])[1] += 1
+            if best is not None and page.points[best] > 0:
+                sums[host, page.paths[best]][0] += 1
         keys = list(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-             pa.array([round(sums[k][0] * 1e6) for k in keys], pa.int64())], names=["host", "path", "votes"])
+             *(pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(2))], names=["host", "path", "votes", "pages"])
 
 
 def host_paths(pages: DataFrame, paths: int = PATHS) -> DataFrame:
-    """(host, paths): each host's generalised paths with most votes, best first."""
+    """(host, paths): each host's generalised paths that half of the pages with them vote for, most votes first."""
     votes = (pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-             .mapInArrow(_votes, "host string, path string, votes long")
-             .groupBy("host", "path").agg(F.sum("votes").alias("votes")))
+             .mapInArrow(_votes, "host string, path string, votes long, pages long")
+             .groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
+             .filter((F.col("votes") > 0) & (2 * F.col("votes") >= F.col("pages"))))
     order = Window.partitionBy("host").orderBy(F.col("votes").desc(), F.length("path").desc(), "path")
     top = votes.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= paths)
     return top.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path"))).getField("path").alias("paths"))

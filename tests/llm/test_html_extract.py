@@ -104,3 +104,17 @@ def test_self_closing_elements_end_at_their_own_tag():
 
 def test_marked_elements_nested_deeply():
     assert _text("<div class='ad'>" * 20_000 + "x") == "x"
+
+
+def test_host_with_two_templates(spark):
+    """Unmarked promotions stay out on both, and on a page of neither."""
+    zone = "<div class='zone'><p>promotion of something</p></div>"
+    one = f"<body>{zone}<div class='wrap'><article><p>{{0}}</p></article></div></body>"
+    two = f"<body><div class='story'><p>{{0}}</p><p>{{0}}</p></div>{zone}</body>"
+    rows = [(i, f"http://h/{i}", (one, two)[i % 2].format(LONG)) for i in range(40)] + [(90, "http://h/90", one.format("short")), (91, "http://h/91", two.format("short"))]
+    rows += [(92, "http://h/92", f"<body>{zone}<section class='other'><p>{LONG}</p></section></body>")]
+    got = _texts(spark, rows)
+    assert {got[i] for i in range(0, 40, 2)} == {LONG.strip()} and {got[i] for i in range(1, 40, 2)} == {f"{LONG.strip()}\n{LONG.strip()}"}
+    assert got[90] == "short" and got[91] == "short\nshort" and got[92] == LONG.strip()
+    best = H.host_paths(spark.createDataFrame(rows, SCHEMA)).first().paths
+    assert best[0].endswith("article") and best[1].endswith("div.story")
