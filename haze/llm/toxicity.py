@@ -7,7 +7,8 @@ rate among toxic and other documents (expectation maximisation, labelled rows
 held at their labels) and the voters' correlations among toxic documents; a
 voter that repeats others counts the less, 1 / (1 + sum of its correlations).
 The posterior labels train a sparse linear classifier on a bounded sample of
-rows; it scores every whole text.
+rows, labelled ones first; its scores are calibrated on all rows of the labelled
+sample, and it scores every whole text.
 
 Only rows that ``trains`` accepts give labels or classifier rows. Labels, lang,
 source and doc_id are never inputs of a score.
@@ -277,10 +278,26 @@ def _train(rows: list[tuple[float, float, np.ndarray]], features: int, penalty:
     return w, float(bias)
 
 
-def _calibrated(rows: list[tuple[float, float, np.ndarray]], w: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
-    """Scale and shift of the scores that fit the labelled ones of the rows best
-    (their posterior is their label), by Newton steps of a ridged logistic fit."""
-    known = [(p, bias + float(w[f].sum()), k) for p, k, f in rows if p in (0.0, 1.0)]
+def _labelled_scores(featured: DataFrame, labelled: dict[int, int], w: np.ndarray, bias: float) -> list[tuple[float, float, float]]:
+    """(label, score, rows) of every labelled document, by id: bounded like labelled."""
+    shared = share(featured.sparkSession, (labelled, w, bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weights, shift = shared()
+        for batch in batches:
+            rows = [(i, known[i], shift + float(weights[np.frombuffer(f, np.uint16)].sum()))
+                    for i, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if i in known]
+            ids, label, z = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(label, pa.float64()), pa.array(z, pa.float64())],
+                                             names=["doc_id", "label", "z"])
+    scored = (featured.select("doc_id", "features").mapInArrow(run, "doc_id long, label double, z double")
+              .groupBy("doc_id").agg(F.max("label").alias("label"), F.avg("z").alias("z"), F.count(F.lit(1)).alias("n")))
+    return [(r.label, r.z, float(r.n)) for r in sorted(scored.collect(), key=lambda r: r.doc_id)]
+
+
+def _calibrated(known: list[tuple[float, float, float]], w: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+    """Scale and shift of the scores that fit the labelled documents (label, score,
+    rows) best, by Newton steps of a ridged logistic fit."""
     y, z, k = (np.array(c) for c in zip(*known)) if known else (np.zeros(0),) * 3
     if not 0 < y.sum() < len(y):
         return w, bias
@@ -327,9 +344,15 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
     patterns = _vote_patterns(featured, len(voters), labelled)
     model = fit_label_model(patterns, len(voters), len(fixed))
 
-    # classifier rows: half of the bound for likely toxic, half for other documents, by a hash of the id
+    # classifier rows: half of the bound for likely toxic, half for other documents, by a hash of the id; of each
+    # half, labelled rows may take at least half and what the others leave
     total = _expectations(patterns, model, 1.0)
-    rates = [min(1.0, max_rows / 2 / max(total.get(k, 0.0), 1.0)) for k in ((-1, -1), (-2, -2))]
+    counts = [float(n or 0) for n in patterns.agg(F.sum("pos"), F.sum("neg")).first()]
+    rates = []  # toxic, other: (unlabelled, labelled)
+    for k, n in zip(((-1, -1), (-2, -2)), counts):
+        others = max(total.get(k, 0.0) - n, 0.0)
+        rate = min(1.0, max(max_rows / 4, max_rows / 2 - others) / max(n, 1.0))
+        rates.append((min(1.0, (max_rows / 2 - rate * n) / max(others, 1.0)), rate))
     shared = share(docs.sparkSession, (len(voters), labelled, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +362,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
             p = label_model.posterior(_votes(found, voters))
             given = [known.get(i) for i in ids]
             p = np.array([v if g is None else float(g) for v, g in zip(p.tolist(), given)])
-            rate = np.where(p >= 0.5, rates[0], rates[1])
+            rate = np.array([rates[0 if v >= 0.5 else 1][g is not None] for v, g in zip(p.tolist(), given)])
             take = np.flatnonzero(np.array(place) < rate)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(p[take]), pa.array(1 / rate[take]), pa.array([place[k] for k in take], pa.float64()),
@@ -348,7 +371,8 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
     taken = (featured.filter(~held_out(F.col("doc_id"))).select("doc_id", "features", place)
              .mapInArrow(run, "p double, w double, u double, features binary").limit(2 * max_rows).collect())
     rows = [(r.p, r.w, np.frombuffer(r.features, np.uint16)) for r in sorted(taken, key=lambda r: (r.u, r.features))]
-    return ToxicityModel(features, *_calibrated(rows, *_train(rows, len(features)))), featured
+    w, bias = _train(rows, len(features))
+    return ToxicityModel(features, *_calibrated(_labelled_scores(featured, labelled, w, bias), w, bias)), featured
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:

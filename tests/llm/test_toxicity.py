@@ -85,3 +85,19 @@ def test_label_model_recovers_rates_and_discounts_copies(spark):
     model = T.fit_label_model(df, 4, 0)
     assert abs(model.prior - 0.2) < 0.03 and np.allclose(model.a[:4], [0.7, 0.5, 0.6, 0.7], atol=0.08)
     assert model.weight[0] < 0.65 and model.weight[3] < 0.65 and model.weight[1] > 0.8
+
+
+def test_every_labelled_row_calibrates_however_few_are_sampled(spark, monkeypatch):
+    """Few classifier rows among many unlabelled documents; posteriors of exactly 0 or 1 are no labels."""
+    seen = []
+    calibrated, train = T._calibrated, T._train
+    monkeypatch.setattr(T, "_calibrated", lambda known, *a: seen.append(known) or calibrated(known, *a))
+    monkeypatch.setattr(T, "_train", lambda rows, *a: seen.append(rows) or train(rows, *a))
+    rows, labels = _corpus(3, 2000)
+    labels = labels[:400]
+    docs = documents(spark, [r[:2] for r in rows])
+    assert T.score_documents(docs, spark.createDataFrame(labels, LABELS), max_rows=120).count() == len(rows)
+    used = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    trained, known = seen
+    assert sorted(k[0] for k in known) == sorted(float(t) for t in used)
+    assert sum(r[0] == 0.0 for r in trained) >= 20 and sum(r[0] == 1.0 for r in trained) >= 20 and len(trained) <= 180
