@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from haze.llm import (
     chat_format,
+    conversation_repair,
     decontaminate,
+    divergence,
     exact_dedup,
     html_extract,
     mixing,
     ngram_join,
     pii,
+    quality,
     token_counts,
     toxicity,
     warc,
@@ -70,6 +73,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(rows), rows)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -81,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_quality": op13_quality,
 }
 
 ORACLE: dict[str, str] = {
@@ -92,4 +111,27 @@ ORACLE: dict[str, str] = {
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, d.text_sha256
         FROM d JOIN g USING (text_sha256)""",
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        v AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        n AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+        t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM n GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+                1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * v.v) AS p,
+                1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (v.lang_total + 2 * v.v) AS q
+              FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term) LEFT JOIN t USING (lang, source)),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+          SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(pairs.value, 0) AS value
+          FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+          LEFT JOIN pairs ON pairs.lang = x.lang AND pairs.source = x.source AND pairs.item = y.source
+          UNION ALL
+          SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }

@@ -17,11 +17,14 @@ COLUMNS = {
     "op7": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op8": ["page_id", "url", "text", "n_chars"],
     "op10": ["doc_id", "held_out", "score", "predicted"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12": ["lang", "source", "part", "item", "value", "rank"],
+    "op13": ["doc_id", "held_out", "score", "predicted"],
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
     assert set(Q.QUERIES) <= set(entry.queries()) and set(Q.ORACLE) <= set(Q.QUERIES)
 
 
