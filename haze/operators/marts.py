@@ -130,10 +130,14 @@ def city_features(joined: DataFrame, by: str = "rows", block_rows: int | None =
     ``by="rows"`` (default): every "last n hours" feature is the last n rows of
     the city in (hour, station, state) order, as the source defines them.
     ``by="hours"``: frames are real clock ranges over the reading hour.
+
+    With a column ``carry_rain`` (newest rain hour before the row's date) the
+    rows may be a part of the history: "hours since last rain" goes on from it.
     """
+    carried = ["carry_rain"] if "carry_rain" in joined.columns else []
     base = joined.where(F.col("has_weather_data")).select(
         "canonical_city", "station_name", "state", "reading_hour", "composite_aqi",
-        "pm25", "rainfall_1h_mm", "wind_speed_mps")
+        "pm25", "rainfall_1h_mm", "wind_speed_mps", *carried)
     rain_hour = F.when(F.col("rainfall_1h_mm") > 0, F.col("reading_hour"))
     c = F.col("composite_aqi")
     if by == "rows":
@@ -152,6 +156,8 @@ def city_features(joined: DataFrame, by: str = "rows", block_rows: int | None =
         feats = _hour_range_features(base, rain_hour)
     else:
         raise ValueError("by must be 'rows' or 'hours'")
+    if carried:
+        feats = feats.withColumn("_last_rain", F.greatest("_last_rain", "carry_rain"))
     trend = (F.when(c > F.col("_lag3"), "rising")
              .when(c < F.col("_lag3"), "falling").otherwise("stable"))
     return feats.select(

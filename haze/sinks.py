@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haze.session import scratch_path
+
 
 def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     parts = []
@@ -81,6 +83,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
         return spark.createDataFrame([], schema)
 
 
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: later readers
+    neither recompute it nor see it change."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_load(df: DataFrame, path: str, load_id: str) -> int:
     """Write the rows of one load (a run, a stream batch) under
     ``<path>/load_id=<load_id>``, in place of what an earlier try of the same
