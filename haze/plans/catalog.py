@@ -507,3 +507,41 @@ def _q_incremental(m: Models) -> DataFrame:
     for df in out[1:]:
         out[0] = out[0].unionByName(df)
     return out[0]
+
+
+class _Killed(Exception):
+    pass
+
+
+@query("run_snapshot")
+def _q_run_snapshot(m: Models) -> DataFrame:
+    """Rows of each table while a second load is killed again and again (after a write of
+    its raw rows, of a model, and before the commit), and once it has ended."""
+    warehouse = Warehouse(m.spark, scratch_path(m.spark, "run-snapshot"))
+    early = F.dayofmonth(F.col("ts").cast("timestamp")) <= 20
+
+    def load(name: str, part: DataFrame, dies_at: str | None = None) -> None:
+        def hook(step: str) -> None:
+            if step == dies_at:
+                raise _Killed(step)
+        incremental.refresh(warehouse, name, fixtures.aqi_readings(part), fixtures.weather_readings(part), m.city_map, m.breakpoints, hook=hook)
+
+    def counted(state: str) -> DataFrame:
+        snapshot = warehouse.snapshot()
+        out = [warehouse.read(t, snapshot=snapshot).agg(F.count(F.lit(1)).alias("table_rows")).select(
+            F.lit(state).alias("state"), F.lit(t).alias("table_name"), "table_rows") for t in SNAPSHOT_TABLES]
+        for df in out[1:]:
+            out[0] = out[0].unionByName(df)
+        return out[0]
+    load("load-1", m.events.where(early))
+    for step in ("raw_weather", "joined", "commit"):
+        try:
+            load("load-2", m.events.where(~early), dies_at=step)
+        except _Killed:
+            continue
+    killed = counted("killed")
+    load("load-2", m.events.where(~early))
+    return killed.unionByName(counted("done"))
+
+
+SNAPSHOT_TABLES = ["raw_readings", "stg_readings", "stg_weather", "joined", "city_aqi_trends", "rain_impact", "features_city_air_quality"]
