@@ -73,6 +73,11 @@ def quality_metrics(stg: DataFrame, wx: DataFrame, invalid: DataFrame,
         _since(invalid, "quarantined_at", since).agg(n.alias("quarantine_rows_last_hour")),
         stg.agg(F.max(F.col("latest_fetched_at").cast("timestamp")).alias("_last_fetch")),
     ], ["aqi_rows_last_hour", "weather_rows_last_hour", "quarantine_rows_last_hour", "_no25", "_no10", "_last_fetch"])
+    return _metrics_row(m, now, test_failures)
+
+
+def _metrics_row(m: DataFrame, now: Column, test_failures: Column | int) -> DataFrame:
+    """Rates, age and alarm flags of the counted metrics."""
     m = m.withColumns({"null_pm25_rate": F.try_divide("_no25", "aqi_rows_last_hour"),
                        "null_pm10_rate": F.try_divide("_no10", "aqi_rows_last_hour")})
     failures = test_failures if isinstance(test_failures, Column) else F.lit(test_failures)
@@ -225,3 +230,76 @@ def coverage_metrics(cat: DataFrame) -> DataFrame:
         F.count_if(F.col("aqi_category").isNull()).alias("uncategorized_rows"),
         F.count_if(none_present).alias("no_pollutant_rows"),
     )
+
+
+# ---------------------------------------------------------------- statistics kept by the writers
+
+def readings_stats(stg: DataFrame) -> DataFrame:
+    """Per reading hour: what the metrics, health and future-hour checks need of its rows."""
+    return stg.groupBy(F.col("reading_hour").alias("hour")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("pm25").isNull()).alias("no_pm25"),
+        F.count_if(F.col("pm10").isNull()).alias("no_pm10"), F.max(F.col("latest_fetched_at").cast("timestamp")).alias("newest_fetch"))
+
+
+def weather_stats(wx: DataFrame) -> DataFrame:
+    return wx.groupBy(F.col("weather_hour").alias("hour")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col("fetched_at").cast("timestamp")).alias("newest_fetch"))
+
+
+def invalid_stats(invalid: DataFrame) -> DataFrame:
+    """Rows for each quarantine stamp (a load has one)."""
+    return invalid.groupBy("source", "quarantined_at").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def daily_checks(stg: DataFrame, wx: DataFrame, cat: DataFrame, joined: DataFrame) -> DataFrame:
+    """(model, test_name, failures, day): every check whose rows belong to one date."""
+    parts = []
+    for model, df, day, checks in (
+            ("stg_readings", stg, "reading_date", {f"not_null_{c}": not_null(c) for c in ("station_name", "canonical_city", "reading_hour")}),
+            ("stg_weather", wx, F.to_date("weather_hour"), {f"not_null_{c}": not_null(c) for c in ("canonical_city", "weather_hour")}),
+            ("with_category", cat, "reading_date", {
+                "not_null_reading_hour": not_null("reading_hour"), "not_null_composite_aqi": not_null("composite_aqi"),
+                "valid_aqi_category": accepted_values("aqi_category", schemas.CATEGORIES), "aqi_positive": F.col("composite_aqi") < 0}),
+            ("join_weather", joined, "reading_date", {f"not_null_{c}": not_null(c) for c in ("reading_hour", "canonical_city")})):
+        counts = df.groupBy((F.col(day) if isinstance(day, str) else day).alias("day")).agg(
+            *(F.count_if(p).alias(f"_c{i}") for i, p in enumerate(checks.values())))
+        parts.append(counts.select(F.lit(model).alias("model"), F.inline(F.array(*(
+            F.struct(F.lit(name).alias("test_name"), F.col(f"_c{i}").alias("failures")) for i, name in enumerate(checks)))), "day"))
+    for p in parts[1:]:
+        parts[0] = parts[0].unionByName(p)
+    return parts[0]
+
+
+def report_from_stats(checks: DataFrame, readings: DataFrame, as_of: str | Column | None = None) -> DataFrame:
+    """The test report of ``all_checks`` from daily counts and hourly statistics."""
+    late = F.col("hour") > _as_of(as_of) + F.make_interval(hours=F.lit(FUTURE_TOLERANCE_HOURS))
+    future = readings.agg(F.coalesce(F.sum(F.when(late, F.col("rows"))), F.lit(0)).alias("failures")).select(
+        F.lit("with_category").alias("model"), F.lit("no_future_timestamps").alias("test_name"), "failures")
+    counted = checks.groupBy("model", "test_name").agg(F.sum("failures").alias("failures")).unionByName(future)
+    return counted.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
+def metrics_from_stats(readings: DataFrame, weather: DataFrame, invalid: DataFrame,
+                       as_of: str | Column | None = None, test_failures: Column | int = 0) -> DataFrame:
+    """``quality_metrics`` from the statistics tables alone."""
+    now = _as_of(as_of)
+    since = _hours_before(now, 1)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    recent = lambda df, t: df.where(F.col(t) >= since)
+    m = _one_row([
+        recent(readings, "hour").agg(total("rows").alias("aqi_rows_last_hour"), total("no_pm25").alias("_no25"), total("no_pm10").alias("_no10")),
+        recent(weather, "hour").agg(total("rows").alias("weather_rows_last_hour")),
+        recent(invalid, "quarantined_at").agg(total("rows").alias("quarantine_rows_last_hour")),
+        readings.agg(F.max("newest_fetch").alias("_last_fetch")),
+    ], ["aqi_rows_last_hour", "weather_rows_last_hour", "quarantine_rows_last_hour", "_no25", "_no10", "_last_fetch"])
+    return _metrics_row(m, now, test_failures)
+
+
+def health_from_stats(readings: DataFrame, weather: DataFrame, as_of: str | Column | None = None) -> DataFrame:
+    """``pipeline_health`` from the statistics tables alone."""
+    now = _as_of(as_of)
+    recent = F.col("hour") >= _hours_before(now, 24)
+    rows = lambda df, kind: df.agg(F.coalesce(F.sum(F.when(recent, F.col("rows"))), F.lit(0)).alias(f"{kind}_rows_last_24h"),
+                                   F.max("newest_fetch").alias(f"last_{kind}_fetch"))
+    names = ["aqi_rows_last_24h", "weather_rows_last_24h", "last_aqi_fetch", "last_weather_fetch"]
+    return _one_row([rows(readings, "aqi"), rows(weather, "weather")], names).select(now.alias("run_timestamp"), *names)

@@ -75,7 +75,11 @@ def validate_readings(df: DataFrame, fallback_first: bool = False) -> DataFrame:
     if fallback_first:
         df = df.withColumns({name: _present_or_fallback(df, name, alt)
                              for name, alt in FALLBACK_FIELDS.items()})
-    avg = safe_double("avg_value")
+    return _with_error(df, _reading_rules(df, safe_double("avg_value"), parse_local_datetime("last_update")))
+
+
+def _reading_rules(df: DataFrame, avg: Column, at: Column) -> list[Column]:
+    """The rules of an AQI record, given its parsed average and reading time."""
     rules = []
     if "_unknown" in df.columns:  # unreadable record (see sources.landing.aqi_records)
         rules.append(_rule(F.col("_unknown").isNotNull(), UNKNOWN, F.col("_unknown")))
@@ -83,11 +87,11 @@ def validate_readings(df: DataFrame, fallback_first: bool = False) -> DataFrame:
     rules += [
         _rule(avg.isNull(), "avg_value", NOT_NUMERIC),
         _rule(_outside(avg, *AVG_RANGE), "avg_value", OUT_OF_RANGE),
-        _rule(parse_local_datetime("last_update").isNull(), "last_update", BAD_DATETIME),
+        _rule(at.isNull(), "last_update", BAD_DATETIME),
         _rule(strip_ws("city") == "", "city", EMPTY),
         _rule(strip_ws("station") == "", "station", EMPTY),
     ]
-    return _with_error(df, rules)
+    return rules
 
 
 def _present_or_fallback(df: DataFrame, name: str, fallback: str) -> Column:
@@ -138,6 +142,12 @@ def _dt_seconds(c: Column, dtype: T.DataType) -> Column:
 def validate_weather(df: DataFrame) -> DataFrame:
     """Tag nested weather objects: required paths, temperature -10..60 and
     humidity 0..100 (non-numeric counts as out of range), integral ``dt``."""
+    return _with_error(df, _weather_rules(df, as_double(*_field(df, "main.temp")), as_double(*_field(df, "main.humidity")),
+                                          _dt_seconds(*_field(df, "dt"))))
+
+
+def _weather_rules(df: DataFrame, temp: Column, hum: Column, seconds: Column) -> list[Column]:
+    """The rules of a weather object, given its parsed temperature, humidity and time."""
     rules = []
     if "_corrupt_record" in df.columns:
         # Only a document that is not a JSON object at all is unreadable; on a
@@ -146,14 +156,12 @@ def validate_weather(df: DataFrame) -> DataFrame:
         bad = F.col("_corrupt_record")
         rules.append(_rule(bad.isNotNull() & F.json_object_keys(bad).isNull(), UNKNOWN, "malformed JSON"))
     rules += [_rule(_field(df, p)[0].isNull(), p, MISSING) for p in WEATHER_REQUIRED]
-    temp = as_double(*_field(df, "main.temp"))
-    hum = as_double(*_field(df, "main.humidity"))
     rules += [
         _rule(temp.isNull() | _outside(temp, *TEMP_RANGE), "main.temp", OUT_OF_RANGE),
         _rule(hum.isNull() | _outside(hum, *HUMIDITY_RANGE), "main.humidity", OUT_OF_RANGE),
-        _rule(_dt_seconds(*_field(df, "dt")).isNull(), UNKNOWN, "dt is not an integer"),
+        _rule(seconds.isNull(), UNKNOWN, "dt is not an integer"),
     ]
-    return _with_error(df, rules)
+    return rules
 
 
 def normalize_weather(df: DataFrame, fetched_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -211,3 +219,56 @@ def weather_quarantine_payload() -> Column:
     return F.to_json(F.struct(F.col("name").alias("city"),
                               F.concat_ws(": ", "error_field", "error_reason").alias("error")),
                      {"ignoreNullFields": "false"})
+
+
+# -- one pass for both outcomes
+
+GOOD, BAD = "good", "bad"
+
+
+def _routed(checked: DataFrame, good: dict[str, Column], source: str, payload: Column, stamp: Column) -> DataFrame:
+    """One row for each record: ``outcome``, the raw table's columns (NULL for a bad record)
+    and the quarantine envelope (NULL for a good one)."""
+    bad = F.col("error_field").isNotNull()
+    envelope = {"source": F.lit(source), "error_reason": F.col("error_reason"), "error_field": F.col("error_field"),
+                "raw_payload": payload, "quarantined_at": stamp.cast("timestamp")}
+    return checked.select(F.when(bad, BAD).otherwise(GOOD).alias("outcome"),
+                          *(F.when(~bad, c).alias(name) for name, c in good.items()),
+                          *(F.when(bad, c).alias(name) for name, c in envelope.items()))
+
+
+def route_readings(records: DataFrame, run_ts: Column, fallback_first: bool = False) -> DataFrame:
+    """AQI records -> typed raw readings and quarantine envelopes in one frame. Every number
+    and time is parsed once, into a column that both the rules and the row use."""
+    ensure_utc(records.sparkSession)
+    if fallback_first:
+        records = records.withColumns({name: _present_or_fallback(records, name, alt) for name, alt in FALLBACK_FIELDS.items()})
+    typed = records.withColumns({"_avg": safe_double("avg_value"), "_min": safe_double("min_value"), "_max": safe_double("max_value"),
+                                 "_at": parse_local_datetime("last_update")})
+    checked = _with_error(typed, _reading_rules(typed, F.col("_avg"), F.col("_at")))
+    good = {"station_id": _opt(records, "id"), "station_name": F.col("station"), "city": F.col("city"), "state": F.col("state"),
+            "pollutant_id": F.col("pollutant_id"), "pollutant_avg": F.col("_avg"), "pollutant_min": F.col("_min"),
+            "pollutant_max": F.col("_max"), "pollutant_unit": _opt(records, "pollutant_unit"), "reading_timestamp": F.col("_at"),
+            "fetched_at": run_ts.cast("timestamp")}
+    return _routed(checked, good, "aqi", F.col("raw_payload"), run_ts)
+
+
+def route_weather(objects: DataFrame, run_ts: Column) -> DataFrame:
+    """Weather objects -> typed raw weather and quarantine envelopes in one frame. The
+    envelope names the requested city where the landing manifest has it, else ``name``."""
+    paths = {"temp_celsius": "main.temp", "feels_like_celsius": "main.feels_like", "humidity_pct": "main.humidity",
+             "wind_speed_mps": "wind.speed", "wind_direction_degrees": "wind.deg", "visibility_meters": "visibility",
+             "pressure_hpa": "main.pressure", "_rain": "rain.1h"}
+    typed = objects.withColumns({f"_{name}": as_double(*_field(objects, path)) for name, path in paths.items()}
+                                | {"_seconds": _dt_seconds(*_field(objects, "dt"))})
+    checked = _with_error(typed, _weather_rules(typed, F.col("_temp_celsius"), F.col("_humidity_pct"), F.col("_seconds")))
+    number = lambda name: F.col(f"_{name}")
+    good = {"city": F.col("name"), "recorded_at": F.timestamp_seconds(F.col("_seconds")), "temp_celsius": number("temp_celsius"),
+            "feels_like_celsius": number("feels_like_celsius"), "humidity_pct": number("humidity_pct"), "wind_speed_mps": number("wind_speed_mps"),
+            "wind_direction_degrees": number("wind_direction_degrees"), "weather_condition": _field(objects, "weather[0].main")[0],
+            "rainfall_1h_mm": F.coalesce(number("_rain"), F.lit(0.0)), "visibility_meters": number("visibility_meters"),
+            "pressure_hpa": number("pressure_hpa"), "fetched_at": run_ts.cast("timestamp")}
+    city = F.coalesce("requested_city", "name") if "requested_city" in objects.columns else F.col("name")
+    payload = F.to_json(F.struct(city.alias("city"), F.concat_ws(": ", "error_field", "error_reason").alias("error")),
+                        {"ignoreNullFields": "false"})
+    return _routed(checked, good, "weather", payload, run_ts)

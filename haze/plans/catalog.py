@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from haze import schemas, sinks
 from haze.functions.exprs import epoch_to_timestamp
-from haze.operators import backfill, enrich, marts, quality, staging, validate
-from haze.plans import incremental, pipeline
+from haze.operators import backfill, enrich, marts, moments, quality, staging, validate
+from haze.plans import hourly, incremental, pipeline
 from haze.session import ensure_utc, scratch_path
 from haze.snapshots import Warehouse
 from haze.sources import fixtures, landing, seeds
@@ -545,3 +545,53 @@ def _q_run_snapshot(m: Models) -> DataFrame:
 
 
 SNAPSHOT_TABLES = ["raw_readings", "stg_readings", "stg_weather", "joined", "city_aqi_trends", "rain_impact", "features_city_air_quality"]
+
+
+# ---------------------------------------------------------------- hourly runs over a warehouse
+
+def _two_hourly_runs(m: Models) -> Warehouse:
+    """Two runs over growing landings, the second one tried twice; weather files are landed
+    for each requested city."""
+    root = scratch_path(m.spark, "hourly")
+    warehouse, manifest = Warehouse(m.spark, f"{root}/wh"), None
+    for run, run_ts in enumerate(("2024-01-30 20:00:00", fixtures.AS_OF)):
+        part = m.events.where(F.col("event_id") % 2 == run)
+        fixtures.land_aqi_pages(part, f"{root}/landing/aqi/hour={run}")
+        fixtures.land_requested_weather(part, f"{root}/landing/weather/hour={run}")
+        manifest = fixtures.request_manifest(m.spark, f"{root}/landing/weather")
+        for _ in range(run + 1):
+            hourly.run(warehouse, f"{root}/landing/aqi", f"{root}/landing/weather", run_ts, m.city_map, m.breakpoints,
+                       as_of=AS_OF, multiline=False, requests=manifest)
+    return warehouse
+
+
+@query("hourly_warehouse")
+def _q_hourly_warehouse(m: Models) -> DataFrame:
+    """The newest test report, as the full run gives it, and what the statistics say of the run."""
+    warehouse = _two_hourly_runs(m)
+    snapshot = warehouse.snapshot()
+    newest = sorted(f for fs in snapshot.tables["test_report"].values() for f in fs)[-1]
+    return warehouse._folders([newest], m.spark.read.parquet(f"{warehouse.root}/{newest}").schema)
+
+
+@query("hourly_quarantine")
+def _q_hourly_quarantine(m: Models) -> DataFrame:
+    """Quarantined weather with the city that was requested, also where the payload has no name."""
+    warehouse = _two_hourly_runs(m)
+    return warehouse.read("invalid_records").where("source = 'weather'").select("source", "error_reason", "error_field", "raw_payload")
+
+
+@query("quality_metrics_stats")
+def _q_metrics_stats(m: Models) -> DataFrame:
+    return quality.metrics_from_stats(quality.readings_stats(m.stg), quality.weather_stats(m.wx), quality.invalid_stats(m.invalid), AS_OF)
+
+
+@query("pipeline_health_stats")
+def _q_health_stats(m: Models) -> DataFrame:
+    return quality.health_from_stats(quality.readings_stats(m.stg), quality.weather_stats(m.wx), AS_OF)
+
+
+@query("weather_correlation_states")
+def _q_corr_states(m: Models) -> DataFrame:
+    states = moments.daily_states(m.joined.where("has_weather_data"), ["canonical_city", "reading_date"])
+    return moments.correlations(states, "canonical_city")

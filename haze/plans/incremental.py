@@ -4,8 +4,8 @@ Every table lives in a ``snapshots.Warehouse`` by date. A refresh stores the new
 rows, and then, in one transaction:
 
 * rebuilds the staging, weather, joined, daily trend and pollutant tables, the city
-  days and the daily co-moments for the dates that got or lost rows, reading those
-  dates alone;
+  days, the daily co-moments and the statistics of the data-quality tables for the
+  dates that got or lost rows, reading those dates alone;
 * finds the (city, date) pairs whose rain impact or features change. Their frames are
   counted in rows (3 to 23 back, 3 to 6 ahead), so how many dates they reach depends
   on the data: ``city_days`` has the rows of each city and date, and a running
@@ -25,14 +25,15 @@ rows and repeated loads included. New aliases or breakpoints change every date.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haze import sinks
 from haze.functions.exprs import to_instant
 from haze.functions.joins import maybe_broadcast
-from haze.operators import enrich, marts, moments, staging
+from haze.operators import enrich, marts, moments, quality, staging
 from haze.plans.pipeline import _concurrently
 from haze.session import ensure_utc
 from haze.snapshots import NO_DATE, Snapshot, Transaction, Warehouse
@@ -121,6 +122,21 @@ def _with_carry(joined: DataFrame, flags: DataFrame) -> DataFrame:
     return joined.join(f, joined[CITY].eqNullSafe(F.col("_c")) & (joined[DATE] == F.col("_d")), "inner").drop("_c", "_d")
 
 
+SOURCES = {"raw_readings": "reading_timestamp", "raw_weather": "recorded_at"}
+
+
+@dataclass
+class Changes:
+    """What a load changed: the dates of each raw table, and (city, date) pairs with rows that came or went."""
+    dates: dict[str, set[str]] = field(default_factory=lambda: {t: set() for t in SOURCES})
+    pairs: list[DataFrame] = field(default_factory=list)
+
+    def add(self, table: str, dates: set[str], rows: DataFrame, city_map: DataFrame) -> None:
+        self.dates[table] |= dates
+        day = F.to_date(SOURCES[table]).alias(DATE)
+        self.pairs.append(staging.canonicalize_city(rows, city_map).select(CITY, day).where(F.col(DATE).isNotNull()))
+
+
 def refresh(warehouse: Warehouse, load: str, readings: DataFrame | None, weather: DataFrame | None,
             city_map: DataFrame, breakpoints: DataFrame, workers: int = 4,
             hook: Callable[[str], None] | None = None) -> Snapshot:
@@ -129,25 +145,29 @@ def refresh(warehouse: Warehouse, load: str, readings: DataFrame | None, weather
     ensure_utc(warehouse.spark)
     tx = warehouse.begin()
     tx.hook = hook or tx.hook
-    touched: dict[str, set[str]] = {}
-    pairs = []
-    for table, rows, stamp in (("raw_readings", readings, "reading_timestamp"), ("raw_weather", weather, "recorded_at")):
-        touched[table] = set()
-        if rows is None:
-            continue
-        rows = rows.withColumns({c: to_instant(c, rows.schema[c].dataType) for c in (stamp, "fetched_at")})
-        touched[table], changed = tx.load(table, rows, F.to_date(stamp), load)
-        pairs.append(staging.canonicalize_city(changed, city_map).select(CITY, F.to_date(stamp).alias(DATE)).where(F.col(DATE).isNotNull()))
-    seeds = _reseeded([city_map, breakpoints])
-    if tx.base.version and tx.base.notes.get("seeds") != seeds:
-        touched = {t: tx.parts(t) for t in touched}
-        pairs = [staging.canonicalize_city(tx.read(t), city_map).select(CITY, F.to_date(c).alias(DATE))
-                 for t, c in (("raw_readings", "reading_timestamp"), ("raw_weather", "recorded_at")) if t in tx.tables]
-        pairs += [tx.read_before("city_days").select(*PAIR)]  # names that went out of use
-    for t in touched:
-        touched[t].discard(NO_DATE)
-        if t not in tx.tables:
-            raise ValueError(f"the first load needs rows of both kinds: {t} has none")
+    changes = Changes()
+    for table, rows in (("raw_readings", readings), ("raw_weather", weather)):
+        if rows is not None:
+            stamp = SOURCES[table]
+            rows = rows.withColumns({c: to_instant(c, rows.schema[c].dataType) for c in (stamp, "fetched_at")})
+            changes.add(table, *tx.load(table, rows, F.to_date(stamp), load), city_map)
+    return tx.commit(rebuild(tx, changes, city_map, breakpoints, workers))
+
+
+def rebuild(tx: Transaction, changes: Changes, city_map: DataFrame, breakpoints: DataFrame, workers: int = 4) -> dict[str, str]:
+    """Brings every table of the transaction up to its raw rows; returns the commit's notes."""
+    for table in SOURCES:
+        if table not in tx.tables:
+            raise ValueError(f"the first load needs rows of both kinds: {table} has none")
+    touched, pairs = changes.dates, changes.pairs
+    notes = {"seeds": _reseeded([city_map, breakpoints])}
+    if "seeds" in tx.base.notes and tx.base.notes["seeds"] != notes["seeds"]:
+        touched = {t: tx.parts(t) for t in SOURCES}
+        every = Changes()
+        for t in SOURCES:
+            every.add(t, touched[t], tx.read(t), city_map)
+        pairs = [*every.pairs, tx.read_before("city_days").select(*PAIR)]  # the last: names that went out of use
+    touched = {t: dates - {NO_DATE} for t, dates in touched.items()}
     day = F.col(DATE)
 
     stg = staging.stg_readings(tx.read("raw_readings", touched["raw_readings"]), city_map)
@@ -157,15 +177,21 @@ def refresh(warehouse: Warehouse, load: str, readings: DataFrame | None, weather
         "wx": lambda: tx.replace("stg_weather", wx, F.to_date("weather_hour"), touched["raw_weather"]),
     }, workers)
     dates = touched["raw_readings"] | touched["raw_weather"]
-    cat = enrich.with_category(tx.read("stg_readings", dates), breakpoints)
+    stored = tx.read("stg_readings", dates)
+    cat = enrich.with_category(stored, breakpoints)
     tx.replace("joined", enrich.join_weather(cat, tx.read("stg_weather", dates)), day, dates)
 
     joined = tx.read("joined", dates)
+    checked = quality.daily_checks(stored, tx.read("stg_weather", dates), cat, joined)
+    hours = {"readings_stats": (quality.readings_stats(stored), dates),
+             "weather_stats": (quality.weather_stats(tx.read("stg_weather", touched["raw_weather"])), touched["raw_weather"])}
     _concurrently({
         "trends": lambda: tx.replace("city_aqi_trends", marts.city_trends(joined), day, dates),
         "breakdown": lambda: tx.replace("pollutant_breakdown", marts.pollutant_breakdown(cat), day, dates),
         "days": lambda: tx.replace("city_days", city_days(joined), day, dates),
         "moments": lambda: tx.replace("city_day_moments", moments.daily_states(joined.where("has_weather_data"), PAIR), day, dates),
+        "checks": lambda: tx.replace("daily_checks", checked, F.col("day"), dates, cluster_by=()),
+        **{t: (lambda t=t, df=df, part=part: tx.replace(t, df, F.to_date("hour"), part, cluster_by=())) for t, (df, part) in hours.items()},
     }, workers)
 
     all_pairs = pairs[0]
@@ -180,10 +206,4 @@ def refresh(warehouse: Warehouse, load: str, readings: DataFrame | None, weather
         "correlation": lambda: tx.replace("weather_aqi_correlation", moments.correlations(tx.read("city_day_moments"), CITY)),
         "leaderboard": lambda: tx.replace("worst_best_cities", marts.city_leaderboard(tx.read("city_aqi_trends"))),
     }, workers)
-    return tx.commit({"seeds": seeds})
-
-
-def run(spark: SparkSession, root: str, load: str, readings: DataFrame | None, weather: DataFrame | None,
-        city_map: DataFrame, breakpoints: DataFrame, **settings) -> Snapshot:
-    """``refresh`` of the warehouse below ``root``."""
-    return refresh(Warehouse(spark, root), load, readings, weather, city_map, breakpoints, **settings)
+    return notes

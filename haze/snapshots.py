@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,12 @@ class Warehouse:
             return []
         return [(s.getPath().getName(), s.getModificationTime()) for s in self._fs.listStatus(path)]
 
+    def _leaves(self, folder: str) -> list[str]:
+        """The date folders of a written folder, below its outcomes if it has any."""
+        names = [n for n, _ in self._names(folder)]
+        nested = [f"{n}/{leaf}" for n in names if n.startswith("_outcome=") for leaf in self._leaves(f"{folder}/{n}")]
+        return [n for n in names if n.startswith("_part=")] + nested
+
     def versions(self) -> list[int]:
         return sorted(int(n[:-5]) for n, _ in self._names(_FILES) if n.endswith(".json") and n[:-5].isdigit())
 
@@ -109,7 +115,7 @@ class Warehouse:
                 if changed > before:
                     continue
                 folder = f"{table}/{run}"
-                parts = [f"{folder}/{n}" for n, _ in self._names(folder) if n.startswith("_part=")]
+                parts = [f"{folder}/{n}" for n in self._leaves(folder)]
                 stale = [p for p in parts if p not in listed]
                 if folder in listed or (parts and not stale):
                     continue
@@ -175,19 +181,42 @@ class Transaction:
              cluster_by: tuple[str, ...] = ()) -> tuple[set[str], DataFrame]:
         """Adds the rows of a load, in place of what an earlier try of it wrote. Returns the
         dates that change and the rows that came or went."""
-        tag = f"load={load}~"
-        schema = df.schema
+        return self._loaded(table, self._written(table, df, part, cluster_by, f"load={load}~"), load)
+
+    def load_routed(self, df: DataFrame, routes: dict[str, tuple[str, list[str], Column]], load: str) -> dict[str, tuple[int, set[str], DataFrame]]:
+        """Adds the rows of a load to several tables in one pass: ``routes`` names the table,
+        columns and date of each value of ``outcome``. Returns for each (rows, dates that
+        change, rows that came or went)."""
+        part = F.lit(None).cast("string")
+        for value, (_, _, date) in routes.items():
+            part = F.when(F.col("outcome") == value, date.cast("string")).otherwise(part)
+        folder = f"routed/load={load}~{self.run}-{uuid.uuid4().hex[:4]}"
+        seen = Observation(folder)
+        df = df.withColumn("_part", F.coalesce(part, F.lit(NO_DATE))).withColumn("_outcome", F.col("outcome")).drop("outcome")
+        df = df.observe(seen, F.count(F.lit(1)).alias("all"), *(F.count_if(F.col("_outcome") == v).alias(v) for v in routes))
+        df.hint("rebalance", "_outcome", "_part").write.partitionBy("_outcome", "_part").parquet(f"{self.warehouse.root}/{folder}")
+        out = {}
+        for value, (table, columns, _) in routes.items():
+            self.schemas[table] = json.loads(df.select(*columns).schema.json())
+            below = f"{folder}/_outcome={value}"
+            found = {n.removeprefix("_part="): f"{below}/{n}" for n in self.warehouse._leaves(below)}
+            out[value] = (int(seen.get[value]), *self._loaded(table, found, load))
+        self.hook("routed")
+        return out
+
+    def _loaded(self, table: str, found: dict[str, str], load: str) -> tuple[set[str], DataFrame]:
+        """Lists new folders of a load in place of its earlier ones."""
+        schema = T.StructType.fromJson(self.schemas[table])
         have = self.tables.setdefault(table, {})
-        old = {p: [f for f in folders if f.startswith(f"{table}/{tag}")] for p, folders in have.items()}
+        old = {p: [f for f in folders if f.split("/")[1].startswith(f"load={load}~")] for p, folders in have.items()}
         old = {p: f for p, f in old.items() if f}
         for p, folders in old.items():
             have[p] = [f for f in have[p] if f not in folders]
-        found = self._written(table, df, part, cluster_by, tag)
         for p, folder in found.items():
             have.setdefault(p, []).append(folder)
         for p in [p for p, folders in have.items() if not folders]:
             del have[p]
-        changed = [f for folders in old.values() for f in folders] + list(found.values())
+        changed = [f for folders in old.values() for f in folders if f not in found.values()] + list(found.values())
         return set(old) | set(found), self.warehouse._folders(changed, schema)
 
     def replace_keys(self, table: str, df: DataFrame, part: Column, keys: list[str],

@@ -147,7 +147,7 @@ def aqi_payloads(events: DataFrame) -> DataFrame:
     )
 
 
-def weather_payloads(events: DataFrame) -> DataFrame:
+def weather_payloads(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested current-weather objects, one per event, typed like parsed JSON."""
     e, u = F.col("event_id"), F.col("user_id")
     c = F.concat(F.lit("N"), (u % CITY_CODES).cast("string"))
@@ -173,6 +173,7 @@ def weather_payloads(events: DataFrame) -> DataFrame:
         .otherwise(F.struct(_pick(e % 3, [(e % 50) / 10.0], null_d).alias("1h"))).alias("rain"),
         F.when(e % 29 == 0, F.array().cast("array<struct<main:string>>"))
         .otherwise(F.array(F.struct(F.col("event_type").alias("main")))).alias("weather"),
+        *keep,
     )
 
 
@@ -227,3 +228,16 @@ def land_weather_objects(events: DataFrame, path: str, files: int | None = None)
     """Write the weather payloads as landed objects (JSON Lines)."""
     objects = weather_payloads(events).drop("record_id", "landed_at")
     (objects.repartition(files) if files else objects).write.mode("overwrite").json(path)
+
+
+def land_requested_weather(events: DataFrame, path: str) -> None:
+    """Landed weather objects, the files of each requested city in a folder of its own."""
+    city = F.concat(F.lit("N"), (F.col("user_id") % CITY_CODES).cast("string"))
+    objects = weather_payloads(events.withColumn("requested", city), keep=("requested",)).drop("record_id", "landed_at")
+    objects.repartition("requested").write.mode("overwrite").partitionBy("requested").json(path)
+
+
+def request_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(path, city): the request that landed each file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("_metadata.file_path").alias("path"))
+    return files.select("path", F.regexp_extract("path", "requested=([^/]+)/", 1).alias("city"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haze import schemas, sinks
+from haze.functions.joins import maybe_broadcast
 from haze.session import ensure_utc
 
 # Archive wind speed units and their factor to m/s. The archive
@@ -44,7 +45,9 @@ def aqi_records(pages: DataFrame) -> DataFrame:
         corrupt.isNotNull().alias("_bad_page"),
         F.posexplode(items).alias("record_pos", "raw_payload"),
     )
-    parsed = F.from_json("raw_payload", schemas.AQI_RECORD)
+    # A column of its own: parsed once for all fields, not once for each.
+    rec = rec.withColumn("_record", F.from_json("raw_payload", schemas.AQI_RECORD))
+    parsed = F.col("_record")
     is_object = F.ltrim(F.col("raw_payload")).startswith("{")
     unknown = (F.when(F.col("_bad_page"), F.lit("malformed page"))
                .when(~is_object, F.lit("record is not a JSON object")))
@@ -67,6 +70,27 @@ def read_weather_objects(spark: SparkSession, path: str | list[str], multiline:
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
+def landed_files(spark: SparkSession, landing_path: str, since: Column | None = None) -> DataFrame:
+    """(path, modified) of the landed files, from ``since`` on; no content is read."""
+    files = spark.read.format("binaryFile").load(landing_path)
+    if since is not None:
+        files = files.where(F.col("modificationTime") >= since)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified"))
+
+
+def of_files(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows whose ``source_file`` is among ``files`` (path); the names stay in Spark."""
+    names = maybe_broadcast(files.select(F.col("path").alias("_path")))
+    return rows.join(names, rows["source_file"] == F.col("_path"), "left_semi")
+
+
+def with_request(objects: DataFrame, requests: DataFrame) -> DataFrame:
+    """Adds ``requested_city``: the city whose request landed the object's file, by a landing
+    manifest (path, city). NULL for files that the manifest does not list."""
+    r = maybe_broadcast(requests.select(F.col("path").alias("_path"), F.col("city").alias("requested_city")))
+    return objects.join(r, objects["source_file"] == F.col("_path"), "left").drop("_path")
+
+
 def unloaded_files(spark: SparkSession, landing_path: str, ledger_path: str, load_id: str) -> list[str]:
     """Files of the landing folder that no other load has taken (a repeated load
     gets its own files again). Only names are read, no contents."""
