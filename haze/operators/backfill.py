@@ -17,6 +17,7 @@ from haze.functions.exprs import parse_local_datetime
 from haze.functions.joins import maybe_broadcast
 from haze.operators import validate
 from haze.session import checkpoint_root, ensure_utc
+from haze.snapshots import Warehouse
 from haze.sources import landing
 
 
@@ -86,13 +87,42 @@ def backfill_weather(spark: SparkSession, archive_path: str, start: str, end: st
                      out_path: str, run_ts: Column, cities: DataFrame | None = None,
                      wind_unit: str = "as_is", multiline: bool = True) -> int:
     """Explode landed archive payloads for [start, end] (and the given cities)
-    into raw weather rows, written as load ``archive-<date>-<city>``: a replay
-    replaces the same dates of the same cities and nothing else."""
+    into raw weather rows, one folder ``archive-<date>`` for each date however many
+    cities it has. A replay replaces the same dates of the same cities and nothing
+    else: the stored rows of a date's other cities are copied. Returns archive rows
+    written."""
     ensure_utc(spark)
     rows = landing.hourly_rows(landing.read_archive(spark, archive_path, multiline), run_ts, wind_unit)
     day = F.to_date("recorded_at")
     rows = rows.where(day.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
     if cities is not None:
         rows = rows.join(maybe_broadcast(cities.select("city")), "city", "left_semi")
-    rows = rows.withColumn("load_id", F.concat(F.lit("archive-"), day.cast("string"), F.lit("-"), F.coalesce("city", F.lit(""))))
-    return sinks.overwrite_partitions(rows, out_path, ["load_id"])
+    rows = rows.withColumn("load_id", F.concat(F.lit("archive-"), day.cast("string")))
+    stored = sinks.read_table(spark, out_path, rows.schema).where(
+        F.col("load_id").between(f"archive-{start}", f"archive-{end}")).select(rows.columns)
+    if stored.isEmpty():
+        return sinks.overwrite_partitions(rows, out_path, ["load_id"], ["city"])
+    rows = sinks.pinned(rows, "backfill-weather")
+    named = rows.select(F.col("load_id").alias("_l"), F.col("city").alias("_c")).distinct()
+    others = stored.join(named, (stored["load_id"] == F.col("_l")) & stored["city"].eqNullSafe(F.col("_c")), "left_anti")
+    touched = others.join(named.select(F.col("_l").alias("load_id")).distinct(), "load_id", "left_semi").select(rows.columns)
+    both = sinks.pinned(rows.unionByName(touched), "backfill-weather")  # read in full before its folders are replaced
+    sinks.overwrite_partitions(both, out_path, ["load_id"], ["city"])
+    return rows.count()
+
+
+def backfill_weather_dates(warehouse: Warehouse, archive_path: str, start: str, end: str, run_ts: Column,
+                           cities: DataFrame | None = None, wind_unit: str = "as_is", multiline: bool = True,
+                           table: str = "raw_weather") -> set[str]:
+    """The same into a warehouse, whose raw table lies by date and is read by date: one
+    folder for each date, published at once. Returns the dates that changed."""
+    ensure_utc(warehouse.spark)
+    rows = landing.hourly_rows(landing.read_archive(warehouse.spark, archive_path, multiline), run_ts, wind_unit)
+    day = F.to_date("recorded_at")
+    rows = rows.where(day.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    if cities is not None:
+        rows = rows.join(maybe_broadcast(cities.select("city")), "city", "left_semi")
+    tx = warehouse.begin()
+    dates = tx.replace_keys(table, rows, day, ["city"], cluster_by=("city",))
+    tx.commit()
+    return dates

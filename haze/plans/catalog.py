@@ -549,36 +549,46 @@ SNAPSHOT_TABLES = ["raw_readings", "stg_readings", "stg_weather", "joined", "cit
 
 # ---------------------------------------------------------------- hourly runs over a warehouse
 
-def _two_hourly_runs(m: Models) -> Warehouse:
-    """Two runs over growing landings, the second one tried twice; weather files are landed
-    for each requested city."""
+@query("hourly_warehouse")
+def _q_hourly_warehouse(m: Models) -> DataFrame:
+    """The test report after two runs over a growing landing, as one full run gives it."""
     root = scratch_path(m.spark, "hourly")
-    warehouse, manifest = Warehouse(m.spark, f"{root}/wh"), None
-    for run, run_ts in enumerate(("2024-01-30 20:00:00", fixtures.AS_OF)):
+    warehouse = Warehouse(m.spark, f"{root}/wh")
+    for run, run_ts in enumerate(("2024-01-30 20:00:00", AS_OF)):
         part = m.events.where(F.col("event_id") % 2 == run)
         fixtures.land_aqi_pages(part, f"{root}/landing/aqi/hour={run}")
-        fixtures.land_requested_weather(part, f"{root}/landing/weather/hour={run}")
-        manifest = fixtures.request_manifest(m.spark, f"{root}/landing/weather")
-        for _ in range(run + 1):
-            hourly.run(warehouse, f"{root}/landing/aqi", f"{root}/landing/weather", run_ts, m.city_map, m.breakpoints,
-                       as_of=AS_OF, multiline=False, requests=manifest)
-    return warehouse
-
-
-@query("hourly_warehouse")
-def _q_hourly_warehouse(m: Models) -> DataFrame:
-    """The newest test report, as the full run gives it, and what the statistics say of the run."""
-    warehouse = _two_hourly_runs(m)
-    snapshot = warehouse.snapshot()
-    newest = sorted(f for fs in snapshot.tables["test_report"].values() for f in fs)[-1]
-    return warehouse._folders([newest], m.spark.read.parquet(f"{warehouse.root}/{newest}").schema)
+        fixtures.land_weather_objects(part, f"{root}/landing/weather/hour={run}")
+        hourly.run(warehouse, f"{root}/landing/aqi", f"{root}/landing/weather", run_ts, m.city_map, m.breakpoints, multiline=False)
+    return warehouse.read("test_report").where(F.col("run_timestamp") == F.lit(AS_OF).cast("timestamp"))
 
 
 @query("hourly_quarantine")
 def _q_hourly_quarantine(m: Models) -> DataFrame:
-    """Quarantined weather with the city that was requested, also where the payload has no name."""
-    warehouse = _two_hourly_runs(m)
-    return warehouse.read("invalid_records").where("source = 'weather'").select("source", "error_reason", "error_field", "raw_payload")
+    """Weather landed by requested city and taken three times (tried again, and once more with
+    nothing new): its quarantine names the requested city, also where the payload has no name."""
+    root = scratch_path(m.spark, "hourly-quarantine")
+    fixtures.land_requested_weather(m.events, f"{root}/landing")
+    warehouse = Warehouse(m.spark, f"{root}/wh")
+    for load in ("run-1", "run-1", "run-2"):
+        tx = warehouse.begin()
+        hourly.ingest(tx, incremental.Changes(), m.city_map, {"weather": f"{root}/landing"}, F.lit(AS_OF).cast("timestamp"), load,
+                      multiline=False, requests=fixtures.request_manifest(m.spark, f"{root}/landing"))
+        tx.commit()
+    return warehouse.read("invalid_records").select("source", "error_reason", "error_field", "raw_payload")
+
+
+@query("backfill_weather_warehouse")
+def _q_backfill_warehouse(m: Models) -> DataFrame:
+    """Two city lists, each twice, into a raw table by date; two dates are read."""
+    root = scratch_path(m.spark, "backfill-warehouse")
+    fixtures.archive_payloads(m.events).drop("record_id").write.json(f"{root}/archive")
+    cities = m.city_map.select(F.col("raw_city_name").alias("city"))
+    warehouse = Warehouse(m.spark, f"{root}/wh")
+    for some in [cities.where("city < 'N2'"), cities.where("city >= 'N2'")] * 2:
+        backfill.backfill_weather_dates(warehouse, f"{root}/archive", "2024-01-10", "2024-01-20",
+                                        F.lit(fixtures.RUN_TS).cast("timestamp"), cities=some, multiline=False)
+    rows = warehouse.read("raw_weather", ["2024-01-12", "2024-01-19"])
+    return rows.select(*schemas.WEATHER_READINGS.fieldNames(), F.to_date("recorded_at").alias("recorded_date"))
 
 
 @query("quality_metrics_stats")

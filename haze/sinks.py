@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,12 +74,10 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The table at ``path``; empty, with the schema, when it was never written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def pinned(df: DataFrame, name: str) -> DataFrame:
