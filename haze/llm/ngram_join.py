@@ -23,8 +23,11 @@ Equal word sequences are one class before anything is indexed. Buckets are not
 expanded into pairs: each class first checks one partner, and links found so far
 settle most buckets. Classes of buckets that still span several labels are
 clustered by shared buckets, and each cluster is compared in tasks of two blocks
-of classes by size and hash, which return spanning links only. So every candidate
-pair is either connected already or compared, and none is listed.
+of classes by size and hash. A task gets parity sketches, a few bits a shingle,
+which differ in no more bits than the sets do in shingles; the texts of those that
+are near one of another label follow, and spanning links come back. So every
+candidate pair is connected already, refuted by its sketches or compared, and none
+is listed.
 
 Defined results: null and empty texts and texts without words have no shingles,
 link with nothing and are their own component; rows with a null id have a null
@@ -189,7 +192,23 @@ def _keys(sums: np.ndarray, segment: np.ndarray, band: int, kind: int) -> np.nda
 
 # -- passes over the documents -----------------------------------------------
 
-_SETS = "id long, class binary, node long, n_shingles long, sampled array<long>"
+_SETS = "id long, class binary, node long, n_shingles long, sampled array<long>, sketch binary"
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of a set's shingles, dealt over two to four times as many bits as it has
+    shingles (a power of two). Sketches of two sets differ in at most as many bits as the
+    sets do in shingles, also after ``folded``."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    return np.packbits(np.bincount((shingles % _U(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bits, folded to a smaller power of two by exclusive or."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
 
 
 def _classes(n: int):
@@ -202,12 +221,12 @@ def _classes(n: int):
                 with np.errstate(over="ignore"):
                     sh = shingle_hashes(ws, n)
                 rows.append((i, digest, int.from_bytes(digest[:8], "little", signed=True), len(sh),
-                             sh[(sh >> _U(40)) % _U(_SAMPLED) == 0].view(np.int64).tolist()))
-            cols = list(zip(*rows)) if rows else [[]] * 5
+                             sh[(sh >> _U(40)) % _U(_SAMPLED) == 0].view(np.int64).tolist(), sketch(sh)))
+            cols = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.int64(),
-                                                       pa.list_(pa.int64())))],
-                names=["id", "class", "node", "n_shingles", "sampled"])
+                                                       pa.list_(pa.int64()), pa.binary()))],
+                names=["id", "class", "node", "n_shingles", "sampled", "sketch"])
     return run
 
 
@@ -414,9 +433,61 @@ def _blocks(n: int, percent: int):
     return run
 
 
-def _cluster_links(clusters: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def near_sketches(members: list[tuple[int, int, int, bytes]], percent: int) -> set[int]:
+    """Ids of the (id, n_shingles, label, sketch) members that may be linked to one of another
+    label: sizes allow it, and the sketches differ in no more bits than linked sets do in
+    shingles. No linked pair of two labels is missed."""
+    by_width: dict[int, list] = {}
+    for m in members:
+        by_width.setdefault(8 * len(m[3]), []).append(m)
+    parts = {}
+    for width, group in by_width.items():
+        bits = np.unpackbits(np.frombuffer(b"".join(m[3] for m in group), np.uint8).reshape(len(group), -1), axis=1)
+        ids, sizes, labels = (np.array([m[k] for m in group], np.int64) for k in range(3))
+        parts[width] = bits, ids, sizes, labels
+    out: set[int] = set()
+    for low in sorted(parts):
+        for high in sorted(w for w in parts if low <= w and percent * w <= 200 * low):
+            a, b = parts[low], parts[high]
+            x, y = a[0], folded(b[0], low)
+            apart = np.zeros((len(x), len(y)), np.float32)
+            for lo in range(0, low, 4096):
+                p, q = x[:, lo:lo + 4096].astype(np.float32), y[:, lo:lo + 4096].astype(np.float32)
+                apart += p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T)
+            total = a[2][:, None] + b[2][None, :]
+            fits = 100 * np.minimum(a[2][:, None], b[2][None, :]) >= percent * np.maximum(a[2][:, None], b[2][None, :])
+            i, j = np.nonzero(fits & (apart <= (100 - percent) * total // (100 + percent)) & (a[3][:, None] != b[3][None, :]))
+            out.update(a[1][i].tolist(), b[1][j].tolist())
+    return out
+
+
+def _near(percent: int):
+    """Streams rows sorted by task, keeps the (task, id) that ``near_sketches`` keeps."""
+
+    def kept(task: str, members: list) -> pa.RecordBatch:
+        ids = sorted(near_sketches(members, percent))
+        return pa.RecordBatch.from_arrays([pa.array([task] * len(ids), pa.string()), pa.array(ids, pa.int64())], names=["task", "id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, members = None, []
+        for batch in batches:
+            for key, *member in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if key != task:
+                    if len(members) > 1:
+                        yield kept(task, members)
+                    task, members = key, []
+                members.append(tuple(member))
+        if len(members) > 1:
+            yield kept(task, members)
+    return run
+
+
+def _cluster_links(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
     """Links that connect what is connected within each cluster (node, component).
 
+    The tasks get sketches first; texts go only to tasks where two sketches of different
+    labels (known: node, label) are as near as linked sets must be.
+
     A cluster of more than a block is cut by size class (linked sets are in
     the same or adjacent classes) and hash into blocks; every two blocks that can hold
     a linked pair meet in one task. Tasks return spanning links, not pairs."""
@@ -436,8 +507,12 @@ def _cluster_links(clusters: DataFrame, texts: DataFrame, n: int, percent: int)
         F.transform(others(k), lambda o: name(k, F.least(o, place(k)), k, F.greatest(o, place(k)))),
         F.transform(others(k - 1), lambda o: name(k - 1, o, k, place(k))),
         F.transform(others(k + 1), lambda o: name(k, place(k), k + 1, o))))
-    dealt = member.join(shape, "cluster").select("id", F.explode(tasks).alias("task"))
-    rows = (dealt.join(texts.select("id", "text").distinct(), "id").select("task", "id", "text")
+    dealt = member.join(shape, "cluster").select("id", "n_shingles", F.explode(tasks).alias("task"))
+    labelled = dealt.join(known, dealt.id == known.node, "left").select("task", "id", "n_shingles", F.coalesce("label", "id").alias("label"))
+    near = (labelled.join(sketches, ["id", "n_shingles"]).select("task", "id", "n_shingles", "label", "sketch")
+            .repartition("task").sortWithinPartitions("task", "id").mapInArrow(_near(percent), "task string, id long"))
+    near = written(near.distinct(), "join-near")
+    rows = (near.join(texts.select("id", "text").distinct(), "id").select("task", "id", "text")
             .repartition("task").sortWithinPartitions("task", "id"))
     return rows.mapInArrow(_blocks(n, percent), "a long, b long")
 
@@ -451,7 +526,7 @@ def _labels(links: DataFrame) -> DataFrame:
     return written(step, "join-labels")
 
 
-def _links(live: DataFrame, texts: DataFrame, given: DataFrame, n: int, percent: int) -> DataFrame:
+def _links(live: DataFrame, texts: DataFrame, sketches: DataFrame, given: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links (a, b) that connect all that is connected. given: links known beforehand."""
     first = (live.groupBy("key").agg(F.min(F.when(~F.col("deleted"), F.col("rep"))).alias("c"))
              .join(live, "key").filter("rep <> c").groupBy("rep").agg(F.min("c").alias("c"))
@@ -464,7 +539,7 @@ def _links(live: DataFrame, texts: DataFrame, given: DataFrame, n: int, percent:
               .filter("lo <> hi").select("key", "least"))
     edges = written(state.join(spread, "key").filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct(),
                     "join-rest")
-    return links.union(written(_cluster_links(components(edges), texts, n, percent), "join-links"))
+    return links.union(written(_cluster_links(components(edges), texts, sketches, known, n, percent), "join-links"))
 
 
 # -- the operator ------------------------------------------------------------
@@ -492,7 +567,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     ids = whole.join(classes.select("class", "rep"), "class").select("id", "rep")
     same = ids.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter("a <> b")  # ids with several texts
     same = ids.join(same.select("id", "b"), "id").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    found = components(_links(live, texts, same, shingle, percent))
+    sketches = whole.join(involved, ["id", "n_shingles"]).select("id", "n_shingles", "sketch").distinct()
+    found = components(_links(live, texts, sketches, same, shingle, percent))
     named = classes.join(found, classes.rep == found.node, "left").select("class", F.coalesce("component", "rep").alias("component"))
     return (sets.join(named, "class", "left")
             .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")))

@@ -130,3 +130,20 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 3)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_sketches_refute_no_linked_pair():
+    rng = np.random.default_rng(8)
+    for percent in (50, 80, 90, 100):
+        members, sets = [], []
+        for k in range(60):
+            base = sets[rng.integers(len(sets))] if sets and rng.random() < 0.7 else rng.integers(0, 1 << 63, int(rng.integers(1, 400)), np.uint64)
+            kept = base[rng.random(len(base)) > rng.choice([0, 0.02, 0.1, 0.3])]
+            grown = np.unique(np.concatenate((kept, rng.integers(0, 1 << 63, int(rng.integers(0, 1 + len(base) // 5)), np.uint64))))
+            sets.append(grown)
+            members.append((k, len(grown), k, J.sketch(grown)))
+        near = J.near_sketches(members, percent)
+        linked = {i for i in range(60) for j in range(60) if i != j and len(sets[i]) and len(sets[j])
+                  and 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+        assert linked <= near and len(near) < 60, percent
+        assert not J.near_sketches([(i, n, 0, sk) for i, n, _, sk in members], percent)  # one label: connected already
