@@ -54,7 +54,8 @@ from haze.llm.components import components
 _BAND_RATIO = 1.4
 _SAMPLED = 1 << 10  # one shingle hash in so many is counted over all documents, for the cost model
 _PART_KEYS = 1_000_000  # signatures that one reduce partition gets
-_HOT = 64  # a signature that so many sets of one batch share skips the shuffle
+_SLICE_KEYS = 1_000_000  # signatures that a map task holds at a time
+_HOT = 16  # a signature that so many sets of one slice share skips the shuffle
 _CHUNKS = 256  # chunks over which the partners of one class are dealt
 _BLOCK = 1024  # classes of a block, and
 _BLOCK_SHINGLES = 500_000  # their shingles; two blocks meet in a task
@@ -245,9 +246,9 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _signatures(n: int, percent: int, edges: list[int], plan: list[Allocation], parts: int):
-    """Packed signatures of each batch, one row per reduce partition: 6 bytes a key,
+    """Packed signatures of each slice, one row per reduce partition: 6 bytes a key,
     sorted by class, and the classes with their numbers of keys. A class is indexed
-    once per batch. Signatures that many sets of the batch share go past the reduce
+    once per batch. Signatures that many sets of the slice share go past the reduce
     partition (a row of their own, dealt at random) but for a few."""
 
     def pack(keys, nodes, hot):
@@ -261,11 +262,28 @@ def _signatures(n: int, percent: int, edges: list[int], plan: list[Allocation],
             own = int(part[a])
             yield zlib.crc32(nodes[a:b].tobytes()) % parts if hot else own, own, _packed(keys[a:b]), nodes[a:b][starts].tobytes(), runs.tobytes(), hot
 
+    def sliced(keys, nodes) -> pa.RecordBatch:
+        keys, nodes = np.concatenate(keys), np.concatenate(nodes)
+        order = np.argsort(keys, kind="stable")  # the deletion mark is the lowest bit: undeleted rows come first
+        keys, nodes = keys[order], nodes[order]
+        bare = keys >> 1
+        starts = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
+        counts = np.diff(np.concatenate((starts, [len(keys)])))
+        extra = np.arange(len(keys)) - np.repeat(starts, counts) >= _HOT
+        rows = list(pack(keys[~extra], nodes[~extra], False))
+        if extra.any():
+            rows += list(pack(keys[extra], nodes[extra], True))
+        cols = list(zip(*rows))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()))],
+            names=["deal", "part", "keys", "nodes", "runs", "hot"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, keys, nodes = set(), [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ws = words(text)
+            seen, keys, nodes, held = set(), [], [], 0
+            for i, text in zip(*(batch.column(k) for k in range(2))):
+                ws = words(text.as_py())
+                i = i.as_py()
                 if i is None or not ws:
                     continue
                 node = int.from_bytes(hashlib.blake2b(b" ".join(ws), digest_size=16).digest()[:8], "little", signed=True)
@@ -275,22 +293,12 @@ def _signatures(n: int, percent: int, edges: list[int], plan: list[Allocation],
                 with np.errstate(over="ignore"):
                     keys.append(set_signatures(shingle_hashes(ws, n), edges, plan, percent))
                 nodes.append(np.full(len(keys[-1]), node, np.int64))
-            if not keys:
-                continue
-            keys, nodes = np.concatenate(keys), np.concatenate(nodes)
-            order = np.argsort(keys, kind="stable")  # the deletion mark is the lowest bit: undeleted rows come first
-            keys, nodes = keys[order], nodes[order]
-            bare = keys >> 1
-            starts = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
-            counts = np.diff(np.concatenate((starts, [len(keys)])))
-            extra = np.arange(len(keys)) - np.repeat(starts, counts) >= _HOT
-            rows = list(pack(keys[~extra], nodes[~extra], False))
-            if extra.any():
-                rows += list(pack(keys[extra], nodes[extra], True))
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()))],
-                names=["deal", "part", "keys", "nodes", "runs", "hot"])
+                held += len(keys[-1])
+                if held >= _SLICE_KEYS:
+                    yield sliced(keys, nodes)
+                    keys, nodes, held = [], [], 0
+            if keys:
+                yield sliced(keys, nodes)
     return run
 
 
@@ -450,14 +458,16 @@ def near_sketches(members: list[tuple[int, int, int, bytes]], percent: int) -> s
         for high in sorted(w for w in parts if low <= w and percent * w <= 200 * low):
             a, b = parts[low], parts[high]
             x, y = a[0], folded(b[0], low)
-            apart = np.zeros((len(x), len(y)), np.float32)
-            for lo in range(0, low, 4096):
-                p, q = x[:, lo:lo + 4096].astype(np.float32), y[:, lo:lo + 4096].astype(np.float32)
-                apart += p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T)
-            total = a[2][:, None] + b[2][None, :]
-            fits = 100 * np.minimum(a[2][:, None], b[2][None, :]) >= percent * np.maximum(a[2][:, None], b[2][None, :])
-            i, j = np.nonzero(fits & (apart <= (100 - percent) * total // (100 + percent)) & (a[3][:, None] != b[3][None, :]))
-            out.update(a[1][i].tolist(), b[1][j].tolist())
+            for top in range(0, len(x), 256):  # so many members against all of the other group
+                rows = slice(top, top + 256)
+                apart = np.zeros((len(x[rows]), len(y)), np.float32)
+                for lo in range(0, low, 4096):
+                    p, q = x[rows, lo:lo + 4096].astype(np.float32), y[:, lo:lo + 4096].astype(np.float32)
+                    apart += p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T)
+                one, two = a[2][rows, None], b[2][None, :]
+                fits = 100 * np.minimum(one, two) >= percent * np.maximum(one, two)
+                i, j = np.nonzero(fits & (apart <= (100 - percent) * (one + two) // (100 + percent)) & (a[3][rows, None] != b[3][None, :]))
+                out.update(a[1][rows][i].tolist(), b[1][j].tolist())
     return out
 
 
