@@ -53,7 +53,7 @@ from haze.llm.components import components
 
 _BAND_RATIO = 1.4
 _SAMPLED = 1 << 10  # one shingle hash in so many is counted over all documents, for the cost model
-_PART_KEYS = 1_000_000  # signatures that one reduce partition gets
+_PART_KEYS = 2_000_000  # signatures that one reduce partition gets
 _SLICE_KEYS = 1_000_000  # signatures that a map task holds at a time
 _HOT = 16  # a signature that so many sets of one slice share skips the shuffle
 _CHUNKS = 256  # chunks over which the partners of one class are dealt
@@ -232,7 +232,7 @@ def _classes(n: int):
 
 
 _PACKED = "deal int, part int, keys binary, nodes binary, runs binary, hot boolean"
-_KEY_BYTES = 6  # of a signature travel; with the partition's number they tell a partition's million apart
+_KEY_BYTES = 5  # of a signature travel; with the partition's number they tell a partition's keys apart
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -246,7 +246,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _signatures(n: int, percent: int, edges: list[int], plan: list[Allocation], parts: int):
-    """Packed signatures of each slice, one row per reduce partition: 6 bytes a key,
+    """Packed signatures of each slice, one row per reduce partition: 5 bytes a key,
     sorted by class, and the classes with their numbers of keys. A class is indexed
     once per batch. Signatures that many sets of the slice share go past the reduce
     partition (a row of their own, dealt at random) but for a few."""
@@ -316,28 +316,28 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[k]), pa.array((keys[k] & 1) == 1), pa.array(nodes[k])], names=["key", "deleted", "node"])
 
-    found = []
+    def unpacked(part, k, v, runs):
+        keys, nodes = _unpacked(k), np.frombuffer(v, np.int64)
+        runs = np.frombuffer(runs, np.uint16 if len(runs) == 2 * len(nodes) else np.uint32)
+        return np.full(len(keys), part, np.int64), keys, np.repeat(nodes, runs)
+
+    found: dict[int, list] = {}
     for batch in batches:
-        for part, k, v, runs, hot in zip(*(batch.column(c).to_pylist() for c in range(1, 6))):
-            keys, nodes = _unpacked(k), np.frombuffer(v, np.int64)
-            runs = np.frombuffer(runs, np.uint16 if len(runs) == 2 * len(nodes) else np.uint32)
-            row = np.full(len(keys), part, np.int64), keys, np.repeat(nodes, runs)
+        for part, *data, hot in zip(*(batch.column(c).to_pylist() for c in range(1, 6))):
             if hot:
-                yield from out(*row)
+                yield from out(*unpacked(part, *data))
             else:
-                found.append(row)
-    if not found:
-        return
-    part, keys, nodes = (np.concatenate(c) for c in zip(*found))
-    del found
-    order = np.lexsort((nodes, keys >> 1, part))
-    part, keys, nodes = part[order], keys[order], nodes[order]
-    bare = keys >> 1
-    starts = np.flatnonzero(np.concatenate(([True], (bare[1:] != bare[:-1]) | (part[1:] != part[:-1]))))
-    ends = np.concatenate((starts[1:], [len(keys)])) - 1
-    live = (nodes[starts] != nodes[ends]) & (np.add.reduceat((keys & 1) == 0, starts, dtype=np.int64) > 0)
-    m = np.repeat(live, ends - starts + 1)
-    yield from out(part[m], keys[m], nodes[m])
+                found.setdefault(part, []).append(data)
+    for own in sorted(found):  # a task may have several parts: one at a time
+        part, keys, nodes = (np.concatenate(c) for c in zip(*(unpacked(own, *data) for data in found.pop(own))))
+        order = np.lexsort((nodes, keys >> 1))
+        keys, nodes = keys[order], nodes[order]
+        bare = keys >> 1
+        starts = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
+        ends = np.concatenate((starts[1:], [len(keys)])) - 1
+        live = (nodes[starts] != nodes[ends]) & (np.add.reduceat((keys & 1) == 0, starts, dtype=np.int64) > 0)
+        m = np.repeat(live, ends - starts + 1)
+        yield from out(part[m], keys[m], nodes[m])
 
 
 # -- verification ------------------------------------------------------------
