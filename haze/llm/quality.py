@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from haze.llm.common import share, written
 from haze.llm.toxicity import held_out
 
-MAX_LABELLED, DIMENSIONS, ROUNDS, SHARD_ROWS = 40_000, 1 << 18, 4, 2_000
+MAX_LABELLED, DIMENSIONS, ROUNDS, SHARD_ROWS = 16_000, 1 << 18, 4, 2_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 THRESHOLD = 0.5
 # Sixteenths of the weights for words, word pairs, forms, form pairs and form triples.
