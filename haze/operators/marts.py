@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from haze import schemas
 from haze.functions.exprs import first_max_label, safe_corr, whole_units_between
 from haze.operators import rows_window
-from haze.session import ensure_utc
+from haze.session import ensure_utc, scratch_path
 
 
 # Deterministic order of the station rows of one city (several stations share
@@ -110,7 +110,9 @@ def city_leaderboard(trends: DataFrame) -> DataFrame:
     and the rank of the overall average (1 = cleanest, ties share a rank).
 
     The rank is computed without a single-task global window
-    (``rows_window.global_rank``).
+    (``rows_window.global_rank``). It needs each city's average twice, and averages
+    of doubles may differ in the last bit when they are computed again, so the
+    table of cities is written once to the shared scratch folder.
     """
     per_city = trends.groupBy("canonical_city").agg(
         F.avg("avg_aqi").alias("overall_avg_aqi"),
@@ -119,7 +121,9 @@ def city_leaderboard(trends: DataFrame) -> DataFrame:
         F.count_if(F.col("dominant_category") == "Good").alias("days_good"),
         F.count_if(F.col("dominant_category") == "Severe").alias("days_severe"),
     )
-    ranked = rows_window.global_rank(per_city, "overall_avg_aqi", ["canonical_city"], "aqi_rank")
+    path = scratch_path(trends.sparkSession, "leaderboard")
+    per_city.write.parquet(path)
+    ranked = rows_window.global_rank(trends.sparkSession.read.parquet(path), "overall_avg_aqi", "aqi_rank")
     return ranked.select("canonical_city", "overall_avg_aqi", "worst_day_aqi", "best_day_aqi",
                          "days_good", "days_severe", F.col("aqi_rank").cast("int").alias("aqi_rank"))
 

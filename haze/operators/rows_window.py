@@ -4,22 +4,31 @@
 city holding a third of the data would be sorted and scanned by one core.
 ``over_rows`` gives the same answers with bounded tasks:
 
-1. Number the rows of each key in order (``_idx``) without a per-key task: a
-   range repartition on (key, order) splits even a hot key over many tasks;
-   each row's position inside its sorted task plus the row counts of the
-   preceding tasks for that key (a table of at most ``tasks + keys`` rows)
-   gives its index.
+1. Number the rows of each key in order (``_idx``) from counts: rows per (key,
+   first order column), here city and hour, are counted and combined map-side;
+   running sums over that small table give the rows before each hour, and a
+   row's place inside its own hour completes its index. Rows are dealt by (key,
+   hour), so a hot city is spread over as many tasks as it has hours.
 2. Cut each key into blocks of ``block_rows`` consecutive rows. A frame reaches
    at most ``lookback`` rows back and ``lookahead`` rows ahead, so copying the
    last ``lookback`` rows of a block into the next block and the first
    ``lookahead`` rows into the previous one makes every frame complete inside
    one (key, block) partition.
 3. Frames that start at UNBOUNDED PRECEDING (running max/min/sum) are computed
-   inside the block and combined with a carry: the aggregate of all earlier
-   blocks of the key, taken from a small per-block table.
+   inside the hour and combined with a carry: the aggregate of all earlier hours
+   of the key, a further column of the table of step 1.
+
+The numbering is a function of the rows alone (no sampled ranges, no partition
+numbers), so a task that is run again after a lost executor numbers them as
+before: nothing is persisted or checkpointed, and building a query starts no job.
 
 Exact: the result equals the plain window for any data, provided the order
-columns are unique within a key (which makes ROWS frames deterministic).
+columns are unique within a key (which makes ROWS frames deterministic); ties
+are ordered by the other columns, so that only equal rows are interchangeable.
+The table of step 1 has a row per key and value of the first order column, and
+its running sums take a key's values in one task: the column must be coarse (an
+hour: under a million values a century), and one value of it must not hold more
+rows of a key than a task can sort.
 """
 
 from __future__ import annotations
@@ -27,12 +36,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from haze.functions.joins import maybe_broadcast
-from haze.session import checkpoint_root
+from pyspark.sql import types as T
 
 DEFAULT_BLOCK_ROWS = 200_000
 _AGGS = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
@@ -61,47 +67,36 @@ def _plain(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Frame
     return df.select("*", *cols)
 
 
-def row_index(df: DataFrame, key: str, order: Sequence[str], num_tasks: int | None = None) -> DataFrame:
+def row_index(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Adds ``_idx``: 0-based position of each row within its key in ``order``."""
-    spark = df.sparkSession
-    # Range partitions are contiguous slices of the (key, order) order; AQE may
-    # merge adjacent ones to its advisory size, which keeps them contiguous.
-    cols = [key, *order]
-    ranged = (df.repartitionByRange(num_tasks, *cols) if num_tasks else df.repartitionByRange(*cols))
-    ranged = ranged.sortWithinPartitions(*cols)
-    mid = F.monotonically_increasing_id()
-    # Materialized once (reliable checkpoint in the shared folder): the counts
-    # and the rows below must see the same numbering, and a recomputed range
-    # shuffle may sample different bounds after a lost executor.
-    # (Persisted first so the checkpoint write reads the computed blocks instead
-    # of running the range shuffle a second time.)
-    numbered = ranged.select("*", F.shiftright(mid, 33).alias("_task"),
-                             mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
-    numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
-    checkpoint_root(spark)  # the cluster's spark.checkpoint.dir (set only if unset)
-    pos = numbered.checkpoint()
-    numbered.unpersist()
-    seg = pos.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.select(F.col(key).alias("_k"), F.col("_task").alias("_t"), "_first",
-                     F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = _join_on_key(pos, maybe_broadcast(seg), key, "_task", "_t", "inner")
-    return out.withColumn("_idx", F.col("_offset") + F.col("_pos") - F.col("_first")) \
-        .drop("_task", "_pos", "_first", "_offset")
-
-
-def _join_on_key(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col: str,
-                 how: str) -> DataFrame:
-    """Join ``right`` (key renamed ``_k``) on the key, NULL-safe (a NULL key is a
-    partition of its own, as in a window), and on one more column."""
-    cond = left[key].eqNullSafe(right["_k"]) & (left[left_col] == right[right_col])
-    return left.join(right, cond, how).drop("_k", right_col)
-
-
-def largest_key_rows(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key (one aggregation over the key column only)."""
-    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
+    return _numbered(df, key, order, {})
+
+
+def _numbered(df: DataFrame, key: str, order: Sequence[str], running: dict[str, Frame]) -> DataFrame:
+    """``df`` with ``_idx`` and one column per frame of ``running`` (unbounded
+    preceding to the current row, or to the row before)."""
+    # one column that is never null, so that window and join share one shuffle of the rows
+    group = F.struct(F.col(key).alias("key"), F.col(order[0]).alias("first")).alias("_g")
+    before = Window.partitionBy("_g.key").orderBy("_g.first").rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.select("*", group).groupBy("_g").agg(
+        F.count(F.lit(1)).alias("_n"), *[_AGGS[f.func](f.col).alias(f"_c_{name}") for name, f in running.items()])
+    offsets = counts.select(F.col("_g").alias("_og"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+                            *[_AGGS[f.func](f"_c_{name}").over(before).alias(f"_c_{name}") for name, f in running.items()])
+    rest = [c for c in df.columns if c != key and c not in order and isinstance(df.schema[c].dataType, T.AtomicType)]
+    inside = Window.partitionBy("_g").orderBy(*([*order[1:], *rest] or order))
+    own = df.select("*", group).select(
+        "*", (F.row_number().over(inside) - 1).alias("_pos"),
+        *[_AGGS[f.func](f.col).over(inside.rowsBetween(Window.unboundedPreceding, f.hi)).alias(f"_r_{name}")
+          for name, f in running.items()])
+    joined = own.join(offsets, F.col("_g") == F.col("_og"), "inner")
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_pos")).alias("_idx"), *[
+        _merged(f, F.col(f"_r_{name}"), F.col(f"_c_{name}")).alias(name) for name, f in running.items()])
+
+
+def _merged(f: Frame, own: Column, carry: Column) -> Column:
+    if f.func == "sum":
+        return F.when(own.isNull(), carry).when(carry.isNull(), own).otherwise(own + carry)
+    return _CARRY[f.func](own, carry)
 
 
 def spread_blocks(idx: DataFrame, block_rows: int, back: int, ahead: int) -> DataFrame:
@@ -140,56 +135,42 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], specs: dict[str, Fr
         if f.lo is None and f.func not in ("max", "min", "sum"):
             raise ValueError("unbounded frames support max, min and sum")
 
-    idx = row_index(df, key, order)
-    blk = F.call_function("div", F.col("_idx"), F.lit(b))
-    spread = spread_blocks(idx, b, back, ahead)
-
-    w = Window.partitionBy(key, "_blk").orderBy("_idx")
-    cols, carried = [], []
-    for name, f in specs.items():
-        if f.func == "lag":
-            cols.append(F.lag(f.col, -f.lo).over(w).alias(name))
-        elif f.lo is None:
-            # running aggregate inside the block; halo rows from the previous
-            # block come first and are also counted by the carry, so only home
-            # rows enter the running value
-            home_val = F.when(F.col("_home"), f.col)
-            cols.append(_AGGS[f.func](home_val).over(
-                w.rowsBetween(Window.unboundedPreceding, f.hi)).alias(name))
-            carried.append((name, f))
-        else:
-            cols.append(_AGGS[f.func](f.col).over(w.rowsBetween(f.lo, f.hi)).alias(name))
-    framed = spread.select("*", *cols).where(F.col("_home"))
-
-    if carried:
-        if any(f.hi > 0 for _, f in carried):
-            raise ValueError("unbounded frames must end at or before the current row")
-        per_block = idx.select("*", blk.alias("_blk")).groupBy(key, "_blk").agg(
-            *[_AGGS[f.func](f.col).alias(f"_b_{name}") for name, f in carried])
-        prev = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_block.select(F.col(key).alias("_k"), F.col("_blk").alias("_cb"), *[
-            _AGGS[f.func](f"_b_{name}").over(prev).alias(f"_c_{name}") for name, f in carried])
-        framed = _join_on_key(framed, maybe_broadcast(carry), key, "_blk", "_cb", "left")
-        for name, f in carried:
-            if f.func == "sum":
-                merged = F.when(F.col(name).isNull() & F.col(f"_c_{name}").isNull(), None) \
-                    .otherwise(F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)))
-            else:
-                merged = _CARRY[f.func](F.col(name), F.col(f"_c_{name}"))
-            framed = framed.withColumn(name, merged).drop(f"_c_{name}")
-    return framed.drop("_idx", "_blk", "_home")
-
-
-def global_rank(df: DataFrame, value: str, tiebreak: Sequence[str], name: str = "rank") -> DataFrame:
-    """``RANK() OVER (ORDER BY value ASC NULLS FIRST)`` without a single-task window.
-
-    Rows are numbered in (value, tiebreak) order with ``row_index`` (range
-    partitioned, so no task holds everything); the rank of a value is one plus
-    the smallest position among rows with that value, found by an aggregation
-    (combined map-side) and joined back.
+    running = {name: f for name, f in specs.items() if f.lo is None}
+    if any(f.hi not in (0, -1) for f in running.values()):
+        raise ValueError("unbounded frames must end at the current row or the row before")
+    idx = _numbered(df, key, order, running)
+    if len(running) < len(specs):
+        w = Window.partitionBy(key, "_blk").orderBy("_idx")
+        cols = []
+        for name, f in specs.items():
+            if f.func == "lag":
+                cols.append(F.lag(f.col, -f.lo).over(w).alias(name))
+            elif f.lo is not None:
+                cols.append(_AGGS[f.func](f.col).over(w.rowsBetween(f.lo, f.hi)).alias(name))
+        idx = spread_blocks(idx, b, back, ahead).select("*", *cols).where(F.col("_home"))
+    return idx.select(*df.columns, *specs)
+
+
+def global_rank(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
+    """``RANK() OVER (ORDER BY value ASC NULLS FIRST)`` of a number without a
+    single-task window over the rows.
+
+    Rows per value are counted (combined map-side) and summed within strips of
+    values (256 to a doubling, fixed: at most 600,000 over all doubles); only the
+    strips' totals are summed in one task. The rank of a value is one plus the
+    rows of smaller values, joined back on the value: ``df`` is read twice and must
+    give the same values, as a stored table does (sums of doubles computed again may not).
     """
-    idx = row_index(df.withColumn("_all", F.lit(0)), "_all", [value, *tiebreak])
-    first = idx.groupBy(value).agg((F.min("_idx") + 1).alias(name))
-    first = maybe_broadcast(first.withColumnRenamed(value, "_v"))
-    out = idx.join(first, idx[value].eqNullSafe(first["_v"]), "inner")
-    return out.drop("_v", "_idx", "_all")
+    v = F.col("_v").cast("double")
+    # log1p is monotone, so strips are in the order of their values; null, infinities and NaN are strips at the ends
+    strip = F.signum(v) * F.least(F.floor(F.least(F.log1p(F.abs(v)), F.lit(1e4)) * 256 / F.lit(0.6931471805599453)), F.lit(10**7))
+    counts = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_strip", F.when(F.isnan(v), F.lit(2e7)).otherwise(strip))
+    smaller = Window.partitionBy("_strip").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.partitionBy(F.lit(0)).orderBy(F.col("_s").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    strips = counts.groupBy(F.col("_strip").alias("_s")).agg(F.sum("_n").alias("_strip_n"))
+    strips = strips.select("_s", F.coalesce(F.sum("_strip_n").over(below), F.lit(0)).alias("_below"))
+    ranks = (counts.withColumn("_smaller", F.coalesce(F.sum("_n").over(smaller), F.lit(0)))
+             .join(strips, F.col("_strip").eqNullSafe(F.col("_s")), "inner")
+             .select("_v", (F.col("_below") + F.col("_smaller") + 1).alias(name)))
+    return df.join(ranks, df[value].eqNullSafe(ranks["_v"]), "inner").drop("_v")

@@ -286,12 +286,12 @@ def test_operators_pin_the_session_time_zone(spark):  # Z1
 def test_global_rank_equals_rank_window_with_ties_and_nulls(spark):  # W3
     from pyspark.sql import Window
     rnd = random.Random(5)
-    rows = [(f"c{i}", rnd.choice([None, 1.0, 2.0, 2.0, 3.5, float(rnd.randrange(50))])) for i in range(300)]
+    rows = [(f"c{i}", rnd.choice([None, 1.0, 2.0, 2.0, -3.5, 0.0, -0.0, 1e-9, -1e300, float("inf"), float("-inf"), float("nan"), float(rnd.randrange(50)), rnd.random() * 500])) for i in range(300)]
     df = spark.createDataFrame(rows, "canonical_city string, v double")
     want = {r.canonical_city: r.rk for r in df.select(
         "canonical_city", F.rank().over(Window.orderBy(F.col("v").asc_nulls_first())).alias("rk")).collect()}
     got = {r.canonical_city: r.rk for r in
-           rows_window.global_rank(df, "v", ["canonical_city"], "rk").collect()}
+           rows_window.global_rank(df, "v", "rk").collect()}
     assert got == want
 
 
@@ -302,4 +302,27 @@ def test_blocked_window_and_rank_on_empty_input(spark):
              "run": rows_window.Frame("max", F.col("composite_aqi"), None, 0)}
     assert rows_window.over_rows(empty, "canonical_city", marts.CITY_ROW_ORDER, specs, block_rows=30).count() == 0
     assert rows_window.over_rows(empty, "canonical_city", marts.CITY_ROW_ORDER, specs).count() == 0
-    assert rows_window.global_rank(empty, "composite_aqi", ["canonical_city"], "rk").count() == 0
+    assert rows_window.global_rank(empty, "composite_aqi", "rk").count() == 0
+
+
+def test_numbering_starts_no_job_and_orders_ties_by_the_other_columns(spark):  # W3-W14
+    df = _random_frame(spark, 400, seed=3).where("has_weather_data").select(
+        "canonical_city", "station_name", "state", "reading_hour", "composite_aqi", "pm25")
+    twice = df.unionByName(df.withColumn("pm25", F.lit(-1.0)))  # ties in every order column
+    specs = {"below": rows_window.Frame("max", F.col("composite_aqi"), None, -1),
+             "prev": rows_window.Frame("lag", F.col("pm25"), -1, -1)}
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "building the query")
+    try:
+        built = rows_window.over_rows(twice, "canonical_city", marts.CITY_ROW_ORDER, specs, block_rows=30)
+        rows_window.global_rank(df, "composite_aqi", "rk")
+        assert not sc.statusTracker().getJobIdsForGroup("build")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    plain = rows_window.over_rows(twice, "canonical_city", [*marts.CITY_ROW_ORDER, "composite_aqi", "pm25"], specs, block_rows=0)
+
+    def rows(d):
+        return sorted(map(repr, (tuple(r) for r in d.collect())))
+
+    assert rows(built) == rows(plain)
+    assert rows(built) == rows(built.repartition(7).coalesce(1).select(built.columns))
