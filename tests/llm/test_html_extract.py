@@ -1,5 +1,6 @@
 import os
 import sys
+import time
 
 from pyspark.sql import functions as F
 
@@ -118,3 +119,31 @@ def test_host_with_two_templates(spark):
     assert got[90] == "short" and got[91] == "short\nshort" and got[92] == LONG.strip()
     best = H.host_paths(spark.createDataFrame(rows, SCHEMA)).first().paths
     assert best[0].endswith("article") and best[1].endswith("div.story")
+
+
+def test_comments_and_notices_longer_than_the_article_are_left_out():
+    short = "<p>A short article.</p>"
+    for name in ("comments", "cookie-notice", "comments-list", "related-posts", "promo"):
+        assert _text(f"<body><div class='post'>{short}</div><div class='{name}'><p>{LONG * 10}</p></div></body>") == "A short article.", name
+        assert _text(f"<body><div class='post'>{short}</div><div class='{name}'><h1>Big</h1><p>{LONG * 10}</p></div></body>") == "A short article.", name
+        assert _text(f"<article>{short}<section class='{name}'><article>{LONG}</article></section></article>") == "A short article.", name
+        assert _text(f"<article><div class=entry-content>{short}</div><div id='{name}'>{LONG}</div></article>") == "A short article.", name
+    assert _text(f"<body><div class='post'>{short}</div><div class='sidebar'><p>{LONG * 10}</p></div></body>") == "A short article."
+    assert _text(f"<body><div class='comments'><p>{LONG}</p></div></body>") == ""
+
+
+def test_deep_markup_takes_linear_time():
+    depth = 100_000
+    start = time.time()
+    assert _text("<div>" * depth + "<p>x</p>" + "</div>" * depth) == "x"
+    assert _text("<div class='comments'>" * depth + "x") == ""
+    assert _text("<blockquote>" * depth + "x" + "</i>" * depth) == "x"
+    assert time.time() - start < 60
+    boxes = "<div class='sidebar'>" * 40
+    assert _text(f"<body>{boxes}<main><p>{LONG}</p><div class='ad'>Buy</div></main></body>") == "LONG"
+
+
+def test_links_and_headings_are_seen_at_any_depth():
+    deep = "<span><b><i><u><em>"
+    page = H.Page(f"<body><div><a href='/'>{deep}linked</a></div><h1>{deep}Head</h1></body>")
+    assert page.blocks == ["linked", "Head"] and page.unlinked == [0, 4] and page.headings == {1}
