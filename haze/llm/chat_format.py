@@ -4,7 +4,10 @@ A conversation becomes windows of whole turns: running sums of turn tokens give
 the longest span of new turns that fits ``budget`` together with what a window
 repeats, its system turn and the last turns before it (``history_turns`` turns
 of at most ``history_tokens`` tokens). A turn larger than the budget gets a
-window of its own; nothing is cut. Loss spans cover the text of each assistant
+window of its own, in which nothing but the system turn is repeated; a system turn
+larger than the budget is given once, masked, in a first window of its own and is not
+repeated. So a window is over the budget by one turn at most, and nothing is cut.
+Loss spans cover the text of each assistant
 turn where it is new; repeated turns are masked.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``. Texts and roles are escaped
@@ -80,7 +83,13 @@ class _Conversation:
     def add(self, role: str, text: str) -> dict | None:
         turn = (role, text, count_tokens(text))
         if not self.started and role == "system":
-            self.started, self.system, self.total = True, turn, turn[2]
+            self.started = True
+            if turn[2] > self.budget:
+                self.new.append(turn)
+                done = self.close()
+                self.begin()
+                return done
+            self.system, self.total = turn, turn[2]
             return None
         self.started = True
         done = None

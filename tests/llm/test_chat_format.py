@@ -61,3 +61,19 @@ def test_escape_round_trip(text):
 
 def test_empty_table(spark):
     assert C.read_back(C.chat_windows(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_system_turn_over_the_budget_is_given_once(spark):
+    big = "rule " * 2_000
+    rows = [(1, 0, "system", big)] + [(1, k, ("user", "assistant")[k % 2 == 0], f"turn {k} said") for k in range(1, 200)] + [(2, 0, "system", big)]
+    windows = sorted(C.chat_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(),
+                     key=lambda w: (w.conv_id, w.window))
+    first = [w for w in windows if w.window == 0]
+    assert [(w.turns, w.first_new, w.loss_starts) for w in first] == [(1, 0, [])] * 2
+    assert sum(len(w.text) for w in windows) < 2 * sum(len(r[3]) + 40 for r in rows)
+    assert all(sum(C.count_tokens(x) for _, x in C.parse_window(w.text)) <= C.BUDGET for w in windows if w.window)
+    back = {r.conv_id: r for r in C.read_back(C.chat_windows(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    assert back[1].n_turns == 200 and back[2].n_turns == 1
+    turns = "".join(f"{r}\n{x}\n" for c, _, r, x in rows if c == 1)
+    assert back[1].turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
