@@ -111,3 +111,40 @@ def test_addresses_with_zero_parts(spark):
     assert [got[i] for i in range(7)] == [1, 1, 1, 2, 1, 0, 1]
     for r in rows:
         _check(r, cases[r.doc_id])
+
+
+def test_phones_and_secrets_without_evidence_are_found(spark):
+    """Planted without base form or evidence: recall and precision by kind on documents of their own."""
+    r = random.Random(5)
+    rows = []
+    for i in range(300):
+        number = f"({r.randint(200, 999)}) {r.randint(200, 999)}-{r.randint(1000, 9999)}"
+        key = "".join(r.choices("0123456789abcdef", k=40))
+        plus, name = ("+1 ", 'token = "') if i % 3 == 0 else ("1 ", 'we saw "')  # a third carries the evidence
+        rows.append((i, f"words {plus}{number} more"))
+        rows.append((1000 + i, f'words {name}{key}" more'))
+        rows.append((2000 + i, f"order {r.randint(10**8, 10**9)} of {r.randint(10**7, 10**8)} in wordwordwordwordword{'abc'[i % 3]} pieces"))
+    got = {x.doc_id: x for x in P.pii_report(documents(spark, rows)).collect()}
+    assert all(got[i].n_phone + got[i].n_added == 1 for i in range(300))
+    assert sum(got[1000 + i].n_secret for i in range(300)) >= 0.95 * 300  # shapes with little evidence stay below the bound
+    assert all(got[2000 + i].n_added + got[2000 + i].n_secret == 0 for i in range(300))
+
+
+def test_cards_with_other_separators_pass_the_checksum(spark):
+    r = random.Random(6)
+
+    def card(valid):
+        while True:
+            d = f"4{r.randint(10**13, 10**14 - 1)}{r.randint(0, 9)}"
+            if _luhn(d) == valid:
+                return d
+    rows = [(i, f"paid with {card(True)} today") for i in range(200)]
+    rows += [(1000 + i, f"number {'.'.join(re.findall('....', card(i < 40)))} here") for i in range(80)]
+    got = {x.doc_id: x for x in P.pii_report(documents(spark, rows)).collect()}
+    assert all((got[1000 + i].n_added == 1) == (i < 40) for i in range(80))
+
+
+def test_twenty_thousand_numbers_in_one_text(spark):
+    text = " ".join(f"+49 30 {i:07d}; 030 {i:07d}." for i in range(20_000))
+    row = P.pii_report(documents(spark, [(1, text), (2, "call +49 30 1234567")])).filter("doc_id = 1").first()
+    assert row.n_phone == 20_000
