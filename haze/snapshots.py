@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 
 NO_DATE = "none"  # the part of rows without a date
 MAX_FOLDERS = 32
+ROUTED_BYTES = "16MB"  # compressed rows that one task of a routed write sorts: envelopes are alike and many times as large in memory
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _FILES = "_snapshots"
 
 
@@ -194,7 +196,13 @@ class Transaction:
         seen = Observation(folder)
         df = df.withColumn("_part", F.coalesce(part, F.lit(NO_DATE))).withColumn("_outcome", F.col("outcome")).drop("outcome")
         df = df.observe(seen, F.count(F.lit(1)).alias("all"), *(F.count_if(F.col("_outcome") == v).alias(v) for v in routes))
-        df.hint("rebalance", "_outcome", "_part").write.partitionBy("_outcome", "_part").parquet(f"{self.warehouse.root}/{folder}")
+        conf = self.warehouse.spark.conf
+        before = conf.get(_ADVISORY)
+        conf.set(_ADVISORY, ROUTED_BYTES)
+        try:
+            df.hint("rebalance", "_outcome", "_part").write.partitionBy("_outcome", "_part").parquet(f"{self.warehouse.root}/{folder}")
+        finally:
+            conf.set(_ADVISORY, before)
         out = {}
         for value, (table, columns, _) in routes.items():
             self.schemas[table] = json.loads(df.select(*columns).schema.json())

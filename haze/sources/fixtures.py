@@ -231,10 +231,11 @@ def land_weather_objects(events: DataFrame, path: str, files: int | None = None)
 
 
 def land_requested_weather(events: DataFrame, path: str) -> None:
-    """Landed weather objects, the files of each requested city in a folder of its own."""
+    """Landed weather objects, the files of each requested city in a folder of its own; adaptive
+    execution gives a large city several tasks and files."""
     city = F.concat(F.lit("N"), (F.col("user_id") % CITY_CODES).cast("string"))
     objects = weather_payloads(events.withColumn("requested", city), keep=("requested",)).drop("record_id", "landed_at")
-    objects.repartition("requested").write.mode("overwrite").partitionBy("requested").json(path)
+    objects.hint("rebalance", "requested").write.mode("overwrite").partitionBy("requested").json(path)
 
 
 def request_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -77,6 +77,33 @@ def test_requested_city_of_nameless_payloads(spark):
     assert sorted(str(json.loads(r.raw_payload)["city"]) for r in none.collect()) == ["None", "None", "Poona"]
 
 
+def test_a_large_city_is_landed_by_several_tasks(spark):
+    events = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id AS event_id", "id % 2 * 3 AS user_id", "timestamp_seconds(1704067200 + id) AS ts", "'a' AS event_type", "id / 7 AS value")
+    path = scratch_path(spark, "test-landing")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        fixtures.land_requested_weather(events, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = fixtures.request_manifest(spark, path).groupBy("city").count().collect()
+    assert {r.city for r in files} == {"N0", "N3"} and all(r["count"] >= 4 for r in files)  # one task has a part of a city
+    assert spark.read.text(path).count() == 40_000
+
+
+def test_a_large_quarantine_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr("haze.snapshots.ROUTED_BYTES", "64KB")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows = spark.range(0, 40_000, 1, 8).select(F.lit("bad").alias("outcome"), F.sha2(F.col("id").cast("string"), 256).alias("raw_payload"))
+    tx = Warehouse(spark, scratch_path(spark, "test-routed")).begin()
+    count, dates, _ = tx.load_routed(rows, {"bad": ("invalid_records", ["raw_payload"], F.lit("2024-02-01"))}, "run-1")["bad"]
+    table = tx.read("invalid_records")
+    assert (count, dates, table.distinct().count()) == (40_000, {"2024-02-01"}, 40_000)
+    assert table.select("_metadata.file_path").distinct().count() >= 8  # one date, still no task has it whole
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == size
+
+
 def test_ledger_of_many_files(spark):
     """50,000 names: the anti join stays in Spark, only the mark comes to the driver."""
     wh = Warehouse(spark, scratch_path(spark, "test-warehouse"))
