@@ -22,12 +22,15 @@ changes cost only, both are complete. Candidates are verified on the words.
 Equal word sequences are one class before anything is indexed. Buckets are not
 expanded into pairs: each class first checks one partner, and links found so far
 settle most buckets. Classes of buckets that still span several labels are
-clustered by shared buckets, and each cluster is compared in tasks of two blocks
-of classes by size and hash. A task gets parity sketches, a few bits a shingle,
-which differ in no more bits than the sets do in shingles; the texts of those that
-are near one of another label follow, and spanning links come back. So every
-candidate pair is connected already, refuted by its sketches or compared, and none
-is listed.
+clustered by shared buckets. Each cluster is compared as a whole, or bucket by bucket
+(equal ones once) where that takes fewer rows: weak candidates chain most documents
+into one cluster, whose blocks would meet in a number that grows with its square.
+What has more than a block of classes is compared in tasks of two blocks by size and
+hash. A task gets parity sketches, a few bits a shingle, which differ in no more bits
+than the sets do in shingles. What near ones of other labels connect is a cluster again,
+of documents much alike, whose texts are compared, and spanning links come back. So
+every candidate pair is connected already, refuted by its sketches or compared, and
+none is listed.
 
 Defined results: null and empty texts and texts without words have no shingles,
 link with nothing and are their own component; rows with a null id have a null
@@ -59,6 +62,7 @@ _HOT = 16  # a signature that so many sets of one slice share skips the shuffle
 _CHUNKS = 256  # chunks over which the partners of one class are dealt
 _BLOCK = 1024  # classes of a block, and
 _BLOCK_SHINGLES = 500_000  # their shingles; two blocks meet in a task
+_BUCKET_ROWS = 4  # rows of buckets that cost as much as one of a cluster's tasks, which meets whole blocks
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -442,9 +446,14 @@ def _blocks(n: int, percent: int):
 
 
 def near_sketches(members: list[tuple[int, int, int, bytes]], percent: int) -> set[int]:
-    """Ids of the (id, n_shingles, label, sketch) members that may be linked to one of another
-    label: sizes allow it, and the sketches differ in no more bits than linked sets do in
-    shingles. No linked pair of two labels is missed."""
+    """Ids of the members that are in one of the ``near_groups``."""
+    return {i for group in near_groups(members, percent) for i in group}
+
+
+def near_groups(members: list[tuple[int, int, int, bytes]], percent: int) -> list[list[int]]:
+    """Groups (sorted ids) of the (id, n_shingles, label, sketch) members, connected by those that
+    may be linked to one of another label: sizes allow it, and the sketches differ in no more bits
+    than linked sets do in shingles. No linked pair of two labels is missed."""
     by_width: dict[int, list] = {}
     for m in members:
         by_width.setdefault(8 * len(m[3]), []).append(m)
@@ -453,7 +462,7 @@ def near_sketches(members: list[tuple[int, int, int, bytes]], percent: int) -> s
         bits = np.unpackbits(np.frombuffer(b"".join(m[3] for m in group), np.uint8).reshape(len(group), -1), axis=1)
         ids, sizes, labels = (np.array([m[k] for m in group], np.int64) for k in range(3))
         parts[width] = bits, ids, sizes, labels
-    out: set[int] = set()
+    ones, others = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for low in sorted(parts):
         for high in sorted(w for w in parts if low <= w and percent * w <= 200 * low):
             a, b = parts[low], parts[high]
@@ -467,16 +476,32 @@ def near_sketches(members: list[tuple[int, int, int, bytes]], percent: int) -> s
                 one, two = a[2][rows, None], b[2][None, :]
                 fits = 100 * np.minimum(one, two) >= percent * np.maximum(one, two)
                 i, j = np.nonzero(fits & (apart <= (100 - percent) * (one + two) // (100 + percent)) & (a[3][rows, None] != b[3][None, :]))
-                out.update(a[1][rows][i].tolist(), b[1][j].tolist())
-    return out
+                ones.append(a[1][rows][i])
+                others.append(b[1][j])
+    pairs = np.concatenate((*ones, *others))
+    ids, at = np.unique(pairs, return_inverse=True)
+    one, two = at[:len(at) // 2], at[len(at) // 2:]
+    least, before = np.arange(len(ids)), None
+    while before is None or (least != before).any():
+        before, low = least.copy(), np.minimum(least[one], least[two])
+        np.minimum.at(least, one, low)
+        np.minimum.at(least, two, low)
+        least = least[least]
+    order = np.argsort(least, kind="stable")
+    cuts = np.flatnonzero(np.diff(least[order])) + 1
+    return [group.tolist() for group in np.split(ids[order], cuts) if len(group)]
 
 
 def _near(percent: int):
-    """Streams rows sorted by task, keeps the (task, id) that ``near_sketches`` keeps."""
+    """Streams rows sorted by task, gives the ids of its ``near_groups``; a group is named by
+    its ids, so that one of several tasks is the same."""
 
-    def kept(task: str, members: list) -> pa.RecordBatch:
-        ids = sorted(near_sketches(members, percent))
-        return pa.RecordBatch.from_arrays([pa.array([task] * len(ids), pa.string()), pa.array(ids, pa.int64())], names=["task", "id"])
+    def kept(members: list) -> pa.RecordBatch:
+        names, ids = [], []
+        for group in near_groups(members, percent):
+            names += [hashlib.blake2b(np.array(group, np.int64).tobytes(), digest_size=16).hexdigest()] * len(group)
+            ids += group
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ids, pa.int64())], names=["task", "id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, members = None, []
@@ -484,23 +509,21 @@ def _near(percent: int):
             for key, *member in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if key != task:
                     if len(members) > 1:
-                        yield kept(task, members)
+                        yield kept(members)
                     task, members = key, []
                 members.append(tuple(member))
         if len(members) > 1:
-            yield kept(task, members)
+            yield kept(members)
     return run
 
 
-def _cluster_links(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links that connect what is connected within each cluster (node, component).
-
-    The tasks get sketches first; texts go only to tasks where two sketches of different
-    labels (known: node, label) are as near as linked sets must be.
+def _near_rows(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(task, id): groups of members of a cluster (node, component: of any type) that may be linked
+    to one of another label (known: node, label) by their sketches.
 
     A cluster of more than a block is cut by size class (linked sets are in
     the same or adjacent classes) and hash into blocks; every two blocks that can hold
-    a linked pair meet in one task. Tasks return spanning links, not pairs."""
+    a linked pair meet in one task."""
     member = (clusters.join(texts, F.col("node") == F.col("id"))
               .select(F.col("component").alias("cluster"), "id", "n_shingles", F.floor(F.log(F.col("n_shingles")) / math.log(100 / percent) + 1e-9
                                                                          if percent < 100 else F.col("n_shingles")).alias("k")).distinct())
@@ -519,10 +542,17 @@ def _cluster_links(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, k
         F.transform(others(k + 1), lambda o: name(k, place(k), k + 1, o))))
     dealt = member.join(shape, "cluster").select("id", "n_shingles", F.explode(tasks).alias("task"))
     labelled = dealt.join(known, dealt.id == known.node, "left").select("task", "id", "n_shingles", F.coalesce("label", "id").alias("label"))
-    near = (labelled.join(sketches, ["id", "n_shingles"]).select("task", "id", "n_shingles", "label", "sketch")
-            .repartition("task").sortWithinPartitions("task", "id").mapInArrow(_near(percent), "task string, id long"))
-    near = written(near.distinct(), "join-near")
-    rows = (near.join(texts.select("id", "text").distinct(), "id").select("task", "id", "text")
+    return (labelled.join(sketches, ["id", "n_shingles"]).select("task", "id", "n_shingles", "label", "sketch")
+            .repartition("task").sortWithinPartitions("task", "id").mapInArrow(_near(percent), "task string, id long").distinct())
+
+
+def _cluster_links(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links that connect what is connected within each cluster: first sketches, then the texts of what
+    these leave. Tasks return spanning links, not pairs."""
+    near = written(_near_rows(clusters, texts, sketches, known, percent), "join-near")
+    stars = near.join(near.groupBy("task").agg(F.min("id").alias("least")), "task").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    alike = written(_near_rows(components(stars.filter("a <> b").distinct()), texts, sketches, known, percent), "join-alike")
+    rows = (alike.join(texts.select("id", "text").distinct(), "id").select("task", "id", "text")
             .repartition("task").sortWithinPartitions("task", "id"))
     return rows.mapInArrow(_blocks(n, percent), "a long, b long")
 
@@ -547,9 +577,27 @@ def _links(live: DataFrame, texts: DataFrame, sketches: DataFrame, given: DataFr
              .select("key", "deleted", "rep", F.coalesce("label", "rep").alias("label")))
     spread = (state.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("least"))
               .filter("lo <> hi").select("key", "least"))
-    edges = written(state.join(spread, "key").filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct(),
-                    "join-rest")
-    return links.union(written(_cluster_links(components(edges), texts, sketches, known, n, percent), "join-links"))
+    rest = written(state.join(spread, "key").select("key", "rep", "least").distinct(), "join-rest")
+    return links.union(written(_cluster_links(_candidates(rest), texts, sketches, known, n, percent), "join-links"))
+
+
+def _candidates(rest: DataFrame) -> DataFrame:
+    """What is compared: (node, component), the clusters of the buckets ``rest`` (key, rep, least), or
+    the distinct buckets of a cluster where these have fewer rows than its tasks would get."""
+    clusters = written(components(rest.filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()), "join-clusters")
+    members = F.count(F.lit(1))
+    hashed = [F.sum(F.xxhash64(F.lit(salt), "rep").cast("decimal(38,0)")).alias(f"h{salt}") for salt in (0, 1)]
+    buckets = rest.groupBy("key", "least").agg(members.alias("n"), *hashed).groupBy("least", "n", "h0", "h1").agg(F.min("key").alias("key"))
+    buckets = buckets.join(clusters, F.col("least") == F.col("node")).select("key", "n", "component")
+    blocks = lambda n: F.ceil(n / _BLOCK)
+    by_bucket = buckets.groupBy("component").agg(F.sum(F.col("n") * blocks(F.col("n"))).alias("rows"))
+    whole = clusters.groupBy("component").agg(members.alias("n"))
+    split = (whole.filter(F.col("n") > _BLOCK).join(by_bucket, "component")
+             .filter(F.col("rows") < _BUCKET_ROWS * F.col("n") * blocks(F.col("n"))).select("component"))
+    split = written(split, "join-split")
+    name = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string")).alias("component")
+    return (clusters.join(split, "component", "left_anti").select("node", name("c", "component"))
+            .union(rest.join(buckets.join(split, "component", "left_semi").select("key"), "key").select(F.col("rep").alias("node"), name("b", "key"))))
 
 
 # -- the operator ------------------------------------------------------------

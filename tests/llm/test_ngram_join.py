@@ -147,3 +147,37 @@ def test_sketches_refute_no_linked_pair():
                   and 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
         assert linked <= near and len(near) < 60, percent
         assert not J.near_sketches([(i, n, 0, sk) for i, n, _, sk in members], percent)  # one label: connected already
+
+
+def test_a_chain_of_weak_buckets_is_compared_by_bucket(spark):
+    chain = [(key, rep, key) for key in range(10_000) for rep in (key, key + 1)]  # one cluster of 10,001 classes
+    again = [(20_000 + key, rep, key) for key in range(10_000) for rep in (key, key + 1)]  # equal buckets count once
+    small = [(50_000, 60_000 + i, 60_000) for i in range(5)]
+    rest = spark.createDataFrame(chain + again + small, "key long, rep long, least long")
+    got = {}
+    for r in J._candidates(rest).collect():
+        got.setdefault(r.component, []).append(r.node)
+    assert sorted(map(sorted, got.values())) == [[key, key + 1] for key in range(10_000)] + [[60_000 + i for i in range(5)]]
+
+
+def test_a_large_family_in_many_buckets_stays_one_cluster(spark):
+    rest = spark.createDataFrame([(key, rep, 0) for key in range(20) for rep in range(2000) if rep == 0 or rep % 21 != key], "key long, rep long, least long")
+    got = J._candidates(rest)
+    assert got.count() == got.select("node").distinct().count() == 2000 and got.select("component").distinct().count() == 1
+
+
+@pytest.mark.parametrize("bucket_rows", [0, 10 ** 9])
+def test_components_by_bucket_and_by_cluster(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(J, "_BLOCK", 3)
+    monkeypatch.setattr(J, "_BUCKET_ROWS", bucket_rows)
+    rows = corpus(11, docs=120, vocab=25)
+    got = {r.id: r.component for r in J.jaccard_components(documents(spark, rows), 1, 60).collect()}
+    assert got == brute(rows, 1, 60)
+
+
+def test_near_groups_are_apart():
+    rng = np.random.default_rng(3)
+    base = [np.unique(rng.integers(0, 1 << 63, 200, np.uint64)) for _ in range(2)]
+    members = [(10 * k + c, 200 - c, 10 * k + c, J.sketch(b[c:])) for k, b in enumerate(base) for c in range(3)]
+    assert sorted(J.near_groups(members, 80)) == [[0, 1, 2], [10, 11, 12]]
+    assert J.near_groups(members[:1], 80) == J.near_groups([], 80) == []
