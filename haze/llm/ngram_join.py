@@ -58,6 +58,7 @@ _BAND_RATIO = 1.4
 _SAMPLED = 1 << 10  # one shingle hash in so many is counted over all documents, for the cost model
 _PART_KEYS = 2_000_000  # signatures that one reduce partition gets
 _SLICE_KEYS = 1_000_000  # signatures that a map task holds at a time
+_SORTED_KEYS = 500_000  # signatures of a part that are unpacked and sorted at a time, about
 _HOT = 16  # a signature that so many sets of one slice share skips the shuffle
 _CHUNKS = 256  # chunks over which the partners of one class are dealt
 _BLOCK = 1024  # classes of a block, and
@@ -243,7 +244,7 @@ def _packed(keys: np.ndarray) -> bytes:
     return keys.view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
+def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
     out = np.zeros((len(data) // _KEY_BYTES, 8), np.uint8)
     out[:, :_KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _KEY_BYTES)
     return out.reshape(-1).view(np.int64)
@@ -310,38 +311,51 @@ _LIVE = "key long, deleted boolean, node long"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signature rows whose bucket has two classes and an undeleted row at least."""
+    """Signature rows whose bucket has two classes and an undeleted row at least. A task
+    holds its rows packed; of a part's keys, one range after another is unpacked."""
 
     def out(part, keys, nodes):
         with np.errstate(over="ignore"):
-            bucket = (mix((keys >> 1).view(_U) + part.view(_U) * _C1) >> _U(1)).view(np.int64)
+            bucket = (mix((keys >> 1).view(_U) + np.full(1, part, _U) * _C1) >> _U(1)).view(np.int64)
         for i in range(0, len(keys), 100_000):
             k = slice(i, i + 100_000)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[k]), pa.array((keys[k] & 1) == 1), pa.array(nodes[k])], names=["key", "deleted", "node"])
 
-    def unpacked(part, k, v, runs):
-        keys, nodes = _unpacked(k), np.frombuffer(v, np.int64)
-        runs = np.frombuffer(runs, np.uint16 if len(runs) == 2 * len(nodes) else np.uint32)
-        return np.full(len(keys), part, np.int64), keys, np.repeat(nodes, runs)
+    def unpacked(k, v, runs):
+        nodes = np.frombuffer(v, np.int64)
+        return _unpacked(k), np.repeat(nodes, np.frombuffer(runs, np.uint16 if len(runs) == 2 * len(nodes) else np.uint32))
+
+    def within(pieces, bits, at):
+        """The keys with these leading bits, and their classes."""
+        for piece in pieces:
+            keys, nodes = unpacked(*piece)
+            here = keys >> (8 * _KEY_BYTES - bits) == at
+            yield keys[here], nodes[here]
 
     found: dict[int, list] = {}
     for batch in batches:
-        for part, *data, hot in zip(*(batch.column(c).to_pylist() for c in range(1, 6))):
-            if hot:
-                yield from out(*unpacked(part, *data))
+        for part, *data, hot in zip(*(batch.column(c) for c in range(1, 6))):
+            part, data = part.as_py(), [x.as_buffer() for x in data]
+            if hot.as_py():
+                yield from out(part, *unpacked(*data))
             else:
                 found.setdefault(part, []).append(data)
     for own in sorted(found):  # a task may have several parts: one at a time
-        part, keys, nodes = (np.concatenate(c) for c in zip(*(unpacked(own, *data) for data in found.pop(own))))
-        order = np.lexsort((nodes, keys >> 1))
-        keys, nodes = keys[order], nodes[order]
-        bare = keys >> 1
-        starts = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
-        ends = np.concatenate((starts[1:], [len(keys)])) - 1
-        live = (nodes[starts] != nodes[ends]) & (np.add.reduceat((keys & 1) == 0, starts, dtype=np.int64) > 0)
-        m = np.repeat(live, ends - starts + 1)
-        yield from out(part[m], keys[m], nodes[m])
+        pieces = found.pop(own)
+        bits = (sum(len(k) for k, _, _ in pieces) // (_KEY_BYTES * _SORTED_KEYS)).bit_length()
+        for at in range(1 << bits):
+            keys, nodes = (np.concatenate(c) for c in zip(*within(pieces, bits, at)))
+            if not len(keys):
+                continue
+            order = np.argsort(keys >> 1)
+            keys, nodes = keys[order], nodes[order]
+            bare = keys >> 1
+            starts = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
+            live = ((np.minimum.reduceat(nodes, starts) != np.maximum.reduceat(nodes, starts))
+                    & (np.add.reduceat((keys & 1) == 0, starts, dtype=np.int64) > 0))
+            m = np.repeat(live, np.diff(np.concatenate((starts, [len(keys)]))))
+            yield from out(own, keys[m], nodes[m])
 
 
 # -- verification ------------------------------------------------------------
@@ -378,15 +392,55 @@ def _pairs(got: list[tuple[int, int]]) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b): the partners of a centre b are dealt over
-    ``_CHUNKS`` chunks, each of which gets b's text once."""
+def _near_sketch(a: tuple[int, bytes], b: tuple[int, bytes], percent: int) -> bool:
+    """Whether two sets (n_shingles, sketch) may be linked, as in ``near_groups``."""
+    (one, x), (two, y) = sorted((a, b), key=lambda s: len(s[1]))
+    if 100 * min(one, two) < percent * max(one, two):
+        return False
+    bits = np.frombuffer(y, np.uint8)
+    while len(bits) > len(x):
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return int(np.bitwise_count(bits ^ np.frombuffer(x, np.uint8)).sum()) <= max_difference(one + two, percent) // 2
+
+
+def _compare_sketches(percent: int):
+    """Streams rows sorted by (centre, chunk), the centre's sketches first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, sets = None, []
+        for batch in batches:
+            got = []
+            for c, chunk, member, i, *mine in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if (c, chunk) != centre:
+                    centre, sets = (c, chunk), []
+                if not member:
+                    sets.append(mine)
+                elif any(_near_sketch(mine, other, percent) for other in sets):
+                    got.append((i, c))
+            yield _pairs(got)
+    return run
+
+
+def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """What ``sets`` (id, ...) has of ``pairs`` (a, b), sorted: the partners of a centre b are
+    dealt over ``_CHUNKS`` chunks, each of which gets b's rows once, before them."""
     dealt = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(_CHUNKS)).alias("chunk"))
-    members = dealt.join(texts, F.col("a") == F.col("id")).select(F.col("b").alias("centre"), "chunk", F.lit(1).alias("member"), "id", "text")
-    centres = (dealt.select("b", "chunk").distinct().join(texts, F.col("b") == F.col("id"))
-               .select(F.col("b").alias("centre"), "chunk", F.lit(0).alias("member"), "id", "text"))
-    rows = members.union(centres).repartition("centre", "chunk").sortWithinPartitions("centre", "chunk", "member")
-    return rows.mapInArrow(_compare(n, percent), "a long, b long")
+    columns = [F.col("b").alias("centre"), "chunk", "member", *sets.columns]
+    members = dealt.join(sets, F.col("a") == F.col("id")).withColumn("member", F.lit(1)).select(columns)
+    centres = dealt.select("b", "chunk").distinct().join(sets, F.col("b") == F.col("id")).withColumn("member", F.lit(0)).select(columns)
+    return members.union(centres).repartition("centre", "chunk").sortWithinPartitions("centre", "chunk", "member")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, n: int, percent: int) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b): first their sketches meet, then the texts of near ones."""
+    near = written(_met(pairs, sketches).mapInArrow(_compare_sketches(percent), "a long, b long").distinct(), "join-first")
+    return _met(near, _texts_of(near.select(F.explode(F.array("a", "b")).alias("id")), texts)).mapInArrow(_compare(n, percent), "a long, b long")
+
+
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, text) of some ids only. These are written first, so that Spark knows how many they are:
+    where they are few, the other documents' texts are read but not shuffled."""
+    return written(texts.join(written(ids.distinct(), "join-ids"), "id").select("id", "text").distinct(), "join-texts")
 
 
 def block_links(members: list[tuple[int, str]], n: int, percent: int) -> list[tuple[int, int]]:
@@ -517,14 +571,14 @@ def _near(percent: int):
     return run
 
 
-def _near_rows(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def _near_rows(clusters: DataFrame, sketches: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """(task, id): groups of members of a cluster (node, component: of any type) that may be linked
     to one of another label (known: node, label) by their sketches.
 
     A cluster of more than a block is cut by size class (linked sets are in
     the same or adjacent classes) and hash into blocks; every two blocks that can hold
     a linked pair meet in one task."""
-    member = (clusters.join(texts, F.col("node") == F.col("id"))
+    member = (clusters.join(sketches, F.col("node") == F.col("id"))
               .select(F.col("component").alias("cluster"), "id", "n_shingles", F.floor(F.log(F.col("n_shingles")) / math.log(100 / percent) + 1e-9
                                                                          if percent < 100 else F.col("n_shingles")).alias("k")).distinct())
     fill = F.count(F.lit(1)) / _BLOCK + F.sum("n_shingles") / _BLOCK_SHINGLES
@@ -549,10 +603,10 @@ def _near_rows(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known
 def _cluster_links(clusters: DataFrame, texts: DataFrame, sketches: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
     """Links that connect what is connected within each cluster: first sketches, then the texts of what
     these leave. Tasks return spanning links, not pairs."""
-    near = written(_near_rows(clusters, texts, sketches, known, percent), "join-near")
+    near = written(_near_rows(clusters, sketches, known, percent), "join-near")
     stars = near.join(near.groupBy("task").agg(F.min("id").alias("least")), "task").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    alike = written(_near_rows(components(stars.filter("a <> b").distinct()), texts, sketches, known, percent), "join-alike")
-    rows = (alike.join(texts.select("id", "text").distinct(), "id").select("task", "id", "text")
+    alike = written(_near_rows(components(stars.filter("a <> b").distinct()), sketches, known, percent), "join-alike")
+    rows = (alike.join(_texts_of(alike.select("id"), texts), "id").select("task", "id", "text")
             .repartition("task").sortWithinPartitions("task", "id"))
     return rows.mapInArrow(_blocks(n, percent), "a long, b long")
 
@@ -571,7 +625,7 @@ def _links(live: DataFrame, texts: DataFrame, sketches: DataFrame, given: DataFr
     first = (live.groupBy("key").agg(F.min(F.when(~F.col("deleted"), F.col("rep"))).alias("c"))
              .join(live, "key").filter("rep <> c").groupBy("rep").agg(F.min("c").alias("c"))
              .select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct())
-    links = written(_verified(first, texts, n, percent).union(given), "join-links")
+    links = written(_verified(first, texts, sketches, n, percent).union(given), "join-links")
     known = _labels(links)
     state = (live.join(known, live.rep == known.node, "left")
              .select("key", "deleted", "rep", F.coalesce("label", "rep").alias("label")))
@@ -620,13 +674,12 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     live = packed.repartition(max(parts, 2), "deal").mapInArrow(_shared, _LIVE)
     live = written(live.join(classes.select("node", "rep"), "node").select("key", "deleted", "rep").distinct(), "join-live")
     involved = live.select("rep").distinct().join(classes, "rep").select(F.col("rep").alias("id"), "n_shingles").distinct()
-    texts = written(plain.filter("id is not null").join(involved, "id"), "join-texts")
 
     ids = whole.join(classes.select("class", "rep"), "class").select("id", "rep")
     same = ids.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter("a <> b")  # ids with several texts
     same = ids.join(same.select("id", "b"), "id").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    sketches = whole.join(involved, ["id", "n_shingles"]).select("id", "n_shingles", "sketch").distinct()
-    found = components(_links(live, texts, sketches, same, shingle, percent))
+    sketches = written(whole.join(involved, ["id", "n_shingles"]).select("id", "n_shingles", "sketch").distinct(), "join-sketches")
+    found = components(_links(live, plain, sketches, same, shingle, percent))
     named = classes.join(found, classes.rep == found.node, "left").select("class", F.coalesce("component", "rep").alias("component"))
     return (sets.join(named, "class", "left")
             .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")))
@@ -660,5 +713,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Da
     Rows without a doc_id or without words stay; rows that share a doc_id stay together."""
     found = jaccard_components(docs, shingle, percent)
     lost = fresh("lost_id", docs.columns)
-    gone = found.filter("id <> component").select(F.col("id").alias(lost)).distinct()
+    gone = written(found.filter("id <> component").select(F.col("id").alias(lost)).distinct(), "join-gone")
     return docs.join(gone, F.col("doc_id").cast("long") == F.col(lost), "left_anti").select(docs.columns)

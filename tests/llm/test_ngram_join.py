@@ -1,8 +1,10 @@
 import os
 import random
 import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +183,56 @@ def test_near_groups_are_apart():
     members = [(10 * k + c, 200 - c, 10 * k + c, J.sketch(b[c:])) for k, b in enumerate(base) for c in range(3)]
     assert sorted(J.near_groups(members, 80)) == [[0, 1, 2], [10, 11, 12]]
     assert J.near_groups(members[:1], 80) == J.near_groups([], 80) == []
+
+
+def _packed_part(sets=4, keys=500_000):
+    """One part's rows as map tasks give them; the first two sets share every fifth of their keys."""
+    rng = np.random.default_rng(5)
+    columns = [[] for _ in range(6)]
+    for node in range(sets):
+        mine = rng.integers(0, 1 << 40, keys, np.int64) & ~np.int64(1)
+        if node == 1:
+            mine[::5] = first[::5]
+        first = mine if node == 0 else first
+        for c, x in zip(columns, (0, 7, J._packed(mine), np.array([node], np.int64).tobytes(), np.array([keys], np.uint32).tobytes(), False)):
+            c.append(x)
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["deal", "part", "keys", "nodes", "runs", "hot"])
+
+
+def test_a_part_is_sorted_in_bounded_memory():
+    batch = _packed_part()
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in J._shared(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows >= 200_000 and peak < 80e6  # 2,000,000 keys, of which 8 bytes each and their classes are 32 MB
+
+
+def test_a_part_gives_the_same_rows_in_ranges(monkeypatch):
+    batch = _packed_part(keys=2000)
+    got = []
+    for held in (10 ** 9, 100):
+        monkeypatch.setattr(J, "_SORTED_KEYS", held)
+        got.append(sorted(r for b in J._shared(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns))))
+    assert got[0] == got[1] and len(got[0]) == 800
+
+
+def test_only_near_sketches_ask_for_texts(spark, monkeypatch):
+    """Partners that their sketches refute get no text; linked ones do, whatever their widths."""
+    monkeypatch.setattr(J, "_texts_of", lambda ids, texts, f=J._texts_of: asked.append(sorted(r.id for r in ids.distinct().collect())) or f(ids, texts))
+    asked = []
+    texts = {0: " ".join(f"a{i}" for i in range(70)), 2: " ".join(f"b{i}" for i in range(70))}
+    texts[1], texts[3] = texts[0].rsplit(" ", 6)[0], texts[2] + " a0 a1"
+    with np.errstate(over="ignore"):
+        sets = {i: J.shingle_hashes(J.words(t), 3) for i, t in texts.items()}
+    assert len(J.sketch(sets[0])) > len(J.sketch(sets[1]))
+    sketches = spark.createDataFrame([(i, len(h), bytearray(J.sketch(h))) for i, h in sets.items()], "id long, n_shingles long, sketch binary")
+    pairs = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (3, 1), (3, 2)], "a long, b long")
+    found = J._verified(pairs, spark.createDataFrame(list(texts.items()), "id long, text string"), sketches, 3, 80)
+    assert sorted((r.a, r.b) for r in found.collect()) == [(1, 0), (3, 2)] and asked == [[0, 1, 2, 3]]
+    asked.clear()
+    assert J._verified(pairs.filter("b = 0 and a > 1"), spark.createDataFrame(list(texts.items()), "id long, text string"), sketches, 3, 80).count() == 0
+    assert asked == [[]]
