@@ -57,7 +57,7 @@ from haze.llm.components import components
 _BAND_RATIO = 1.4
 _SAMPLED = 1 << 10  # one shingle hash in so many is counted over all documents, for the cost model
 _PART_KEYS = 2_000_000  # signatures that one reduce partition gets
-_SLICE_KEYS = 1_000_000  # signatures that a map task holds at a time
+_SLICE_KEYS = 300_000  # signatures that a map task holds at a time
 _SORTED_KEYS = 500_000  # signatures of a part that are unpacked and sorted at a time, about
 _HOT = 16  # a signature that so many sets of one slice share skips the shuffle
 _CHUNKS = 256  # chunks over which the partners of one class are dealt
@@ -524,8 +524,8 @@ def near_groups(members: list[tuple[int, int, int, bytes]], percent: int) -> lis
             for top in range(0, len(x), 256):  # so many members against all of the other group
                 rows = slice(top, top + 256)
                 apart = np.zeros((len(x[rows]), len(y)), np.float32)
-                for lo in range(0, low, 4096):
-                    p, q = x[rows, lo:lo + 4096].astype(np.float32), y[:, lo:lo + 4096].astype(np.float32)
+                for lo in range(0, low, 1024):
+                    p, q = x[rows, lo:lo + 1024].astype(np.float32), y[:, lo:lo + 1024].astype(np.float32)
                     apart += p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T)
                 one, two = a[2][rows, None], b[2][None, :]
                 fits = 100 * np.minimum(one, two) >= percent * np.maximum(one, two)
