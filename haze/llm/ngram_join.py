@@ -20,8 +20,8 @@ the cheapest by a cost model fed by counts over all documents; the choice
 changes cost only, both are complete. Candidates are verified on the words.
 
 Equal word sequences are one class before anything is indexed. Buckets are not
-expanded into pairs: each class first checks one partner, and links found so far
-settle most buckets. Classes of buckets that still span several labels are
+expanded into pairs: each class first checks one partner (its sketch, then the text
+if that is near), and links found so far settle most buckets. Classes of buckets that still span several labels are
 clustered by shared buckets. Each cluster is compared as a whole, or bucket by bucket
 (equal ones once) where that takes fewer rows: weak candidates chain most documents
 into one cluster, whose blocks would meet in a number that grows with its square.
